@@ -37,6 +37,12 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(stored(table(spark, sf_dir, "documents")))
 
 
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import resolved_pages
+
+    return resolved_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
