@@ -23,6 +23,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op3_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import digest, find_personal_data
+
+    return digest(find_personal_data(table(spark, sf_dir, "documents")))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
