@@ -49,6 +49,14 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved_pages(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .imatch import compared_with_edits
+
+    out = compared_with_edits(table(spark, sf_dir, "documents"))
+    joined = [F.array_join(c, " ").alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *joined, "near_edited", "near_next")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
