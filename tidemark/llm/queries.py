@@ -43,6 +43,12 @@ def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(stored(table(spark, sf_dir, "documents")))
 
 
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .importance import resampled
+
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import resolved_pages
 
