@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tidemark.llm.packing import Encoder, Plan, pack_documents
@@ -37,11 +38,23 @@ def want_pieces(rows, size=4096):
     return sorted(out)
 
 
+def check_encoder(e, texts):
+    ids, at = e.batch(pa.array([*texts, None]))
+    for text, a, b in zip([*texts, ""], at[:-1], at[1:]):
+        assert ids[a:b].tobytes() == e.whole(text), text
+
+
 def test_encoder_equals_whole_texts():
     e = Encoder(PATH)
-    odd = ["it's 12 o'clock", "É́A b́", "a\x1cb c", "x\x85y", "ΑΣ ΑΣ Σ", "<|endoftext|> a", "日本 語　x", "é\ń", "", " ", "!!a!! 3.14 I'LL don't", "​q​ w", "a﻿b", "İstanbul I"]
-    for text in odd:
-        assert e.encode(text) == e.whole(text), text
+    odd = ["it's 12 o'clock", "É́A b́", "a\x1cb c", "x\x85y", "ΑΣ ΑΣ Σ", "<|endoftext|> a", "日本 語　x", "é\ń", "", " ", "!!a!! 3.14 I'LL don't", "​q​ w", "a﻿b", "İstanbul I", "ẞ ﬁ Ǆ x<|endoftext|>y a\x00b a\x7fb\xa0c \u2003z"]
+    check_encoder(e, odd)
+
+
+def test_encoder_with_little_memory(monkeypatch):
+    monkeypatch.setattr("tidemark.llm.packing.REMEMBERED", 7)
+    e, r = Encoder(PATH), random.Random(2)
+    for _ in range(30):
+        check_encoder(e, [" ".join(r.choice(["The", "the.", "it's", "ÉTÉ,", "été", "3.5", "don't!!", "日本", "'rest", "!'s", "e\u0301x"]) + r.choice("abcé'.,;4") for _ in range(r.randrange(12))) for _ in range(10)])
 
 
 def test_plan_places_everything():

@@ -19,74 +19,143 @@ counts per (length, bucket) and take the slot that holds their rank.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import kernels as K
 from .session import id_text, written
 
 #: The id after each document, and tokens a sequence holds.
 END_ID, SEQUENCE = 1, 4096
-#: Words whose ids a worker remembers.
-REMEMBERED = 400_000
-#: Separators of str.split() that the tokenizer does not take as white space, or may not.
-_ODD = {"\x1c", "\x1d", "\x1e", "\x1f", "\x85"}
-
+#: Words, and pieces of words, that a worker remembers.
+REMEMBERED = 1_500_000
 
 class Encoder:
-    """ids of a text as little-endian unsigned 32-bit bytes.
-
-    The vocabulary drops white space and never merges across it, so a text's
-    ids are those of its words one after another; words repeat, and are
-    encoded once.  Texts with characters that only one side takes for white
-    space are encoded whole.
+    """ids of texts, as unsigned 32-bit numbers.
+
+    The vocabulary drops white space and never merges across it, nor across
+    the pieces that its pattern cuts a word into.  So a text's ids are those
+    of its words one after another, a word's those of its pieces; both repeat.
+    A batch is cut into words at once, each different word is cut into pieces
+    once, and words (by their 64-bit hash) and pieces are remembered.  Words that hold control characters,
+    special tokens or letters beyond the Latin blocks are left to the
+    tokenizer whole.
     """
 
     def __init__(self, path: str) -> None:
+        import regex
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f)["added_tokens"]]
-        self.memory = {}
+            stored = json.load(f)
+        self.special = {t["content"].encode()[:2] for t in stored["added_tokens"]}
+        self.cut = regex.compile(stored["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] + "| ")
+        self.memory: dict[str, bytes] = {" ": b""}
+        self._forget()
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if any(c in text for c in _ODD) or any(s in text for s in self.special):
-            return self.whole(text)
-        words, memory = text.split(), self.memory
-        new = [w for w in set(words) if w not in memory]
-        if new:
-            if len(memory) > REMEMBERED:
-                memory.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                memory[w] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([memory[w] for w in words])
+    def _odd(self, words: K.Words) -> np.ndarray:
+        """For every word, whether it is left to the tokenizer whole."""
+        body = words.body
+        after = np.r_[body[1:], np.uint8(0)]
+        odd = (body < 0x21) | (body == 0x7F) | (body > 0xC9) | ((body == 0xC2) & (after <= 0xA0)) | ((body == 0xC9) & (after >= 0x90))
+        for a, b in self.special:
+            odd |= (body == a) & (after == b)
+        total = np.r_[0, np.cumsum(odd)]
+        return total[words.end] > total[words.start]
+
+    def _plain(self, names: list[bytes]) -> tuple[bytes, np.ndarray]:
+        """The ids of plain words one after another, and how many each has."""
+        if not names:
+            return b"", np.zeros(0, np.int64)
+        pieces = self.cut.findall(self.tokenizer.normalizer.normalize_str(b" ".join(names).decode()))
+        different = set(pieces)
+        new = [p for p in different if p not in self.memory]
+        if len(self.memory) + len(new) > REMEMBERED:
+            self.memory = {p: ids for p in different if (ids := self.memory.get(p)) is not None} | {" ": b""}
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        flat = np.array(list(chain.from_iterable(found)), "<u4").tobytes()
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found))) * 4
+        self.memory.update(zip(new, [flat[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]))
+        parts = list(map(self.memory.__getitem__, pieces))
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        breaks = np.flatnonzero(size == 0)
+        total = np.r_[0, np.cumsum(size)]
+        return b"".join(parts), np.diff(np.r_[0, total[breaks], total[-1]])
+
+    def _learn(self, words: K.Words, one: np.ndarray, keys: np.ndarray) -> None:
+        """Store the ids of the words at places `one`, whose hashes are `keys`, ascending."""
+        odd, body = self._odd(words)[one], words.body.tobytes()
+        names = [body[a:b] for a, b in zip(words.start[one].tolist(), words.end[one].tolist())]
+        some, rest = np.flatnonzero(~odd), np.flatnonzero(odd)
+        plain, size = self._plain([names[i] for i in some.tolist()])
+        others = [self.whole(names[i].decode()) for i in rest.tolist()]
+        order = np.r_[some, rest]
+        size = np.r_[size, np.fromiter(map(len, others), np.int64, len(others)) // 4]
+        begin = np.zeros(len(one), np.int64)
+        count = np.zeros(len(one), np.int64)
+        begin[order], count[order] = len(self.flat) + np.cumsum(size) - size, size
+        self.flat = np.concatenate([self.flat, np.frombuffer(plain + b"".join(others), "<u4")])
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.begin, self.count = (np.insert(x, place, y) for x, y in ((self.keys, keys), (self.begin, begin), (self.count, count)))
+
+    def _forget(self) -> None:
+        self.keys, self.begin, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after another, and where each text's begin (a null text has none)."""
+        words = K.Words(texts)
+        keys, one, which = np.unique(words.hash, return_index=True, return_inverse=True)
+        if len(self.keys) > 2 * REMEMBERED:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.keys, keys), max(len(self.keys) - 1, 0))
+        new = self.keys[at] != keys if len(self.keys) else np.ones(len(keys), bool)
+        if new.any():
+            self._learn(words, one[new], keys[new])
+            at = np.searchsorted(self.keys, keys)
+        count = self.count[at][which]
+        bounds = np.r_[0, np.cumsum(count)]
+        return self.flat[np.arange(bounds[-1]) - np.repeat(bounds[:-1] - self.begin[at][which], count)], bounds[words.first]
+
+
+@lru_cache(maxsize=2)
+def encoder_of(path: str) -> Encoder:
+    """A worker process keeps its encoder from task to task."""
+    return Encoder(path)
 
 
 def _pieces(tokenizer: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(tokenizer), np.array([END_ID], "<u4").tobytes()
+        encoder, end = encoder_of(tokenizer), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
-            ids, piece, start, length, crc = [], [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                data = encoder.encode(text.as_py()) + end
-                for i, a in enumerate(range(0, len(data), 4 * size)):
-                    part = data[a : a + 4 * size]
-                    ids.append(doc)
-                    piece.append(i)
-                    start.append(a // 4)
-                    length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-            yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+            for part in K.chunks(batch):
+                ids, piece, start, length, crc = [], [], [], [], []
+                flat, at = encoder.batch(part.column("text"))
+                for doc, a, b in zip(part.column("doc_id").to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    data = flat[a:b].tobytes() + end
+                    for i, c in enumerate(range(0, len(data), 4 * size)):
+                        cut = data[c : c + 4 * size]
+                        ids.append(doc)
+                        piece.append(i)
+                        start.append(c // 4)
+                        length.append(len(cut) // 4)
+                        crc.append(zlib.crc32(cut))
+                yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return run
 
