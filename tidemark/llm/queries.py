@@ -63,6 +63,12 @@ def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *joined, "near_edited", "near_next")
 
 
+def op10_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mixed
+
+    return mixed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
