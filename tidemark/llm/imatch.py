@@ -50,28 +50,31 @@ def _terms(text: str, bits: Column) -> Column:
 
     def inside(h: Column) -> Column:
         b = F.pmod(h, F.lit(1 << BITS)).cast("int")
-        return F.getbit(F.get(bits, F.shiftright(b, 6)), b.bitwiseAND(63)) == 1
+        return h.isNotNull() & (F.getbit(F.get(bits, F.shiftright(b, 6)), b.bitwiseAND(63)) == 1)
 
-    return F.array_sort(F.array_distinct(F.filter(_hashes(text), inside)))
+    return F.sort_array(F.filter(F.array_distinct(_hashes(text)), inside))
 
 
 def _level(terms: str) -> str:
     return f"cast(ceil(log2(greatest(size({terms}), 1))) as int)"
 
 
-def _print(terms: str, level: str) -> str:
-    """SQL: 'level.slot.hash' of the subsets of a level that hold a term."""
-    slot = f"(shiftrightunsigned(t, 22) & (shiftleft(1L, {level}) - 1))"
-    chosen = f"filter({terms}, t -> {slot} < {SLOTS})"
-    of_slot = f"filter(transform(array_distinct(transform({chosen}, t -> {slot})), s -> struct(s as s, filter({terms}, t -> {slot} = s) as g)), x -> size(x.g) > 0)"
-    return f"array_sort(transform({of_slot}, x -> concat_ws('.', {level}, x.s, right(hex(xxhash64(x.g)), 8))))"
+def _slot(level: str) -> str:
+    return f"(shiftrightunsigned(t, 22) & (shiftleft(1L, {level}) - 1))"
+
+
+def _print(chosen: str, level: str) -> str:
+    """SQL: 'level.slot.hash' of the subsets of a level that hold a term, from the few terms in the subsets used."""
+    slot = _slot(level)
+    of_slot = f"transform(array_distinct(transform({chosen}, t -> {slot})), s -> struct(s as s, filter({chosen}, t -> {slot} = s) as g))"
+    return f"sort_array(transform({of_slot}, x -> concat_ws('.', {level}, x.s, right(hex(xxhash64(x.g)), 8))))"
 
 
 def fingerprint_of(df: DataFrame, text: str, bits: Column, out: str) -> DataFrame:
     """df with column out: array of 'level.slot.hash' at two levels."""
     df = df.withColumn("_t", _terms(text, bits)).withColumn("_l", F.expr(_level("_t")))
-    low = _print("_t", "_l - 1")
-    return df.withColumn(out, F.expr(f"if(size(_t) = 0, cast(array() as array<string>), if(_l = 0, {_print('_t', '_l')}, concat({low}, {_print('_t', '_l')})))")).drop("_t", "_l")
+    df = df.withColumns({name: F.expr(f"filter(_t, t -> {_slot(level)} < {SLOTS})") for name, level in (("_high", "_l"), ("_low", "greatest(_l - 1, 0)"))})
+    return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).drop("_t", "_l", "_high", "_low")
 
 
 def likeness(a: str, b: str) -> Column:

@@ -12,16 +12,17 @@ each.  Shingles run by frequency class, then by hash; the class comes from
 heavy-hitter counts that every task takes over all its documents.  A common
 passage thus stands at the end of every set and makes no candidates.
 
-Groups.  The first round links the members of every posting to its smallest
-member only, so a large group of near copies costs one row a member.  The
-components of these links partition the documents; big ones are split into
+Groups.  The first round links the members of every posting to one of them
+only, so a large group of near copies costs one row a member: to the one whose
+own prefix is the most common, for edits make rare shingles, and what is edited
+least is near to most.  The components of these links partition the documents; big ones are split into
 blocks.  The matrix holds each block's token union.
 
 Queries.  A posting with one component left is done.  For the others, a
 document meets the blocks of other components: the overlap with the token
-union bounds the similarity to every member at once, and only blocks above the
-bound are opened, their members bounded one by one, and survivors compared in
-full.  Every pair not already in one component is thus examined.
+union bounds the similarity to every member at once (a count by document and
+block), and only blocks above the bound are opened, their members bounded one
+by one in the same way, and survivors compared in full.  Every pair not already in one component is thus examined.
 
 What is sent to all tasks: at most TOP shingles, and a bitmap of fixed size.
 """
@@ -40,7 +41,7 @@ from .components import components
 from .session import id_text, remove, written
 
 #: Heavy hitters: shingles that a task counts at once, those it names, those that count.
-COUNTED, NAMED, TOP = 4_000_000, 8192, 65_536
+COUNTED, NAMED, TOP = 1_500_000, 8192, 65_536
 #: Expected members of a block of the matrix.
 BLOCK = 64
 _LOW = np.uint64((1 << 60) - 1)
@@ -114,89 +115,66 @@ def _prefixes(heavy, k: int, percent: int):
                 offsets = np.r_[0, np.cumsum(size)]
                 take = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - first, size)
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[order][take]))
-                yield pa.record_batch([part.column("doc_id"), pa.array(n), pa.array(K.signed(sums[0])), pa.array(K.signed(sums[1])), lists], ["doc_id", "n", "k1", "k2", "prefix"])
+                common_share = np.r_[0, np.cumsum(key[order][take] >> 60)]
+                core = 100 * (common_share[offsets[1:]] - common_share[offsets[:-1]]) // np.maximum(size, 1)
+                yield pa.record_batch([part.column("doc_id"), pa.array(n), pa.array(K.signed(sums[0])), pa.array(K.signed(sums[1])), pa.array(core), lists], ["doc_id", "n", "k1", "k2", "core", "prefix"])
 
     return run
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, rep) in order: those of postings with two members or more, with the first member."""
-    key = pivot = None
-    waiting = False
+    """Rows (h, rep, n, slack) in order: those of postings with two members or more, with the first member."""
+    last = None  # h, rep, n, slack of the row before, its posting's first member and size, and whether that row waits for a second
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, rep = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "rep"))
-        head = np.r_[key is None or h[0] != key, h[1:] != h[:-1]]
-        pivots = np.r_[pivot or 0, rep[np.flatnonzero(head)]][np.cumsum(head)]
+        h, rep, n, slack = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "rep", "n", "slack"))
+        head = np.r_[last is None or h[0] != last[0], h[1:] != h[:-1]]
+        heads = np.flatnonzero(head)
+        at = np.cumsum(head)
+        pivot = np.r_[last[4] if last else 0, rep[heads]][at]
+        size = np.r_[last[5] if last else 0, n[heads]][at]
         shared = ~head
         shared[:-1] |= ~head[1:]
-        oh, orep, opivot = h[shared], rep[shared], pivots[shared]
-        if waiting and not head[0]:
-            oh, orep, opivot = np.r_[key, oh], np.r_[pivot, orep], np.r_[pivot, opivot]
-        key, pivot, waiting = h[-1], pivots[-1], bool(head[-1])
-        if len(oh):
-            yield pa.record_batch([pa.array(oh), pa.array(orep), pa.array(opivot)], ["h", "rep", "pivot"])
+        out = [h[shared], rep[shared], n[shared], slack[shared], pivot[shared], size[shared]]
+        if last and last[6] and not head[0]:
+            out = [np.r_[v, x] for v, x in zip(last, out)]
+        last = (h[-1], rep[-1], n[-1], slack[-1], pivot[-1], size[-1], bool(head[-1]))
+        if len(out[0]):
+            yield pa.record_batch([pa.array(x) for x in out], ["h", "rep", "n", "slack", "pivot", "pn"])
 
 
-def _lists(column) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(zero_copy_only=False), np.r_[0, np.cumsum(np.diff(column.offsets.to_numpy(zero_copy_only=False)))] if len(column) else np.zeros(1, int)
+def may_link(shared, na, nb, percent: int):
+    """Whether sets of na and nb members can link when their prefixes have `shared` tokens in common.
 
+    The prefix that ends first in the order is known in full on both sides,
+    so at most its other members are common as well.
+    """
+    rest = F.greatest(F.ceil(na * percent / 100), F.ceil(nb * percent / 100)) - 1
+    return (100 + percent) * (shared + rest) >= percent * (na + nb)
 
-def _bound(a: np.ndarray, na: int, b: np.ndarray, nb: int) -> int:
-    """The most that two sets can share, given the first tokens of each in the common order."""
-    cut = min(a[-1], b[-1])
-    i, j = np.searchsorted(a, cut, side="right"), np.searchsorted(b, cut, side="right")
-    both = len(np.intersect1d(a[:i], b[:j], assume_unique=True))
-    return both + min(na - i, nb - j)
-
-
-def _may_link(most: int, na: int, nb: int, percent: int) -> bool:
-    return 100 * most >= percent * (na + nb - most)
-
-
-def _close_pairs(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, na, nb = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "b", "na", "nb"))
-            (fa, oa), (fb, ob) = _lists(batch.column("pa")), _lists(batch.column("pb"))
-            size = (100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)).nonzero()[0]
-            keep = [i for i in size if _may_link(_bound(fa[oa[i] : oa[i + 1]], na[i], fb[ob[i] : ob[i + 1]], nb[i]), na[i], nb[i], percent)]
-            yield pa.record_batch([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
-
-    return run
 
+def alike_in_size(na, low, high, percent: int):
+    return (100 * high >= percent * na) & (100 * na >= percent * low)
 
-def _open_groups(percent: int):
-    """Rows (a, na, pa, members): bound the group by its token union, open it, bound its members."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, na = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("a", "na"))
-            flat, at = _lists(batch.column("pa"))
-            (union, ut), cuts = _lists(batch.column("tokens")), batch.column("cut").to_numpy(zero_copy_only=False)
-            members = batch.column("members")
-            inner, mt = members.flatten(), _lists_offsets(members)
-            reps, ns = (inner.field(c).to_numpy(zero_copy_only=False) for c in ("rep", "n"))
-            tokens, tt = _lists(inner.field("prefix"))
-            out_a, out_b = [], []
-            for i in range(batch.num_rows):
-                own = flat[at[i] : at[i + 1]]
-                known = own[: np.searchsorted(own, min(own[-1], cuts[i]), side="right")]
-                hits = np.isin(known, union[ut[i] : ut[i + 1]], assume_unique=True).sum()
-                if 100 * (hits + na[i] - len(known)) < percent * na[i]:
-                    continue
-                for m in range(mt[i], mt[i + 1]):
-                    if _may_link(_bound(own, na[i], tokens[tt[m] : tt[m + 1]], ns[m]), na[i], ns[m], percent):
-                        out_a.append(a[i])
-                        out_b.append(reps[m])
-            yield pa.record_batch([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+def least_shared(na, low, high, percent: int) -> tuple:
+    """(overlap, shared): what a set of na members and one of low..high need to link.
 
-    return run
+    Linked sets have `overlap` tokens in common at least.  Then, of the tokens
+    from which a set has more than overlap - shared left (itself included),
+    they have `shared` in common, whatever that number; it is chosen so that
+    those tokens lie within both prefixes.
+    """
+    overlap = F.ceil((na + low) * percent / (100 + percent))
+    return overlap, 1 + F.greatest(F.floor((overlap - F.ceil(F.greatest(na, high) * percent / 100)) / 4), F.lit(0))
 
 
-def _lists_offsets(column) -> np.ndarray:
-    return np.r_[0, np.cumsum(np.diff(column.offsets.to_numpy(zero_copy_only=False)))] if len(column) else np.zeros(1, int)
+def meeting(rows: DataFrame, keys: list[str], na, low, high, slack_a, slack_b, percent: int) -> DataFrame:
+    """The keys of joined (token) rows with as many shared tokens as a link needs."""
+    overlap, shared = least_shared(na, low, high, percent)
+    near = rows.where(alike_in_size(na, low, high, percent)).where((slack_a > overlap - shared) & (slack_b > overlap - shared))
+    return near.groupBy(*keys).agg(F.count("*").alias("s"), F.first(shared).alias("need")).where("s >= need").select(*keys)
 
 
 def _linked(k: int, percent: int):
@@ -248,37 +226,39 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     """
     spark, base = docs.sparkSession, id_text(docs)
     heavy = spark.sparkContext.broadcast(heavy_shingles(base, k))
-    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, n long, k1 long, k2 long, prefix array<long>"), "sets")
+    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, n long, k1 long, k2 long, core long, prefix array<long>"), "sets")
     classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "n", "prefix")
-    rows = reps.select(F.explode("prefix").alias("h"), "rep").repartition("h").sortWithinPartitions("h", "rep")
-    postings = written(rows.mapInArrow(_postings, "h long, rep long, pivot long"), "postings")
-
-    side = sets.select("doc_id", "n", "prefix")
-    a = side.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("prefix").alias("pa"))
-    b = side.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("prefix").alias("pb"))
-    star = postings.where("rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")).distinct()
-    close = written(star.join(a, "a").join(b, "b").mapInArrow(_close_pairs(percent), "a long, b long"), "pairs")
+    reps = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "n", "core", "prefix")
+    rows = reps.select(F.posexplode("prefix").alias("i", "h"), "rep", "n", "core").select("h", "rep", "n", (F.col("n") - F.col("i")).alias("slack"), "core")
+    rows = rows.repartition("h").sortWithinPartitions("h", F.desc("core"), "rep")
+    postings = written(rows.mapInArrow(_postings, "h long, rep long, n long, slack long, pivot long, pn long"), "postings")
+
+    star = postings.where((F.col("rep") != F.col("pivot")) & alike_in_size(F.col("n"), F.col("pn"), F.col("pn"), percent))
+    star = star.groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"), "n", "pn").agg(F.count("*").alias("s")).where(may_link(F.col("s"), F.col("n"), F.col("pn"), percent))
+    close = written(star.select("a", "b"), "pairs")
     links = written(compared(base, close, k, percent), "near")
     grouped = components(links)
 
     # the matrix: blocks of components, and the documents that meet blocks of others
-    member = postings.join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h", "rep", F.coalesce("component", "rep").alias("c"))
+    member = postings.join(grouped.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h", "rep", "n", "slack", F.coalesce("component", "rep").alias("c"))
     member = written(member, "members")
     mixed = member.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select("h")
-    member = written(member.join(mixed, "h", "left_semi"), "mixed")
     sizes = grouped.groupBy(F.col("component").alias("c")).agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
-    placed = member.select("rep", "c").distinct().join(sizes, "c", "left").select("rep", "c", F.pmod(F.xxhash64("rep"), F.coalesce("blocks", F.lit(1))).alias("g"))
-    placed = written(placed, "placed")
-    row = member.join(placed, ["rep", "c"])
-    query = row.select("h", F.col("rep").alias("a"), F.col("c").alias("qc"))
-    matrix = row.select("h", "c", "g").distinct()
-    meet = query.join(matrix, "h").where("qc < c").select("a", "c", "g").distinct()
-    group = placed.join(side.select(F.col("doc_id").alias("rep"), "n", "prefix"), "rep").groupBy("c", "g").agg(
-        F.collect_list(F.struct("rep", "n", "prefix")).alias("members"), F.array_distinct(F.flatten(F.collect_list("prefix"))).alias("tokens"), F.min(F.element_at("prefix", -1)).alias("cut")
-    )
-    opened = meet.join(a, "a").join(group, ["c", "g"]).select("a", "na", "pa", "tokens", "cut", "members")
-    cross = written(opened.mapInArrow(_open_groups(percent), "a long, b long").join(close, ["a", "b"], "left_anti"), "pairs")
+    row = member.join(mixed, "h", "left_semi").join(sizes, "c", "left").select("h", "rep", "n", "slack", "c", F.pmod(F.xxhash64("rep"), F.coalesce("blocks", F.lit(1))).alias("g"))
+    row = written(row, "mixed")
+    group = row.groupBy("c", "g").agg(F.min("n").alias("low"), F.max("n").alias("high"), F.min("rep").alias("one"), (F.min("rep") < F.max("rep")).alias("many"))
+    union = row.groupBy("h", "c", "g").agg(F.max("slack").alias("left"))
+    matrix = written(union.join(group, ["c", "g"]), "matrix")
+    query = row.select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("slack").alias("sa"), F.col("c").alias("qc"))
+    meet = query.join(matrix, "h").where(F.col("qc") < F.col("c"))
+    meet = meeting(meet, ["a", "c", "g", "one", "many"], F.col("na"), F.col("low"), F.col("high"), F.col("sa"), F.col("left"), percent)
+    opened = written(meet, "opened")
+    inside = row.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("slack").alias("sb"), "c", "g").join(opened.where("many").select("a", "c", "g"), ["c", "g"])
+    inside = inside.join(query.select("h", "a", "na", "sa"), ["h", "a"])
+    inside = meeting(inside, ["a", "b"], F.col("na"), F.col("nb"), F.col("nb"), F.col("sa"), F.col("sb"), percent)
+    cross = opened.where("not many").select("a", F.col("one").alias("b")).union(inside)
+    seen = close.union(close.select("b", "a"))
+    cross = written(cross.join(seen, ["a", "b"], "left_anti"), "pairs")
     more = compared(base, cross, k, percent)
     final = components(links.select("a", "b").union(more)).withColumnRenamed("node", "rep")
 

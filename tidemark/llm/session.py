@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows and bytes of an Arrow batch.
+BATCH_ROWS, BATCH_BYTES = "2000", "8m"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir, which driver and executors share.
 
@@ -57,5 +61,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def id_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text) of rows that have an id; a null text becomes an empty one."""
+    """(doc_id, text) of rows that have an id; a null text becomes an empty one.
+
+    Texts that go to Python go in small batches: memory there is bounded by
+    BATCH_ROWS and BATCH_BYTES, and by the longest text.
+    """
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
