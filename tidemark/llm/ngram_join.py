@@ -41,7 +41,7 @@ from .components import components
 from .session import id_text, remove, written
 
 #: Heavy hitters: shingles that a task counts at once, those it names, those that count.
-COUNTED, NAMED, TOP = 1_500_000, 8192, 65_536
+COUNTED, NAMED, TOP = 1_500_000, 32_768, 262_144
 #: Expected members of a block of the matrix.
 BLOCK = 64
 _LOW = np.uint64((1 << 60) - 1)
@@ -59,7 +59,7 @@ def _sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
 def _heavy(k: int):
     def name(held):
         value, count = np.unique(np.concatenate(held), return_counts=True)
-        some = np.flatnonzero(count >= 3)
+        some = np.flatnonzero(count >= 2)
         some = some[np.lexsort((value[some], -count[some]))][:NAMED]
         return pa.record_batch([pa.array(K.signed(value[some])), pa.array(count[some])], ["h", "c"])
 
