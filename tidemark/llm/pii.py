@@ -15,7 +15,8 @@ Expectation-maximisation (a two-class latent model, one reliability a labeler)
 runs on the table of (kind, votes, length class, count), which has at most
 7 * 3**5 * 8 rows whatever the input, and which is all that reaches the driver.
 Its posteriors train a logistic classifier over the same fields, and that,
-written as one expression, accepts or refuses the further candidates.
+written as one expression, accepts or refuses the further candidates.  One that
+fails its check digits is accepted only where the context speaks for it.
 
 A span's place comes from the pieces that the text falls into when split at
 the matches, so places are counted in code points and need no row-wise code.
@@ -216,7 +217,7 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     post, _, _ = em([(v, c) for _, v, _, c in rows])
     weights = classifier(rows, post)
     base = F.expr("filter(c, x -> x.base)")
-    more = F.expr(f"filter(c, x -> not x.base and {_score(weights)} > 0 and not exists(base, b -> b.start < x.end and x.start < b.end))") if weights else F.expr("filter(c, x -> false)")
+    more = F.expr(f"filter(c, x -> not x.base and (x.v1 = 1 or x.v3 = 1) and {_score(weights)} > 0 and not exists(base, b -> b.start < x.end and x.start < b.end))") if weights else F.expr("filter(c, x -> false)")
     return found.withColumn("base", base).withColumn("spans", F.concat("base", more)).select("doc_id", "base", "spans")
 
 
