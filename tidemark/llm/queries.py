@@ -13,7 +13,7 @@ from .session import table
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import similar_documents
 
-    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "class_id")
+    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,4 +81,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from . import sql
+
+    return {"op1_ngram_jaccard_join": sql.OP1, "op2_substring_dedup": sql.OP2, "op5_suffix_array_dedup": sql.OP5, "op8_warc_revisits": sql.OP8}
