@@ -37,7 +37,7 @@ from .session import id_text, written
 #: The id after each document, and tokens a sequence holds.
 END_ID, SEQUENCE = 1, 4096
 #: Words, and pieces of words, that a worker remembers.
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 
 class Encoder:
     """ids of texts, as unsigned 32-bit numbers.
