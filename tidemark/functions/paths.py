@@ -80,7 +80,7 @@ def probe_url(c: Column | str, host: str, locale: str = "en-us") -> Column:
 
 
 def under_prefix(path: Column | str, prefix: str) -> Column:
-    """path is prefix or lies below it ('azure' holds '/azure/x', not '/azure-x')."""
+    """path is prefix or lies below it ('cloud' holds '/cloud/x', not '/cloud-x')."""
     p = prefix if prefix.startswith("/") else f"/{prefix}"
     return (col(path) == p) | col(path).startswith(f"{p}/")
 

@@ -125,7 +125,7 @@ def folder_counts(spark, sf):
     return joins.prefix_join(d, folders, itself=False).groupBy("prefix").agg(F.count("*").alias("n"))
 
 
-_KIND_PATHS = ["/training/modules/m{k}", "/training/modules/m{k}/1-unit", "/training/paths/p{k}", "/training/courses/c{k}", "/credentials/certifications/resources/study-guides/s{k}", "/credentials/certifications/exams/e{k}", "/credentials/certifications/c{k}", "/credentials/applied-skills/a{k}", "/training/other/{k}/x/y", "/azure/{k}"]
+_KIND_PATHS = ["/training/modules/m{k}", "/training/modules/m{k}/1-unit", "/training/paths/p{k}", "/training/courses/c{k}", "/credentials/certifications/resources/study-guides/s{k}", "/credentials/certifications/exams/e{k}", "/credentials/certifications/c{k}", "/credentials/applied-skills/a{k}", "/training/other/{k}/x/y", "/cloud/{k}"]
 _KINDS = ["module", "unit", "path", "course", "study-guide", "exam", "certification", "applied-skill", "other", "docs"]
 
 
@@ -297,8 +297,8 @@ def fold_quarantine(spark, sf):
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'retired' WHEN o_orderkey % 5 IN (1, 2) THEN 'landing' WHEN o_orderkey % 5 = 3 THEN 'landing' ELSE 'moved' END AS cls FROM orders""")
 def redirect_class(spark, sf):
     k = F.col("o_orderkey")
-    to = F.when(k % 5 == 0, F.concat(F.lit("/previous-versions/"), k)).when(k % 5 == 1, F.lit("/azure/vm")).when(k % 5 == 2, F.lit("/fabric")).when(k % 5 == 3, F.lit("/training/browse")).otherwise(F.concat(F.lit("/azure/new/"), k))
-    return T(spark, sf, "orders").select("o_orderkey", classify.classify_redirect(F.concat(F.lit("/azure/vm/"), k), to).alias("cls"))
+    to = F.when(k % 5 == 0, F.concat(F.lit("/previous-versions/"), k)).when(k % 5 == 1, F.lit("/cloud/vm")).when(k % 5 == 2, F.lit("/store")).when(k % 5 == 3, F.lit("/training/browse")).otherwise(F.concat(F.lit("/cloud/new/"), k))
+    return T(spark, sf, "orders").select("o_orderkey", classify.classify_redirect(F.concat(F.lit("/cloud/vm/"), k), to).alias("cls"))
 
 
 _STATUS = "CASE event_type WHEN 'error' THEN 503 WHEN 'signup' THEN 404 ELSE 200 END"
