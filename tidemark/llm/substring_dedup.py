@@ -154,7 +154,13 @@ def _open_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, mine = _mine(key, doc)
         late, own = order[~mine], order[mine]
         yield _rows(_spread(doc[late], start[late]), doc[late], start[late], np.ones(len(late), np.int32))
-        yield _rows(key[own], doc[own], start[own], np.zeros(len(own), np.int32))
+        # words that repeat over and over are one edge many times: a row for each document, with all its places
+        own = own[np.lexsort((start[own], doc[own], key[own]))]
+        k, d = key[own], doc[own]
+        head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])]) if len(own) else own
+        zero = np.zeros(len(head), np.int32)
+        places = pa.ListArray.from_arrays(pa.array(np.r_[head, len(own)].astype(np.int32)), pa.array(start[own].astype(np.int64)))
+        yield _rows(k[head], d[head], zero, zero, places)
 
     for batch in batches:
         edges = batch.column("edges")
@@ -183,16 +189,22 @@ def _open_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _own_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (n = 0) by key and document: those outside the owner become spans of one edge."""
+    """Edges (with their places in a document) by key and document: those outside the owner become spans of one edge."""
     owner = _Owner()
     for batch in batches:
         key, doc, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[:4])
-        late = n > 0
-        edge = np.flatnonzero(~late)
+        places = batch.column("edges")
+        is_edge = places.is_valid().to_numpy(zero_copy_only=False)
+        edge, span = np.flatnonzero(is_edge), np.flatnonzero(~is_edge)
+        parts = [(doc[span], start[span], n[span])]
         if len(edge):
-            late[edge] = ~owner.mine(key[edge], doc[edge])
-        late = np.flatnonzero(late)
-        yield pa.record_batch([pa.array(doc[late]), pa.array(start[late]), pa.array(np.maximum(n[late], 1))], ["doc_id", "start", "n"])
+            late = edge[~owner.mine(key[edge], doc[edge])]
+            lists = places.take(pa.array(late))
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            count = np.diff(lists.offsets.to_numpy(zero_copy_only=False)) if len(late) else np.zeros(0, np.int64)
+            parts.append((np.repeat(doc[late], count), flat, np.ones(len(flat), np.int32)))
+        out = [np.concatenate(x) for x in zip(*parts)]
+        yield pa.record_batch([pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2].astype(np.int32))], ["doc_id", "start", "n"])
 
 
 def repeated_spans(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int = 26) -> DataFrame:
@@ -206,7 +218,7 @@ def repeated_spans(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int
     repeated = counted.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1")
     bits = docs.sparkSession.sparkContext.broadcast(K.bloom(repeated, "m", log2_bits))
     paths = base.mapInArrow(_paths(bits, k, short), _ROWS)
-    opened = paths.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_open_paths, _ROWS).drop("edges")
+    opened = paths.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_open_paths, _ROWS)
     return opened.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_own_edges, "doc_id long, start int, n int")
 
 
