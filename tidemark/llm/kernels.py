@@ -81,6 +81,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 class Words:

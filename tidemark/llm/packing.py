@@ -156,6 +156,7 @@ def _pieces(tokenizer: str, size: int):
                         length.append(len(cut) // 4)
                         crc.append(zlib.crc32(cut))
                 yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        encoder.memory = {" ": b""}  # words stay, which take little; other work in this process may need the room
 
     return run
 
