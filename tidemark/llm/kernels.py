@@ -8,6 +8,7 @@ the bytes (or over the word hashes of a window), finished by a mixing step.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -72,6 +73,22 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (body[at[0] : at[-1]], at - at[0]) if len(at) else (body[:0], np.zeros(1, np.int64))
 
 
+def _libc_trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library: nothing to give back by hand
+        return lambda _: 0
+
+
+_TRIM = _libc_trim()
+
+
+def give_back() -> None:
+    """Return freed memory to the system: idle workers stay, and share an executor's memory with those at work."""
+    pa.default_memory_pool().release_unused()
+    _TRIM(0)
+
+
 def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in slices of about `limit` bytes of text, and of whole rows."""
     if batch.num_rows == 0:
@@ -81,7 +98,7 @@ def chunks(batch: pa.RecordBatch, column: str = "text", limit: int = CHUNK_BYTES
     cuts = np.flatnonzero(np.diff(part)) + 1
     for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
         yield batch.slice(a, b - a)
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 class Words:
