@@ -4,6 +4,10 @@ Stand-ins: pages.url are links, pages.html page bodies; orders with
 o_orderkey % 10 <> 0 and <> 1 are two snapshots; lineitem holds ordered unit
 lists; region and nation a taxonomy; events probe results and daily snapshots;
 documents catalogue records; labels a partial truth.
+
+scope_three_hop, check_changes, carry_forward and page_title run over a part of
+their table, as their SQL does; the queries of these names with _all run over
+the whole table.
 """
 
 from __future__ import annotations
@@ -501,6 +505,16 @@ def scope_three_hop(spark, sf):
     return joins.scope_modules(courses, courses.limit(0), lp, parts.limit(0), parts)
 
 
+@query("""SELECT DISTINCT '/part/' || p_partkey AS path FROM part WHERE p_size = 1 OR p_partkey IN (SELECT l_partkey FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey)""")
+def scope_three_hop_all(spark, sf):
+    """All customers: those in MACHINERY are guides, the others courses; parts of size 1 are listed directly."""
+    c = T(spark, sf, "customer").select("c_custkey", F.coalesce(F.col("c_mktsegment") == "MACHINERY", F.lit(False)).alias("guide"))
+    lists = c.join(T(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey", "guide").agg(F.collect_set(F.concat(F.lit("o"), "o_orderkey")).alias("refs"))
+    lp = _lines(spark, sf).select(F.concat(F.lit("o"), "l_orderkey").alias("uid"), F.transform("ids", lambda x: F.concat(F.lit("p"), x)).alias("modules"))
+    parts = T(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("uid"), F.concat(F.lit("/part/"), "p_partkey").alias("path"), "p_size")
+    return joins.scope_modules(lists.where(~F.col("guide")), lists.where("guide"), lp, parts.where("p_size = 1"), parts)
+
+
 @query("""SELECT CAST(conv_id AS VARCHAR) AS uid, sha1('s' || conv_id || chr(10) || string_agg(CAST(turn AS VARCHAR) || ':' || role, chr(10) ORDER BY turn)) AS "unitSig" FROM (SELECT DISTINCT conv_id, turn, role FROM conversations QUALIFY count(*) OVER (PARTITION BY conv_id, turn) = 1) GROUP BY conv_id""")
 def unit_signature(spark, sf):
     c = T(spark, sf, "conversations").select("conv_id", "turn", "role").distinct()
@@ -665,6 +679,13 @@ def check_changes(spark, sf):
     return report.check_links(links, edges(spark, sf)).select("link", "status", "to")
 
 
+@query(f"SELECT * FROM (WITH c AS ({_CHASE}) SELECT '/p/' || o_orderkey AS link, coalesce(c.state, 'none') AS status, c.\"to\" FROM orders LEFT JOIN c ON c.link = '/p/' || o_orderkey)")
+def check_changes_all(spark, sf):
+    """Every order is a link."""
+    links = orders(spark, sf).select(F.concat(F.lit("/p/"), "o_orderkey").alias("url"))
+    return report.check_links(links, edges(spark, sf)).select("link", "status", "to")
+
+
 @query("SELECT date_trunc('day', ts) AS start, event_type, count(*) AS n FROM events GROUP BY ALL")
 def windowed_events(spark, sf):
     """Extension: the streaming window over the table."""
