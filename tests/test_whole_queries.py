@@ -33,3 +33,13 @@ def test_check_changes_gives_every_link_a_row(spark, tables):
     assert all((got[f"/p/{k}"][0] == "none") == (k % 3 == 0) for k in keys)
     half = {r.link: (r.status, r.to) for r in QUERIES["check_changes"](spark, SF).collect()}
     assert half and all(got[k] == v for k, v in half.items())
+
+
+def test_carry_forward_keeps_every_order(spark, tables):
+    first = {}
+    for o, *rest in tables("lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"):
+        first[o] = min(first.get(o, rest), rest)
+    want = [(o, n, p, s if p % 4 or o % 2 == 0 else None) for o, (n, p, s) in first.items()]
+    got = [(r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey) for r in QUERIES["carry_forward_all"](spark, SF).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert any(n > 1 for _, n, _, _ in got)

@@ -442,6 +442,15 @@ def carry_forward(spark, sf):
     return diff.carry_forward(holes, one, "l_orderkey", "l_suppkey", F.col("l_orderkey") % 2 == 0)
 
 
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 4 <> 0 THEN l_suppkey WHEN l_orderkey % 2 = 0 THEN l_suppkey END AS l_suppkey FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1)""")
+def carry_forward_all(spark, sf):
+    """The first line of every order, whatever its number."""
+    li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    one = dedupe.first_per(li, ["l_orderkey"], [F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")])
+    holes = one.withColumn("l_suppkey", F.when(F.col("l_partkey") % 4 != 0, F.col("l_suppkey")))
+    return diff.carry_forward(holes, one, "l_orderkey", "l_suppkey", F.col("l_orderkey") % 2 == 0)
+
+
 # ---- catalogue building
 
 
