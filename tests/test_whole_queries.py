@@ -1,7 +1,11 @@
 """Queries over whole tables against results made row by row, without SQL."""
 
+import re
+
 import pytest
+from pyspark.sql import Row
 
+from tidemark.functions import text as X
 from tidemark.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -43,3 +47,21 @@ def test_carry_forward_keeps_every_order(spark, tables):
     got = [(r.l_orderkey, r.l_linenumber, r.l_partkey, r.l_suppkey) for r in QUERIES["carry_forward_all"](spark, SF).collect()]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert any(n > 1 for _, n, _, _ in got)
+
+
+def test_page_title_gives_every_page_a_row(spark, tables):
+    def title(html):
+        t = re.search(r"(?is)<title[^>]*>(.*?)</title>", html)
+        t = re.sub(r"<[^>]*>", "", t[1]) if t else ""
+        for name, text in X.ENTITIES:
+            t = t.replace(name, text)
+        return re.sub(r"[\s ]+", " ", t).strip(" ") or None
+
+    got = dict(rows(spark, "page_title_all"))
+    assert got == {p: title(h) for p, h in tables("pages", "page_id", "html")}
+    assert any("&" in (t or "") for t in got.values())
+
+
+def test_titles_are_decoded(spark):
+    df = spark.createDataFrame([Row(html="<title>A &amp; B &lt;c&gt; &#233;&#xe9;</title>"), Row(html="<p>none</p>")])
+    assert [r.t for r in df.select(X.page_title("html").alias("t")).collect()] == ["A & B <c> éé", None]

@@ -230,6 +230,21 @@ def page_title(spark, sf):
     return T(spark, sf, "pages").where(~F.contains(raw, F.lit("&"))).select("page_id", X.page_title("html").alias("title"))
 
 
+def _decoded_sql(sql: str) -> str:
+    for name, text in X.ENTITIES:
+        sql = "replace(" + ", ".join([sql, *("'" + x.replace("'", "''") + "'" for x in (name, text))]) + ")"
+    return sql
+
+
+_TITLE = _decoded_sql("regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si'), '<[^>]*>', '', 'g')")
+
+
+@query(f"SELECT page_id, nullif(trim(regexp_replace({_TITLE}, '[\\s\u00a0]+', ' ', 'g')), '') AS title FROM pages")
+def page_title_all(spark, sf):
+    """A row for every page; the SQL knows named entities only."""
+    return T(spark, sf, "pages").select("page_id", X.page_title("html").alias("title"))
+
+
 @query("SELECT page_id, len(h) AS links, h[1] AS href FROM (SELECT page_id, regexp_extract_all(html, '<a\\s[^>]*?href=[\"'']([^\"'']*)[\"''][^>]*>.*?</a\\s*>', 1, 'si') AS h FROM pages)")
 def page_anchors(spark, sf):
     a = T(spark, sf, "pages").select("page_id", X.anchors("html").alias("a"))
