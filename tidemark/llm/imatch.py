@@ -1,10 +1,12 @@
 """I-Match fingerprints with randomised lexicon subsets, in DataFrame functions only.
 
 Terms are the runs of letters and digits of the lower-cased text.  Their
-document frequencies are counted over all documents, by one of 2**20 buckets of
-the term's hash; the lexicon is the buckets whose inverse document frequency,
-as a share of the largest possible one, lies in a band.  What leaves the
-cluster is a bit for each bucket: 128 KB, whatever the corpus.
+document frequencies are counted over all documents, by the term's 64-bit hash;
+the lexicon is the terms whose inverse document frequency, as a share of the
+largest possible one, lies in a band.  Tasks look terms up in a Bloom filter of
+the lexicon, of PER_TERM bits a term (at least 2**BITS): every term of the band
+passes, and of the others 1.2 % at most on average, whatever the corpus.  A
+session variable holds it, so that plans print no bits.
 
 A lexicon subset (level, slot) takes each lexicon term with chance 2**-level,
 by its hash.  I-Match hashes the sorted distinct terms that a document has in a
@@ -18,10 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .session import id_text
+from .session import id_text, remove, written
 
-#: Band of ln(N / df) / ln(N); subsets of a level; log2 of the buckets.
-BAND, SLOTS, BITS = (0.15, 0.97), 32, 20
+#: Band of ln(N / df) / ln(N); subsets of a level.
+BAND, SLOTS = (0.15, 0.97), 32
+#: Filter of the lexicon: log2 of its least bits, bits a term, places of a term.
+BITS, PER_TERM, PLACES = 20, 10, 4
+#: Longs of a part, when the filter is put together.
+PART = 4096
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 #: Documents of a stretch of ids on average, and stretches at most.
 STRETCH, STRETCHES = 1000, 32_768
@@ -31,17 +37,37 @@ def _hashes(text: str) -> Column:
     return F.expr(f"transform(split(lower({text}), r'{TERM_BREAK}'), t -> if(t = '', null, xxhash64(t)))")
 
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[int]:
-    """2**BITS bits in longs: the buckets of terms in the band."""
+def _places(h: Column, bits: Column | int) -> list[Column]:
+    """The bits of a term's hash in a filter of so many bits."""
+    return [F.pmod(h if i == 0 else F.xxhash64(h, F.lit(i)), bits) for i in range(PLACES)]
+
+
+def _band_terms(docs: DataFrame, band: tuple[float, float]) -> DataFrame:
+    """h: hashes of the terms in the band."""
     base = id_text(docs)
-    n = base.count()
-    buckets = F.array_distinct(F.transform(F.array_compact(_hashes("text")), lambda h: F.pmod(h, F.lit(1 << BITS)).cast("int")))
-    df = base.select(F.explode(buckets).alias("b")).groupBy("b").agg(F.count("*").alias("df"))
-    share = F.log(F.lit(float(max(n, 2))) / F.col("df")) / F.log(F.lit(float(max(n, 2))))
-    rows = df.where((share >= band[0]) & (share <= band[1])).groupBy(F.shiftright("b", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("w")).collect()
-    words = [0] * (1 << (BITS - 6))
-    for r in rows:
-        words[r.i] = r.w
+    n = F.lit(float(max(base.count(), 2)))
+    df = base.select(F.explode(F.array_distinct(F.array_compact(_hashes("text")))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
+    share = F.log(n / F.col("df")) / F.log(n)
+    return df.where((share >= band[0]) & (share <= band[1])).select("h")
+
+
+def _filter_of(terms: DataFrame) -> DataFrame:
+    """One row: the longs of the Bloom filter of the hashes h."""
+    words = max(1 << max(BITS - 6, 0), -(-terms.count() * PER_TERM // 64))
+    at = terms.select(F.explode(F.array(*_places(F.col("h"), F.lit(64 * words)))).alias("b"))
+    some = at.select(F.shiftright("b", 6).alias("i"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("w"))
+    every = terms.sparkSession.range(words).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("w"))
+    longs = some.union(every).groupBy("i").agg(F.bit_or("w").alias("w"))
+    parts = longs.groupBy(F.expr(f"i div {PART}").alias("part")).agg(F.sort_array(F.collect_list(F.struct("i", "w"))).alias("x"))
+    whole = F.sort_array(F.collect_list(F.struct("part", F.expr("transform(x, y -> y.w)").alias("w"))))
+    return parts.agg(F.flatten(F.transform(whole, lambda y: y.w)).alias("bits"))
+
+
+def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[int]:
+    """The filter of the terms in the band, 64 bits in a long."""
+    terms = written(_band_terms(docs, band), "imatch-lexicon")
+    words = _filter_of(terms).first().bits
+    remove(terms)
     return words
 
 
@@ -49,8 +75,10 @@ def _terms(text: str, bits: Column) -> Column:
     """Sorted distinct hashes of the lexicon terms of a text."""
 
     def inside(h: Column) -> Column:
-        b = F.pmod(h, F.lit(1 << BITS)).cast("int")
-        return h.isNotNull() & (F.getbit(F.get(bits, F.shiftright(b, 6)), b.bitwiseAND(63)) == 1)
+        found = h.isNotNull()
+        for b in _places(h, F.size(bits).cast("long") * 64):
+            found = found & (F.getbit(F.get(bits, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1)
+        return found
 
     return F.sort_array(F.filter(F.array_distinct(_hashes(text)), inside))
 
@@ -95,7 +123,13 @@ def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame
 
 
 def _bits(docs: DataFrame, band: tuple[float, float]) -> Column:
-    return F.from_json(F.lit("[" + ",".join(map(str, lexicon(docs, band))) + "]"), "array<bigint>")
+    """The filter as a constant; a query keeps that of its own analysis."""
+    spark = docs.sparkSession
+    terms = written(_band_terms(docs, band), "imatch-lexicon")
+    spark.sql("DECLARE OR REPLACE VARIABLE tidemark_lexicon ARRAY<BIGINT>")
+    spark.sql("SET VARIABLE tidemark_lexicon = (SELECT bits FROM {row})", row=_filter_of(terms))
+    remove(terms)
+    return F.expr("session.tidemark_lexicon")
 
 
 def _stretches(base: DataFrame) -> tuple[list[int], dict[int, int]]:
