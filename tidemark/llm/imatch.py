@@ -12,7 +12,9 @@ A lexicon subset (level, slot) takes each lexicon term with chance 2**-level,
 by its hash.  I-Match hashes the sorted distinct terms that a document has in a
 subset.  A document of m lexicon terms uses the two levels next to log2 m, at
 which a subset holds about one of its terms, and SLOTS subsets of each: terms
-that change spoil the subsets they fall in, and leave the others equal.
+that change spoil the subsets they fall in, and leave the others equal.  Those
+subsets sample some 32 to 64 terms of a long text; the classic hash of all its
+sorted distinct lexicon terms stands beside them.
 """
 
 from __future__ import annotations
@@ -99,26 +101,26 @@ def _print(chosen: str, level: str) -> str:
 
 
 def fingerprint_of(df: DataFrame, text: str, bits: Column, out: str) -> DataFrame:
-    """df with column out: array of 'level.slot.hash' at two levels."""
+    """df with columns out, an array of 'level.slot.hash' at two levels, and out_whole, 'all.hash' of all lexicon terms."""
     df = df.withColumn("_t", _terms(text, bits)).withColumn("_l", F.expr(_level("_t")))
     df = df.withColumns({name: F.expr(f"filter(_t, t -> {_slot(level)} < {SLOTS})") for name, level in (("_high", "_l"), ("_low", "greatest(_l - 1, 0)"))})
-    return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).drop("_t", "_l", "_high", "_low")
+    return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).withColumn(f"{out}_whole", F.expr("concat('all.', hex(xxhash64(_t)))")).drop("_t", "_l", "_high", "_low")
 
 
-def likeness(a: str, b: str) -> Column:
-    """0 to 1 for two fingerprints: at the better of their common levels, the share of equal hashes among subsets used by either.
+def likeness(a: str, b: str, whole_a: str, whole_b: str) -> Column:
+    """0 to 1 for two fingerprints: at the better of their common levels, the share of equal hashes among subsets used by either and the whole.
 
-    Equal fingerprints have 1, also if both are empty.
+    It is 1 if and only if the hashes of all lexicon terms are equal, also of none.
     """
     levels = f"array_intersect(transform({a}, x -> substring_index(x, '.', 1)), transform({b}, x -> substring_index(x, '.', 1)))"
     at = lambda v: f"filter({v}, x -> substring_index(x, '.', 1) = l)"
     slots = lambda v: f"transform({at(v)}, x -> substring_index(x, '.', 2))"
-    share = f"transform({levels}, l -> size(array_intersect({at(a)}, {at(b)})) / size(array_union({slots(a)}, {slots(b)})))"
-    return F.expr(f"cast(case when {a} = {b} then 1 else coalesce(array_max({share}), 0) end as double)")
+    share = f"transform({levels}, l -> size(array_intersect({at(a)}, {at(b)})) / (size(array_union({slots(a)}, {slots(b)})) + 1))"
+    return F.expr(f"cast(case when {whole_a} = {whole_b} then 1 else coalesce(array_max({share}), 0) end as double)")
 
 
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """doc_id, text, fingerprint (array of strings); equal texts have equal ones, texts without lexicon terms an empty one."""
+    """doc_id, text, fingerprint (array of strings), fingerprint_whole (string); equal texts have equal ones, texts without lexicon terms an empty one."""
     return fingerprint_of(id_text(docs), "text", _bits(docs, band), "fingerprint")
 
 
@@ -172,7 +174,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
 
 
 def compared_with_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), near_edited, near_next.
+    """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), both with _whole (strings), near_edited, near_next.
 
     The edited text has its last third (rounded down, in code points) replaced
     by the beginning of the next text by descending doc_id.  A null text is
@@ -185,8 +187,10 @@ def compared_with_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> Da
     rows = rows.withColumn("n_chars", n.cast("long"))
     rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars - n_chars div 3)), substring(coalesce(next_text, ''), 1, int(n_chars div 3)))")).drop("next_text")
     rows = fingerprint_of(fingerprint_of(rows, "text", bits, "fingerprint"), "edited", bits, "edited_fingerprint")
-    rows = rows.withColumn("_next", F.lead("fingerprint").over(order)).where(~F.col("ghost"))
-    return rows.select("doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"), likeness("fingerprint", "coalesce(_next, fingerprint)").alias("near_next"))
+    rows = rows.withColumns({"_next": F.lead("fingerprint").over(order), "_next_whole": F.lead("fingerprint_whole").over(order)}).where(~F.col("ghost"))
+    edited = likeness("fingerprint", "edited_fingerprint", "fingerprint_whole", "edited_fingerprint_whole")
+    following = likeness("fingerprint", "coalesce(_next, fingerprint)", "fingerprint_whole", "coalesce(_next_whole, fingerprint_whole)")
+    return rows.select("doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "fingerprint_whole", "edited_fingerprint_whole", edited.alias("near_edited"), following.alias("near_next"))
 
 
 def near_pairs_key(df: DataFrame, column: str = "fingerprint") -> DataFrame:
