@@ -252,8 +252,9 @@ class Plan:
                         break
                     if a in self.left:
                         for b, c in self._pairs(gap - a, a):
-                            if self._fill((n, a, b, c)):
+                            if n not in self.left or a not in self.left:
                                 break
+                            self._fill((n, a, b, c))
 
     def _best_fit(self) -> None:
         gaps: list[int] = []
