@@ -145,14 +145,15 @@ def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for content, plans in zip(batch.column("content"), batch.column("plans")):
             data = _unpacked(content.as_py())
-            plan = {p["page_id"]: p for p in plans.as_py() or []}
+            plan = {(p["page_id"], p["payload_digest"]): p for p in plans.as_py() or []}
             out = []
             for r in records(data):
                 h = r.headers
                 page = page_of(h["warc-record-id"])
                 sha = h["warc-payload-digest"].removeprefix("sha1:")
-                if page in plan:
-                    out.append(revisit(page, h["warc-target-uri"], sha, plan[page]["original"], plan[page]["original_url"], r.end - r.start))
+                p = plan.get((page, sha))
+                if p:
+                    out.append(revisit(page, h["warc-target-uri"], sha, p["original"], p["original_url"], r.end - r.start))
                 else:
                     out.append(response(page, h["warc-target-uri"], data[r.start : r.end], sha))
                 if len(out) == 200:
@@ -167,7 +168,8 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> tuple[str, str]:
     Of records with equal payloads of at least least_bytes bytes that with the
     largest page_id stays a response.  A null html is an empty payload, a null
     url about:blank; pages without page_id are left out; a page_id that stands
-    more than once with one payload is one page.  Other columns are ignored.
+    more than once with one payload is one page, and with several payloads a record
+    of each, resolved by itself.  Other columns are ignored.
     """
     spark = pages.sparkSession
     raw, clean = new_path(spark, "warc-raw"), new_path(spark, "warc")
@@ -178,7 +180,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0) -> tuple[str, str]:
     first = large.groupBy("payload_digest").agg(F.max(F.struct("page_id", "url")).alias("o"), F.count("*").alias("c")).where("c > 1")
     first = written(first.select("payload_digest", F.col("o.page_id").alias("original"), F.col("o.url").alias("original_url")), "warc-originals")
     again = large.select("file", "page_id", "payload_digest").join(first, "payload_digest").where("page_id <> original")
-    plans = again.groupBy("file").agg(F.collect_list(F.struct("page_id", "original", "original_url")).alias("plans"))
+    plans = again.groupBy("file").agg(F.collect_list(F.struct("page_id", "payload_digest", "original", "original_url")).alias("plans"))
     files = _files(spark, raw).withColumnRenamed("path", "file").join(plans, "file", "left")
     write_archive(files.select("content", "plans").mapInArrow(_rewrite, "record binary"), clean)
     return raw, clean
