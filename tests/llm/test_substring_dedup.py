@@ -66,3 +66,12 @@ def test_query_on_table(spark, sf):
     want = {d: (n, g, hashlib.sha256(t.encode()).hexdigest()) for d, (n, g, t) in brute(rows).items()}
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries()["op2_substring_dedup"](spark, path).collect()}
     assert got == want
+
+
+def test_one_id_with_several_texts(spark):
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    lone = " ".join(f"z{i}" for i in range(60))
+    rows = [(1, a), (2, b + " " + a), (2, "short"), (2, b), (2, b), (4, lone), (5, b)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in remove_repeats(df).collect())
+    assert got == sorted([(1, 30, 0, a), (2, 60, 30, b), (2, 1, 0, "short"), (2, 30, 0, b), (2, 30, 0, b), (4, 60, 0, lone), (5, 30, 30, "")])

@@ -187,11 +187,7 @@ def signed(x: np.ndarray) -> np.ndarray:
 
 
 class Bloom:
-    """A set of 64-bit hashes in a fixed number of bits, two bits a value.
-
-    Its size never depends on the data.  A false hit costs work downstream,
-    never a result.
-    """
+    """A set of 64-bit hashes, two bits a value.  A false hit costs work downstream, never a result."""
 
     def __init__(self, bits: np.ndarray) -> None:
         self.bits = bits
@@ -212,14 +208,26 @@ def bloom_positions(x: np.ndarray, shift: np.uint64) -> list[np.ndarray]:
     return [((x * np.uint64(m)) >> shift).astype(np.int64) for m in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
-def bloom(frame, column: str, log2_bits: int = 26) -> np.ndarray:
-    """Bits of a Bloom filter over a LONG column: 2**log2_bits bits, whatever the rows.
+#: Bits a value of a Bloom filter, and log2 of its least and most bits: 128 KB to 128 MB.
+PER_VALUE, LEAST_BITS, MOST_BITS = 48, 20, 30
+
+
+def bloom_size(values: int) -> int:
+    """log2 of the bits of a filter for so many values: a false hit is rarer than 1 in 500 up to 2**30 / 48 values."""
+    return min(max((max(values, 1) * PER_VALUE - 1).bit_length(), LEAST_BITS), MOST_BITS)
+
+
+def bloom(frame, column: str, log2_bits: int | None = None) -> np.ndarray:
+    """Bits of a Bloom filter over a LONG column of a written table: 2**log2_bits bits, or bloom_size of its rows.
 
     Tasks turn values into (64-bit word of the filter, bits), joined by OR on
     both sides of one shuffle; the driver gets at most the filter's words.
     """
     from pyspark.sql import functions as F
 
+    if log2_bits is None:
+        log2_bits = bloom_size(frame.count())
+
     shift = np.uint64(64 - log2_bits)
 
     def words(batches):

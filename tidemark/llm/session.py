@@ -73,3 +73,8 @@ def id_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFra
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+
+def tagged(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, tag) as id_text; tag, a 32-bit hash of the text, tells rows of one doc_id with different texts apart."""
+    return id_text(docs).withColumn("tag", F.hash("text"))

@@ -33,13 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .session import id_text
+from .session import remove, tagged, written
 
 #: Edges that a task holds before it settles and sends them.
 FLUSH_EDGES = 1_500_000
-_ROWS = "key long, doc long, start int, n int, edges array<long>"
-_NAMES = ["key", "doc", "start", "n", "edges"]
-_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+_ROWS = "key long, doc long, tag int, start int, n int, edges array<long>"
+_NAMES = ["key", "doc", "tag", "start", "n", "edges"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
 
 
 def _minimizers(words: K.Words, k: int, short: int) -> np.ndarray:
@@ -68,14 +68,14 @@ def _count_minimizers(k: int, short: int):
     return run
 
 
-def _rows(key, doc, start, n, edges=None) -> pa.RecordBatch:
+def _rows(key, doc, tag, start, n, edges=None) -> pa.RecordBatch:
     edges = pa.nulls(len(key), _TYPES[-1]) if edges is None else edges
-    return pa.record_batch([pa.array(key, _TYPES[0]), pa.array(doc, _TYPES[1]), pa.array(start, _TYPES[2]), pa.array(n, _TYPES[3]), edges], _NAMES)
+    return pa.record_batch([*(pa.array(x, t) for x, t in zip((key, doc, tag, start, n), _TYPES)), edges], _NAMES)
 
 
-def _spread(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """A key that deals settled spans out evenly."""
-    return K.signed(K.mix(doc.astype(np.int64).view(np.uint64) * np.uint64(K.WORD_BASE) + start.astype(np.uint64)))
+def _settled(doc, tag, start, n) -> pa.RecordBatch:
+    """Spans found, under their document: they meet there in the end."""
+    return _rows(doc, doc, tag, start, n)
 
 
 def _mine(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -95,16 +95,16 @@ def _take_lists(flat: np.ndarray, first: np.ndarray, n: np.ndarray) -> pa.Array:
 
 def _paths(bits, k: int, short: int):
     def settle(held):
-        key, doc, start, n = (np.concatenate([h[i] for h in held]) for i in range(4))
-        flat = np.concatenate([h[4] for h in held])
+        key, doc, tag, start, n = (np.concatenate([h[i] for h in held]) for i in range(5))
+        flat = np.concatenate([h[5] for h in held])
         first = np.r_[0, np.cumsum(n)[:-1]]
         order, mine = _mine(key, doc)
         late, own = order[~mine], order[mine]
         if len(late):
-            yield _rows(_spread(doc[late], start[late]), doc[late], start[late], n[late])
+            yield _settled(doc[late], tag[late], start[late], n[late])
         for i in range(0, len(own), 100_000):
             o = own[i : i + 100_000]
-            yield _rows(key[o], doc[o], start[o], n[o], _take_lists(flat, first[o], n[o]))
+            yield _rows(key[o], doc[o], tag[o], start[o], n[o], _take_lists(flat, first[o], n[o]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom, held, size = K.Bloom(bits.value), [], 0
@@ -116,10 +116,10 @@ def _paths(bits, k: int, short: int):
                 first, n = first[keep], n[keep]
                 if not len(first):
                     continue
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+                ids, tags = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
                 row = words.doc[first]
                 edge = np.arange(n.sum()) - np.repeat(np.r_[0, np.cumsum(n)[:-1]] - first, n)
-                held.append((K.signed(words.spans(first, first + n + k - 1)), ids[row], first - words.first[row], n, K.signed(words.windows(k)[edge])))
+                held.append((K.signed(words.spans(first, first + n + k - 1)), ids[row], tags[row], first - words.first[row], n, K.signed(words.windows(k)[edge])))
                 size += len(edge)
                 if size >= FLUSH_EDGES:
                     yield from settle(held)
@@ -150,22 +150,22 @@ def _open_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     owner, held, size = _Owner(), [], 0
 
     def settle():
-        key, doc, start = (np.concatenate([h[i] for h in held]) for i in range(3))
+        key, doc, tag, start = (np.concatenate([h[i] for h in held]) for i in range(4))
         order, mine = _mine(key, doc)
         late, own = order[~mine], order[mine]
-        yield _rows(_spread(doc[late], start[late]), doc[late], start[late], np.ones(len(late), np.int32))
+        yield _settled(doc[late], tag[late], start[late], np.ones(len(late), np.int32))
         # words that repeat over and over are one edge many times: a row for each document, with all its places
-        own = own[np.lexsort((start[own], doc[own], key[own]))]
-        k, d = key[own], doc[own]
-        head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])]) if len(own) else own
+        own = own[np.lexsort((start[own], tag[own], doc[own], key[own]))]
+        k, d, t = key[own], doc[own], tag[own]
+        head = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (d[1:] != d[:-1]) | (t[1:] != t[:-1])]) if len(own) else own
         zero = np.zeros(len(head), np.int32)
         places = pa.ListArray.from_arrays(pa.array(np.r_[head, len(own)].astype(np.int32)), pa.array(start[own].astype(np.int64)))
-        yield _rows(k[head], d[head], zero, zero, places)
+        yield _rows(k[head], d[head], t[head], zero, zero, places)
 
     for batch in batches:
         edges = batch.column("edges")
         path = np.flatnonzero(edges.is_valid().to_numpy(zero_copy_only=False))
-        key, doc, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[:4])
+        key, doc, tag, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[:5])
         late = np.ones(len(key), bool)
         if len(path):
             mine = owner.mine(key[path], doc[path])
@@ -176,11 +176,11 @@ def _open_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 flat = lists.flatten().to_numpy(zero_copy_only=False)
                 count = n[own]
                 step = np.arange(len(flat)) - np.repeat(np.r_[0, np.cumsum(count)[:-1]], count)
-                held.append((flat, np.repeat(doc[own], count), np.repeat(start[own], count) + step))
+                held.append((flat, np.repeat(doc[own], count), np.repeat(tag[own], count), np.repeat(start[own], count) + step))
                 size += len(flat)
         late = np.flatnonzero(late)
         if len(late):
-            yield _rows(_spread(doc[late], start[late]), doc[late], start[late], n[late])
+            yield _settled(doc[late], tag[late], start[late], n[late])
         if size >= FLUSH_EDGES:
             yield from settle()
             held, size = [], 0
@@ -192,34 +192,36 @@ def _own_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Edges (with their places in a document) by key and document: those outside the owner become spans of one edge."""
     owner = _Owner()
     for batch in batches:
-        key, doc, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[:4])
+        key, doc, tag, start, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in _NAMES[:5])
         places = batch.column("edges")
         is_edge = places.is_valid().to_numpy(zero_copy_only=False)
         edge, span = np.flatnonzero(is_edge), np.flatnonzero(~is_edge)
-        parts = [(doc[span], start[span], n[span])]
+        parts = [(doc[span], tag[span], start[span], n[span])]
         if len(edge):
             late = edge[~owner.mine(key[edge], doc[edge])]
             lists = places.take(pa.array(late))
             flat = lists.flatten().to_numpy(zero_copy_only=False)
             count = np.diff(lists.offsets.to_numpy(zero_copy_only=False)) if len(late) else np.zeros(0, np.int64)
-            parts.append((np.repeat(doc[late], count), flat, np.ones(len(flat), np.int32)))
+            parts.append((np.repeat(doc[late], count), np.repeat(tag[late], count), flat, np.ones(len(flat), np.int32)))
         out = [np.concatenate(x) for x in zip(*parts)]
-        yield pa.record_batch([pa.array(out[0]), pa.array(out[1].astype(np.int32)), pa.array(out[2].astype(np.int32))], ["doc_id", "start", "n"])
+        yield pa.record_batch([pa.array(out[0]), *(pa.array(x.astype(np.int32)) for x in out[1:])], ["doc_id", "tag", "start", "n"])
 
 
-def repeated_spans(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int = 26) -> DataFrame:
-    """(doc_id, start, n): runs of n windows, from word `start` on, that also start in a smaller doc_id.
+def repeated_spans(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int | None = None) -> DataFrame:
+    """(doc_id, tag, start, n): runs of n windows, from word `start` on, that also start in a smaller doc_id.
 
-    Runs of one document may touch or overlap.  Rows without doc_id take no
+    tag is the 32-bit hash of the row's text, which tells rows of one doc_id
+    apart.  Runs of one document may touch or overlap.  Rows without doc_id take no
     part; null and short texts have no windows; an empty table has no spans.
     """
-    base = id_text(docs)
+    base = tagged(docs)
     counted = base.mapInArrow(_count_minimizers(k, short), "m long, c long")
-    repeated = counted.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1")
+    repeated = written(counted.groupBy("m").agg(F.sum("c").alias("c")).where("c > 1").select("m"), "minimizers")
     bits = docs.sparkSession.sparkContext.broadcast(K.bloom(repeated, "m", log2_bits))
+    remove(repeated)
     paths = base.mapInArrow(_paths(bits, k, short), _ROWS)
     opened = paths.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_open_paths, _ROWS)
-    return opened.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_own_edges, "doc_id long, start int, n int")
+    return opened.repartition("key").sortWithinPartitions("key", "doc").mapInArrow(_own_edges, "doc_id long, tag int, start int, n int")
 
 
 def _cut(k: int):
@@ -233,9 +235,10 @@ def _cut(k: int):
                 have = np.where(spans.is_valid().to_numpy(zero_copy_only=False), have, 0)
                 flat = spans.flatten()
                 if len(flat):
-                    begin = np.repeat(words.first[:-1], have) + flat.field("start").to_numpy(zero_copy_only=False)
+                    own, end = np.repeat(words.first[:-1], have), np.repeat(words.first[1:], have)
+                    begin = np.minimum(own + flat.field("start").to_numpy(zero_copy_only=False), end)
                     np.add.at(cover, begin, 1)
-                    np.add.at(cover, begin + flat.field("n").to_numpy(zero_copy_only=False) + k - 1, -1)
+                    np.add.at(cover, np.minimum(begin + flat.field("n").to_numpy(zero_copy_only=False) + k - 1, end), -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 kept = np.flatnonzero(~gone)
                 body = words.body.copy()
@@ -254,14 +257,15 @@ def _cut(k: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int = 26) -> DataFrame:
+def remove_repeats(docs: DataFrame, k: int = 13, short: int = 5, log2_bits: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_text (kept words joined by one space), a row per document.
 
     Words are `[^\\x20\\x09-\\x0D]+` of the whole text, unchanged.  A null or
     empty text has no words and an empty kept_text; texts of fewer than k
-    words lose nothing; repeated rows of one doc_id are one document to each
-    other and come out alike; rows without doc_id are left out; other columns
-    are ignored, whatever their names.
+    words lose nothing; rows of one doc_id lose nothing to each other, and each
+    loses what its own text repeats of smaller ids, so that equal ones come out
+    alike; rows without doc_id are left out; other columns are ignored,
+    whatever their names.
     """
-    spans = repeated_spans(docs, k, short, log2_bits).groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return id_text(docs).join(spans, "doc_id", "left").mapInArrow(_cut(k), "doc_id long, n_words long, n_removed long, kept_text string")
+    spans = repeated_spans(docs, k, short, log2_bits).groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return tagged(docs).join(spans, ["doc_id", "tag"], "left").mapInArrow(_cut(k), "doc_id long, n_words long, n_removed long, kept_text string")
