@@ -95,17 +95,17 @@ def test_batches_and_shards_give_the_same(monkeypatch):
 
     rows = fixture()
     ids, texts = pa.array([d for d, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())
-    batch = pa.record_batch([ids, texts], ["doc_id", "text"])
+    batch = pa.record_batch([ids, texts, pa.array([0] * len(rows), pa.int32())], ["doc_id", "text", "tag"])
     full = np.full(1 << 10, 255, np.uint8)
     want = None
     for shard, size in ((1 << 17, 1 << 20), (400, 3000), (200, 1)):
         monkeypatch.setattr(S, "SHARD", shard)
         monkeypatch.setattr(S, "BATCH", size)
-        dealt = pa.Table.from_batches(list(S._deal(Value(full), Value(np.zeros(0, np.uint64)), 100, 40)([batch])))
-        dealt = dealt.sort_by([("key", "ascending"), ("seg", "ascending"), ("doc", "ascending"), ("start", "ascending")])
+        dealt = pa.Table.from_batches(list(S._deal(Value(full), Value(np.zeros(1 << 10, np.uint8)), 100, 40)([batch])))
+        dealt = dealt.sort_by([("key", "ascending")])
         late = set()
         for out in S._merge(100, 40)(dealt.to_batches(max_chunksize=7)):
-            late |= {(d, s + i) for d, s, n in zip(*(out.column(c).to_pylist() for c in ("doc", "start", "n"))) for i in range(n)}
+            late |= {(d, s + i) for d, s, n in zip(*(out.column(c).to_pylist() for c in ("doc_id", "start", "n"))) for i in range(n)}
         want = want or late
         assert late == want
     seen, brute_late = set(), set()
@@ -130,3 +130,22 @@ def test_query_on_table(spark):
     want = {d: (n, g, s, hashlib.sha256(k).hexdigest()) for d, (n, g, s, k) in brute(rows).items()}
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries()["op5_suffix_array_dedup"](spark, path).collect()}
     assert got == want
+
+
+def test_one_id_with_several_texts(spark):
+    def words(seed, n=60):
+        r = random.Random(seed)
+        return " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+
+    a, b, c = words(1), words(2), words(3)
+    rows = [(1, a), (2, a + " " + b), (2, "short"), (2, c), (2, c), (4, words(4)), (5, b[:150] + " " + c[:150])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans) for r in S.remove_repeated_strings(df).collect())
+    assert got == sorted([(1, len(a), 0, 0), (2, len(a + " " + b), len(a), 1), (2, 5, 0, 0), (2, len(c), 0, 0), (2, len(c), 0, 0), (4, len(rows[5][1]), 0, 0), (5, 301, 300, 2)])
+
+
+def test_hot_minimizers_in_any_number(spark, monkeypatch):
+    rows = fixture()
+    monkeypatch.setattr(S, "HOT", 1)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in S.remove_repeated_strings(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == brute(rows)

@@ -8,7 +8,7 @@ Dealing out.  A string's minimizer is the least of the hashes of its K-byte
 windows, the leftmost of equals.  Neighbouring strings with one minimizer form
 a segment.  Equal strings have equal minimizers at equal places, so segments
 meet by minimizer, and a minimizer that stands once in the corpus cannot hold a
-repeat; those that repeat go to a Bloom filter of fixed size.
+repeat; those that repeat go to a Bloom filter sized by their number.
 
 Whole copies.  Segments with equal bytes are settled as a whole, first within a
 task, then by minimizer: all but the first are late.
@@ -24,7 +24,11 @@ that the passes carry along are the common prefixes: suffixes in one block at
 `length` symbols are a repeated interval, whose earliest member is the first.
 
 Minimizers in more than HOT places (a line in a third of all documents) do not
-gather: their strings go one by one, under hashes of their own.
+gather: their strings go one by one, under hashes of their own.  All of them,
+however many, are in a second Bloom filter; a minimizer that is in it by chance
+goes the same way in every task.
+
+Whole copies, and strings of hot minimizers, are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,16 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .session import id_text
+from .session import remove, tagged, written
 
 LENGTH = 100
-#: Bytes of a minimizer; places from which one is hot; most hot ones that are told apart.
-ANCHOR, HOT, MOST_HOT = 40, 20_000, 65_536
+#: Bytes of a minimizer; places from which one is hot.
+ANCHOR, HOT = 40, 20_000
 #: Bytes of segments that a task holds before it sends them, of a batch that is merged, of a shard.
 HELD, BATCH, SHARD = 8 << 20, 1 << 20, 1 << 17
-_ROWS = "key long, seg long, doc long, start long, n int, lead int, bytes binary"
-_NAMES = ["key", "seg", "doc", "start", "n", "lead", "bytes"]
-_TYPES = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+#: at: start << 16 | n << 8 | lead + 2; n is at most length - anchor + 1, lead less, -1 of settled spans, -2 of lone strings.
+_ROWS = "key long, doc long, tag int, at long, bytes binary"
+_NAMES = ["key", "doc", "tag", "at", "bytes"]
+_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
+_SPANS = "doc_id long, tag int, start int, n int"
 
 
 class _Hashes:
@@ -106,16 +112,15 @@ def _count(length: int, anchor: int):
     return run
 
 
-def _table(key, seg, doc, start, n, lead, text=None) -> pa.RecordBatch:
-    cols = [pa.array(x, t) for x, t in zip((key, seg, doc, start, n, lead), _TYPES)]
+def _table(key, doc, tag, start, n, lead, text=None) -> pa.RecordBatch:
+    at = (np.asarray(start, np.int64) << 16) | (np.asarray(n, np.int64) << 8) | (np.asarray(lead, np.int64) + 2)
+    cols = [pa.array(x, t) for x, t in zip((key, doc, tag, at), _TYPES)]
     return pa.record_batch([*cols, pa.nulls(len(key), pa.binary()) if text is None else text], _NAMES)
 
 
-def _late(doc, start, n) -> pa.RecordBatch:
-    """Settled spans, under keys that deal them out evenly."""
-    key = K.signed(K.mix(np.asarray(doc).astype(np.int64).view(np.uint64) * np.uint64(K.WORD_BASE) + np.asarray(start).astype(np.uint64)))
-    zero = np.zeros(len(key), np.int64)
-    return _table(key, zero, doc, start, n, zero - 1)
+def _late(doc, tag, start, n) -> pa.RecordBatch:
+    """Settled spans, under their document: they meet there in the end."""
+    return _table(doc, doc, tag, start, n, np.full(len(doc), -1))
 
 
 def _gather(body: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -127,29 +132,31 @@ def _binary(flat: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
 
 
-def _first_of(seg, doc, start) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the first occurrence of every hash, and of all others."""
-    order = np.lexsort((start, doc, seg))
-    head = np.r_[True, seg[order][1:] != seg[order][:-1]]
-    return order[head], order[~head]
+def _first_of(seg, doc, tag, start) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first occurrence of every hash, and of all that stand elsewhere; repeats of one place are dropped."""
+    order = np.lexsort((start, tag, doc, seg))
+    g, d, t, p = seg[order], doc[order], tag[order], start[order]
+    head = np.r_[True, g[1:] != g[:-1]] if len(order) else np.zeros(0, bool)
+    first = np.flatnonzero(head)[np.cumsum(head) - 1]
+    return order[head], order[(d != d[first]) | (t != t[first]) | (p != p[first])]
 
 
 def _deal(bits, hot, length: int, anchor: int):
     def settle(held):
-        key, seg, doc, start, n, lead = (np.concatenate([h[i] for h in held]) for i in range(6))
-        flat = np.concatenate([h[6] for h in held])
+        key, seg, doc, tag, start, n, lead = (np.concatenate([h[i] for h in held]) for i in range(7))
+        flat = np.concatenate([h[7] for h in held])
         size = np.where(lead >= 0, n + length - 1, 0)
         begin = np.r_[0, np.cumsum(size)[:-1]]
-        own, late = _first_of(seg, doc, start)
+        own, late = _first_of(seg, doc, tag, start)
         if len(late):
-            yield _late(doc[late], start[late], n[late])
+            yield _late(doc[late], tag[late], start[late], n[late])
         for i in range(0, len(own), 20_000):
             o = own[i : i + 20_000]
             text, offsets = _gather(flat, begin[o], size[o])
-            yield _table(key[o], seg[o], doc[o], start[o], n[o], lead[o], _binary(text, offsets))
+            yield _table(key[o], doc[o], tag[o], start[o], n[o], lead[o], _binary(text, offsets))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, common, held, size = K.Bloom(bits.value), hot.value, [], 0
+        bloom, common, held, size = K.Bloom(bits.value), K.Bloom(hot.value), [], 0
         for batch in batches:
             for part in K.chunks(batch):
                 body, at = K.flat(part.column("text"))
@@ -158,24 +165,23 @@ def _deal(bits, hot, length: int, anchor: int):
                 row, first, n, place, key = row[keep], first[keep], n[keep], place[keep], key[keep]
                 if not len(key):
                     continue
-                ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+                ids, tags = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "tag"))
                 lead = place - first
-                if len(common):
-                    is_hot = common[np.minimum(np.searchsorted(common, key), len(common) - 1)] == key
-                    if is_hot.any():
-                        h, count = np.flatnonzero(is_hot), n[is_hot]
-                        one = np.arange(count.sum()) - np.repeat(np.r_[0, np.cumsum(count)[:-1]] - first[h], count)
-                        value = hashes.spans(one, one + length)
-                        row, first = np.r_[row[~is_hot], np.repeat(row[h], count)], np.r_[first[~is_hot], one]
-                        n = np.r_[n[~is_hot], np.ones(len(one), np.int64)]
-                        key, lead = np.r_[key[~is_hot], K.mix(value)], np.r_[lead[~is_hot], np.full(len(one), -2)]
+                is_hot = common.has(key)
+                if is_hot.any():
+                    h, count = np.flatnonzero(is_hot), n[is_hot]
+                    one = np.arange(count.sum()) - np.repeat(np.r_[0, np.cumsum(count)[:-1]] - first[h], count)
+                    value = hashes.spans(one, one + length)
+                    row, first = np.r_[row[~is_hot], np.repeat(row[h], count)], np.r_[first[~is_hot], one]
+                    n = np.r_[n[~is_hot], np.ones(len(one), np.int64)]
+                    key, lead = np.r_[key[~is_hot], K.mix(value)], np.r_[lead[~is_hot], np.full(len(one), -2)]
                 seg = hashes.spans(first, first + n + length - 1)
-                doc, start = ids[row], first - at[row]
-                own, late = _first_of(seg, doc, start)
+                doc, tag, start = ids[row], tags[row], first - at[row]
+                own, late = _first_of(seg, doc, tag, start)
                 if len(late):
-                    yield _late(doc[late], start[late], n[late])
+                    yield _late(doc[late], tag[late], start[late], n[late])
                 text, _ = _gather(body, first[own], np.where(lead[own] >= 0, n[own] + length - 1, 0))
-                held.append((K.signed(key[own]), K.signed(seg[own]), doc[own], start[own], n[own], lead[own], text))
+                held.append((K.signed(key[own]), K.signed(seg[own]), doc[own], tag[own], start[own], n[own], lead[own], text))
                 size += len(text) + 64 * len(own)
                 if size >= HELD:
                     yield from settle(held)
@@ -234,12 +240,10 @@ def repeated_intervals(symbols: np.ndarray, shard_of: np.ndarray, length: int) -
     short = (after[places] == 0) | (after[places + 1] == 0)
     first = places[short]
     first_pair = np.where(symbols[first] == 0, 0, symbols[first].astype(np.uint32) << 9)
-    # 18 bits of symbols, dense, so that passes sort 16-bit numbers
+    # 18 bits of symbols, dense, so that passes sort small numbers
     names, dense = np.unique(np.r_[first_pair, pair[inside]], return_inverse=True)
-    if len(names) > 1 << 16:
-        raise ValueError("more than 65,536 pairs of symbols in a batch")
-    dense = dense.astype(np.uint16)
-    first_dense, pair_dense = dense[: len(first)], np.zeros(n, np.uint16)
+    dense = dense.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32)  # UTF-8 has fewer than 2**16 pairs
+    first_dense, pair_dense = dense[: len(first)], np.zeros(n, dense.dtype)
     pair_dense[inside] = dense[len(first) :]
     order0 = np.argsort(first_dense, kind="stable")
     fixed_shard, fixed_dense = shard[short][order0], first_dense[order0]
@@ -267,9 +271,9 @@ def repeated_intervals(symbols: np.ndarray, shard_of: np.ndarray, length: int) -
 
 
 def _merge(length: int, anchor: int):
-    """Rows by (key, seg, doc, start): late copies, and late strings of segments that overlap in part."""
+    """Rows by key: late copies, and late strings of segments that overlap in part."""
 
-    def overlaps(key, doc, start, n, lead, flat, begin, size):
+    def overlaps(key, doc, tag, start, n, lead, flat, begin, size):
         """Spans among different segments of one batch."""
         hashes = _Hashes(flat)
         half = (length - anchor + 1) // 2
@@ -295,39 +299,39 @@ def _merge(length: int, anchor: int):
         offset = where - bounds[owner[where]]
         use = offset < n[o]
         o, offset, block = o[use], offset[use], block[use]
-        d, p = doc[o], start[o] + offset
-        order = np.lexsort((p, d, block))
-        late = order[1:][block[order][1:] == block[order][:-1]]
-        return _late(d[late], p[late], np.ones(len(late), np.int64)) if len(late) else None
+        d, t, p = doc[o], tag[o], start[o] + offset
+        _, late = _first_of(block, d, t, p)
+        return _spans(d[late], t[late], p[late], np.ones(len(late), np.int64)) if len(late) else None
 
     def settle(rows: pa.Table):
+        """Whole minimizers."""
         batch = rows.combine_chunks()
-        key, seg, doc, start, n, lead = (batch.column(c).to_numpy() for c in _NAMES[:6])
-        flat, at = K.flat(batch.column("bytes"))
-        head = np.r_[True, (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])]
-        late = np.flatnonzero(~head)
+        key, doc, tag, at = (batch.column(c).to_numpy() for c in _NAMES[:4])
+        flat, begin = K.flat(batch.column("bytes"))
+        start, n, lead = at >> 16, (at >> 8) & 255, (at & 255) - 2
+        size = np.diff(begin)
+        seg = _Hashes(flat).spans(begin[:-1], begin[1:])
+        seg = K.signed(K.mix(seg + key.view(np.uint64) * np.uint64(K.WORD_BASE) + (lead == -2).astype(np.uint64)))
+        own, late = _first_of(seg, doc, tag, start)
         if len(late):
-            yield _late(doc[late], start[late], n[late])
-        own = np.flatnonzero(head & (lead >= 0))
-        if len(own):
-            k = key[own]
-            several = np.zeros(len(own), bool)
-            same = k[1:] == k[:-1]
-            several[1:] |= same
-            several[:-1] |= same
-            own = own[several]
+            yield _spans(doc[late], tag[late], start[late], n[late])
+        own = own[lead[own] >= 0]
+        _, back, count = np.unique(key[own], return_inverse=True, return_counts=True)
+        own = own[count[back] > 1]
         if len(own):
-            found = overlaps(key[own], doc[own], start[own], n[own].astype(np.int64), lead[own].astype(np.int64), flat, at[own], at[own + 1] - at[own])
+            found = overlaps(key[own], doc[own], tag[own], start[own], n[own], lead[own], flat, begin[own], size[own])
             if found is not None:
                 yield found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            lead = batch.column("lead").to_numpy(zero_copy_only=False)
-            done = lead == -1
+            at = batch.column("at").to_numpy(zero_copy_only=False)
+            done = at & 255 == 1
             if done.any():
-                yield batch.filter(pa.array(done)).select(["doc", "start", "n"])
+                some = batch.filter(pa.array(done))
+                at = at[done]
+                yield _spans(*(some.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "tag")), at >> 16, (at >> 8) & 255)
             rest = batch.filter(pa.array(~done))
             if not rest.num_rows:
                 continue
@@ -339,28 +343,29 @@ def _merge(length: int, anchor: int):
             keys = table.column("key").to_numpy()
             cut = int(np.searchsorted(keys, keys[-1]))  # the last minimizer may go on
             if cut:
-                for out in settle(table.slice(0, cut)):
-                    yield out.select(["doc", "start", "n"])
+                yield from settle(table.slice(0, cut))
                 held, size = table.slice(cut).to_batches(), table.slice(cut).nbytes
         if held:
-            for out in settle(pa.Table.from_batches(held)):
-                yield out.select(["doc", "start", "n"])
+            yield from settle(pa.Table.from_batches(held))
 
     return run
 
 
-def late_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, log2_bits: int = 26) -> DataFrame:
-    """(doc_id, start, n): n strings of `length` bytes, from byte `start` on, that also start earlier."""
-    base, spark = id_text(docs), docs.sparkSession
-    counted = base.mapInArrow(_count(length, anchor), "m long, c long").groupBy("m").agg(F.sum("c").alias("c")).where("c > 1")
-    from .session import written
+def _spans(doc, tag, start, n) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(doc, pa.int64()), *(pa.array(np.asarray(x).astype(np.int32)) for x in (tag, start, n))], [f.split()[0] for f in _SPANS.split(", ")])
 
+
+def late_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, log2_bits: int | None = None) -> DataFrame:
+    """(doc_id, tag, start, n): n strings of `length` bytes, from byte `start` on, that also start earlier; tag as in tagged()."""
+    if length - anchor >= 250:
+        raise ValueError("strings of one minimizer are counted in eight bits")
+    base, send = tagged(docs), docs.sparkSession.sparkContext.broadcast
+    counted = base.mapInArrow(_count(length, anchor), "m long, c long").groupBy("m").agg(F.sum("c").alias("c")).where("c > 1")
     counted = written(counted, "minimizers")
-    hot = counted.where(F.col("c") > HOT).orderBy(F.desc("c"), "m").limit(MOST_HOT).toArrow()["m"].to_numpy().astype(np.int64)
-    bits = spark.sparkContext.broadcast(K.bloom(counted, "m", log2_bits))
-    common = spark.sparkContext.broadcast(np.sort(hot.view(np.uint64)))
+    bits, common = send(K.bloom(counted, "m", log2_bits)), send(K.bloom(counted.where(F.col("c") > HOT), "m"))
+    remove(counted)
     dealt = base.mapInArrow(_deal(bits, common, length, anchor), _ROWS)
-    return dealt.repartition("key").sortWithinPartitions("key", "seg", "doc", "start").mapInArrow(_merge(length, anchor), "doc long, start long, n int").withColumnRenamed("doc", "doc_id")
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(_merge(length, anchor), _SPANS)
 
 
 def _cut(length: int):
@@ -373,9 +378,10 @@ def _cut(length: int):
                 have = np.where(spans.is_valid().to_numpy(zero_copy_only=False), have, 0)
                 flat, cover = spans.flatten(), np.zeros(len(body) + 1, np.int64)
                 if len(flat):
-                    begin = np.repeat(at[:-1], have) + flat.field("start").to_numpy(zero_copy_only=False)
+                    own, end = np.repeat(at[:-1], have), np.repeat(at[1:], have)
+                    begin = np.minimum(own + flat.field("start").to_numpy(zero_copy_only=False), end)
                     np.add.at(cover, begin, 1)
-                    np.add.at(cover, begin + flat.field("n").to_numpy(zero_copy_only=False) + length - 1, -1)
+                    np.add.at(cover, np.minimum(begin + flat.field("n").to_numpy(zero_copy_only=False) + length - 1, end), -1)
                 gone = np.cumsum(cover[:-1]) > 0
                 total = np.r_[0, np.cumsum(gone)]
                 begins = gone.copy()
@@ -390,13 +396,15 @@ def _cut(length: int):
     return run
 
 
-def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, log2_bits: int = 26) -> DataFrame:
+def remove_repeated_strings(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, log2_bits: int | None = None) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary): a row per document.
 
-    A null text is empty; texts shorter than length lose nothing.  Of repeated
-    rows of one doc_id each stands for the same document.  Rows without doc_id
-    are left out, other columns are ignored, an empty table gives no rows.
+    A null text is empty; texts shorter than length lose nothing.  Repeated
+    rows of one doc_id and text are one document and come out alike; rows of
+    one doc_id with different texts are documents of their own, in the order of
+    their texts' hashes.  Rows without doc_id are left out, other columns are
+    ignored, an empty table gives no rows.
     """
     spans = late_strings(docs, length, anchor, log2_bits)
-    spans = spans.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
-    return id_text(docs).join(spans, "doc_id", "left").mapInArrow(_cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    spans = spans.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+    return tagged(docs).join(spans, ["doc_id", "tag"], "left").mapInArrow(_cut(length), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
