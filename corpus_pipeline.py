@@ -28,7 +28,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind."""
-    return pii.redact(docs.select(COLUMNS), pii.find_personal_data(docs).dropDuplicates(["doc_id"]))
+    return pii.redact(docs.select(COLUMNS), pii.find_personal_data(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

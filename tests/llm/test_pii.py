@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import time
 
 from tidemark.llm import pii
 from tidemark.llm.pii import digest, find_personal_data, redact
@@ -58,8 +60,8 @@ def test_em_finds_reliable_labelers():
     post, table, prior = pii.em(rows)
     assert post[0] > 0.95 and post[4] > 0.95 and post[2] < 0.05 and 0.3 < prior < 0.9
     assert table[0][1][1] > 0.9 > 0.1 > table[0][0][1]
-    w = pii.classifier([(0, v, 2, c) for v, c in rows], post)
-    score = lambda v: w[("k", 0)] + w[("len", 2)] + sum(w.get((n, x), 0) for n, x in zip(pii.VOTES, v))
+    w = pii.classifier([(0, v, (2, 1, 0), c) for v, c in rows], post)
+    score = lambda v: sum(w.get(f, 0.0) for f in pii._features(0, v, (2, 1, 0)))
     assert score(rows[0][0]) > 0 > score(rows[2][0])
 
 
@@ -67,6 +69,9 @@ def test_redaction_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "é me@x.org and 10.0.0.1!", "en", "s", 24), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     out = {r.doc_id: r for r in redact(df, find_personal_data(df)).collect()}
     assert out[1].text == "é <email> and <ip>!" and out[1].n_chars == len(out[1].text) and out[2].text is None
+    odd = spark.createDataFrame([(1, "a@b.cc " * 1500 + "é" * 3000, 5, "q"), (1, "x", 6, "q"), (None, "a@b.cc", 7, "q"), (2, "1.1.1.1-4.4.4.4", 8, "q")], "doc_id long, text string, tag int, _pii0 string")
+    out = sorted((r.doc_id, r.text, r.tag, r._pii0) for r in redact(odd, find_personal_data(odd)).collect())
+    assert out == [(1, "<email> " * 1500 + "é" * 3000, 5, "q"), (1, "x", 6, "q"), (2, "<ip>-<ip>", 8, "q")]
     empty = spark.createDataFrame([], df.schema)
     assert find_personal_data(empty).count() == 0
 
@@ -80,3 +85,46 @@ def test_query_on_table(spark):
     assert len(got) == len(docs)
     for r in got:
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) == brute(docs[r.doc_id])[0]
+
+
+def test_overlaps_and_redaction_against_brute_force(spark):
+    r = random.Random(8)
+    bits = ["a@b.cc", "4111 1111 1111 1111", "+1 (743) 555-3824", "415-555-2671", "10.0.0.1", "DE89 3704 0044 0532 0130 00", "123-45-6789", "joe [at] example [dot] com", "é😀", "\n", "call", "x" * 700, "9" * 13]
+    rows = [(i, r.choice(["", " ", "-"]).join(r.choice(bits) for _ in range(r.choice([1, 5, 40])))) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = find_personal_data(df)
+    got, text = {r.doc_id: r for r in found.collect()}, dict(rows)
+    for d, f in got.items():
+        assert f"{brute(text[d])[0]}" and [(x.start, x.k, x.end) for x in f.base] == sorted((a, pii.KINDS.index(k), b) for k, a, b in (x.split(":") for x in brute(text[d])[1]) for a, b in [(int(a), int(b))])
+        base = [(x.start, x.end) for x in f.base]
+        assert all((x.start, x.end) in base or not any(a < x.end and x.start < b for a, b in base) for x in f.spans)
+    for x in redact(df, found).collect():
+        out, at = "", 0
+        for s in sorted(got[x.doc_id].spans, key=lambda s: (s.start, s.k, s.end)):
+            if s.start >= at:
+                out += text[x.doc_id][at : s.start] + f"<{pii.KINDS[s.k]}>"
+            at = max(at, s.end)
+        assert x.text == out + text[x.doc_id][at:]
+
+
+def test_many_matches_take_time_in_proportion(spark):
+    numbers = lambda n: " ".join(str(10**5 + i) for i in range(n))
+
+    def seconds(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+        began = time.time()
+        pii.candidates(df).write.format("noop").mode("overwrite").save()
+        return time.time() - began
+
+    seconds([numbers(1000)] * 20)
+    many, one = seconds([numbers(1000)] * 20), seconds([numbers(20_000)])
+    assert one < 2 * many + 1
+    mails = " ".join(f"user{i}@mail{i % 7}.example.org" for i in range(20_000))
+    phones = " ".join(f"415-555-{i:04}" for i in range(9000))
+    df = spark.createDataFrame([(1, numbers(150_000)), (2, mails), (3, phones)], "doc_id long, text string")
+    began = time.time()
+    found = find_personal_data(df)
+    assert {r.doc_id: r.n for r in found.selectExpr("doc_id", "size(base) as n").collect()} == {1: 0, 2: 20_000, 3: 0}
+    out = {r.doc_id: r.text for r in redact(df, found).collect()}
+    assert out[2] == " ".join(["<email>"] * 20_000) and out[1] == numbers(150_000)
+    assert time.time() - began < 60

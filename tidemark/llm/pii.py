@@ -11,15 +11,18 @@ labelers vote on every candidate, base or not, +1, -1 or 0:
     shape      runs of one or two digits only
     border     letters or digits right next to the span
 
-Expectation-maximisation (a two-class latent model, one reliability a labeler)
-runs on the table of (kind, votes, length class, count), which has at most
-7 * 3**5 * 8 rows whatever the input, and which is all that reaches the driver.
-Its posteriors train a logistic classifier over the same fields, and that,
-written as one expression, accepts or refuses the further candidates.  One that
-fails its check digits is accepted only where the context speaks for it.
-
-A span's place comes from the pieces that the text falls into when split at
-the matches, so places are counted in code points and need no row-wise code.
+Expectation-maximisation (a two-class latent model for each kind, one
+reliability a labeler and kind) runs on the table of candidates by kind, votes
+and shape, which has at most 6 * 3**5 * 8 * 4 * 2 rows whatever the input, and
+which is all that reaches the driver.  Its posteriors train a logistic
+classifier over votes, votes by kind, and what no labeler sees: length, number of
+separators, whether a label or line begins before the span.  Written as one
+expression, it accepts or refuses the further candidates.
+
+A span's place comes from the pieces that the text falls into when split at the
+matches, so places are counted in code points and need no row-wise code.  Running
+sums and maxima over a text's spans take log2(n) passes over the array, and never
+an array or text that grows by one span a step: work is n log n in the matches.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .session import id_text, written
+from .session import tagged, written
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 #: The base patterns.  Possessive, and begun only where a run begins (or where the
@@ -37,12 +40,14 @@ KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 CARD = r"[0-9](?:[ -]?[0-9])++"
+#: Runs of 13 digits or more of CARD: a shorter one starts no longer one further on.
+LONG = CARD.replace(")++", "){12,}+")
 PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
 #: name, kind, pattern, a character or string that a text must have, base or not
 PATTERNS = (
     ("email", "email", EMAIL, "@", True),
     ("ip", "ip", IP, ".", True),
-    ("card", "card", CARD, None, True),
+    ("card", "card", LONG, None, True),
     ("phone", "phone", PHONE, "+", True),
     ("email2", "email", r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(]at[\])] ?[A-Za-z0-9-]++(?: ?(?:\.|[\[(]dot[\])]) ?[A-Za-z0-9-]++)++", "at", False),
     ("ip2", "ip", r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Za-z:])", ":", False),
@@ -64,8 +69,10 @@ FOR = {
     "ssn": "ssn|social|security",
 }
 AGAINST = "version|isbn|order|invoice|ref|page|section|build|release|item|serial|part"
-_SPAN = "struct<k:int,start:int,end:int,base:boolean,v1:int,v2:int,v3:int,v4:int,v5:int,len:int>"
+_SPAN = "struct<start:int,k:int,end:int,base:boolean,v1:int,v2:int,v3:int,v4:int,v5:int,len:int,sep:int,lead:int>"
 VOTES = ("v1", "v2", "v3", "v4", "v5")
+#: Code points of a block of text, when it is cut at many places.
+BLOCK = 1024
 
 
 def _lit_list(words: str) -> str:
@@ -107,34 +114,44 @@ def _gazetteer(kind: str) -> str:
     }[kind]
 
 
+def _let(value: str, name: str, body: str) -> str:
+    """SQL: body with a name for value, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _running(values: str, pick: str, nothing: str, back: bool = False) -> str:
+    """SQL: for each place of an array of INT, pick (of a and b) over it and all before, or from it on; doubling steps."""
+    far = "i + shiftleft(1, p)" if back else "i - shiftleft(1, p)"
+    both = pick.replace("$a", "v").replace("$b", f"if({far} between 0 and size(x) - 1, get(x, {far}), {nothing})")
+    return f"aggregate(sequence(0, cast(ceil(log2(size({values}) + 1)) as int)), {values}, (x, p) -> if(shiftleft(1, p) < size(x), transform(x, (v, i) -> {both}), x))"
+
+
 def _candidates(name: str, kind: str, base: bool) -> str:
     """SQL: the matches m_name and pieces s_name of a text as an array of _SPAN."""
-    items = f"transform(sequence(0, size(m_{name}) - 1), i -> struct(get(s_{name}, i) as g, get(m_{name}, i) as m, get(s_{name}, i + 1) as r))"
-    placed = (
-        f"aggregate({items}, struct(0 as p, cast(array() as array<struct<start:int,m:string,d:string,l:string,r:string>>) as o), "
-        "(a, x) -> struct(a.p + length(x.g) + length(x.m) as p, concat(a.o, array(struct(a.p + length(x.g) as start, x.m as m, "
-        "regexp_replace(x.m, '[^0-9]', '') as d, right(x.g, 40) as l, left(x.r, 1) as r))) as o), a -> a.o)"
-    )
+    places = f"transform(m_{name}, (m, i) -> length(get(s_{name}, i)) + length(m))"
+    found = f"struct(get(ends, i) - length(m) as start, m as m, regexp_replace(m, '[^0-9]', '') as d, right(get(s_{name}, i), 40) as l, left(get(s_{name}, i + 1), 1) as r)"
+    placed = _let(places, "steps", _let(_running("steps", "$a + $b", "0"), "ends", f"transform(m_{name}, (m, i) -> {found})"))
     strict = _strict(name)
     k = KINDS.index(kind)
     context = f"case when lower(c.l) rlike {_quoted(rf'(?:^|[^a-z])(?:{FOR[kind]})[^0-9@]*$')} then 1 when lower(c.l) rlike {_quoted(rf'(?:^|[^a-z])(?:{AGAINST})[^a-z]*$')} then -1 else 0 end"
     few = "length(c.d) > 5 and size(array_distinct(transform(sequence(1, least(length(c.d), 40)), i -> substring(c.d, i, 1)))) <= 2"
     border = "if(c.l rlike '[0-9A-Za-z]$' or c.r rlike '^[0-9A-Za-z]', -1, 1)"
     votes = f"if({strict}, 1, -1) as v1, if({_gazetteer(kind)}, 1, -1) as v2, {context} as v3, if({few}, -1, 0) as v4, {border} as v5"
+    shape = "least(length(c.m) div 4, 7) as len, least(length(regexp_replace(c.m, '[0-9A-Za-z]', '')), 3) as sep, if(c.l rlike r'(?:^|[:=(\n])[ \t]*$', 1, 0) as lead"
     keep = f"filter({placed}, c -> {strict if name not in ('card',) else 'length(c.d) between 13 and 19'})"
     is_base = f"({strict})" if base else "false"
-    built = f"transform({keep}, c -> struct({k} as k, c.start as start, c.start + length(c.m) as end, {is_base} as base, {votes}, least(length(c.m) div 4, 7) as len))"
+    built = f"transform({keep}, c -> struct(c.start as start, {k} as k, c.start + length(c.m) as end, {is_base} as base, {votes}, {shape}))"
     return f"if(size(m_{name}) > 0, {built}, cast(array() as array<{_SPAN}>))"
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, c: every candidate span of a text with its votes (a null text has none)."""
-    out = id_text(docs)
+    """doc_id, tag, c: every candidate span of a text with its votes, by place (a null text has none); tag as in tagged()."""
+    out = tagged(docs)
     for name, _, pattern, needs, _ in PATTERNS:
         found = f"regexp_extract_all(text, {_quoted(pattern)}, 0)"
         out = out.withColumn(f"m_{name}", F.expr(f"if(contains(text, '{needs}'), {found}, cast(array() as array<string>))" if needs else found))
     out = out.withColumns({f"s_{n}": F.expr(f"if(size(m_{n}) > 0, split(text, {_quoted(p)}, -1), null)") for n, _, p, _, _ in PATTERNS}).drop("text")
-    return out.select("doc_id", F.flatten(F.array(*[F.expr(_candidates(n, k, b)) for n, k, _, _, b in PATTERNS])).alias("c"))
+    return out.select("doc_id", "tag", F.array_sort(F.flatten(F.array(*[F.expr(_candidates(n, k, b)) for n, k, _, _, b in PATTERNS]))).alias("c"))
 
 
 def em(rows: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> tuple[list[float], list[list[dict[int, float]]], float]:
@@ -169,12 +186,20 @@ def em(rows: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> tuple[list[
     return post, table, prior
 
 
-def classifier(rows: list[tuple[int, tuple[int, ...], int, int]], post: list[float], rounds: int = 300) -> dict[tuple[str, int], float]:
-    """Weights of a logistic model over (field, value), fitted to posteriors of (kind, votes, length, count)."""
+FIELDS = ("len", "sep", "lead")
+
+
+def _features(k: int, votes: tuple[int, ...], shape: tuple[int, ...]) -> list[tuple[str, int]]:
+    """(field, value) of a candidate; a value of a field with a kind stands for both: kind * 100 + value + 1."""
+    return [("k", k), *((f, k * 100 + x + 1) for f, x in zip(FIELDS, shape)), *zip(VOTES, votes), *((f"k_{v}", k * 100 + x + 1) for v, x in zip(VOTES, votes))]
+
+
+def classifier(rows: list[tuple[int, tuple[int, ...], tuple[int, ...], int]], post: list[float], rounds: int = 200) -> dict[tuple[str, int], float]:
+    """Weights of a logistic model over (field, value), fitted to posteriors of (kind, votes, shape, count)."""
     weights: dict[tuple[str, int], float] = {}
     if not rows:
         return weights
-    fields = [[("k", k), ("len", n), *((v, x) for v, x in zip(VOTES, votes))] for k, votes, n, _ in rows]
+    fields = [_features(k, votes, shape) for k, votes, shape, _ in rows]
     count = [math.log1p(r[3]) for r in rows]
     total = sum(count)
     for _ in range(rounds):
@@ -191,9 +216,11 @@ def classifier(rows: list[tuple[int, tuple[int, ...], int, int]], post: list[flo
 
 def _score(weights: dict[tuple[str, int], float]) -> str:
     parts = []
-    for field in ("k", "len", *VOTES):
+    for field in ("k", *FIELDS, *VOTES, *(f"k_{v}" for v in VOTES)):
         cases = "".join(f" when {v} then {w!r}D" for (f, v), w in sorted(weights.items()) if f == field)
-        parts.append(f"case x.{field}{cases} else 0D end" if cases else "0D")
+        name = field.removeprefix("k_")
+        value = f"x.{field}" if field == "k" or field in VOTES else f"x.k * 100 + x.{name} + 1"
+        parts.append(f"case {value}{cases} else 0D end" if cases else "0D")
     return " + ".join(parts)
 
 
@@ -203,22 +230,40 @@ def _joined(spans: str) -> Column:
     return F.expr(f"array_join(transform(array_sort(transform({spans}, x -> struct(x.start, x.k, x.end))), x -> concat_ws(':', get(array({kinds}), x.k), x.start, x.end)), ',')")
 
 
+def posteriors(rows: list[tuple[int, tuple[int, ...], tuple[int, ...], int]]) -> list[float]:
+    """Of each row (kind, votes, shape, count) the chance that it is personal data, each kind with a model of its own."""
+    counts: dict[int, dict[tuple[int, ...], int]] = {}
+    for k, votes, _, c in rows:
+        of_kind = counts.setdefault(k, {})
+        of_kind[votes] = of_kind.get(votes, 0) + c
+    found = {}
+    for k, of_kind in counts.items():
+        patterns = sorted(of_kind.items())
+        found |= {(k, votes): p for (votes, _), p in zip(patterns, em(patterns)[0])}
+    return [found[k, votes] for k, votes, _, _ in rows]
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, base, spans: arrays of (k, start, end) by kind index, places in code points, end exclusive.
+    """doc_id, tag, base, spans: arrays of (start, k, end) by kind index, places in code points, end exclusive.
 
     base holds the fixed kinds' spans; spans holds them and those the method
     adds, which never overlap a base span.  Null and empty texts have none.
-    Rows without doc_id are left out, repeated rows come out alike, other
-    columns are ignored, an empty table gives no rows.
+    Rows without doc_id are left out, repeated rows come out alike, rows of one
+    doc_id are told apart by tag, the hash of their text; other columns are
+    ignored, an empty table gives no rows.
     """
     found = written(candidates(docs), "pii")
-    one = found.select(F.explode("c").alias("x")).groupBy("x.k", *[f"x.{v}" for v in VOTES], "x.len").agg(F.count("*").alias("c")).collect()
-    rows = sorted((r.k, tuple(r[v] for v in VOTES), r["len"], r["c"]) for r in one)
-    post, _, _ = em([(v, c) for _, v, _, c in rows])
-    weights = classifier(rows, post)
-    base = F.expr("filter(c, x -> x.base)")
-    more = F.expr(f"filter(c, x -> not x.base and (x.v1 = 1 or x.v3 = 1) and {_score(weights)} > 0 and not exists(base, b -> b.start < x.end and x.start < b.end))") if weights else F.expr("filter(c, x -> false)")
-    return found.withColumn("base", base).withColumn("spans", F.concat("base", more)).select("doc_id", "base", "spans")
+    names = ("k", *VOTES, *FIELDS)
+    one = found.select(F.explode("c").alias("x")).groupBy(*[f"x.{n}" for n in names]).agg(F.count("*").alias("c")).collect()
+    rows = sorted((r.k, tuple(r[v] for v in VOTES), tuple(r[f] for f in FIELDS), r["c"]) for r in one)
+    weights = classifier(rows, posteriors(rows))
+    # the furthest end of base spans that start no later, the nearest start of those that start no earlier
+    reach = _running("transform(c, x -> if(x.base, x.end, 0))", "greatest($a, $b)", "0")
+    ahead = _running("transform(c, x -> if(x.base, x.start, 2147483647))", "least($a, $b)", "2147483647", back=True)
+    taken = f"x.base or (get(reach, i) <= x.start and get(ahead, i) >= x.end and {_score(weights)} > 0)"
+    some = "exists(c, x -> not x.base)"
+    every = _let(reach, "reach", _let(ahead, "ahead", f"filter(c, (x, i) -> {taken})"))
+    return found.select("doc_id", "tag", F.expr("filter(c, x -> x.base)").alias("base"), F.expr(f"if({some}, {every}, c)" if weights else "c").alias("spans"))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -229,13 +274,22 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with every span's text replaced by <kind>; overlapping spans are replaced as one, under the first one's kind.
 
-    n_chars, where there is one, follows the new text.
+    n_chars, where there is one, follows the new text.  Rows without doc_id
+    have no spans that could be known, and are left out; each of the others
+    gets the spans of its own text.
     """
-    spans = found.where(F.size("spans") > 0).select("doc_id", F.expr("array_sort(transform(spans, x -> struct(x.start, x.k, x.end)))").alias("_spans"))
+    names = iter(f"_pii{i}" for i in range(len(docs.columns) + 3))
+    tag, spans, blocks = (next(n for n in names if n not in docs.columns) for _ in range(3))
+    some = found.where(F.size("spans") > 0).dropDuplicates(["doc_id", "tag"])
+    some = some.select("doc_id", F.col("tag").alias(tag), F.expr("array_sort(transform(spans, x -> struct(x.start, x.k, x.end)))").alias(spans))
     kinds = ", ".join(f"'{k}'" for k in KINDS)
-    new = (
-        "aggregate(_spans, struct('' as o, 0 as p), (a, x) -> if(x.start >= a.p, struct(concat(a.o, substring(text, a.p + 1, x.start - a.p), '<', "
-        f"get(array({kinds}), x.k), '>') as o, x.end as p), struct(a.o as o, greatest(a.p, x.end) as p)), a -> concat(a.o, substring(text, a.p + 1)))"
-    )
-    out = docs.join(spans, "doc_id", "left").withColumn("text", F.expr(f"if(_spans is null, text, {new})")).drop("_spans")
+    # a span that starts before an earlier one's end belongs to it
+    heads = f"filter(transform({spans}, (x, i) -> struct(if(i = 0, 0, get(reach, i - 1)) as a, x.start as b, x.k as k)), y -> y.a <= y.b)"
+    cut = f"if(y.a div {BLOCK} = y.b div {BLOCK}, substring(get({blocks}, y.a div {BLOCK}), y.a % {BLOCK} + 1, y.b - y.a), concat(substring(get({blocks}, y.a div {BLOCK}), y.a % {BLOCK} + 1), array_join(slice({blocks}, y.a div {BLOCK} + 2, y.b div {BLOCK} - y.a div {BLOCK} - 1), ''), coalesce(substring(get({blocks}, y.b div {BLOCK}), 1, y.b % {BLOCK}), '')))"
+    parts = f"transform({heads}, y -> concat({cut}, '<', get(array({kinds}), y.k), '>'))"
+    tail = _let("cast(struct(element_at(reach, -1) as a, length(text) as b) as struct<a:int,b:int>)", "y", cut)
+    new = _let(_running(f"transform({spans}, x -> x.end)", "greatest($a, $b)", "0"), "reach", f"concat(array_join({parts}, ''), {tail})")
+    out = docs.where("doc_id is not null").withColumn(tag, F.hash(F.coalesce("text", F.lit("")))).join(some, ["doc_id", tag], "left")
+    out = out.withColumn(blocks, F.expr(f"if({spans} is null, null, regexp_extract_all(text, '(?s).{{1,{BLOCK}}}', 0))"))
+    out = out.withColumn("text", F.expr(f"if({spans} is null, text, {new})"))
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns) if "n_chars" in docs.columns else out.select(docs.columns)

@@ -63,16 +63,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def id_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text) of rows that have an id; a null text becomes an empty one.
+def id_text(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] = ()) -> DataFrame:
+    """(doc_id, text, and columns to keep) of rows that have an id; a null text becomes an empty one.
 
     Texts that go to Python go in small batches: memory there is bounded by
-    BATCH_ROWS and BATCH_BYTES, and by the longest text.
+    BATCH_ROWS and BATCH_BYTES, and by the longest text.  A session that sets
+    these options itself keeps its own.
     """
     conf = docs.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{name}", None) is None:
+            conf.set(f"spark.sql.execution.arrow.{name}", value)
+    return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
 
 
 def tagged(docs: DataFrame) -> DataFrame:
