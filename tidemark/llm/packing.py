@@ -4,9 +4,11 @@ Lengths, not documents, are what a packing depends on, and there are at most
 `size` of them.  So the plan is made on a table of (length, count), whose size
 has nothing to do with the number of documents:
 
-1. For a length L with copies left, the gap size - L is looked up in hash
-   indexes of the sums of one, two and three other available lengths; the combination
-   found is consumed as often as the availability counts allow at once.
+1. Sums are indexed: by sum, the single lengths, the pairs and the triples that
+   have it.  For a length L with copies left, the gap size - L is looked up; the
+   combination found is consumed as often as the availability counts allow at
+   once.  Counts only fall, so a combination that has run out never comes back,
+   and its entry is passed over for good.
 2. What is left is placed best-fit: longest first, into the open sequences with
    the smallest gap that still takes it, again many at once.
 
@@ -25,6 +27,7 @@ from bisect import bisect_left, insort
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from operator import neg
 
 import numpy as np
 import pyarrow as pa
@@ -166,6 +169,54 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
     return id_text(docs).mapInArrow(_pieces(tokenizer, size), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
+class Sums:
+    """Index of the sums of one, two and three available lengths, by sum.
+
+    Entries of a sum are made when it is first looked up, and hold the lengths
+    available then, longest first.  `left` is the caller's table of counts, which
+    only fall: what has run out at the front of a sum's entries is passed for good.
+    """
+
+    def __init__(self, left: dict[int, int], size: int) -> None:
+        self.left = left
+        self.has = np.zeros(size + 1, bool)
+        self.has[[n for n in left if n <= size]] = True
+        self.two: dict[int, list[int]] = {}
+        self.three: dict[int, list[int]] = {}
+        self.front: dict[tuple[int, int], int] = {}
+
+    def single(self, total: int) -> bool:
+        return total in self.left
+
+    def _entries(self, index: dict[int, list[int]], parts: int, total: int, most: int) -> Iterator[int]:
+        """The longest lengths of combinations of so many parts, none above most."""
+        if total not in index:
+            n = np.arange(total - parts + 1, (total - 1) // parts, -1)
+            n = n[self.has[n]]
+            index[total] = (n[self.has[total - n]] if parts == 2 else n).tolist()
+        entries, at = index[total], self.front.get((parts, total), 0)
+        while at < len(entries) and not (entries[at] in self.left and (parts > 2 or total - entries[at] in self.left)):
+            at += 1
+        self.front[parts, total] = at
+        for i in range(bisect_left(entries, -most, at, key=neg), len(entries)):
+            yield entries[i]
+
+    def pairs(self, total: int, most: int) -> Iterator[tuple[int, int]]:
+        """Available pairs (longer first) with this sum, no length above most."""
+        for n in self._entries(self.two, 2, total, most):
+            if n in self.left and total - n in self.left:
+                yield n, total - n
+
+    def triples(self, total: int, most: int) -> Iterator[tuple[int, int, int]]:
+        """Available triples (longest first) with this sum, no length above most."""
+        for a in self._entries(self.three, 3, total, most):
+            if a in self.left:
+                for b, c in self.pairs(total - a, a):
+                    if a not in self.left:
+                        break
+                    yield a, b, c
+
+
 class Plan:
     """Slots for a table of length counts."""
 
@@ -180,7 +231,7 @@ class Plan:
 
     @classmethod
     def best(cls, counts: dict[int, int], size: int = SEQUENCE) -> Plan:
-        """The plan with fewest sequences among those whose exact combinations go up to three, two, one, no others.
+        """The plan with fewest sequences among those whose exact combinations go up to three, two, one.
 
         Exact fills of long lengths can use up the short ones that others
         need, so deeper is not always better.  One that wastes less than a
@@ -188,7 +239,7 @@ class Plan:
         """
         least = max(-(-sum(n * c for n, c in counts.items()) // size), sum(c for n, c in counts.items() if 2 * n > size))
         found = None
-        for most in (3, 2, 1, 0):
+        for most in (3, 2, 1):
             plan = cls(counts, size, most)
             if found is None or plan.sequences < found.sequences:
                 found = plan
@@ -218,43 +269,24 @@ class Plan:
             offset += n
         return True
 
-    def _pairs(self, total: int, most: int):
-        """Two available lengths with this sum, neither above most; the longer first."""
-        for n in self.order[bisect_left(self.order, -min(most, total - 1)) :]:
-            n = -n
-            if 2 * n < total:
-                return
-            if total - n in self.left and n in self.left:
-                yield n, total - n
-
     def _exact(self, most: int) -> None:
         """Longest first: complete it by one other length, then (all over again) by two, then by three."""
+        sums = Sums(self.left, self.size)
         for n in sorted(self.left, reverse=True):
             if n == self.size:
                 self._fill((n,))
-            elif n in self.left and self.size - n in self.left and most:
+            elif n in self.left and sums.single(self.size - n):
                 self._fill((n, self.size - n))
         for parts in range(2, most + 1):
-            self.order = sorted(-n for n in self.left)
-            for n in [-x for x in self.order]:
+            sums = Sums(self.left, self.size)
+            for n in sorted(self.left, reverse=True):
                 gap = self.size - n
                 if n not in self.left or gap < parts:
                     continue
-                if parts == 2:
-                    for a, b in self._pairs(gap, n):
-                        if n not in self.left:
-                            break
-                        self._fill((n, a, b))
-                    continue
-                for x in self.order[bisect_left(self.order, -min(n, gap - 2)) :]:
-                    a = -x
-                    if n not in self.left or 3 * a < gap:
+                for others in sums.pairs(gap, n) if parts == 2 else sums.triples(gap, n):
+                    self._fill((n, *others))
+                    if n not in self.left:
                         break
-                    if a in self.left:
-                        for b, c in self._pairs(gap - a, a):
-                            if n not in self.left or a not in self.left:
-                                break
-                            self._fill((n, a, b, c))
 
     def _best_fit(self) -> None:
         gaps: list[int] = []
