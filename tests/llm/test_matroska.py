@@ -77,6 +77,8 @@ def test_tables(spark):
     packets = M.packet_table(M.stored(df).withColumnRenamed("doc_id", "media_id"))
     assert packets.where("media_id = 3").count() == by[3].packets == -(-200_000 // 576) and packets.where("not cued").count() == 0
     assert M.features(M.stored(spark.createDataFrame([], "doc_id long, text string"))).count() == 0
+    nulls = M.with_packets(spark.createDataFrame([(1, None), (2, M.write(M.padded(b"ab")))], "media_id long, clip binary"), "clip")
+    assert {r.media_id: (r.packets and [(p.byte_end - p.byte_start, p.cued) for p in r.packets], r.cues) for r in nulls.collect()} == {1: (None, None), 2: ([(576, True)], 1)}
 
 
 def test_query_on_table(spark):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .session import id_text
+from .session import id_text, new_path
 
 #: Element ids, as they stand in the file (fixed values of the format).
 EBML, VERSION, READ_VERSION, MAX_ID, MAX_SIZE, DOCTYPE, DOC_VERSION, DOC_READ = 0x1A45DFA3, 0x4286, 0x42F7, 0x42F2, 0x42F3, 0x4282, 0x4287, 0x4285
@@ -284,37 +284,51 @@ def write(payload: bytes) -> bytes:
     return head + element(SEGMENT, b"".join(body))
 
 
-_PACKETS = "media_id long, track int, time_ns long, byte_start long, byte_end long, keyframe boolean, cluster_start long, lace int, cued boolean"
+_PACKET = "track int, time_ns long, byte_start long, byte_end long, keyframe boolean, cluster_start long, lace int, cued boolean"
+_PACKET_TYPES = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.bool_()]
 
 
-def packet_table(media: DataFrame) -> DataFrame:
-    """A row per packet of (media_id, media binary): track, time, byte range, cluster, place in its lace, whether a cue names its cluster.
+def with_packets(media: DataFrame, column: str = "media") -> DataFrame:
+    """media with a column packets (an array, in file order) and cues (their number), read from the binary column.
 
-    Null media have no packets; what is not Matroska raises.  Extra columns are ignored.
+    A packet has its track, time, byte range, cluster, place in its lace, and
+    whether a cue names its cluster.  Null media have null packets; what is not
+    Matroska raises.
     """
+    names = [f.split()[0] for f in _PACKET.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[] for _ in range(9)]
-            for i, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                if not data.is_valid:
-                    continue
-                m = parse(data.as_py())
-                cued = {(c.track, c.cluster) for c in m.cues}
-                for p in m.packets:
-                    for col, v in zip(out, (i, p.track, p.time * m.scale, p.start, p.end, p.key, p.cluster, p.lace, (p.track, p.cluster) in cued)):
+            cols: list[list] = [[] for _ in names]
+            ends, cues, duration = [0], [], []
+            for data in batch.column(column):
+                m = parse(data.as_py()) if data.is_valid else None
+                cued = {(c.track, c.cluster) for c in m.cues} if m else set()
+                for p in m.packets if m else ():
+                    for col, v in zip(cols, (p.track, p.time * m.scale, p.start, p.end, p.key, p.cluster, p.lace, (p.track, p.cluster) in cued)):
                         col.append(v)
-            types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.bool_()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(out, types)], [f.split()[0] for f in _PACKETS.split(", ")])
+                ends.append(len(cols[0]))
+                cues.append(len(m.cues) if m else None)
+                duration.append(round(m.duration * m.scale) if m else None)
+            flat = pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(cols, _PACKET_TYPES)], names)
+            packets = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat, mask=pa.array([c is None for c in cues]))
+            yield pa.record_batch([*batch.columns, packets, pa.array(cues, pa.int64()), pa.array(duration, pa.int64())], [*batch.schema.names, "packets", "cues", "duration_ns"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in media.schema)
+    return media.mapInArrow(run, f"{fields}, packets array<struct<{_PACKET.replace(' ', ':').replace(',:', ',')}>>, cues long, duration_ns long")
 
-    return media.select(F.col("media_id").cast("long"), F.col("media").cast("binary")).mapInArrow(run, _PACKETS)
+
+def packet_table(media: DataFrame) -> DataFrame:
+    """A row per packet of (media_id, media binary): media_id and the fields of with_packets.  Extra columns are ignored."""
+    each = with_packets(media.select(F.col("media_id").cast("long"), F.col("media").cast("binary")))
+    return each.select("media_id", F.explode("packets").alias("p")).select("media_id", "p.*")
 
 
 _STORED = "doc_id long, n_bytes long, media binary"
 _FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, packets long, clusters long, cues long, duration_ns long"
 
 
-def stored(docs: DataFrame) -> DataFrame:
+def encoded(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: every text as a Matroska file.  A null or empty text is one frame of padding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,8 +341,16 @@ def stored(docs: DataFrame) -> DataFrame:
     return id_text(docs).mapInArrow(run, _STORED)
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """encoded(docs), written as a table to the shared folder and read back."""
+    spark = docs.sparkSession
+    path = new_path(spark, "media")
+    encoded(docs).write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(_STORED).parquet(path)
+
+
 def features(media: DataFrame) -> DataFrame:
-    """What the stored bytes of (doc_id, n_bytes, media) hold, read back through the packet ranges.
+    """What the stored bytes of (doc_id, n_bytes, media) hold, read back through the byte ranges of their packets.
 
     feature: for each of the track's 8 equal time slices the mean sample, then
     packets:clusters, all of them whole numbers, comma-joined.
@@ -338,17 +360,19 @@ def features(media: DataFrame) -> DataFrame:
         import numpy as np
 
         for batch in batches:
-            rows = []
-            for data in batch.column("media"):
-                data = data.as_py()
-                m = parse(data)
-                payload = b"".join([data[p.start : p.end] for p in m.packets])
+            rows, packets = [], batch.column("packets")
+            ends = packets.offsets.to_numpy()
+            flat = packets.values
+            start, end, cluster = (flat.field(c).to_numpy(zero_copy_only=False) for c in ("byte_start", "byte_end", "cluster_start"))
+            for i, data in enumerate(batch.column("media")):
+                data, some = data.as_py(), slice(ends[i], ends[i + 1])
+                payload = b"".join([data[a:b] for a, b in zip(start[some].tolist(), end[some].tolist())])
                 level = np.frombuffer(payload, np.uint8).reshape(8, -1).sum(axis=1, dtype=np.int64) * 8 // len(payload)
-                clusters = len({p.cluster for p in m.packets})
-                feature = ",".join(map(str, level.tolist())) + f",{len(m.packets)}:{clusters}"
-                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature, len(m.packets), clusters, len(m.cues), round(m.duration * m.scale)))
-            cols = list(zip(*rows)) if rows else [()] * 10
-            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 4]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), *[pa.array(c, t) for c, t in zip(cols, types)]], [f.split()[0] for f in _FEATURES.split(", ")])
-
-    return media.mapInArrow(run, _FEATURES)
+                count, clusters = int(ends[i + 1] - ends[i]), len(np.unique(cluster[some]))
+                feature = ",".join(map(str, level.tolist())) + f",{count}:{clusters}"
+                rows.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(data), hashlib.sha256(data).hexdigest(), feature, count, clusters))
+            cols = list(zip(*rows)) if rows else [()] * 8
+            types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.record_batch([batch.column("doc_id"), batch.column("n_bytes"), *[pa.array(c, t) for c, t in zip(cols, types)], batch.column("cues"), batch.column("duration_ns")], [f.split()[0] for f in _FEATURES.split(", ")])
+
+    return with_packets(media).mapInArrow(run, _FEATURES)
