@@ -8,13 +8,18 @@ the lexicon, of PER_TERM bits a term (at least 2**BITS): every term of the band
 passes, and of the others 1.2 % at most on average, whatever the corpus.  A
 session variable holds it, so that plans print no bits.
 
-A lexicon subset (level, slot) takes each lexicon term with chance 2**-level,
-by its hash.  I-Match hashes the sorted distinct terms that a document has in a
-subset.  A document of m lexicon terms uses the two levels next to log2 m, at
-which a subset holds about one of its terms, and SLOTS subsets of each: terms
-that change spoil the subsets they fall in, and leave the others equal.  Those
-subsets sample some 32 to 64 terms of a long text; the classic hash of all its
-sorted distinct lexicon terms stands beside them.
+I-Match hashes the sorted distinct terms that a document has in a lexicon.  A
+fingerprint holds that hash for
+
+* the whole lexicon, and DROPS randomised lexicons that each leave out a quarter
+  of the terms, by their hashes: every term of a document, however long, is in
+  about three quarters of these hashes.  Documents that share one of them differ
+  at most in terms that it leaves out.
+* thin lexicons (level, slot), which take each term with chance 2**-level.  A
+  document of m lexicon terms uses the two levels next to log2 m, at which a
+  thin lexicon holds about one of its terms, and SLOTS of each: a sample of some
+  32 to 64 terms, in which terms that change spoil the lexicons they fall in and
+  leave the others equal.  They grade likeness where all larger lexicons differ.
 """
 
 from __future__ import annotations
@@ -24,8 +29,8 @@ from pyspark.sql import functions as F
 
 from .session import id_text, remove, written
 
-#: Band of ln(N / df) / ln(N); subsets of a level.
-BAND, SLOTS = (0.15, 0.97), 32
+#: Band of ln(N / df) / ln(N); lexicons that leave out a quarter; thin lexicons of a level.
+BAND, DROPS, SLOTS = (0.15, 0.97), 8, 32
 #: Filter of the lexicon: log2 of its least bits, bits a term, places of a term.
 BITS, PER_TERM, PLACES = 20, 10, 4
 #: Longs of a part, when the filter is put together.
@@ -100,27 +105,35 @@ def _print(chosen: str, level: str) -> str:
     return f"sort_array(transform({of_slot}, x -> concat_ws('.', {level}, x.s, right(hex(xxhash64(x.g)), 8))))"
 
 
+def _larger(terms: str) -> str:
+    """SQL: array of the hash of all terms and of those that each lexicon does not leave out (two bits of the term's hash are not 0)."""
+    left = f"transform(sequence(0, {2 * DROPS - 2}, 2), b -> filter({terms}, t -> shiftrightunsigned(t, b) & 3 <> 0))"
+    return f"concat(array(concat('all.', hex(xxhash64({terms})))), transform({left}, (g, i) -> concat_ws('.', i, if(size(g) = 0, '-', hex(xxhash64(g))))))"
+
+
 def fingerprint_of(df: DataFrame, text: str, bits: Column, out: str) -> DataFrame:
-    """df with columns out, an array of 'level.slot.hash' at two levels, and out_whole, 'all.hash' of all lexicon terms."""
+    """df with columns out, an array of 'level.slot.hash' at two levels, and out_whole: 'all.hash' of all lexicon terms, then 'i.hash' of each lexicon that leaves out a quarter, '-' where none is left."""
     df = df.withColumn("_t", _terms(text, bits)).withColumn("_l", F.expr(_level("_t")))
     df = df.withColumns({name: F.expr(f"filter(_t, t -> {_slot(level)} < {SLOTS})") for name, level in (("_high", "_l"), ("_low", "greatest(_l - 1, 0)"))})
-    return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).withColumn(f"{out}_whole", F.expr("concat('all.', hex(xxhash64(_t)))")).drop("_t", "_l", "_high", "_low")
+    return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).withColumn(f"{out}_whole", F.expr(_larger("_t"))).drop("_t", "_l", "_high", "_low")
 
 
 def likeness(a: str, b: str, whole_a: str, whole_b: str) -> Column:
-    """0 to 1 for two fingerprints: at the better of their common levels, the share of equal hashes among subsets used by either and the whole.
+    """0 to 1 for two fingerprints: the share of equal hashes, of the lexicons that leave out a quarter, or of the thin ones at the better of their common levels.
 
-    It is 1 if and only if the hashes of all lexicon terms are equal, also of none.
+    The larger share counts; thin lexicons are those that either uses, and one
+    more.  It is 1 if and only if the hashes of all lexicon terms are equal, also of none.
     """
     levels = f"array_intersect(transform({a}, x -> substring_index(x, '.', 1)), transform({b}, x -> substring_index(x, '.', 1)))"
     at = lambda v: f"filter({v}, x -> substring_index(x, '.', 1) = l)"
     slots = lambda v: f"transform({at(v)}, x -> substring_index(x, '.', 2))"
-    share = f"transform({levels}, l -> size(array_intersect({at(a)}, {at(b)})) / (size(array_union({slots(a)}, {slots(b)})) + 1))"
-    return F.expr(f"cast(case when {whole_a} = {whole_b} then 1 else coalesce(array_max({share}), 0) end as double)")
+    thin = f"transform({levels}, l -> size(array_intersect({at(a)}, {at(b)})) / (size(array_union({slots(a)}, {slots(b)})) + 1))"
+    large = f"size(filter(array_intersect({whole_a}, {whole_b}), x -> not endswith(x, '-'))) / {DROPS + 1}D"
+    return F.expr(f"cast(case when get({whole_a}, 0) = get({whole_b}, 0) then 1 else greatest(coalesce(array_max({thin}), 0), {large}) end as double)")
 
 
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """doc_id, text, fingerprint (array of strings), fingerprint_whole (string); equal texts have equal ones, texts without lexicon terms an empty one."""
+    """doc_id, text, fingerprint, fingerprint_whole (arrays of strings); equal texts have equal ones, texts without lexicon terms an empty one."""
     return fingerprint_of(id_text(docs), "text", _bits(docs, band), "fingerprint")
 
 
@@ -174,7 +187,7 @@ def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
 
 
 def compared_with_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
-    """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), both with _whole (strings), near_edited, near_next.
+    """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), both with _whole (arrays), near_edited, near_next.
 
     The edited text has its last third (rounded down, in code points) replaced
     by the beginning of the next text by descending doc_id.  A null text is

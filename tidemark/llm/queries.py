@@ -66,7 +66,7 @@ def op9_imatch_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .imatch import compared_with_edits
 
     out = compared_with_edits(table(spark, sf_dir, "documents"))
-    joined = [F.concat_ws(" ", c, f"{c}_whole").alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    joined = [F.concat_ws(" ", f"{c}_whole", c).alias(c) for c in ("fingerprint", "edited_fingerprint")]
     return out.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), *joined, "near_edited", "near_next")
 
 
