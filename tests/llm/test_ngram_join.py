@@ -103,3 +103,10 @@ def test_query_on_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries()["op1_ngram_jaccard_join"](spark, path).collect()}
     assert got == brute(rows)
+
+
+def test_one_id_with_several_texts(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (2, a + " more"), (2, b), (2, b), (2, None), (5, b), (0, c), (7, c + " c"), (2, c)]
+    got = sorted((r.doc_id, r.n_shingles, r.class_id, r.component_id) for r in similar_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect())
+    assert got == sorted([(1, 36, 1, 1), (2, 37, 2, 1), (2, 36, 2, 2), (2, 36, 2, 2), (2, 0, 2, 2), (5, 36, 2, 2), (0, 36, 0, 0), (7, 37, 7, 0), (2, 36, 0, 0)])

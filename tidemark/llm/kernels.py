@@ -209,11 +209,11 @@ def bloom_positions(x: np.ndarray, shift: np.uint64) -> list[np.ndarray]:
 
 
 #: Bits a value of a Bloom filter, and log2 of its least and most bits: 128 KB to 128 MB.
-PER_VALUE, LEAST_BITS, MOST_BITS = 48, 20, 30
+PER_VALUE, LEAST_BITS, MOST_BITS = 24, 20, 30
 
 
 def bloom_size(values: int) -> int:
-    """log2 of the bits of a filter for so many values: a false hit is rarer than 1 in 500 up to 2**30 / 48 values."""
+    """log2 of the bits of a filter for so many values: a false hit is rarer than 1 in 150 up to 2**30 / 24 values."""
     return min(max((max(values, 1) * PER_VALUE - 1).bit_length(), LEAST_BITS), MOST_BITS)
 
 

@@ -4,7 +4,8 @@ Documents A and B link when 100 * |A and B| >= percent * |A or B|, A and B
 being their sets of k-word shingles.  The join is exact (up to 64-bit hashes).
 
 Classes.  Documents with equal sets are one class, joined through the hash of
-the set; from here on there is one row per class.
+the set; from here on there is one row per class, named by the hash of the
+doc_id and text of its first document.
 
 Order.  Any one order of all shingles gives a complete candidate search: two
 linked sets share a shingle among the first n - ceil(n * percent / 100) + 1 of
@@ -117,7 +118,7 @@ def _prefixes(heavy, k: int, percent: int):
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(key[order][take]))
                 common_share = np.r_[0, np.cumsum(key[order][take] >> 60)]
                 core = 100 * (common_share[offsets[1:]] - common_share[offsets[:-1]]) // np.maximum(size, 1)
-                yield pa.record_batch([part.column("doc_id"), pa.array(n), pa.array(K.signed(sums[0])), pa.array(K.signed(sums[1])), pa.array(core), lists], ["doc_id", "n", "k1", "k2", "core", "prefix"])
+                yield pa.record_batch([part.column("doc_id"), part.column("rid"), pa.array(n), pa.array(K.signed(sums[0])), pa.array(K.signed(sums[1])), pa.array(core), lists], ["doc_id", "rid", "n", "k1", "k2", "core", "prefix"])
 
     return run
 
@@ -199,18 +200,19 @@ def _named(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some = K.Bloom(bits.value)
         for batch in batches:
-            yield batch.filter(pa.array(some.has(batch.column("doc_id").to_numpy(zero_copy_only=False))))
+            yield batch.filter(pa.array(some.has(batch.column("rid").to_numpy(zero_copy_only=False))))
 
     return run
 
 
-def compared(base: DataFrame, pairs: DataFrame, k: int, percent: int, log2_bits: int = 23) -> DataFrame:
-    """The pairs (a, b) whose whole texts link.  Only texts named by a pair are shuffled."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+def compared(base: DataFrame, pairs: DataFrame, k: int, percent: int, log2_bits: int | None = None) -> DataFrame:
+    """The pairs (a, b) of rids whose whole texts link.  Only texts named by a pair are shuffled."""
+    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "named")
     bits = base.sparkSession.sparkContext.broadcast(K.bloom(ids, "id", log2_bits))
-    some = base.mapInArrow(_named(bits), "doc_id long, text string")
-    left = some.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = some.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    remove(ids)
+    some = base.select("rid", "text").mapInArrow(_named(bits), "rid long, text string").dropDuplicates(["rid"])
+    left = some.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
+    right = some.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked(k, percent), "a long, b long")
 
 
@@ -221,14 +223,16 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     smallest doc_id reachable by links.  Texts are taken whole, A-Z lower-cased,
     words are `[^\\x20\\x09-\\x0D]+`; fewer than k words are one shingle.  A null,
     empty or blank text has no shingle and links with nothing, itself apart.
-    Rows without doc_id are left out; repeated rows of one doc_id come out
-    alike; other columns are ignored.  An empty table gives no rows.
+    Rows without doc_id are left out; repeated rows come out alike; rows of one
+    doc_id with different texts are documents of their own, each in the class and
+    component of its text; other columns are ignored.  An empty table gives no rows.
     """
-    spark, base = docs.sparkSession, id_text(docs)
+    spark = docs.sparkSession
+    base = id_text(docs).withColumn("rid", F.xxhash64("doc_id", "text"))
     heavy = spark.sparkContext.broadcast(heavy_shingles(base, k))
-    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, n long, k1 long, k2 long, core long, prefix array<long>"), "sets")
-    classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sets.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("rep"), "n", "core", "prefix")
+    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, rid long, n long, k1 long, k2 long, core long, prefix array<long>"), "sets")
+    classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "rid")).alias("f")).select("k1", "k2", "n", F.col("f.doc_id").alias("first"), F.col("f.rid").alias("rep")), "classes")
+    reps = sets.dropDuplicates(["rid"]).join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select(F.col("rid").alias("rep"), "n", "core", "prefix")
     rows = reps.select(F.posexplode("prefix").alias("i", "h"), "rep", "n", "core").select("h", "rep", "n", (F.col("n") - F.col("i")).alias("slack"), "core")
     rows = rows.repartition("h").sortWithinPartitions("h", F.desc("core"), "rep")
     postings = written(rows.mapInArrow(_postings, "h long, rep long, n long, slack long, pivot long, pn long"), "postings")
@@ -262,6 +266,8 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     more = compared(base, cross, k, percent)
     final = components(links.select("a", "b").union(more)).withColumnRenamed("node", "rep")
 
-    of_class = written(classes.join(final, "rep", "left").select("k1", "k2", "n", "rep", F.coalesce("component", "rep").alias("component")), "of-class")
+    grouped = written(classes.join(final, "rep", "left").select("k1", "k2", "n", "first", F.coalesce("component", "rep").alias("c")), "of-component")
+    least = grouped.groupBy("c").agg(F.min("first").alias("component"))
+    of_class = written(grouped.join(least, "c").select("k1", "k2", "n", F.col("first").alias("rep"), "component"), "of-class")
     out = sets.select("doc_id", "n", "k1", "k2").join(of_class, ["k1", "k2", "n"], "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("component", "doc_id").alias("component_id"))
