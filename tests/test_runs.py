@@ -60,16 +60,30 @@ def test_docs_run(spark):
     rows, memo = runs.sitemap_pass(files_, Site(), host, memo, "sig", "2024-02-02")
     assert sorted(r.path for r in rows.collect()) == ["/docs/a", "/docs/b", "/docs/n"]
     assert {(r.family, r.relevant, r.checked) for r in memo.collect()} == {("docs", True, "2024-02-02"), ("bad", True, "2024-01-01")}
-    catalogue = spark.createDataFrame([(f"/docs/{p}", "2024-01-01", f"https://{host}/docs/{p}") for p in "abm"], "path string, lastmod string, url string")
-    q = spark.createDataFrame([], "path string, title string, status int, firstDetected string, lastChecked string")
+    catalogue = spark.createDataFrame([(f"/docs/{p}", "2024-01-01", f"https://{host}/docs/{p}", f"Page {p}", "2024-01-15", "prod") for p in "abm"], "path string, lastmod string, url string, title string, checked string, product string")
+    q = spark.createDataFrame([], "path string, url string, title string, status int, firstDetected string, lastChecked string")
     red = spark.createDataFrame([("/docs/old", "/docs/a", "moved", 301, "2024-01-01", "2024-01-01")], "from string, to string, kind string, status int, firstSeen string, lastSeen string")
-    results = spark.createDataFrame([("/docs/m", "moved", 301, "/docs"), ("/docs/n", "gone", 404, None)], "path string, outcome string, status int, to string")
-    out = runs.docs_run(rows, catalogue, catalogue.select("path"), q, red, results, none(spark), "2024-02-02")
+    results = spark.createDataFrame([("/docs/m", "moved", 301, "/docs", None), ("/docs/n", "gone", 404, None, None), ("/docs/a", "live", 200, None, "New A")], "path string, outcome string, status int, to string, title string")
+    out = runs.docs_run(rows, catalogue, catalogue.select("path", "lastmod"), q, red, results, none(spark), "2024-02-02")
     assert {r.path: r.action for r in out.plan.collect()} == {"/docs/a": "changed", "/docs/b": "kept", "/docs/n": "new", "/docs/m": "missing"}
-    assert sorted(r.path for r in out.index.collect()) == ["/docs/a", "/docs/b"]
+    assert sorted(r.path for r in out.index.collect()) == ["/docs/a", "/docs/b", "/docs/n"]  # a new page that is not there yet is a sitemap ahead of its site
+    assert {tuple(r) for r in out.records.collect()} == {("/docs/a", f"https://{host}/docs/a", "New A", "2024-02-01", "2024-02-02", "prod"), ("/docs/b", f"https://{host}/docs/b", "Page b", "2024-01-01", "2024-01-15", "prod")}
     assert {(r["from"], r.kind) for r in out.redirects.collect()} == {("/docs/old", "moved"), ("/docs/m", "landing")}
-    assert {(r.path, r.outcome) for r in out.ledger.collect()} == {("/docs/old", "moved"), ("/docs/m", "landing"), ("/docs/n", "gone")}
-    assert {(r.path, r.phase) for r in runs.queue_budget(out.plan).collect()} == {("/docs/a", "fetch"), ("/docs/n", "fetch"), ("/docs/b", "verify"), ("/docs/m", "missing")}
+    assert {(r.path, r.outcome) for r in out.ledger.collect()} == {("/docs/old", "moved"), ("/docs/m", "landing")}
+    assert {r.name: r.n for r in out.counts.collect()} == {"indexUrls": 3, "catalogRecords": 2, "pendingNew": 1, "deferredChanged": 0, "deferredMissing": 0, "quarantined": 0, "moved": 1, "released": 0}
+    assert {(r.path, r.phase) for r in runs.queue_budget(out.plan, today="2024-02-02").collect()} == {("/docs/a", "fetch"), ("/docs/n", "fetch"), ("/docs/b", "verify"), ("/docs/m", "missing")}
+
+
+def test_nested_sitemap_indexes(spark):
+    index = lambda *locs: "<sitemapindex>" + "".join(f"<sitemap><loc>{x}</loc></sitemap>" for x in locs) + "</sitemapindex>"
+    pages = "<urlset><url><loc>https://h/en-us/p</loc></url></urlset>"
+    table = [("r", index("a", "b", "r")), ("a", index("a1", "r", "gone")), ("a1", pages), ("b", pages), ("gone", None), ("other", pages), ("s", index("b", "never"))]
+    files_ = spark.createDataFrame(table, "loc string, xml string")
+    found, failed = runs.sitemap_rounds(files_, spark.createDataFrame([("r", "one"), ("s", "two")], "loc string, family string"))
+    assert {(r.family, r.loc) for r in found.collect()} == {("one", "a1"), ("one", "b"), ("two", "b")}
+    assert {(r.family, r.loc) for r in failed.collect()} == {("one", "gone"), ("two", "never")}
+    found, failed = runs.sitemap_rounds(files_, spark.createDataFrame([("r", "one")], "loc string, family string"), most_rounds=1)
+    assert {r.loc for r in found.collect()} == {"b"} and {r.loc for r in failed.collect()} == {"a"}
 
 
 def test_links_tocs_and_seeds(spark):

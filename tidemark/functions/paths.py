@@ -18,6 +18,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def trimmed(c: Column | str) -> Column:
+    """Without white space of any kind at either end."""
+    return F.regexp_replace(col(c), r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$", "")
+
+
 def url_path(c: Column | str) -> Column:
     """The path of an http(s) URL as it stands, '' for none."""
     return F.regexp_extract(col(c), r"(?i)^https?://[^/?#]*([^?#]*)", 1)
@@ -163,7 +168,7 @@ def first_mapping(path: Column | str, mappings: list[tuple[str, str]]) -> Column
 
 
 def exam_code(name: Column | str) -> Column:
-    return F.lower(F.trim(col(name)))
+    return F.lower(trimmed(name))
 
 
 def exam_code_of_uid(uid: Column | str) -> Column:

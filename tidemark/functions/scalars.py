@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import Scope
-from .paths import col
+from .paths import col, trimmed
 
 
 def is_iso_date(c: Column | str) -> Column:
@@ -49,7 +49,7 @@ def age_hours(stamp: Column | str, now: str) -> Column:
 
 
 def text_or_null(c: Column | str) -> Column:
-    return F.when(F.length(F.trim(col(c))) > 0, col(c))
+    return F.when(trimmed(c) != "", col(c))
 
 
 def family_of_kind(kind: Column | str) -> Column:
@@ -83,12 +83,10 @@ def day_prefix(c: Column | str) -> Column:
 
 
 def fnv32(c: Column | str) -> Column:
-    """FNV-1a, 32 bits, over the characters' codes."""
-    return F.aggregate(
-        F.filter(F.split(col(c), ""), lambda x: x != ""),
-        F.lit(2166136261).cast("long"),
-        lambda h, x: (h.bitwiseXOR(F.ascii(x).cast("long")) * F.lit(16777619)).bitwiseAND(F.lit(4294967295)),
-    )
+    """FNV-1a, 32 bits, over the UTF-16 units of a text."""
+    codes = F.transform(F.filter(F.split(col(c), ""), lambda x: x != ""), lambda x: F.ascii(x).cast("long"))
+    units = F.flatten(F.transform(codes, lambda x: F.when(x < 65536, F.array(x)).otherwise(F.array(F.floor((x - 65536) / 1024) + 55296, (x - 65536) % 1024 + 56320))))
+    return F.aggregate(units, F.lit(2166136261).cast("long"), lambda h, x: (h.bitwiseXOR(x) * F.lit(16777619)).bitwiseAND(F.lit(4294967295)))
 
 
 def sha1_lines(*parts: Column) -> Column:

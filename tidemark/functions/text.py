@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .paths import col
+from .paths import col, trimmed
 
 #: Entities by name (fixed values); &amp; comes last so that nothing is decoded twice.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
@@ -32,7 +32,7 @@ def decoded(c: Column | str, entities=ENTITIES) -> Column:
 
 
 def decoded_xml(c: Column | str) -> Column:
-    out = F.trim(col(c))
+    out = trimmed(c)
     for name, text in XML_ENTITIES:
         out = F.replace(out, F.lit(name), F.lit(text))
     return out
@@ -102,7 +102,7 @@ def is_noindex(meta: Column | str) -> Column:
 
 def clean_title(c: Column | str, suffix: str = r"\s*\|\s*[^|]*$") -> Column:
     """A title without the site's suffix."""
-    return F.trim(F.regexp_replace(col(c), suffix, ""))
+    return trimmed(F.regexp_replace(col(c), suffix, ""))
 
 
 def record_from_head(title: Column | str, meta: Column | str) -> Column:

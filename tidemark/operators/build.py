@@ -79,47 +79,6 @@ def resolve_units(modules: DataFrame, plan: DataFrame, previous: DataFrame, fetc
     return rows.select("uid", urls.alias("unitUrls"), F.when(F.col("_o") == "not-found", True).alias("hierarchyNotFound"))
 
 
-def docs_plan(sitemap: DataFrame, catalogue: DataFrame, previous_index: DataFrame, quarantine: DataFrame) -> DataFrame:
-    """path, action of every path known anywhere: new, changed, kept, bootstrapped, quarantined, missing or dropped."""
-    s = sitemap.select("path", F.col("lastmod").alias("s_mod"), F.lit(True).alias("s"))
-    c = catalogue.select("path", F.col("lastmod").alias("c_mod"), F.lit(True).alias("c"))
-    i = previous_index.select("path", F.lit(True).alias("i"))
-    q = quarantine.select("path", F.lit(True).alias("q"))
-    rows = s.join(c, "path", "full").join(i, "path", "full").join(q, "path", "full")
-    action = (
-        F.when(F.col("q"), "quarantined")
-        .when(F.col("s") & F.col("c") & F.col("c_mod").isNull(), "bootstrapped")
-        .when(F.col("s") & F.col("c") & ~F.col("c_mod").eqNullSafe(F.col("s_mod")), "changed")
-        .when(F.col("s") & F.col("c"), "kept")
-        .when(F.col("s"), "new")
-        .when(F.col("c") | F.col("i"), "missing")
-        .otherwise("dropped")
-    )
-    return rows.select("path", action.alias("action"))
-
-
-def docs_reconcile(plan: DataFrame, results: DataFrame) -> DataFrame:
-    """path, state: what a run does with each path; results (path, outcome), none = not asked.
-
-    keep, update, add, redirect, quarantine, restore, remove or defer.  Transient
-    answers defer, and never change what is there.
-    """
-    rows = plan.join(results.select("path", "outcome"), "path", "left")
-    a, o = F.col("action"), F.col("outcome")
-    state = (
-        F.when(o.isNull() | (o == "transient"), F.when(a.isin("kept", "bootstrapped"), "keep").otherwise("defer"))
-        .when(o == "moved", "redirect")
-        .when((o == "gone") & (a == "quarantined"), "quarantine")
-        .when((o == "gone") & (a == "missing"), "remove")
-        .when(o == "gone", "quarantine")
-        .when(a == "quarantined", "restore")
-        .when(a == "new", "add")
-        .when(a == "changed", "update")
-        .otherwise("keep")
-    )
-    return rows.select("path", "action", state.alias("state"))
-
-
 def update_families(memo: DataFrame, families: DataFrame, outcomes: DataFrame, signature: str, today: str) -> DataFrame:
     """The sitemap memo after a run: families found relevant or not; failed downloads never make one irrelevant."""
     rows = families.select("family").distinct().join(memo, "family", "left").join(outcomes.select("family", F.col("rows").alias("_n"), F.col("failed").alias("_f")), "family", "left")

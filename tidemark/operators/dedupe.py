@@ -59,10 +59,15 @@ def strongest_candidate(candidates: DataFrame, priority: Sequence[str]) -> DataF
     return first_per(candidates.where(rank > 0), ["path"], [rank, F.asc("kind"), F.asc_nulls_last("title")])
 
 
-def fold_quarantine(rows: DataFrame, key: str = "path") -> DataFrame:
-    """Per key the first firstDetected and the status of the last check."""
-    last = F.max(F.struct(F.coalesce("lastChecked", F.lit("")).alias("c"), F.col("status").alias("s")))
-    return rows.groupBy(key).agg(F.min("firstDetected").alias("firstDetected"), last.alias("_l")).select(key, "firstDetected", F.nullif(F.col("_l.c"), F.lit("")).alias("lastChecked"), F.col("_l.s").alias("status"))
+def fold_quarantine(rows: DataFrame, key: str = "path", ordinal: str | None = None) -> DataFrame:
+    """Per key the first firstDetected, and all else of the row checked last; of equals the one with the smallest ordinal, or the smallest row."""
+    first = [F.col(ordinal)] if ordinal else []
+    rest = [c for c in rows.columns if c not in (key, "firstDetected", ordinal)]
+    # texts compare ascending, so the latest check is the greatest struct; other columns are turned into a rank of their own
+    latest = rows.groupBy(key).agg(F.min("firstDetected").alias("firstDetected"), F.max(F.coalesce("lastChecked", F.lit(""))).alias("_last"))
+    held = rows.drop("firstDetected").join(latest, key).where(F.coalesce("lastChecked", F.lit("")) == F.col("_last"))
+    chosen = F.min_by(F.struct(*rest), F.struct(*first, *[F.col(c).alias(f"_{i}") for i, c in enumerate(rest)]))
+    return held.groupBy(key, "firstDetected").agg(chosen.alias("_w")).select(key, "firstDetected", *[F.col(f"_w.{c}").alias(c) for c in rest])
 
 
 def last_per_path(*groups: DataFrame) -> DataFrame:

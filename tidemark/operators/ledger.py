@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError
-from ..functions.paths import canonical_path, entry_path
+from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError, Scope
+from ..functions.paths import canonical_path, entry_path, in_scope
 from ..functions.scalars import family_of_kind, is_iso_date, text_or_null
 from .dedupe import first_per, prefer_entry
 from .joins import has_ancestor_in
@@ -57,14 +61,18 @@ def normal_ledger(raw: DataFrame, host: str | None = None, strict: bool = False)
     return prefer_entry(rows.where("problem is null").select(COLUMNS))
 
 
-def apply_changes(ledger: DataFrame, candidates: DataFrame, results: DataFrame, live: DataFrame, family: str, today: str) -> DataFrame:
+def apply_changes(ledger: DataFrame, candidates: DataFrame, results: DataFrame, live: DataFrame, family: str, today: str, host: str | None = None) -> DataFrame:
     """One step of a family's entries: resurrect, upsert, apply probe results, collapse covered units, route to files.
 
     candidates (path, kind, parent, title, evidence, firstSeen), results (path,
-    outcome, to, status), live (path).  Transient results change nothing, a
-    second run with the same input gives the same ledger, and the order of
-    rows does not matter.  The other family passes through.
+    outcome, to, status), live (path).  A candidate fills the title and the
+    parent of a known entry, and never dates it anew; a result sets outcome,
+    status, and the destination of all that is not gone.  Transient results
+    change nothing, a second run with the same input gives the same ledger, and
+    the order of rows does not matter.  The other family passes through.
     """
+    if family not in FAMILIES or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", today):
+        raise LedgerError(f"a run needs a family ({', '.join(FAMILIES)}) and a day, not {family!r} and {today!r}")
     mine, other = ledger.where(F.col("family") == family), ledger.where(F.col("family") != family)
     seen = results.select("path", F.col("outcome").alias("r_outcome"), F.col("to").alias("r_to"), F.col("status").alias("r_status"))
     seen = first_per(seen, ["path"], [F.asc("r_outcome"), F.asc_nulls_last("r_to"), F.asc_nulls_last("r_status")])
@@ -81,7 +89,7 @@ def apply_changes(ledger: DataFrame, candidates: DataFrame, results: DataFrame,
         F.col("to"),
         F.coalesce("title", "c_title").alias("title"),
         F.coalesce("parent", "c_parent").alias("parent"),
-        F.when(fresh, F.coalesce("c_firstSeen", F.lit(today))).otherwise(F.least("firstSeen", F.coalesce("c_firstSeen", "firstSeen"))).alias("firstSeen"),
+        F.when(fresh, F.coalesce("c_firstSeen", F.lit(today))).otherwise(F.col("firstSeen")).alias("firstSeen"),
         "lastVerified",
         F.coalesce("evidence", "c_evidence").alias("evidence"),
         "status",
@@ -91,8 +99,8 @@ def apply_changes(ledger: DataFrame, candidates: DataFrame, results: DataFrame,
     rows = rows.withColumns(
         {
             "outcome": F.when(told, F.col("r_outcome")).otherwise(F.col("outcome")),
-            "to": F.when(told, F.when(F.col("r_outcome").isin("moved", "landing"), F.col("r_to"))).otherwise(F.col("to")),
-            "status": F.when(told, F.coalesce("r_status", "status")).otherwise(F.col("status")),
+            "to": F.when(told, F.when(F.col("r_outcome") != "gone", canonical_path("r_to", host))).otherwise(F.col("to")),
+            "status": F.when(told, F.col("r_status")).otherwise(F.col("status")),
             "lastVerified": F.when(told, F.lit(today)).otherwise(F.col("lastVerified")),
         }
     ).drop("r_outcome", "r_to", "r_status")
@@ -144,12 +152,17 @@ def normal_redirects(rows: DataFrame, host: str | None = None) -> DataFrame:
     return first_per(good, ["from"], [F.desc_nulls_last("lastSeen"), F.asc("kind"), F.asc_nulls_last("to")])
 
 
-def update_redirects(previous: DataFrame, discovered: DataFrame, contradicted: DataFrame, index: DataFrame, previous_index: DataFrame, today: str) -> DataFrame:
+def update_redirects(previous: DataFrame, discovered: DataFrame, contradicted: DataFrame, index: DataFrame, previous_index: DataFrame, today: str, scopes: tuple[Scope, ...] = ()) -> DataFrame:
     """Redirects without those that reappeared in the index, were contradicted by a probe or left the scope, and with those discovered.
 
     A path reappears when the index has it and the previous index had not; an
-    empty previous index proves nothing.  Known ones keep their firstSeen.
+    empty previous index proves nothing.  Known ones keep their firstSeen.  With
+    scopes, starts outside all of them go; a path that leads to itself is none.
     """
+    if scopes:
+        inside = reduce(or_, (in_scope("from", s) for s in scopes))
+        previous, discovered = previous.where(inside), discovered.where(inside)
+    discovered = discovered.where(~F.col("from").eqNullSafe(F.col("to")))
     back = index.select(F.col("path").alias("from")).join(previous_index.select(F.col("path").alias("from")), "from", "left_anti")
     if previous_index.isEmpty():
         back = back.limit(0)

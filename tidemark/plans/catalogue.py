@@ -4,10 +4,6 @@ Stand-ins: pages.url are links, pages.html page bodies; orders with
 o_orderkey % 10 <> 0 and <> 1 are two snapshots; lineitem holds ordered unit
 lists; region and nation a taxonomy; events probe results and daily snapshots;
 documents catalogue records; labels a partial truth.
-
-scope_three_hop, check_changes, carry_forward and page_title run over a part of
-their table, as their SQL does; the queries of these names with _all run over
-the whole table.
 """
 
 from __future__ import annotations
@@ -21,7 +17,7 @@ from ..config import Scope, Site
 from ..functions import paths as P
 from ..functions import scalars as S
 from ..functions import text as X
-from ..operators import build, classify, dedupe, diff, history, joins, ledger, quality, queues
+from ..operators import build, classify, dedupe, diff, docs, history, joins, ledger, quality, queues
 from . import report, validate
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -224,12 +220,6 @@ def suggest_slug(spark, sf):
 # ---- text
 
 
-@query("SELECT page_id, trim(regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si'), '\\s+', ' ', 'g')) AS title FROM pages WHERE NOT contains(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si'), '&')")
-def page_title(spark, sf):
-    raw = F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return T(spark, sf, "pages").where(~F.contains(raw, F.lit("&"))).select("page_id", X.page_title("html").alias("title"))
-
-
 def _decoded_sql(sql: str) -> str:
     for name, text in X.ENTITIES:
         sql = "replace(" + ", ".join([sql, *("'" + x.replace("'", "''") + "'" for x in (name, text))]) + ")"
@@ -240,7 +230,7 @@ _TITLE = _decoded_sql("regexp_replace(regexp_extract(html, '<title[^>]*>(.*?)</t
 
 
 @query(f"SELECT page_id, nullif(trim(regexp_replace({_TITLE}, '[\\s\u00a0]+', ' ', 'g')), '') AS title FROM pages")
-def page_title_all(spark, sf):
+def page_title(spark, sf):
     """A row for every page; the SQL knows named entities only."""
     return T(spark, sf, "pages").select("page_id", X.page_title("html").alias("title"))
 
@@ -279,14 +269,15 @@ def link_kinds(spark, sf):
     return h.groupBy("page_id", classify.link_kind(F.lower("h")).alias("kind")).agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""SELECT '/c/' || conv_id AS folder, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY role) - 1 AS INT) AS ord, role AS title, string_agg('t' || turn, ',' ORDER BY 't' || turn) AS pages FROM conversations WHERE turn IS NOT NULL GROUP BY conv_id, role""")
 def toc_groups(spark, sf):
     """Sidebars from conversations: a group per role, its turns the pages."""
     c = T(spark, sf, "conversations").where("turn is not null")
     item = F.struct(F.col("role").alias("toc_title"), F.concat(F.lit("t"), "turn").alias("href"))
     g = c.groupBy("conv_id", "role").agg(F.sort_array(F.collect_list(item)).alias("children"))
     t = g.groupBy("conv_id").agg(F.to_json(F.struct(F.sort_array(F.collect_list(F.struct(F.col("role").alias("toc_title"), "children"))).alias("items"))).alias("toc"))
-    return X.flatten_toc(t.select(F.concat(F.lit("/c/"), "conv_id").alias("folder"), "toc"))
+    flat = X.flatten_toc(t.select(F.concat(F.lit("/c/"), "conv_id").alias("folder"), "toc"))
+    return flat.select("folder", "ord", F.array_join("title", " / ").alias("title"), F.array_join("pages", ",").alias("pages"))
 
 
 # ---- winners and rows
@@ -375,13 +366,13 @@ def _apply(spark, sf):
     o = orders(spark, sf)
     none = F.lit(None).cast("string")
     old = o.where("o_orderkey % 4 = 0").select(F.lit("removed").alias("file"), "path", F.lit("module").alias("kind"), F.lit("learn").alias("family"), F.lit("unverified").alias("outcome"), none.alias("to"), "title", none.alias("parent"), F.col("day").alias("firstSeen"), none.alias("lastVerified"), F.lit("tombstone").alias("evidence"), F.lit(None).cast("int").alias("status"))
-    new = o.where("o_orderkey % 4 in (0, 1)").select("path", F.lit("module").alias("kind"), none.alias("parent"), "title", F.lit("rename").alias("evidence"), F.lit("2024-06-01").alias("firstSeen"))
+    new = o.where("o_orderkey % 4 in (0, 1)").select("path", F.lit("module").alias("kind"), none.alias("parent"), "title", F.lit("rename").alias("evidence"), F.lit("2023-06-01").alias("firstSeen"))
     results = o.where("o_orderkey % 3 = 0").select("path", F.when(F.col("o_orderkey") % 9 == 0, "transient").when(F.col("o_orderkey") % 2 == 0, "moved").otherwise("gone").alias("outcome"), F.concat("path", F.lit("-new")).alias("to"), F.lit(301).alias("status"))
     return ledger.apply_changes(old, new, results, o.where("o_orderkey % 25 = 0").select("path"), "learn", "2024-06-02")
 
 
 _APPLY = f"""(SELECT path, CASE WHEN told AND o_orderkey % 2 = 0 THEN 'moved' ELSE 'removed' END AS file, CASE WHEN NOT told THEN 'unverified' WHEN o_orderkey % 2 = 0 THEN 'moved' ELSE 'gone' END AS outcome, CASE WHEN told AND o_orderkey % 2 = 0 THEN path || '-new' END AS "to",
- CASE WHEN o_orderkey % 4 = 0 THEN least(day, '2024-06-01') ELSE '2024-06-01' END AS "firstSeen", CASE WHEN told THEN '2024-06-02' END AS "lastVerified", CASE WHEN o_orderkey % 4 = 0 THEN 'tombstone' ELSE 'rename' END AS evidence
+ CASE WHEN o_orderkey % 4 = 0 THEN day ELSE '2023-06-01' END AS "firstSeen", CASE WHEN told THEN '2024-06-02' END AS "lastVerified", CASE WHEN o_orderkey % 4 = 0 THEN 'tombstone' ELSE 'rename' END AS evidence
  FROM (SELECT *, o_orderkey % 3 = 0 AND o_orderkey % 9 <> 0 AS told FROM {ORDERS} WHERE o_orderkey % 4 IN (0, 1) AND o_orderkey % 25 <> 0))"""
 
 
@@ -449,16 +440,8 @@ def changed_rows(spark, sf):
     return diff.changed_rows(o.where(PREV), new, "uid")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 4 <> 0 THEN l_suppkey WHEN l_orderkey % 2 = 0 THEN l_suppkey END AS l_suppkey FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_linenumber = 1 QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_suppkey) = 1)""")
-def carry_forward(spark, sf):
-    li = T(spark, sf, "lineitem").where("l_linenumber = 1").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    one = dedupe.first_per(li, ["l_orderkey"], [F.asc("l_partkey"), F.asc("l_suppkey")])
-    holes = one.withColumn("l_suppkey", F.when(F.col("l_partkey") % 4 != 0, F.col("l_suppkey")))
-    return diff.carry_forward(holes, one, "l_orderkey", "l_suppkey", F.col("l_orderkey") % 2 == 0)
-
-
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 4 <> 0 THEN l_suppkey WHEN l_orderkey % 2 = 0 THEN l_suppkey END AS l_suppkey FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) = 1)""")
-def carry_forward_all(spark, sf):
+def carry_forward(spark, sf):
     """The first line of every order, whatever its number."""
     li = T(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     one = dedupe.first_per(li, ["l_orderkey"], [F.asc("l_linenumber"), F.asc("l_partkey"), F.asc("l_suppkey")])
@@ -520,17 +503,8 @@ def fallback_codes(spark, sf):
     return build.exam_codes(certs, exams).select("uid", F.array_join("exams", ",").alias("exams"))
 
 
-@query("""SELECT DISTINCT '/part/' || p_partkey AS path FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey JOIN part ON p_partkey = l_partkey WHERE c_custkey % 50 = 0""")
-def scope_three_hop(spark, sf):
-    c = T(spark, sf, "customer").where("c_custkey % 50 = 0").select("c_custkey")
-    courses = c.join(T(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey").agg(F.collect_set(F.concat(F.lit("o"), "o_orderkey")).alias("refs"))
-    lp = _lines(spark, sf).select(F.concat(F.lit("o"), "l_orderkey").alias("uid"), F.transform("ids", lambda x: F.concat(F.lit("p"), x)).alias("modules"))
-    parts = T(spark, sf, "part").select(F.concat(F.lit("p"), "p_partkey").alias("uid"), F.concat(F.lit("/part/"), "p_partkey").alias("path"))
-    return joins.scope_modules(courses, courses.limit(0), lp, parts.limit(0), parts)
-
-
 @query("""SELECT DISTINCT '/part/' || p_partkey AS path FROM part WHERE p_size = 1 OR p_partkey IN (SELECT l_partkey FROM customer JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey)""")
-def scope_three_hop_all(spark, sf):
+def scope_three_hop(spark, sf):
     """All customers: those in MACHINERY are guides, the others courses; parts of size 1 are listed directly."""
     c = T(spark, sf, "customer").select("c_custkey", F.coalesce(F.col("c_mktsegment") == "MACHINERY", F.lit(False)).alias("guide"))
     lists = c.join(T(spark, sf, "orders"), F.col("o_custkey") == F.col("c_custkey")).groupBy("c_custkey", "guide").agg(F.collect_set(F.concat(F.lit("o"), "o_orderkey")).alias("refs"))
@@ -555,27 +529,57 @@ def unit_signature(spark, sf):
 # ---- plans and queues
 
 
-_PLAN = """(SELECT o_orderkey, '/training/modules/m' || o_orderkey AS path, CASE WHEN o_orderkey % 13 = 0 THEN 'quarantined' WHEN o_orderkey % 10 = 0 THEN 'new' WHEN o_orderkey % 10 = 1 THEN 'missing' WHEN o_orderkey % 6 = 0 THEN 'changed' ELSE 'kept' END AS action FROM orders)"""
+#: Every order is a path of the read scope, every 17th one of the scope that is only listed.
+DOCS_SITE = Site(learn=Scope(("/training",), ("/training/modules/x",)), index=Scope(("/ref",)))
+_K = {"s": "o_orderkey % 10 <> 1", "c": "o_orderkey % 10 <> 0 AND o_orderkey % 17 <> 0", "i": "o_orderkey % 9 <> 0", "q": "o_orderkey % 13 = 0", "r": "o_orderkey % 19 < 5", "untitled": "o_orderkey % 11 = 0", "unstamped": "o_orderkey % 7 = 0", "newer": "o_orderkey % 6 = 0"}
+_PLAN = """(SELECT *, CASE WHEN q THEN 'quarantined' WHEN s AND o_orderkey % 17 = 0 THEN 'index-only' WHEN s AND NOT c AND r AND i THEN 'redirecting' WHEN s AND NOT c THEN 'new' WHEN s AND untitled THEN 'changed'
+ WHEN s AND unstamped THEN 'bootstrapped' WHEN s AND newer THEN 'changed' WHEN s THEN 'kept' WHEN c OR i THEN 'missing' END AS action, CASE WHEN o_orderkey % 17 = 0 THEN '/ref/m' ELSE '/training/modules/m' END || o_orderkey AS path
+ FROM (SELECT o_orderkey, """ + ", ".join(f"{v} AS {k}" for k, v in _K.items()) + " FROM orders))"
 
 
 def _plan(spark, sf):
     o = orders(spark, sf)
-    sitemap = o.where(NEXT).select("path", F.when(F.col("o_orderkey") % 6 == 0, "2024-06-01").otherwise(F.col("day")).alias("lastmod"))
-    catalogue = o.where(PREV).select("path", F.col("day").alias("lastmod"))
-    return build.docs_plan(sitemap, catalogue, o.where(PREV).select("path"), o.where("o_orderkey % 13 = 0").select("path"))
+    o = o.withColumn("path", F.when(F.col("o_orderkey") % 17 == 0, F.concat(F.lit("/ref/m"), "o_orderkey")).otherwise(F.col("path"))).withColumn("url", F.concat(F.lit("https://site.example"), "path"))
+    flag = {k: F.expr(v) for k, v in _K.items()}
+    sitemap = o.where(flag["s"]).select("path", "url", F.when(flag["newer"], "2024-06-01").otherwise(F.col("day")).alias("lastmod"))
+    catalogue = o.where("o_orderkey % 10 <> 0").select("path", "url", F.when(~flag["untitled"], F.col("title")).alias("title"), F.when(~flag["unstamped"], F.col("day")).alias("lastmod"), F.lit("2024-05-01").alias("checked"))
+    quarantine = o.where(flag["q"]).select("path", "url", F.when(~flag["untitled"], F.col("title")).alias("title"), F.lit(404).alias("status"), F.col("day").alias("firstDetected"), F.col("day").alias("lastChecked"))
+    redirects = o.select(F.col("path").alias("from"), F.when(flag["r"], "2024-05-20").otherwise("2024-01-01").alias("lastSeen"))
+    return docs.plan(sitemap, catalogue, o.where(flag["i"]).select("path", F.col("day").alias("lastmod")), quarantine, redirects, "2024-06-01", DOCS_SITE)
 
 
-@query(f"SELECT path, action FROM {_PLAN}")
+@query(f"""SELECT path, action, CASE WHEN action = 'changed' THEN CASE WHEN untitled THEN 'untitled' ELSE 'lastmod' END END AS reason FROM {_PLAN} WHERE action IS NOT NULL""")
 def plan_actions(spark, sf):
-    return _plan(spark, sf)
+    return _plan(spark, sf).select("path", "action", "reason")
+
+
+_STATES = f"""(SELECT *, CASE WHEN action IN ('index-only', 'redirecting') OR o IS NULL THEN 'untouched' WHEN o = 'transient' THEN 'transient' WHEN o = 'moved' THEN 'moved' WHEN o = 'gone' AND action = 'quarantined' THEN 'still-gone'
+ WHEN o = 'gone' AND action = 'new' THEN 'not-yet-there' WHEN o = 'gone' THEN 'quarantined' WHEN action = 'quarantined' THEN 'released' WHEN action IN ('new', 'changed') AND o_orderkey % 8 = 1 THEN 'noindex'
+ WHEN action IN ('new', 'changed') AND o_orderkey % 4 <> 0 THEN 'read' WHEN action = 'changed' AND NOT untitled THEN 'kept-title' WHEN action IN ('new', 'changed') THEN 'untitled' ELSE 'confirmed' END AS state
+ FROM (SELECT *, CASE o_orderkey % 5 WHEN 1 THEN 'transient' WHEN 2 THEN 'moved' WHEN 3 THEN 'gone' WHEN 4 THEN 'live' END AS o FROM {_PLAN} WHERE action IS NOT NULL))"""
+_HELD = "((action = 'quarantined' AND state NOT IN ('released', 'moved')) OR state = 'quarantined')"
+
+
+def _reconciled(spark, sf):
+    k = F.col("o_orderkey")
+    o = orders(spark, sf).withColumn("path", F.when(k % 17 == 0, F.concat(F.lit("/ref/m"), "o_orderkey")).otherwise(F.col("path")))
+    outcome = F.when(k % 5 == 1, "transient").when(k % 5 == 2, "moved").when(k % 5 == 3, "gone").otherwise("live")
+    results = o.where("o_orderkey % 5 <> 0").select("path", outcome.alias("outcome"), F.lit(404).alias("status"), F.concat("path", F.lit("-v2")).alias("to"), F.when(k % 4 != 0, F.col("title")).alias("title"), (k % 8 == 1).alias("noindex"))
+    return docs.reconcile(_plan(spark, sf), results, "2024-06-01", DOCS_SITE)
 
 
-@query(f"""SELECT path, action, CASE WHEN o IS NULL OR o = 'transient' THEN (CASE WHEN action = 'kept' THEN 'keep' ELSE 'defer' END) WHEN o = 'moved' THEN 'redirect' WHEN o = 'gone' AND action = 'missing' THEN 'remove' WHEN o = 'gone' THEN 'quarantine' WHEN action = 'quarantined' THEN 'restore' WHEN action = 'new' THEN 'add' WHEN action = 'changed' THEN 'update' ELSE 'keep' END AS state
- FROM (SELECT *, CASE o_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'transient' WHEN 2 THEN 'moved' WHEN 3 THEN 'gone' ELSE 'live' END AS o FROM {_PLAN})""")
+@query(f"""SELECT path, action, state, (s OR (action = 'missing' AND state NOT IN ('moved', 'quarantined')) OR state = 'released') AND NOT {_HELD} AS in_index,
+ CASE WHEN {_HELD} OR o_orderkey % 17 = 0 THEN false WHEN state IN ('noindex', 'untitled') THEN false WHEN state = 'moved' AND action <> 'quarantined' THEN false WHEN state = 'read' THEN true WHEN state = 'released' AND NOT untitled THEN true ELSE c END AS in_catalogue,
+ {_HELD} AS quarantined, state IN ('read', 'noindex', 'kept-title', 'untitled', 'confirmed', 'released', 'quarantined', 'not-yet-there') AS contradicted, CASE WHEN state = 'moved' THEN path || '-v2' END AS moved_to FROM {_STATES}""")
 def reconcile_actions(spark, sf):
-    k = F.col("o_orderkey") % 5
-    results = orders(spark, sf).where("o_orderkey % 5 <> 0").select("path", F.when(k == 1, "transient").when(k == 2, "moved").when(k == 3, "gone").otherwise("live").alias("outcome"))
-    return build.docs_reconcile(_plan(spark, sf), results)
+    return _reconciled(spark, sf).select("path", "action", "state", "in_index", "in_catalogue", "quarantined", "contradicted", "moved_to")
+
+
+@query(f"""SELECT path, CASE WHEN state = 'read' THEN CASE WHEN s THEN (CASE WHEN newer THEN '2024-06-01' ELSE day END) END WHEN state = 'released' AND NOT untitled THEN 'released' WHEN action = 'bootstrapped' THEN CASE WHEN newer THEN '2024-06-01' ELSE day END WHEN c AND NOT unstamped THEN day END AS lastmod,
+ CASE WHEN state IN ('read', 'confirmed') OR (state = 'released' AND NOT untitled) THEN '2024-06-01' WHEN c THEN '2024-05-01' END AS checked, CASE WHEN {_HELD} THEN CASE WHEN state = 'quarantined' THEN '2024-06-01' ELSE day END END AS "firstDetected",
+ CASE WHEN {_HELD} THEN CASE WHEN state IN ('quarantined', 'still-gone') THEN '2024-06-01' ELSE day END END AS "lastChecked" FROM (SELECT x.*, strftime(o_orderdate, '%Y-%m-%d') AS day FROM {_STATES} x JOIN orders USING (o_orderkey))""")
+def reconcile_dates(spark, sf):
+    return _reconciled(spark, sf).select("path", "lastmod", "checked", "firstDetected", "lastChecked")
 
 
 @query("""SELECT doc_id FROM documents ORDER BY CASE WHEN n_chars % 3 = 0 THEN '' ELSE lpad(CAST(n_chars AS VARCHAR), 9, '0') END, doc_id LIMIT 200""")
@@ -697,14 +701,8 @@ def freshness(spark, sf):
     return report.freshness(e, "2024-02-01 00:00:00")
 
 
-@query(f"SELECT * FROM (WITH c AS ({_CHASE}) SELECT '/p/' || o_orderkey AS link, coalesce(c.state, 'none') AS status, c.\"to\" FROM orders LEFT JOIN c ON c.link = '/p/' || o_orderkey WHERE o_orderkey % 2 = 0)")
-def check_changes(spark, sf):
-    links = orders(spark, sf).where("o_orderkey % 2 = 0").select(F.concat(F.lit("/p/"), "o_orderkey").alias("url"))
-    return report.check_links(links, edges(spark, sf)).select("link", "status", "to")
-
-
 @query(f"SELECT * FROM (WITH c AS ({_CHASE}) SELECT '/p/' || o_orderkey AS link, coalesce(c.state, 'none') AS status, c.\"to\" FROM orders LEFT JOIN c ON c.link = '/p/' || o_orderkey)")
-def check_changes_all(spark, sf):
+def check_changes(spark, sf):
     """Every order is a link."""
     links = orders(spark, sf).select(F.concat(F.lit("/p/"), "o_orderkey").alias("url"))
     return report.check_links(links, edges(spark, sf)).select("link", "status", "to")
@@ -717,3 +715,6 @@ def windowed_events(spark, sf):
 
     out = windowed_counts(T(spark, sf, "events"), "ts", "event_type")
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
+
+
+from . import catalogue_more  # noqa: E402, F401  (registers the other queries)

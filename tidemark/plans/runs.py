@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..config import Limits, Site
 from ..functions.paths import in_scope, parent_path
 from ..functions.scalars import json_signature
-from ..operators import build, classify, dedupe, diff, history, ledger, quality, queues
+from ..operators import build, classify, dedupe, diff, docs, history, ledger, quality, queues
 from . import validate
 
 Probe = Callable[[DataFrame], DataFrame]
@@ -70,40 +71,42 @@ def content_run(current: DataFrame, probes: DataFrame, previous: DataFrame, prev
 @dataclass
 class DocsResult:
     plan: DataFrame
+    records: DataFrame
     index: DataFrame
     quarantine: DataFrame
     redirects: DataFrame
     ledger: DataFrame
     states: DataFrame
+    counts: DataFrame
+    #: False where a sitemap file failed: the index is then not to be written.
+    index_written: bool
 
 
-def docs_run(rows: DataFrame, catalogue: DataFrame, previous_index: DataFrame, quarantine: DataFrame, redirects: DataFrame, results: DataFrame, changes: DataFrame, today: str, site: Site = Site()) -> DocsResult:
+def docs_run(
+    rows: DataFrame, catalogue: DataFrame, previous_index: DataFrame, quarantine: DataFrame, redirects: DataFrame, results: DataFrame, changes: DataFrame, today: str,
+    site: Site = Site(), limits: Limits = Limits(), sitemap_ok: bool = True,
+) -> DocsResult:
     """The documentation index of a sitemap pass.
 
-    rows (url, path, lastmod), catalogue (path, lastmod, url), quarantine (path,
-    title, status, firstDetected, lastChecked), redirects (from, to, kind,
-    status, firstSeen, lastSeen), results (path, outcome, status, to): what
-    probes of the plan's queues found.
+    rows (url, path, lastmod), catalogue (path, url, title, lastmod, checked and
+    more), quarantine (path, url, title, status, firstDetected, lastChecked),
+    redirects (from, to, kind, status, firstSeen, lastSeen), results (path,
+    outcome, status, to, title, noindex): what the plan's queues found.  Columns
+    of the catalogue that the engine does not know stay with their records.
     """
     spark = rows.sparkSession
     inside = rows.where(in_scope("path", site.learn) | in_scope("path", site.index))
-    sitemap = dedupe.dedupe_rows(inside, catalogue.select("path", "url"))
+    sitemap = dedupe.dedupe_rows(inside, dedupe.first_per(catalogue.select("path", "url"), ["path"], [F.asc("url")]))
     quality.enforce(quality.index_gate(spark, sitemap.count(), quality.index_baseline(previous_index.count(), catalogue.count())), quality.duplicates_gate(sitemap, "url", "path"))
-    plan = build.docs_plan(sitemap, catalogue, previous_index, quarantine)
-    states = build.docs_reconcile(plan, results)
-    found = states.join(results.select("path", "status", "to"), "path", "left")
-    start = F.col("path")
-    new = found.where("state = 'redirect'").select(start.alias("from"), "to", classify.classify_redirect("path", "to").alias("kind"), "status")
-    gone = found.where("state in ('keep', 'add', 'update', 'restore', 'remove', 'quarantine')").where("path is not null").join(results.select("path"), "path", "left_semi").select("path")
-    moved = ledger.update_redirects(ledger.normal_redirects(redirects), new, gone, sitemap.select("path"), previous_index.select("path"), today)
-    held = found.where("state = 'quarantine'").select("path", F.lit(None).cast("string").alias("title"), F.coalesce("status", F.lit(404)).alias("status"), F.lit(today).alias("firstDetected"), F.lit(today).alias("lastChecked"))
-    kept = quarantine.join(found.where("state in ('restore', 'redirect', 'quarantine')").select("path"), "path", "left_anti")
-    first = quarantine.select("path", F.col("firstDetected").alias("_f"), F.col("title").alias("_t"))
-    held = held.join(first, "path", "left").select("path", F.coalesce("title", "_t").alias("title"), "status", F.coalesce("_f", "firstDetected").alias("firstDetected"), "lastChecked")
-    held = kept.select(held.columns).unionByName(held)
-    index = sitemap.select("path", "lastmod").join(held.select("path"), "path", "left_anti").join(new.select(F.col("from").alias("path")), "path", "left_anti")
+    known = ledger.normal_redirects(redirects)
+    plan = docs.plan(sitemap, catalogue, previous_index, quarantine, known, today, site, limits.redirect_recheck_days, sitemap_ok).checkpoint()
+    states = docs.reconcile(plan, results, today, site).checkpoint()
+    index = states.where("in_index").select("path", F.col("index_lastmod").alias("lastmod"))
+    new = states.where("state = 'moved'").select(F.col("path").alias("from"), F.col("moved_to").alias("to"), classify.classify_redirect("path", "moved_to").alias("kind"), F.col("moved_status").alias("status"))
+    moved = ledger.update_redirects(known, new, states.where("contradicted").select("path"), index, previous_index.select("path"), today, (site.learn, site.index))
+    held = states.where("quarantined").select("path", "url", "title", "status", "firstDetected", "lastChecked")
     entries = ledger.docs_entries(moved, held, today)
-    return DocsResult(plan, index, held, moved, ledger.replace_family(changes, "docs", entries), states)
+    return DocsResult(plan, docs.records(states, catalogue, sitemap, results, site), index, held, moved, ledger.replace_family(changes, "docs", entries), states, docs.run_counts(states), sitemap_ok)
 
 
 def links_run(links: DataFrame, caches: validate.Caches, probes: DataFrame, today: str, site: Site = Site()) -> DataFrame:
@@ -157,12 +160,45 @@ def sitemap_pass(files: DataFrame, site: Site, host: str, memo: DataFrame, signa
     return rows, build.update_families(memo, files, outcomes, signature, today)
 
 
-def queue_budget(plan: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """path, phase: the plan's queues (quarantine, missing, fetch, verify) within their budgets."""
-    rows = plan.withColumn("phase", F.when(F.col("action") == "quarantined", "quarantine").when(F.col("action") == "missing", "missing").when(F.col("action").isin("new", "changed"), "fetch").when(F.col("action").isin("kept", "bootstrapped"), "verify"))
-    caps = {"quarantine": limits.quarantine_rechecks, "missing": limits.missing_checks, "fetch": limits.page_fetches, "verify": limits.verify}
-    out = None
-    for phase, cap in caps.items():
-        part = queues.top(rows.where(F.col("phase") == phase), [F.asc("path")], cap).select("path", "phase")
-        out = part if out is None else out.unionByName(part)
-    return out
+def queue_budget(plan: DataFrame, limits: Limits = Limits(), today: str = "") -> DataFrame:
+    """path, phase: the plan's queues within their budgets.
+
+    quarantine: least recently checked first; fetch: changed before new, the
+    freshest first; verify: the oldest check first; missing: see missing_batch.
+    """
+    rows = plan.withColumn("checked", F.col("prev_checked"))
+    fetch = rows.where(F.col("action").isin(*docs.FETCH)).withColumn("kind", F.col("action"))
+    parts = {
+        "quarantine": queues.top(rows.where("action = 'quarantined'"), [F.asc(F.coalesce("q_lastChecked", F.lit(""))), F.asc("url"), F.asc("path")], limits.quarantine_rechecks),
+        "fetch": queues.take_budget(fetch, limits.page_fetches, [F.desc_nulls_last("lastmod"), F.asc("path")], "kind", limits.changed_min_share),
+        "verify": queues.top(rows.where(F.col("action").isin(*docs.VERIFY)), [F.asc_nulls_first("checked"), F.asc("url")], limits.verify),
+        "missing": queues.missing_batch(rows.where("action = 'missing'"), limits.missing_checks, today),
+    }
+    return reduce(DataFrame.unionByName, [p.select("path", F.lit(phase).alias("phase")) for phase, p in parts.items()])
+
+
+def sitemap_rounds(index_files: DataFrame, roots: DataFrame, most_rounds: int = 20) -> tuple[DataFrame, DataFrame]:
+    """(pages, failed) of nested sitemap indexes: files reached from the roots, breadth first, each once.
+
+    index_files (loc, xml): downloaded files, null xml where the download failed;
+    roots (loc, family).  pages (family, loc, xml) are the files that list pages;
+    failed (family, loc) those that were named and could not be read, or stood
+    deeper than most_rounds.  A file that several families name belongs to each.
+    """
+    from ..functions.text import is_sitemap_index, sitemap_index
+
+    files_ = index_files.select("loc", "xml")
+    now = roots.select("family", "loc").distinct().checkpoint()
+    seen, pages, failed = now, None, None
+    for turn in range(most_rounds + 1):
+        read = now.join(files_, "loc", "left")
+        good = F.col("xml").isNotNull()
+        lists = good & is_sitemap_index("xml")
+        pages_now = read.where(good & ~lists).select("family", "loc", "xml")
+        failed_now = read.where(~good if turn < most_rounds else ~good | lists).select("family", "loc")
+        pages, failed = (pages_now, failed_now) if pages is None else (pages.unionByName(pages_now), failed.unionByName(failed_now))
+        below = read.where(lists).select("family", F.explode(sitemap_index("xml")).alias("s")).select("family", F.col("s.loc").alias("loc")).distinct()
+        now = below.join(seen, ["family", "loc"], "left_anti").checkpoint()
+        if turn == most_rounds or now.isEmpty():
+            return pages, failed
+        seen = seen.unionByName(now)
