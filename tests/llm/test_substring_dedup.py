@@ -5,7 +5,8 @@ import re
 import pytest
 
 from tidemark.llm.queries import queries
-from tidemark.llm.substring_dedup import remove_repeats
+from tidemark.llm import substring_dedup as S
+from tidemark.llm.substring_dedup import remove_repeats, repeated_paths
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -51,6 +52,40 @@ def test_against_brute_force(spark):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("hot, batch", [(0, 1 << 19), (20_000, 1), (3, 500)])
+def test_hot_minimizers_and_small_batches(spark, monkeypatch, hot, batch):
+    monkeypatch.setattr(S, "HOT", hot)
+    monkeypatch.setattr(S, "BATCH", batch)
+    monkeypatch.setattr(S, "FLUSH_EDGES", 300)
+    rows = fixture()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in remove_repeats(df).collect()} == brute(rows)
+
+
+def test_repeated_passages_are_whole(spark):
+    r = random.Random(3)
+    words = lambda n: [f"u{r.randrange(10**9)}" for _ in range(n)]
+    a, b, c = words(120), words(70), words(30)
+    texts = {1: words(20) + a + words(5), 2: words(9) + a + b, 3: b + words(40) + c, 4: c + words(3), 5: a[:80] + words(30), 6: words(90)}
+    df = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string").repartition(3)
+    got = sorted((x.doc_id, x.start, x.n_words) for x in repeated_paths(df).collect())
+    # a is cut where document 5 leaves it: the paths before and after are of different documents
+    assert [x for x in got if x[0] == 1][0][1] == 20 and (2, 129, 70) in got and not any(d in (3, 4, 5, 6) for d, _, _ in got)
+    assert {x for d, s, n in got if d == 1 for x in range(s, s + n)} == set(range(20, 140))
+    assert [(x.doc_id, x.n_words) for x in repeated_paths(df.where("doc_id in (3, 4)"), least_words=13).collect()] == [(3, 30)]
+    assert repeated_paths(df.limit(0)).count() == 0
+
+
+def test_graph_paths_end_at_branches():
+    import numpy as np
+
+    flat = np.array([1, 2, 3, 4, 2, 3, 4, 5, 9, 3, 4])  # 1-2-3-4, 2-3-4-5, 9-3-4
+    g = S._Graph(flat, np.array([3, 3, 2]))
+    assert g.begin.tolist() == [True, True, True, True, True, True, True, True]
+    g = S._Graph(np.array([1, 2, 3, 4, 1, 2, 3, 4, 8, 9]), np.array([3, 3, 1]))
+    assert g.begin.tolist() == [True, False, False, True, False, False, True] and g.least(np.array([5, 5, 5, 2, 2, 2, 7])).tolist() == [2] * 6 + [7]
+
+
 def test_edges_of_tables(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     text = " ".join(f"a{i}" for i in range(20))
