@@ -37,16 +37,31 @@ def index_changes(changes: DataFrame) -> DataFrame:
     return first_per(changes, ["path"], [F.desc(F.coalesce("lastVerified", F.lit(""))), F.when(F.col("file") == "removed", 0).otherwise(1)])
 
 
-def resolve(links: DataFrame, index: DataFrame, at: str) -> DataFrame:
-    """links (one row per link) with the entry of path `at` (columns r_*): the exact one, else the nearest ancestor of kind module.
+def module_depths(index: DataFrame) -> list[int]:
+    """The depths at which entries of kind module stand, deepest first: few, whatever the ledger's size."""
+    rows = index.where("kind = 'module'").select((F.size(F.split("path", "/")) - 1).alias("d")).distinct().collect()
+    return sorted((r.d for r in rows), reverse=True)
 
-    r_match is exact or ancestor, r_rest the path below an ancestor; without an entry all are null.
+
+def resolve(links: DataFrame, index: DataFrame, at: str, depths: list[int]) -> DataFrame:
+    """links with the entry of path `at` (columns r_*): the exact one, else the nearest ancestor of kind module.
+
+    r_match is exact or ancestor, r_rest the path below an ancestor; without an
+    entry all are null.  An equi-join for the path itself and one for each depth
+    of modules: no link becomes several rows.
     """
-    entry = index.select(F.col("path").alias("r_path"), F.col("kind").alias("r_kind"), F.col("file").alias("r_file"), F.col("outcome").alias("r_outcome"), F.col("to").alias("r_to"))
-    tries = links.withColumn("_a", F.explode_outer(ancestors(at))).join(entry, F.col("_a") == F.col("r_path"), "left")
-    usable = F.when((F.col("r_path") == F.col(at)) | (F.col("r_kind") == "module"), F.length("r_path"))
-    rest = [c for c in links.columns if c != "link"]
-    out = tries.groupBy("link").agg(F.first(F.struct(*rest)).alias("_l"), F.max_by(F.struct("r_path", "r_file", "r_outcome", "r_to"), usable).alias("_e")).select("link", "_l.*", "_e.*")
+    names = ("path", "file", "outcome", "to")
+    entry = lambda rows, p: rows.select(*[F.col(c).alias(f"{p}_{c}") for c in names])
+    out = links.join(entry(index, "_x"), F.col(at) == F.col("_x_path"), "left")
+    modules, found = index.where("kind = 'module'"), ["_x"]
+    for d in depths:
+        p, parts = f"_m{d}", F.split(F.col(at), "/")
+        above = F.when(F.col("_x_path").isNull() & (F.size(parts) - 1 > d), F.array_join(F.slice(parts, 1, d + 1), "/")).otherwise(F.concat(F.lit(" "), F.col(at)))
+        out = out.withColumn("_a", above).join(entry(modules, p), F.col("_a") == F.col(f"{p}_path"), "left").drop("_a")
+        found.append(p)
+    picked = F.coalesce(*[F.when(F.col(f"{p}_path").isNotNull(), F.struct(*[F.col(f"{p}_{c}").alias(c) for c in names])) for p in found])
+    out = out.withColumn("_e", picked).drop(*[f"{p}_{c}" for p in found for c in names])
+    out = out.select("*", *[F.col(f"_e.{c}").alias(f"r_{c}") for c in names]).drop("_e")
     exact = F.col("r_path") == F.col(at)
     return out.withColumn("r_match", F.when(exact, "exact").when(F.col("r_path").isNotNull(), "ancestor")).withColumn("r_rest", F.when(exact, "").otherwise(F.expr(f"substring({at}, length(r_path) + 1)")))
 
@@ -61,16 +76,18 @@ def lookup_changes(links: DataFrame, changes: DataFrame, link: str = "path") ->
     moves.  No row means that no change is recorded, not that the link is good.
 
     The rounds are unrolled: a recursive query cannot pick the nearest
-    ancestor inside its loop.
+    ancestor inside its loop.  A link that has ended looks for a key of its own
+    that no path has, so that such links do not gather under a null.
     """
     index = index_changes(changes)
+    depths = module_depths(index)
     now = links.select(F.col(link).alias("link")).where(F.col("link").isNotNull() & (F.col("link") != "/")).distinct()
     now = now.select("link", F.col("link").alias("cur"), F.array("link").alias("chain"), F.lit(0).alias("hops"), F.lit("high").alias("conf"), F.lit(None).cast("string").alias("match"), F.lit(None).cast("string").alias("entry_path"))
     now = now.withColumns({c: F.lit(None).cast("string") for c in ("state", "outcome", "final_path", "to", "end")}).withColumn("dest", F.lit(None).cast("string"))
     columns = now.columns
     for _ in range(MAX_HOPS + 1):
         # a link that has ended asks for no path, and is left as it is
-        r = resolve(now.withColumn("cur", F.when(F.col("end").isNull(), F.col("cur"))), index, "cur")
+        r = resolve(now.withColumn("cur", F.when(F.col("end").isNull(), F.col("cur")).otherwise(F.concat(F.lit(" "), "link"))), index, "cur", depths)
         open_, none = F.col("end").isNull(), F.col("r_path").isNull()
         conf = F.when(F.col("r_outcome").eqNullSafe("unverified") | (F.col("r_match").eqNullSafe("ancestor") & F.col("r_file").eqNullSafe("moved")), "low").otherwise(F.col("conf"))
         r = r.withColumns({"_conf": F.when(none, F.col("conf")).otherwise(conf), "dest": F.when(~none & (F.col("r_file") == "moved") & F.col("r_to").isNotNull(), F.concat("r_to", "r_rest"))})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,39 +40,59 @@ class Caches:
     ledger: DataFrame | None = None
 
 
-def _look(rows: DataFrame, table: DataFrame | None, on: Column | str, key: str, flag: str, more: dict[str, str] | None = None) -> DataFrame:
-    """rows with flag (and more: new name -> column) of the table's row with that key."""
-    more = more or {}
-    if table is None:
-        return rows.withColumns({flag: F.lit(None).cast("boolean"), **{n: F.lit(None).cast("string") for n in more}})
-    side = table.select(F.col(key).alias("_k"), *[F.col(c).alias(n) for n, c in more.items()]).dropDuplicates(["_k"]).withColumn(flag, F.lit(True))
-    return rows.join(side, (F.col(on) if isinstance(on, str) else on) == F.col("_k"), "left").drop("_k")
+#: Table, its key, the flag of its paths, and what else a path has there.
+FACTS = (
+    ("modules", "path", "_module", {"_served": ("hierarchyNotFound", "boolean"), "_units": ("unitUrls", "array<string>")}),
+    ("modules_removed", "path", "_tomb", {}),
+    ("out_of_scope", "path", "_outside", {}),
+    ("content", "path", "_any_content", {"_types": ("type", "string")}),
+    ("content_removed", "path", "_content_tomb", {}),
+    ("index", "path", "_indexed", {}),
+    ("redirects", "from", "_redirect", {"_to": ("to", "string")}),
+    ("quarantine", "path", "_held", {}),
+)
+
+
+def known_paths(caches: Caches) -> DataFrame | None:
+    """One row for every path in any table, with its flags: all tables meet in one aggregate by path.
+
+    Of a path that a table has twice, the greatest values count (content: all types).
+    """
+    flags, more = [f for _, _, f, _ in FACTS], {n: t for *_, m in FACTS for n, (_, t) in m.items()}
+    parts = []
+    for table, key, flag, columns in FACTS:
+        df = getattr(caches, table)
+        if df is not None:
+            filled = [F.lit(True).alias(f) if f == flag else F.lit(None).cast("boolean").alias(f) for f in flags]
+            parts.append(df.select(F.col(key).alias("_k"), *filled, *[(F.col(columns[n][0]).cast(t) if n in columns else F.lit(None).cast(t)).alias(n) for n, t in more.items()]))
+    if not parts:
+        return None
+    rows = reduce(DataFrame.unionByName, parts).where("_k is not null")
+    return rows.groupBy("_k").agg(*[F.max(f).alias(f) for f in flags], *[(F.collect_set(n) if n == "_types" else F.max(n)).alias(n) for n in more])
 
 
 def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "url", host: str | None = None) -> DataFrame:
     """links with path, kind, verdict, evidence, confidence, redirects_to, suggestion.
 
     Verdicts are valid, broken, moved, unverifiable and invalid (no path of the
-    site).  Every link is one row, repeats included.
+    site).  Every link is one row, repeats included; columns of these names that
+    links has already are replaced.
     """
-    rows = links.withColumn("path", canonical_path(url, host)).withColumn("_parent", parent_path("path"))
-    rows = _look(rows, caches.modules, "path", "path", "_module", {"_served": "hierarchyNotFound"})
-    rows = _look(rows, caches.modules, "_parent", "path", "_in_module", {"_lost": "hierarchyNotFound", "_units": "unitUrls"})
-    is_module, is_unit = F.coalesce("_module", F.lit(False)), F.coalesce("_in_module", F.lit(False))
-    rows = rows.withColumn("kind", classify_known("path", is_module, is_unit))
-    home = F.when(F.col("kind") == "unit", F.col("_parent")).otherwise(F.col("path"))
-    rows = _look(rows.withColumn("_home", home), caches.modules_removed, "_home", "path", "_tomb")
-    rows = _look(rows, caches.out_of_scope, "_home", "path", "_outside")
-    if caches.content is not None:
-        types = F.element_at(F.create_map(*[x for k, t in CONTENT.items() for x in (F.lit(k), F.lit(t))]), F.col("kind"))
-        side = caches.content.select(F.col("type").alias("_ct"), F.col("path").alias("_cp")).distinct().withColumn("_content", F.lit(True))
-        rows = rows.withColumn("_t", types).join(side, (F.col("_t") == F.col("_ct")) & (F.col("path") == F.col("_cp")), "left").drop("_t", "_ct", "_cp")
+    taken = [c for c in ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion") if c in links.columns and c != "path"]
+    rows = links.drop(*taken).withColumn("path", canonical_path(url, host)).withColumn("_parent", parent_path("path"))
+    facts = known_paths(caches)
+    own = [f for _, _, f, _ in FACTS] + ["_served", "_units", "_types", "_to"]
+    if facts is None:
+        rows = rows.withColumns({c: F.lit(None).cast("array<string>" if c in ("_units", "_types") else "string" if c == "_to" else "boolean") for c in own})
+        rows = rows.withColumns({"_p_module": F.lit(None).cast("boolean"), "_p_tomb": F.lit(None).cast("boolean"), "_p_outside": F.lit(None).cast("boolean"), "_lost": F.lit(None).cast("boolean"), "_p_units": F.lit(None).cast("array<string>")})
     else:
-        rows = rows.withColumn("_content", F.lit(None).cast("boolean"))
-    rows = _look(rows, caches.content_removed, "path", "path", "_content_tomb")
-    rows = _look(rows, caches.index, "path", "path", "_indexed")
-    rows = _look(rows, caches.redirects, "path", "from", "_redirect", {"_to": "to"})
-    rows = _look(rows, caches.quarantine, "path", "path", "_held")
+        above = facts.where("_module or _tomb or _outside").select(F.col("_k").alias("_pk"), F.col("_module").alias("_p_module"), F.col("_tomb").alias("_p_tomb"), F.col("_outside").alias("_p_outside"), F.col("_served").alias("_lost"), F.col("_units").alias("_p_units"))
+        rows = rows.join(facts, F.col("path") == F.col("_k"), "left").drop("_k").join(above, F.col("_parent") == F.col("_pk"), "left").drop("_pk")
+    is_module, is_unit = F.coalesce("_module", F.lit(False)), F.coalesce("_p_module", F.lit(False))
+    rows = rows.withColumn("kind", classify_known("path", is_module, is_unit))
+    below = F.col("kind") == "unit"
+    types = F.element_at(F.create_map(*[x for k, t in CONTENT.items() for x in (F.lit(k), F.lit(t))]), F.col("kind"))
+    rows = rows.withColumns({"_tomb": F.when(below, F.col("_p_tomb")).otherwise(F.col("_tomb")), "_outside": F.when(below, F.col("_p_outside")).otherwise(F.col("_outside")), "_content": F.array_contains("_types", types), "_units": F.col("_p_units")})
 
     kind, scope = F.col("kind"), scope_for("path", site.learn, site.index)
     s = lambda verdict, evidence, confidence="high": F.struct(F.lit(verdict).alias("verdict"), F.lit(evidence).alias("evidence"), F.lit(confidence).alias("confidence"))
@@ -92,7 +113,8 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
     content = F.when(F.lit(caches.content is None), missing).when(F.col("_content"), s("valid", "learn-content")).when(F.col("_content_tomb"), s("broken", "tombstone")).when(kind.isin(*PARTIAL), s("unverifiable", "learn-content")).otherwise(s("broken", "learn-content"))
     docs = F.when(F.lit(caches.index is None), missing).when(F.col("_indexed"), s("valid", "docs-urls")).when(F.col("_redirect"), s("moved", "docs-redirects")).when(F.col("_held"), s("broken", "quarantine")).when(scope.isNull() | (scope == "excluded"), s("unverifiable", "scope")).otherwise(s("broken", "docs-urls", "low"))
     verdict = F.when(F.col("path").isNull(), s("invalid", "none")).when(kind == "module", module).when(kind == "unit", unit).when(kind.isin(*CONTENT), content).when(kind == "other", s("unverifiable", "no-source")).otherwise(docs)
-    rows = rows.withColumn("_v", verdict).select("*", "_v.*")
+    rows = rows.withColumn("_v", verdict)
+    rows = rows.select("*", *[F.col(f"_v.{c}").alias(c) for c in ("verdict", "evidence", "confidence")])
     moved = F.col("evidence") == "docs-redirects"
     rows = rows.withColumn("redirects_to", F.when(moved, F.col("_to"))).withColumn("suggestion", F.when(moved & F.col("_to").isNotNull(), absolute("_to", site.host)))
     if caches.modules is not None:
@@ -101,7 +123,8 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
         near = suggest_slug(dead, lists, "module").select(F.col("module").alias("_m"), F.col("dead").alias("_d"), F.col("suggestion").alias("_s"))
         rows = rows.join(near, (kind == "unit") & (F.col("verdict") == "broken") & ~lost & (F.col("_parent") == F.col("_m")) & (last_segment("path") == F.col("_d")), "left")
         rows = rows.withColumn("suggestion", F.coalesce("suggestion", absolute("_s", site.host)))
-    return rows.select(*links.columns, *[c for c in ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion") if c not in links.columns])
+    made = ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion")
+    return rows.select(*[c for c in links.columns if c not in made], *made)
 
 
 def enriched(results: DataFrame, ledger: DataFrame, site: Site = Site()) -> DataFrame:
