@@ -230,9 +230,9 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     spark = docs.sparkSession
     base = id_text(docs).withColumn("rid", F.xxhash64("doc_id", "text"))
     heavy = spark.sparkContext.broadcast(heavy_shingles(base, k))
-    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, rid long, n long, k1 long, k2 long, core long, prefix array<long>"), "sets")
-    classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "rid")).alias("f")).select("k1", "k2", "n", F.col("f.doc_id").alias("first"), F.col("f.rid").alias("rep")), "classes")
-    reps = sets.dropDuplicates(["rid"]).join(classes.select(F.col("rep").alias("rid")), "rid", "left_semi").select(F.col("rid").alias("rep"), "n", "core", "prefix")
+    sets = written(base.mapInArrow(_prefixes(heavy, k, percent), "doc_id long, rid long, n long, k1 long, k2 long, core long, prefix array<long>").withColumn("row", F.monotonically_increasing_id()), "sets")
+    classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "rid", "row")).alias("f")).select("k1", "k2", "n", F.col("f.doc_id").alias("first"), F.col("f.rid").alias("rep"), F.col("f.row").alias("row")), "classes")
+    reps = sets.join(classes.select("row"), "row", "left_semi").select(F.col("rid").alias("rep"), "n", "core", "prefix")
     rows = reps.select(F.posexplode("prefix").alias("i", "h"), "rep", "n", "core").select("h", "rep", "n", (F.col("n") - F.col("i")).alias("slack"), "core")
     rows = rows.repartition("h").sortWithinPartitions("h", F.desc("core"), "rep")
     postings = written(rows.mapInArrow(_postings, "h long, rep long, n long, slack long, pivot long, pn long"), "postings")
