@@ -1,13 +1,16 @@
 import io
 import json
+import subprocess
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark import cli
 from tidemark.config import GateFailure, Site
 from tidemark.operators import ledger as L
+from tidemark.operators import records
 from tidemark.plans import runs, validate
-from tidemark.sources import files
+from tidemark.sources import files, probes
 
 
 def none(spark):
@@ -118,3 +121,67 @@ def test_cli(spark, tmp_path):
     out = io.StringIO()
     assert cli.main(["validate", "--tables", str(tmp_path)], spark, stdin=io.StringIO('["/docs/a", "x"]'), stdout=out) == 0
     assert [r["verdict"] for r in json.loads(out.getvalue())["rows"]] == ["valid", "invalid"]
+
+
+def test_cli_seed_docs_and_live_answers(spark, tmp_path):
+    repo = tmp_path / "repo"
+    repo.mkdir()
+    run = lambda *a: subprocess.run(["git", "-C", str(repo), "-c", "user.name=a", "-c", "user.email=a@b.c", *a], check=True, capture_output=True)
+    run("init", "-q")
+    for day, names in (("2024-01-01", ["a", "b"]), ("2024-01-08", ["b"])):
+        (repo / "catalogue.json").write_text(json.dumps({"lastChecked": f"{day}T01:02:03Z", "modules": [{"uid": n, "path": f"/training/modules/{n}", "unitUrls": [f"/training/modules/{n}/1-x"]} for n in names]}))
+        run("add", "-A")
+        run("commit", "-qm", day)
+    folder = tmp_path / "ledger"
+    folder.mkdir()
+    tables = str(tmp_path / "tables")
+    spark.createDataFrame([("/training/modules/b", ["/training/modules/b/1-x"], None)], "path string, unitUrls array<string>, hierarchyNotFound boolean").write.parquet(f"{tables}/modules")
+    (tmp_path / "links.txt").write_text("# links\n/training/modules/z\n\n/training/modules/b\n")
+    base = ["seed", "--tables", tables, "--ledger", str(folder), "--today", "2024-02-01", "--history", f"{repo}::catalogue.json", "--urls", str(tmp_path / "links.txt"), "--no-probe"]
+    out = io.StringIO()
+    assert cli.main([*base, "--dry-run"], spark, stdout=out) == 0
+    assert "dry run" in out.getvalue() and "added:unverified: 3" in out.getvalue() and not list(folder.iterdir())
+    assert cli.main(base, spark, stdout=io.StringIO()) == 0
+    assert {(r.path, r.firstSeen) for r in files.read_ledger(spark, str(folder)).collect()} == {("/training/modules/a", "2024-01-08"), ("/training/modules/a/1-x", "2024-01-08"), ("/training/modules/z", "2024-02-01")}
+    assert cli.main([*base, "--min-modules", "5"], spark, stdout=io.StringIO()) == 2
+    assert cli.main([*base, "--max-probes", "-1"], spark, stdout=io.StringIO()) == 2
+    assert cli.main([*base[:-3], "--history", "nowhere"], spark, stdout=io.StringIO()) == 2
+
+    spark.createDataFrame([("/docs/a", "https://site.example/docs/a", "2024-01-01"), ("/docs/b", "https://site.example/docs/b", "2024-01-01")], "path string, url string, lastmod string").write.parquet(f"{tables}/rows")
+    spark.createDataFrame([("/docs/a", "live", 200, None, "A", False)], "path string, outcome string, status int, to string, title string, noindex boolean").write.parquet(f"{tables}/results")
+    out = io.StringIO()
+    assert cli.main(["docs", "--tables", tables, "--ledger", str(folder), "--today", "2024-02-01", "--out", str(tmp_path / "new")], spark, stdout=out) == 0
+    assert "new: 2" in out.getvalue() and "fetch: 2" in out.getvalue() and "pendingNew: 1" in out.getvalue()
+    assert [(r.path, r.title, r.checked) for r in spark.read.parquet(str(tmp_path / "new/catalogue")).collect()] == [("/docs/a", "A", "2024-02-01")]
+    assert cli.main(["docs", "--tables", str(tmp_path), "--ledger", str(folder), "--today", "2024-02-01"], spark, stdout=io.StringIO()) == 2
+
+    answers = str(tmp_path / "answers")
+    spark.createDataFrame([("/training/modules/q", "ok", None)], "path string, live_verdict string, live_to string").write.parquet(answers)
+    out = io.StringIO()
+    assert cli.main(["validate", "/training/modules/q", "/training/modules/w", "--tables", tables, "--confirm-live", answers], spark, stdout=out) == 1
+    assert [r["verdict"] for r in json.loads(out.getvalue())["rows"]] == ["valid", "broken"]
+
+
+def test_records_in_normal_form(spark):
+    rows = spark.createDataFrame([("https://h/a", None, "x", "", 404, "k")], "url string, title string, zeta string, checked string, status int, alpha string")
+    out = records.normal_record(rows)
+    assert out.columns == [*records.RECORD, "alpha", "status", "zeta"] and (out.first().title, out.first().checked) == ("", None)
+    assert records.strip_quarantine(rows).columns == ["url", "title", "zeta", "alpha"] and "checked" not in records.strip_checked(rows).columns
+    assert records.is_object(spark.createDataFrame([((1,),)], "a struct<b:int>"), "a") and not records.is_object(rows, "url")
+    texts = spark.createDataFrame([('{"modules": [{"uid": "u", "title": " ", "url": "https://h/en-us/M/a/"}, {"uid": 3}], "outOfScope": ["/x/", ""]}', "2024-01-01T00:00:00"), ('{"modules": 3}', None), ("no", None)], "content string, time string")
+    (one,) = records.compact_snapshots(texts).collect()
+    assert (one.path, one.title, one.units, one.lastChecked, one.out_of_scope) == ("/m/a", None, None, "2024-01-01T00:00:00", ["/x"])
+    a = rows.withColumn("checked", F.lit("2024-01-01"))
+    assert records.stable_signature(a) == records.stable_signature(rows.select(*reversed(rows.columns))) != records.stable_signature(rows.withColumn("zeta", F.lit("y")))
+    made = records.envelope(rows.select("url", "alpha"), "url", "now", scope="s").first()
+    assert (made.generatedAt, made.scope, made["count"], [e.url for e in made.entries]) == ("now", "s", 1, ["https://h/a"])
+    assert rows.select(records.snippet("url", 5).alias("s")).first().s == "https"
+    said = []
+    log = probes.RetryLog(said.append, "x", first=2, every=3)
+    for i in range(7):
+        log(str(i))
+    assert len(said) == 4 and said[0] == "x: 0"
+    try:
+        raise OSError("outer") from ValueError("inner")
+    except OSError as e:
+        assert probes.describe_error(e) == "outer (inner)"

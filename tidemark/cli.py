@@ -1,4 +1,4 @@
-"""Command line: `python -m tidemark.cli validate|check|since ...`
+"""Command line: `python -m tidemark.cli validate|check|since|seed|docs ...`
 
 Exit codes: 0 all good, 1 something broken or moved was found, 2 bad arguments.
 """
@@ -17,6 +17,8 @@ def parser() -> argparse.ArgumentParser:
     sub = p.add_subparsers(dest="command", required=True)
     v = sub.add_parser("validate", help="a verdict for every link")
     v.add_argument("--tables", required=True, help="folder of Parquet tables: index, redirects, quarantine, modules, ...")
+    v.add_argument("--confirm-live", metavar="TABLE", help="Parquet table of live answers (path, live_verdict, live_to) for broken and moved links")
+    v.add_argument("--probe-unverifiable", action="store_true", help="let live answers decide unverifiable links as well")
     c = sub.add_parser("check", help="what the ledger records about links; none means no record, not that a link is good")
     c.add_argument("--all", action="store_true", help="list links without a record as well")
     for s in (v, c):
@@ -27,11 +29,112 @@ def parser() -> argparse.ArgumentParser:
     n.add_argument("day")
     for s in (c, n):
         s.add_argument("--ledger", required=True, help="folder with removed.json and moved.json")
-    for s in (v, c, n):
+    d = sub.add_parser("seed", help="fill a ledger from a catalogue's history and from lists of links")
+    d.add_argument("--tables", required=True, help="folder of Parquet tables, as for validate")
+    d.add_argument("--ledger", required=True, help="folder with removed.json and moved.json, read and (unless --dry-run) written")
+    d.add_argument("--history", action="append", default=[], metavar="FOLDER::FILE", help="a catalogue file in a git repository; may stand several times")
+    d.add_argument("--urls", metavar="FILE", help="links, one a line or a JSON array")
+    d.add_argument("--today", required=True, help="the day of the run, YYYY-MM-DD")
+    d.add_argument("--max-probes", type=whole_number, default=None)
+    d.add_argument("--answers", metavar="TABLE", help="Parquet table of probe answers (path, outcome, to, status)")
+    d.add_argument("--no-probe", action="store_true")
+    d.add_argument("--dry-run", action="store_true")
+    d.add_argument("--min-modules", type=whole_number, default=1)
+    o = sub.add_parser("docs", help="plan a pass over the documentation's sitemaps, or fold its answers in")
+    o.add_argument("--tables", required=True, help="folder of Parquet tables: rows, catalogue, index, quarantine, redirects, and results of the pass")
+    o.add_argument("--ledger", required=True, help="folder with removed.json and moved.json")
+    o.add_argument("--out", help="folder for the new tables; without it only the plan is shown")
+    o.add_argument("--today", required=True)
+    o.add_argument("--sitemap-failed", action="store_true", help="a sitemap file could not be read: nothing counts as removed, and the index is not written")
+    for s in (d, o):
+        s.add_argument("--host")
+    for s in (v, c, n, d, o):
         s.add_argument("--output", help="write the JSON report there")
     return p
 
 
+def whole_number(text: str) -> int:
+    if not text.isdigit():
+        raise argparse.ArgumentTypeError(f"a whole number, not {text!r}")
+    return int(text)
+
+
+def urls_of(path: str) -> list[str]:
+    """Links of a file: a JSON array of texts, or one a line; blank lines and lines with # are left out."""
+    text = open(path, encoding="utf-8").read()
+    if text.lstrip().startswith("["):
+        links = json.loads(text)
+        if not all(isinstance(x, str) for x in links):
+            raise UsageError("links must be a JSON array of texts")
+        return links
+    return [x for x in (line.strip() for line in text.splitlines()) if x and not x.startswith("#")]
+
+
+def tables_of(spark, folder: str, names) -> dict:
+    from .sources import files
+
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in names if files.exists(spark, f"{folder}/{n}")}
+
+
+def seed(spark, args) -> str:
+    """The report of a seed run; the ledger is written unless it is a dry run."""
+    from pyspark.sql import functions as F
+
+    from .config import Limits
+    from .operators.records import compact_snapshots
+    from .plans import report, runs, validate
+    from .sources import files
+    from .sources.git_history import GitHistory, parse_spec
+
+    for spec in args.history:
+        try:
+            parse_spec(spec)
+        except ValueError as e:
+            raise UsageError(str(e)) from e
+    caches = validate.Caches(**tables_of(spark, args.tables, validate.Caches.__dataclass_fields__))
+    have = caches.modules.count() if caches.modules is not None else 0
+    if have < args.min_modules:
+        raise UsageError(f"the catalogue has {have} modules, fewer than {args.min_modules}")
+    snapshots = spark.createDataFrame([], "path string, day string, kind string")
+    if args.history:
+        spark.dataSource.register(GitHistory)
+        raw = spark.read.format("git_history").option("specs", ";".join(args.history)).load().withColumn("time", F.date_format(F.timestamp_seconds("time"), "yyyy-MM-dd'T'HH:mm:ss"))
+        m = compact_snapshots(raw.select("content", "time"), host=args.host).where("lastChecked is not null").withColumn("day", F.substring("lastChecked", 1, 10))
+        snapshots = m.select("path", "day", F.lit("module").alias("kind")).unionByName(m.select(F.explode("unitUrls").alias("path"), "day", F.lit("unit").alias("kind"))).distinct()
+    links = spark.createDataFrame([(u,) for u in urls_of(args.urls)] if args.urls else [], "url string")
+    answers = spark.read.parquet(args.answers) if args.answers and not args.no_probe else spark.createDataFrame([], "path string, outcome string, to string, status int")
+    budget = 0 if args.no_probe else Limits().probes if args.max_probes is None else args.max_probes
+    changes = files.read_ledger(spark, args.ledger, args.host)
+    live = [] if caches.modules is None else [caches.modules.where("not coalesce(hierarchyNotFound, false)").select("path"), caches.modules.select(F.explode("unitUrls").alias("path"))]
+    live = spark.createDataFrame([], "path string") if not live else live[0].union(live[1]).distinct()
+    found, compared, candidates = runs.seeded(snapshots, links, caches, changes, live, lambda q: answers.join(q.select("path"), "path", "left_semi"), Site(host=args.host or Site().host), Limits(probes=budget), args.today)
+    text = report.seed_report(candidates, compared, {"snapshots": snapshots.select("day").distinct().count(), "links": links.count(), "modules": have}, args.dry_run, budget > 0)
+    if not args.dry_run:
+        files.write_ledger(found, args.ledger, f"{args.today}T00:00:00Z")
+    return text
+
+
+def docs(spark, args) -> str:
+    """The plan's report; with --out the pass's new tables and ledger are written."""
+    from .plans import report, runs
+    from .sources import files
+
+    t = tables_of(spark, args.tables, ("rows", "catalogue", "index", "quarantine", "redirects", "results"))
+    if "rows" not in t:
+        raise UsageError(f"no table of sitemap rows in {args.tables}")
+    empty = {
+        "catalogue": "path string, url string, title string, lastmod string, checked string", "index": "path string, lastmod string", "quarantine": "path string, url string, title string, status int, firstDetected string, lastChecked string",
+        "redirects": "`from` string, to string, kind string, status int, firstSeen string, lastSeen string", "results": "path string, outcome string, status int, to string, title string, noindex boolean",
+    }
+    t = {n: spark.createDataFrame([], schema) for n, schema in empty.items()} | t
+    out = runs.docs_run(t["rows"], t["catalogue"], t["index"], t["quarantine"], t["redirects"], t["results"], files.read_ledger(spark, args.ledger, args.host), args.today, Site(host=args.host or Site().host), sitemap_ok=not args.sitemap_failed)
+    if args.out:
+        for name, df in (("catalogue", out.records), ("quarantine", out.quarantine), ("redirects", out.redirects), *([("index", out.index)] if out.index_written else [])):
+            files.write_if_changed(df, f"{args.out}/{name}")
+        files.write_ledger(out.ledger, args.ledger, f"{args.today}T00:00:00Z")
+    return report.plan_report(out.plan, runs.queue_budget(out.plan, today=args.today)) + "\n" + "\n".join(f"  {r.name}: {r.n}" for r in out.counts.collect())
+
+
 def links_of(args, stdin) -> list[str]:
     if args.links:
         return args.links
@@ -58,6 +161,14 @@ def main(argv: list[str] | None = None, spark=None, stdin=sys.stdin, stdout=sys.
     from .sources import files
 
     try:
+        if args.command in ("seed", "docs"):
+            text = (seed if args.command == "seed" else docs)(spark, args)
+            if args.output:
+                with open(args.output, "w", encoding="utf-8") as f:
+                    f.write(text + "\n")
+            else:
+                print(text, file=stdout)
+            return 0
         if args.command == "since":
             rows = report.changelog(files.read_ledger(spark, args.ledger), args.day)
         else:
@@ -65,9 +176,13 @@ def main(argv: list[str] | None = None, spark=None, stdin=sys.stdin, stdout=sys.
             if args.command == "check":
                 rows = report.check_links(links, files.read_ledger(spark, args.ledger, args.host), host=args.host, all_links=args.all)
             else:
-                names = validate.Caches.__dataclass_fields__
-                tables = {n: spark.read.parquet(f"{args.tables}/{n}") for n in names if files.exists(spark, f"{args.tables}/{n}")}
-                rows = validate.validate(links, validate.Caches(**tables), Site(host=args.host or Site().host), host=args.host).orderBy("ord").drop("ord")
+                tables = tables_of(spark, args.tables, validate.Caches.__dataclass_fields__)
+                rows = validate.validate(links, validate.Caches(**tables), Site(host=args.host or Site().host), host=args.host)
+                if "ledger" in tables:
+                    rows = validate.enriched(rows, tables["ledger"])
+                if args.confirm_live:
+                    rows = validate.with_live(rows, spark.read.parquet(args.confirm_live), args.probe_unverifiable)
+                rows = rows.orderBy("ord").drop("ord")
         out = [r.asDict(recursive=True) for r in rows.collect()]
     except (UsageError, LedgerError) as e:
         print(e, file=sys.stderr)

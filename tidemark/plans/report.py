@@ -57,3 +57,22 @@ def merged_part(existing: dict | None, part: str, fields: dict, now: str) -> dic
 
 def one_row(spark: SparkSession, **fields) -> DataFrame:
     return spark.createDataFrame([Row(**fields)])
+
+
+def seed_report(candidates: DataFrame, compared: DataFrame, given: dict[str, int], dry_run: bool, probing: bool, sample: int = 10) -> str:
+    """A seed run in words: what was read, candidates by evidence and kind with a sample, what the ledger gained."""
+    mode = ", ".join(x for x in ("dry run, nothing written" if dry_run else "", "" if probing else "no probes") if x)
+    lines = ["Seed of the change ledger" + (f" ({mode})" if mode else "")]
+    lines += [f"  {name}: {n}" for name, n in given.items()]
+    lines.append("Candidates:")
+    lines += [f"  {r.evidence} {r.kind}: {r.n}" for r in candidates.groupBy("evidence", "kind").agg(F.count("*").alias("n")).orderBy("evidence", "kind").collect()]
+    some = candidates.orderBy("path").limit(sample + 1).collect()
+    lines += [f"    {r.kind} {r.path} [{r.evidence}, {r.firstSeen}]" for r in some[:sample]] + (["    ..."] if len(some) > sample else [])
+    lines.append("Ledger:")
+    return "\n".join(lines + [f"  {r.change}: {r.n}" for r in compared.orderBy("change").collect()])
+
+
+def plan_report(plan: DataFrame, queued: DataFrame) -> str:
+    """A plan in words: paths by action, and how many of each queue fit the budgets."""
+    lines = ["Plan:"] + [f"  {r.action}: {r.n}" for r in plan.groupBy("action").agg(F.count("*").alias("n")).orderBy("action").collect()]
+    return "\n".join(lines + ["Queues:"] + [f"  {r.phase}: {r.n}" for r in queued.groupBy("phase").agg(F.count("*").alias("n")).orderBy("phase").collect()])

@@ -133,6 +133,11 @@ def toc_directories(index: DataFrame, least_pages: int = 1) -> DataFrame:
 
 def seed_run(snapshots: DataFrame, links: DataFrame, caches: validate.Caches, changes: DataFrame, live: DataFrame, probe: Probe, site: Site = Site(), limits: Limits = Limits(), today: str = "") -> tuple[DataFrame, DataFrame]:
     """(ledger, report) seeded from a catalogue's history (path, day, kind) and from a list of links (url)."""
+    return seeded(snapshots, links, caches, changes, live, probe, site, limits, today)[:2]
+
+
+def seeded(snapshots: DataFrame, links: DataFrame, caches: validate.Caches, changes: DataFrame, live: DataFrame, probe: Probe, site: Site = Site(), limits: Limits = Limits(), today: str = "") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """seed_run, and its candidates."""
     lost = history.first_missing(snapshots.select("path", "day").distinct(), "path", "day")
     kinds = snapshots.select("path", "kind").distinct()
     none = F.lit(None).cast("string")
@@ -141,7 +146,7 @@ def seed_run(snapshots: DataFrame, links: DataFrame, caches: validate.Caches, ch
     two = broken.select("path", "kind", none.alias("parent"), none.alias("title"), F.lit("history").alias("evidence"), F.lit(today).alias("firstSeen")).distinct()
     candidates = ledger.merged_candidates([one, two], changes.select("path"), live)
     after = ledger.refresh(changes, candidates, live, "learn", today, probe, limits.probes)
-    return after, ledger.compared(changes, after)
+    return after, ledger.compared(changes, after), candidates
 
 
 def families_in_scope(families: DataFrame, wanted: list[str] | None = None) -> DataFrame:

@@ -23,6 +23,25 @@ RESULT = "path string, status int, firstStatus int, finalUrl string, title strin
 Transport = Callable[[str], tuple[int, dict, str]]
 
 
+def describe_error(error: BaseException) -> str:
+    """An error in one line, with its cause where it has one."""
+    cause = error.__cause__ or error.__context__
+    text = str(error) or type(error).__name__
+    return f"{text} ({cause})" if cause and str(cause) and str(cause) not in text else text
+
+
+class RetryLog:
+    """Passes on the first messages and then every so many, so that a storm of retries stays readable."""
+
+    def __init__(self, warn: Callable[[str], None], label: str, first: int = 5, every: int = 100) -> None:
+        self.warn, self.label, self.first, self.every, self.n = warn, label, first, every, 0
+
+    def __call__(self, message: str) -> None:
+        self.n += 1
+        if self.n <= self.first or self.n % self.every == 0:
+            self.warn(f"{self.label}: {message}" + ("" if self.n < self.first else f" (retry {self.n})"))
+
+
 def probe_page(url: str, host: str, transport: Transport, retries: int = RETRIES, sleep: Callable[[float], None] = time.sleep) -> dict:
     """Follow a page by hand: status of the first and of the last answer, final URL, title."""
     from urllib.parse import urljoin, urlsplit
@@ -34,7 +53,7 @@ def probe_page(url: str, host: str, transport: Transport, retries: int = RETRIES
             try:
                 answer = transport(at)
             except OSError as e:
-                problem = str(e) or type(e).__name__
+                problem = describe_error(e)
             else:
                 if answer[0] != 429 and answer[0] < 500:
                     break
@@ -76,4 +95,4 @@ def fetch(queue: DataFrame, host: str, transport: Transport, pause: float = PAUS
     return queue.select("path").coalesce(WORKERS).mapInPandas(run, RESULT)
 
 
-__all__ = ["HOPS", "MAX_HOPS", "RESULT", "WORKERS", "fetch", "probe_page"]
+__all__ = ["HOPS", "MAX_HOPS", "RESULT", "WORKERS", "RetryLog", "describe_error", "fetch", "probe_page"]
