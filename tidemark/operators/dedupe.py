@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 
 def first_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], losers: bool = False) -> DataFrame:
-    """The first row of every key in the given order (or all the others)."""
+    """The first row of every key in the given order (or all the others).
+
+    Spark limits the window to its first row in each task, before the shuffle:
+    a hot key is a row a task.  That holds for the first rows, not for the others.
+    """
     n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     ranked = df.withColumn("_n", n)
     return ranked.where("_n > 1" if losers else "_n = 1").drop("_n")

@@ -5,6 +5,7 @@ All reads and writes go through Spark, so any store that Spark reaches will do.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 
@@ -77,11 +78,18 @@ def read_ledger(spark: SparkSession, folder: str, host: str | None = None) -> Da
 
 
 def write_ledger(ledger: DataFrame, folder: str, generated_at: str) -> None:
-    """Both change files, entries by path, each put in place in one step."""
+    """Both change files of a ledger with one entry per path: an entry a line, by path, each file put in place in one step.
+
+    Entries are sorted as rows and written as they come: no task holds a file's content.
+    """
     for name in ("removed", "moved"):
         rows = ledger.where(F.col("file") == name).drop("file")
-        entries = rows.agg(F.sort_array(F.collect_list(F.struct("path", *[c for c in rows.columns if c != "path"]))).alias("entries"))
-        write_document(entries.select(F.lit(SCHEMA_VERSION).alias("schemaVersion"), F.lit(generated_at).alias("generatedAt"), "entries"), f"{folder}/{name}.json")
+        entry = F.to_json(F.struct("path", *[c for c in rows.columns if c != "path"]), {"ignoreNullFields": "false"})
+        first = rows.agg(F.min("path")).first()[0]
+        head = f'{{"schemaVersion": {SCHEMA_VERSION}, "generatedAt": {json.dumps(generated_at)}, "entries": ['
+        frame = rows.sparkSession.createDataFrame([(0, "", head), (2, "", "]}")], "ord int, path string, value string")
+        lines = rows.select(F.lit(1).alias("ord"), "path", F.concat(F.when(F.col("path") == first, "").otherwise(","), entry).alias("value"))
+        write_text(frame.unionByName(lines).orderBy("ord", "path").select("value"), f"{folder}/{name}.json")
 
 
 def write_document(row: DataFrame, path: str) -> None:
