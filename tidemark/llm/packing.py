@@ -338,24 +338,29 @@ def _place(plan):
     return run
 
 
-def packed(parts: DataFrame, size: int = SEQUENCE, bucket_rows: int = 50_000) -> DataFrame:
+def packed(parts: DataFrame, size: int = SEQUENCE, bucket_rows: int = 4_000) -> DataFrame:
     """parts with sequence_id and offset.  parts must be a written table with doc_id, piece, length of 1..size.
 
     Only the table of counts by length (size rows at most) reaches the driver.
+    A length's pieces are dealt to buckets of some bucket_rows rows, by `row`, a
+    column of the written table that differs from row to row (else by doc_id and
+    piece); ranks are counted within a bucket, from the sum of those before.
     """
     spark = parts.sparkSession
     counts = {r.length: r.c for r in parts.groupBy("length").agg(F.count("*").alias("c")).collect()}
     plan = Plan.best(counts, size)
     table = np.array(sorted(plan.slots) or np.zeros((0, 5)), np.int64).reshape(-1, 5)
     slots = spark.sparkContext.broadcast(tuple(np.ascontiguousarray(table[:, i]) for i in range(5)))
-    buckets = max(1, -(-sum(counts.values()) // bucket_rows))
-    dealt = parts.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)))
+    own = ["row"] if "row" in parts.columns else ["doc_id", "piece"]
+    many = [(n, -(-c // bucket_rows)) for n, c in counts.items() if c > bucket_rows]
+    buckets = F.broadcast(spark.createDataFrame(many, "length long, buckets long"))
+    dealt = parts.join(buckets, "length", "left").withColumn("bucket", F.pmod(F.xxhash64(*own), F.coalesce("buckets", F.lit(1)))).drop("buckets")
     before = dealt.groupBy("length", "bucket").agg(F.count("*").alias("c"))
     before = before.select("length", "bucket", (F.sum("c").over(Window.partitionBy("length").orderBy("bucket")) - F.col("c")).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32"))
-    ranked = dealt.withColumn("row", inside).join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("row") - 1)
-    ranked = ranked.select(*parts.columns, "rank")
-    return ranked.mapInArrow(_place(slots), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long")
+    inside = F.row_number().over(Window.partitionBy("length", "bucket").orderBy("doc_id", "piece", "ids_crc32", *own))
+    ranked = dealt.withColumn("place", inside).join(before, ["length", "bucket"]).withColumn("rank", F.col("before") + F.col("place") - 1)
+    kept = [f for f in parts.schema if f.name != "row"]
+    return ranked.select(*[f.name for f in kept], "rank").mapInArrow(_place(slots), ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept) + ", sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> DataFrame:
@@ -365,4 +370,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, size: int = SEQUENCE) -> Dat
     size ids (END_ID included) are cut.  Rows without doc_id are left out;
     repeated rows are packed as often as they stand; an empty table gives no rows.
     """
-    return packed(written(pieces(docs, tokenizer, size), "pieces"), size)
+    return packed(written(pieces(docs, tokenizer, size).withColumn("row", F.monotonically_increasing_id()), "pieces"), size)

@@ -35,8 +35,21 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A place for an intermediate table, below a folder of this application, which may be removed when it has ended."""
-    return f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    """A place for an intermediate table, below a folder of this application, which is removed when its driver ends."""
+    folder = f"{shared_folder(spark)}/tidemark/{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_forget, spark, folder)
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+_FOLDERS: set[str] = set()
+
+
+def _forget(spark: SparkSession, folder: str) -> None:
+    """Remove an ended application's tables; where its session is stopped already, they stay for whoever clears the shared folder."""
+    if getattr(spark.sparkContext, "_jsc", None) is not None and not spark.sparkContext._jsc.sc().isStopped():
+        remove(folder, spark)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
