@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError, Scope
 from ..functions.paths import canonical_path, entry_path, in_scope
 from ..functions.scalars import family_of_kind, is_iso_date, text_or_null
+from ..sources.shared import settled
 from .dedupe import first_per, prefer_entry
 from .joins import has_ancestor_in
 
@@ -119,14 +120,14 @@ def refresh(ledger: DataFrame, candidates: DataFrame, live: DataFrame, family: s
 
     spark = ledger.sparkSession
     none = spark.createDataFrame([], "path string, outcome string, to string, status int")
-    ledger = apply_changes(ledger, candidates, none, live, family, today).checkpoint()
+    ledger = settled(apply_changes(ledger, candidates, none, live, family, today))
     done = spark.createDataFrame([], "path string")
     for _ in range(rounds):
-        queue = verification_queue(ledger, today, limit).join(done, "path", "left_anti").select("path", "kind").checkpoint()
+        queue = settled(verification_queue(ledger, today, limit).join(done, "path", "left_anti").select("path", "kind"))
         if queue.isEmpty():
             break
-        results = probe(queue).checkpoint()
-        ledger = apply_changes(ledger, candidates.limit(0), results, live, family, today).checkpoint()
+        results = settled(probe(queue))
+        ledger = settled(apply_changes(ledger, candidates.limit(0), results, live, family, today))
         done = done.union(queue.select("path"))
     return ledger
 

@@ -18,6 +18,7 @@ from ..config import Limits, Site
 from ..functions.paths import in_scope, parent_path
 from ..functions.scalars import json_signature
 from ..operators import build, classify, dedupe, diff, docs, history, ledger, quality, queues
+from ..sources.shared import settled
 from . import validate
 
 Probe = Callable[[DataFrame], DataFrame]
@@ -99,8 +100,8 @@ def docs_run(
     sitemap = dedupe.dedupe_rows(inside, dedupe.first_per(catalogue.select("path", "url"), ["path"], [F.asc("url")]))
     quality.enforce(quality.index_gate(spark, sitemap.count(), quality.index_baseline(previous_index.count(), catalogue.count())), quality.duplicates_gate(sitemap, "url", "path"))
     known = ledger.normal_redirects(redirects)
-    plan = docs.plan(sitemap, catalogue, previous_index, quarantine, known, today, site, limits.redirect_recheck_days, sitemap_ok).checkpoint()
-    states = docs.reconcile(plan, results, today, site).checkpoint()
+    plan = settled(docs.plan(sitemap, catalogue, previous_index, quarantine, known, today, site, limits.redirect_recheck_days, sitemap_ok))
+    states = settled(docs.reconcile(plan, results, today, site))
     index = states.where("in_index").select("path", F.col("index_lastmod").alias("lastmod"))
     new = states.where("state = 'moved'").select(F.col("path").alias("from"), F.col("moved_to").alias("to"), classify.classify_redirect("path", "moved_to").alias("kind"), F.col("moved_status").alias("status"))
     moved = ledger.update_redirects(known, new, states.where("contradicted").select("path"), index, previous_index.select("path"), today, (site.learn, site.index))
@@ -193,7 +194,7 @@ def sitemap_rounds(index_files: DataFrame, roots: DataFrame, most_rounds: int =
     from ..functions.text import is_sitemap_index, sitemap_index
 
     files_ = index_files.select("loc", "xml")
-    now = roots.select("family", "loc").distinct().checkpoint()
+    now = settled(roots.select("family", "loc").distinct())
     seen, pages, failed = now, None, None
     for turn in range(most_rounds + 1):
         read = now.join(files_, "loc", "left")
@@ -203,7 +204,7 @@ def sitemap_rounds(index_files: DataFrame, roots: DataFrame, most_rounds: int =
         failed_now = read.where(~good if turn < most_rounds else ~good | lists).select("family", "loc")
         pages, failed = (pages_now, failed_now) if pages is None else (pages.unionByName(pages_now), failed.unionByName(failed_now))
         below = read.where(lists).select("family", F.explode(sitemap_index("xml")).alias("s")).select("family", F.col("s.loc").alias("loc")).distinct()
-        now = below.join(seen, ["family", "loc"], "left_anti").checkpoint()
+        now = settled(below.join(seen, ["family", "loc"], "left_anti"))
         if turn == most_rounds or now.isEmpty():
             return pages, failed
         seen = seen.unionByName(now)
