@@ -24,7 +24,7 @@ def parser() -> argparse.ArgumentParser:
     for s in (v, c):
         s.add_argument("links", nargs="*")
         s.add_argument("--input", help="JSON array of links, - for standard input")
-        s.add_argument("--host", help="the site's host; other hosts' links are invalid")
+        s.add_argument("--host", help="the site's host; links of other hosts cannot be verified")
     n = sub.add_parser("since", help="the changes recorded since a day")
     n.add_argument("day")
     for s in (c, n):

@@ -23,7 +23,9 @@ KIND_OF_TYPE = {"learningPath": "learning-path", "course": "course", "certificat
 CLASSIFIED = ("gone", "landing", "retired", "moved")
 COVERING = ("gone", "landing", "retired")
 # Fixed values of the path rules.
-NOT_DOCS_PREFIXES = ("/training", "/credentials", "/certifications", "/shows", "/collections")
+NOT_DOCS_PREFIXES = ("/training/", "/credentials/", "/certifications/", "/shows/", "/api/", "/answers/", "/samples/", "/collections/", "/users/", "/assessments/", "/search", "/previous-versions/", "/events/", "/community/")
+#: First segments of pages of the site that are neither training nor documentation.
+LEARN_OTHER = ("credentials", "shows", "answers", "collections", "events", "users", "contribute", "assessments")
 RETIRED_PREFIXES = ("/previous-versions", "/archive")
 HUBS = ("/", "/docs", "/training", "/training/browse", "/credentials", "/credentials/browse", "/certifications", "/search", "/samples", "/answers")
 REDIRECT_STATUSES = (301, 302, 303, 307, 308)

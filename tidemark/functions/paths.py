@@ -228,9 +228,10 @@ def toc_target(href: Column | str, folder: Column | str, host: str | None = None
 
 def toc_folder(page: Column | str, rel: Column | str) -> Column:
     """The folder of a page's sidebar file."""
-    return canonical_path(F.regexp_replace(resolved(rel, page), r"/toc\.json$", ""))
+    at = F.regexp_replace(resolved(rel, page), r"/toc\.json$", "")
+    return F.when(at == "", "/").otherwise(canonical_path(at))
 
 
 def link_target(href: Column | str, page: Column | str, host: str | None = None) -> Column:
     """The page an article's link leads to; null for other hosts, anchors and the page itself."""
-    return F.nullif(canonical_path(resolved(href, F.concat(col(page), F.lit("/")), host)), col(page))
+    return F.nullif(canonical_path(resolved(href, page, host)), col(page))

@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 from .paths import col, trimmed
 
+#: Sections that are page furniture: of articles, and of unit pages (fixed values).
+SKIP_ARTICLE = "(?i)feedback|in this article|additional resources"
+SKIP_UNIT = "(?i)copilot|feedback|check your knowledge|knowledge check|learning objectives"
 #: Entities by name (fixed values); &amp; comes last so that nothing is decoded twice.
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&mdash;", "—"), ("&ndash;", "–"), ("&hellip;", "…"), ("&amp;", "&"))
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&nbsp;", " "), ("&mdash;", "—"), ("&ndash;", "–"), ("&rsquo;", "’"), ("&lsquo;", "‘"), ("&amp;", "&"))
 XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
 
 
@@ -142,20 +145,36 @@ def sections(html: Column | str, tag: str = "h2") -> Column:
 
 
 def anchors(html: Column | str) -> Column:
-    """array of struct(href, text) in page order."""
+    """array of struct(href, text, linktype) in page order."""
     found = F.regexp_extract_all(col(html), F.lit(r"""(?is)(<a\s[^>]*?href=["'][^"']*["'][^>]*>.*?</a\s*>)"""), 1)
-    return F.transform(found, lambda a: F.struct(decoded(F.regexp_extract(a, r"""(?is)href=["']([^"']*)["']""", 1)).alias("href"), text_of(a).alias("text")))
+    return F.transform(found, lambda a: F.struct(decoded(F.regexp_extract(a, r"""(?is)href=["']([^"']*)["']""", 1)).alias("href"), text_of(a).alias("text"), F.nullif(F.lower(F.regexp_extract(a, r"""(?is)^<a\s[^>]*?data-linktype=["']([^"']*)["']""", 1)), F.lit("")).alias("linktype")))
 
 
-def page_links(pages: DataFrame, html: Column | str, key: str, tag: str = "h2", skip: str = "(?i)feedback|in this article|additional resources") -> DataFrame:
+def page_links(pages: DataFrame, html: Column | str, key: str, tag: str = "h2", skip: str = SKIP_ARTICLE, with_type: bool = False) -> DataFrame:
     """key, pos, section, href, text: a page's links in order, the first of (section, href) only, some sections left out."""
     s = pages.select(F.col(key), F.posexplode(sections(html, tag)).alias("s", "part")).where(F.col("part.section").isNull() | ~F.col("part.section").rlike(skip))
     a = s.select(key, "s", F.col("part.section").alias("section"), F.posexplode(anchors("part.html")).alias("i", "a"))
     from ..operators.dedupe import first_per
 
-    rows = a.select(key, "s", "i", "section", "a.href", F.substring("a.text", 1, 200).alias("text"))
+    rows = a.select(key, "s", "i", "section", "a.href", F.substring("a.text", 1, 200).alias("text"), "a.linktype")
     one = first_per(rows.withColumn("_s", F.coalesce("section", F.lit(""))), [key, "_s", "href"], [F.col("s"), F.col("i")]).drop("_s")
-    return one.select(key, (F.col("s") * 100_000 + F.col("i")).alias("pos"), "section", "href", "text")
+    return one.select(key, (F.col("s") * 100_000 + F.col("i")).alias("pos"), "section", "href", "text", *(["linktype"] if with_type else []))
+
+
+def article_links(pages: DataFrame, html: str, path: str, host: str, end_marker: str = "</main>") -> DataFrame:
+    """path, pos, section, target, text: the pages of the site that articles lead to, the first of (section, target).
+
+    Links marked external or as a bookmark of the page, those without text, to
+    other hosts or to the page itself are left out; the lead is section 'lead'.
+    A page of another layout (no heading, or no end of the article) has no rows.
+    """
+    from ..operators.dedupe import first_per
+    from .paths import link_target
+
+    articles = pages.select(F.col(path).alias("path"), article_html(html, end_marker).alias("_article")).where("_article is not null")
+    rows = page_links(articles, "_article", "path", with_type=True).where("coalesce(linktype, '') not in ('external', 'self-bookmark') and text <> ''")
+    rows = rows.withColumn("target", link_target("href", "path", host)).where("target is not null").withColumn("section", F.coalesce(F.nullif("section", F.lit("")), F.lit("lead")))
+    return first_per(rows.select("path", "pos", "section", "target", "text"), ["path", "section", "target"], [F.asc("pos")])
 
 
 def xml_blocks(xml: Column | str, tag: str) -> Column:

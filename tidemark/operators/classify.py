@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import GONE_STATUSES, HUBS, NOT_DOCS_PREFIXES, RETIRED_PREFIXES
-from ..functions.paths import canonical_path, col, last_segment, parent_path, under_any
+from ..config import GONE_STATUSES, HUBS, LEARN_OTHER, NOT_DOCS_PREFIXES, RETIRED_PREFIXES
+from ..functions.paths import canonical_path, col, last_segment, parent_path, trimmed, under_any, url_host
+from ..functions.text import decoded
 
 #: Path shapes in the order they are tried (fixed values of the rules).
 SHAPES = (
@@ -123,17 +124,25 @@ def external_page(status: Column, error: Column) -> Column:
 def link_kind(path: Column | str) -> Column:
     """training, learn-other or docs."""
     p = col(path)
-    return F.when(p.rlike(r"^/training(/|$)"), "training").when(p.rlike(r"^/(credentials|certifications|shows|collections|answers|samples|search)(/|$)"), "learn-other").otherwise("docs")
+    return F.when(p.rlike(r"^/training(/|$)"), "training").when(p.rlike(rf"^/({'|'.join(LEARN_OTHER)})(/|$)"), "learn-other").otherwise("docs")
 
 
-def classify_link(href: Column | str, base: Column | str, host: str) -> Column:
-    """struct(kind, path) of a link on a page: a page of the site by kind, or external; null for anchors and other schemes.
+def classify_link(href: Column | str, module: Column | str | None, host: str) -> Column:
+    """struct(kind, path, url) of a link on a unit page: a page of the site by kind, or external, by its URL without fragment.
 
-    Only absolute paths and URLs; relative ones go through paths.resolved first.
+    Null for anchors, other schemes, the site's front page, and the module itself
+    with its units.  A relative link is one below the site's root; those with
+    dots go through paths.resolved first.
     """
-    h = col(href)
-    path = canonical_path(h, host)
-    return F.when(path.isNotNull(), F.struct(link_kind(path).alias("kind"), path.alias("path"))).when(h.rlike("(?i)^https?://"), F.struct(F.lit("external").alias("kind"), F.lit(None).cast("string").alias("path")))
+    h = trimmed(decoded(href))
+    scheme = h.rlike("(?i)^[a-z][a-z0-9+.-]*:")
+    at = F.when(scheme | h.startswith("/"), h).otherwise(F.concat(F.lit("/"), F.regexp_replace(h, r"^(?:\./)+", "")))
+    path = canonical_path(at, host)
+    own = F.lit(False) if module is None else F.coalesce((path == col(module)) | path.startswith(F.concat(col(module), F.lit("/"))), F.lit(False))
+    none = F.lit(None).cast("string")
+    page = F.struct(link_kind(path).alias("kind"), path.alias("path"), none.alias("url"))
+    outside = F.struct(F.lit("external").alias("kind"), none.alias("path"), F.regexp_replace(h, "#.*$", "").alias("url"))
+    return F.when((h == "") | h.startswith("#"), None).when(path.isNotNull(), F.when((path != "/") & ~own, page)).when(h.rlike("(?i)^https?://") & (url_host(h) != host), outside)
 
 
 def decide_offline(verdict: Column, redirects_to: Column, confidence: Column) -> Column:

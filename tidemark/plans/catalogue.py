@@ -262,7 +262,7 @@ def page_links(spark, sf):
     return X.page_links(T(spark, sf, "pages"), "html", "page_id", "p")
 
 
-@query("""SELECT page_id, CASE WHEN regexp_matches(h, '^/training(/|$)') THEN 'training' WHEN regexp_matches(h, '^/(credentials|certifications|shows|collections|answers|samples|search)(/|$)') THEN 'learn-other' ELSE 'docs' END AS kind, count(*) AS n
+@query("""SELECT page_id, CASE WHEN regexp_matches(h, '^/training(/|$)') THEN 'training' WHEN regexp_matches(h, '^/(credentials|shows|answers|collections|events|users|contribute|assessments)(/|$)') THEN 'learn-other' ELSE 'docs' END AS kind, count(*) AS n
  FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, 'href="(/[^"?#]*)"', 1))) AS h FROM pages) GROUP BY ALL""")
 def link_kinds(spark, sf):
     h = T(spark, sf, "pages").select("page_id", F.explode(F.regexp_extract_all("html", F.lit('href="(/[^"?#]*)"'), 1)).alias("h"))

@@ -103,7 +103,7 @@ def codes_and_links(spark, sf):
     return O(spark, sf).select("o_orderkey", code.alias("code"), P.exam_code_of_uid(F.concat(F.lit("exam.AB-"), "o_orderkey")).alias("uid_code"), P.study_guide_path(code).alias("guide"), P.study_guide_path(code, True).alias("skill_guide"), P.encoded(F.concat(F.lit("a b/"), "o_orderkey", F.lit("?"))).alias("encoded"), P.is_module_path(path).alias("is_module"), P.normal_link(link, "me").alias("link"))
 
 
-@query(f"""SELECT o_orderkey, {sql_cases(6, "'/d/a/x' || o_orderkey", "'/d/y' || o_orderkey", "'/abs/z' || o_orderkey", "NULL", "NULL", "'/q/' || o_orderkey")} AS target, {sql_cases(6, "'/d/a/x' || o_orderkey", "'/d/y' || o_orderkey", "'/abs/z' || o_orderkey", "NULL", "NULL", "'/q/' || o_orderkey")} AS link, '/d/t' || o_orderkey AS folder FROM orders""")
+@query(f"""SELECT o_orderkey, {sql_cases(6, "'/d/a/x' || o_orderkey", "'/d/y' || o_orderkey", "'/abs/z' || o_orderkey", "NULL", "NULL", "'/q/' || o_orderkey")} AS target, {sql_cases(6, "'/d/x' || o_orderkey", "'/y' || o_orderkey", "'/abs/z' || o_orderkey", "NULL", "NULL", "'/q/' || o_orderkey")} AS link, '/d/t' || o_orderkey AS folder FROM orders""")
 def resolved_links(spark, sf):
     toc = cases(6, "./x{k}.md", "../Y{k}.yml", "/abs/z{k}/index", "https://other.example/a", "#part", "https://site.example/en-us/q/{k}")
     link = cases(6, "x{k}", "../y{k}?v=1", "/fr-fr/Abs/z{k}/", "https://other.example/a", "#part", "https://site.example/q/{k}#top")
@@ -201,6 +201,14 @@ def section_links(spark, sf):
     return X.page_links(O(spark, sf).select("o_orderkey", html.alias("html")), "html", "o_orderkey")
 
 
+@query("""SELECT path, pos, section, target, text FROM (SELECT '/docs/' || o_orderkey AS path, CAST(0 AS INT) AS pos, 'lead' AS section, '/docs/next' || o_orderkey AS target, 'Next' AS text FROM orders UNION ALL SELECT '/docs/' || o_orderkey, 100000, o_orderpriority, '/docs/next' || o_orderkey, 'Again' FROM orders UNION ALL SELECT '/docs/' || o_orderkey, 100002, o_orderpriority, '/other', 'Other' FROM orders) WHERE CAST(substr(path, 7) AS BIGINT) % 9 <> 3""")
+def article_links(spark, sf):
+    links = F.concat(F.lit('<a href="../docs/next'), "o_orderkey", F.lit('#x" data-linktype="relative-path">Next</a><a href="https://else.example/">E</a><a href="#a" data-linktype="self-bookmark">B</a><a href="/docs/'), "o_orderkey", F.lit('">Self</a><h2>'), "o_orderpriority", F.lit('</h2><a href="https://site.example/en-us/docs/Next'), "o_orderkey", F.lit('/">Again</a><a href="/x" data-linktype="external">X</a><a href="/other?b">Other</a><a href="/z"> </a><a href="/other">Second</a>'))
+    html = F.concat(F.lit('<h1>T</h1>'), links, F.when(K % 9 == 3, "").otherwise(F.lit("</main>")))
+    rows = O(spark, sf).select(F.concat(F.lit("/docs/"), "o_orderkey").alias("path"), F.concat(F.lit('<a href="/before">B</a>'), html).alias("html"))
+    return X.article_links(rows, "html", "path", HOST)
+
+
 # ---- classifiers
 
 
@@ -221,13 +229,13 @@ def live_verdicts(spark, sf):
     return O(spark, sf).select("o_orderkey", v.verdict.alias("verdict"), v.redirects_to.alias("redirects_to"))
 
 
-@query(f"""SELECT o_orderkey, {sql_cases(5, "'training'", "'docs'", "'learn-other'", "'external'", "NULL")} AS kind, {sql_cases(5, "'/training/modules/' || o_orderkey", "'/cloud/' || o_orderkey", "'/answers/' || o_orderkey", "NULL", "NULL")} AS path, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "NULL", "NULL")} AS offline, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "'unverified'", "'drop'")} AS probed FROM orders""")
+@query(f"""SELECT o_orderkey, {sql_cases(5, "'training'", "'docs'", "'learn-other'", "'external'", "NULL")} AS kind, {sql_cases(5, "'/training/modules/' || o_orderkey", "'/cloud/' || o_orderkey", "'/answers/' || o_orderkey", "NULL", "NULL")} AS path, {sql_cases(5, *["NULL"] * 3, "'https://other.example/' || o_orderkey || '?a'", "NULL")} AS url, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "NULL", "NULL")} AS offline, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "'unverified'", "'drop'")} AS probed FROM orders""")
 def link_decisions(spark, sf):
-    href = cases(5, "https://site.example/en-us/training/modules/{k}/", "/cloud/{k}?x", "https://site.example/answers/{k}", "https://other.example/{k}", "mailto:a@{k}")
-    link = classify.classify_link(href, F.lit("/"), HOST)
+    href = cases(5, "https://site.example/en-us/training/modules/{k}/", "/cloud/{k}?x", "https://site.example/answers/{k}", "https://other.example/{k}?a#b", "mailto:a@{k}")
+    link = classify.classify_link(href, F.concat(F.lit("/training/modules/"), F.col("o_orderkey") + 1), HOST)
     cached, sure = cases(5, "valid", "moved", "broken", "broken", "unverifiable"), F.when(K % 5 == 3, "low").otherwise("high")
     live, to = cases(5, "ok", "moved", "broken", "unknown", "moved"), F.when(K % 5 == 1, "/t")
-    return O(spark, sf).select("o_orderkey", link.kind.alias("kind"), link.path.alias("path"), classify.decide_offline(cached, to, sure).alias("offline"), classify.decide_probe(live, to).alias("probed"))
+    return O(spark, sf).select("o_orderkey", link.kind.alias("kind"), link.path.alias("path"), link.url.alias("url"), classify.decide_offline(cached, to, sure).alias("offline"), classify.decide_probe(live, to).alias("probed"))
 
 
 # ---- winners

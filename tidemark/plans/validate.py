@@ -74,8 +74,8 @@ def known_paths(caches: Caches) -> DataFrame | None:
 def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "url", host: str | None = None) -> DataFrame:
     """links with path, kind, verdict, evidence, confidence, redirects_to, suggestion.
 
-    Verdicts are valid, broken, moved, unverifiable and invalid (no path of the
-    site).  Every link is one row, repeats included; columns of these names that
+    Verdicts are valid, broken, moved and unverifiable, such as what is no page of
+    the site (kind other).  Every link is one row, repeats included; columns of these names that
     links has already are replaced.
     """
     taken = [c for c in ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion") if c in links.columns and c != "path"]
@@ -89,7 +89,7 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
         above = facts.where("_module or _tomb or _outside").select(F.col("_k").alias("_pk"), F.col("_module").alias("_p_module"), F.col("_tomb").alias("_p_tomb"), F.col("_outside").alias("_p_outside"), F.col("_served").alias("_lost"), F.col("_units").alias("_p_units"))
         rows = rows.join(facts, F.col("path") == F.col("_k"), "left").drop("_k").join(above, F.col("_parent") == F.col("_pk"), "left").drop("_pk")
     is_module, is_unit = F.coalesce("_module", F.lit(False)), F.coalesce("_p_module", F.lit(False))
-    rows = rows.withColumn("kind", classify_known("path", is_module, is_unit))
+    rows = rows.withColumn("kind", F.coalesce(F.when(F.col("path").isNotNull(), classify_known("path", is_module, is_unit)), F.lit("other")))
     below = F.col("kind") == "unit"
     types = F.element_at(F.create_map(*[x for k, t in CONTENT.items() for x in (F.lit(k), F.lit(t))]), F.col("kind"))
     rows = rows.withColumns({"_tomb": F.when(below, F.col("_p_tomb")).otherwise(F.col("_tomb")), "_outside": F.when(below, F.col("_p_outside")).otherwise(F.col("_outside")), "_content": F.array_contains("_types", types), "_units": F.col("_p_units")})
@@ -112,7 +112,7 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
     )
     content = F.when(F.lit(caches.content is None), missing).when(F.col("_content"), s("valid", "learn-content")).when(F.col("_content_tomb"), s("broken", "tombstone")).when(kind.isin(*PARTIAL), s("unverifiable", "learn-content")).otherwise(s("broken", "learn-content"))
     docs = F.when(F.lit(caches.index is None), missing).when(F.col("_indexed"), s("valid", "docs-urls")).when(F.col("_redirect"), s("moved", "docs-redirects")).when(F.col("_held"), s("broken", "quarantine")).when(scope.isNull() | (scope == "excluded"), s("unverifiable", "scope")).otherwise(s("broken", "docs-urls", "low"))
-    verdict = F.when(F.col("path").isNull(), s("invalid", "none")).when(kind == "module", module).when(kind == "unit", unit).when(kind.isin(*CONTENT), content).when(kind == "other", s("unverifiable", "no-source")).otherwise(docs)
+    verdict = F.when(F.col("path").isNull(), s("unverifiable", "scope")).when(kind == "module", module).when(kind == "unit", unit).when(kind.isin(*CONTENT), content).when(kind == "other", s("unverifiable", "scope")).otherwise(docs)
     rows = rows.withColumn("_v", verdict)
     rows = rows.select("*", *[F.col(f"_v.{c}").alias(c) for c in ("verdict", "evidence", "confidence")])
     moved = F.col("evidence") == "docs-redirects"
@@ -170,4 +170,4 @@ def verdict_summary(results: DataFrame) -> DataFrame:
 
 
 def out_of_scope_segments(results: DataFrame) -> DataFrame:
-    return results.where("evidence = 'scope'").groupBy(first_segment("path").alias("segment")).agg(F.count("*").alias("n"))
+    return results.where("evidence = 'scope' and kind = 'docs'").groupBy(first_segment("path").alias("segment")).agg(F.count("*").alias("n"))
