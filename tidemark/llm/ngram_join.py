@@ -20,7 +20,8 @@ least is near to most.  The components of these links partition the documents; b
 blocks.  The matrix holds each block's token union.
 
 Queries.  A posting with one component left is done.  For the others, a
-document meets the blocks of other components: the overlap with the token
+document meets the blocks of other components that hold sets of a size it can
+link with: the overlap with the token
 union bounds the similarity to every member at once (a count by document and
 block), and only blocks above the bound are opened, their members bounded one
 by one in the same way, and survivors compared in full.  Every pair not already in one component is thus examined.
@@ -30,6 +31,7 @@ What is sent to all tasks: at most TOP shingles, and a bitmap of fixed size.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,6 +161,11 @@ def alike_in_size(na, low, high, percent: int):
     return (100 * high >= percent * na) & (100 * na >= percent * low)
 
 
+def size_class(n, percent: int):
+    """Classes of set sizes, rising; linked sets are in the same class or the next (percent 100: the sizes themselves)."""
+    return n.cast("long") if percent >= 100 else F.floor(F.log(n.cast("double")) / math.log(100 / percent) + 1e-9)
+
+
 def least_shared(na, low, high, percent: int) -> tuple:
     """(overlap, shared): what a set of na members and one of low..high need to link.
 
@@ -254,7 +261,9 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     union = row.groupBy("h", "c", "g").agg(F.max("slack").alias("left"))
     matrix = written(union.join(group, ["c", "g"]), "matrix")
     query = row.select("h", F.col("rep").alias("a"), F.col("n").alias("na"), F.col("slack").alias("sa"), F.col("c").alias("qc"))
-    meet = query.join(matrix, "h").where(F.col("qc") < F.col("c"))
+    # a token's documents meet only blocks of sizes that can link: both sides are dealt by token and size class
+    reach = F.sequence(size_class(F.greatest(F.floor(F.col("low") * percent / 100), F.lit(1)), percent), size_class(F.ceil(F.col("high") * 100 / percent), percent))
+    meet = query.withColumn("z", size_class(F.col("na"), percent)).join(matrix.withColumn("z", F.explode(reach)), ["h", "z"]).where(F.col("qc") < F.col("c"))
     meet = meeting(meet, ["a", "c", "g", "one", "many"], F.col("na"), F.col("low"), F.col("high"), F.col("sa"), F.col("left"), percent)
     opened = written(meet, "opened")
     inside = row.select("h", F.col("rep").alias("b"), F.col("n").alias("nb"), F.col("slack").alias("sb"), "c", "g").join(opened.where("many").select("a", "c", "g"), ["c", "g"])
