@@ -65,6 +65,14 @@ def test_em_finds_reliable_labelers():
     assert score(rows[0][0]) > 0 > score(rows[2][0])
 
 
+def test_numbers_that_fail_their_check_digits_need_context(spark):
+    good = [4111111111111111, 5500005555555559, 4012888888881881, 378282246310005]
+    rows = [(i, f"word {good[i % 4]} word") for i in range(40)] + [(100 + i, f"word {4111111111111112 + 10 * i} word") for i in range(40)] + [(200 + i, f"pay by credit card: {good[i % 4]} now") for i in range(20)]
+    got = {r.doc_id: len(r.spans) for r in find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    fails = {100 + i for i in range(40) if not luhn(str(4111111111111112 + 10 * i))}
+    assert len(fails) > 30 and not any(got[i] for i in fails) and all(got[i] == 1 for i in (*range(40), *range(200, 220)))
+
+
 def test_redaction_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "é me@x.org and 10.0.0.1!", "en", "s", 24), (2, None, "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
     out = {r.doc_id: r for r in redact(df, find_personal_data(df)).collect()}

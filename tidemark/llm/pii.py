@@ -154,23 +154,31 @@ def candidates(docs: DataFrame) -> DataFrame:
     return out.select("doc_id", "tag", F.array_sort(F.flatten(F.array(*[F.expr(_candidates(n, k, b)) for n, k, _, _, b in PATTERNS]))).alias("c"))
 
 
+#: Prior shares of a check's votes for what is no personal data (one digit in ten fits by chance), and for what is.
+CHECK = ({-1: 0.9, 0: 0.0, 1: 0.1}, {-1: 0.01, 0: 0.0, 1: 0.99})
+
+
 def em(rows: list[tuple[tuple[int, ...], int]], rounds: int = 50) -> tuple[list[float], list[list[dict[int, float]]], float]:
     """Two-class latent model over (votes, count): posteriors of each row, P(vote | class) by labeler, the prior.
 
-    It starts from the majority of votes and keeps +1 votes the sign of class 1.
+    It starts from a weighted majority, in which the first labeler, the pattern's
+    own check, counts most.  Where that check tells candidates apart, its
+    reliability has a prior (CHECK) as heavy as the candidates themselves: votes
+    that are alike for all candidates could otherwise be shared out at will.
     """
     if not rows:
         return [], [], 0.5
     labelers = range(len(rows[0][0]))
-    post = [min(0.95, max(0.05, 0.5 + 0.2 * sum(v))) for v, _ in rows]
+    post = [min(0.95, max(0.05, 0.5 + 0.4 * v[0] + 0.1 * sum(v[1:]))) for v, _ in rows]
     table, prior = [], 0.5
+    checked = sum(c for _, c in rows) if {v[0] for v, _ in rows} >= {-1, 1} else 0
     for _ in range(rounds):
         total = sum(c for _, c in rows)
         mass = sum(p * c for p, (_, c) in zip(post, rows))
         prior = (mass + 1) / (total + 2)
         table = []
         for j in labelers:
-            seen = [{-1: 1.0, 0: 1.0, 1: 1.0}, {-1: 1.0, 0: 1.0, 1: 1.0}]
+            seen = [{x: 1.0 + (checked * CHECK[k][x] if j == 0 else 0.0) for x in (-1, 0, 1)} for k in (0, 1)]
             for p, (v, c) in zip(post, rows):
                 seen[1][v[j]] += p * c
                 seen[0][v[j]] += (1 - p) * c
