@@ -212,12 +212,17 @@ def _named(bits):
     return run
 
 
-def compared(base: DataFrame, pairs: DataFrame, k: int, percent: int, log2_bits: int | None = None) -> DataFrame:
-    """The pairs (a, b) of rids whose whole texts link.  Only texts named by a pair are shuffled."""
+def compared(base: DataFrame, pairs: DataFrame, k: int, percent: int, repeated: bool = False, log2_bits: int | None = None) -> DataFrame:
+    """The pairs (a, b) of rids whose whole texts link.  Only texts named by a pair are shuffled.
+
+    repeated: a rid may stand more than once, and is then taken once.  Else both
+    joins have nothing but an exchange on either side, which Spark can split.
+    """
     ids = written(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "named")
     bits = base.sparkSession.sparkContext.broadcast(K.bloom(ids, "id", log2_bits))
     remove(ids)
-    some = base.select("rid", "text").mapInArrow(_named(bits), "rid long, text string").dropDuplicates(["rid"])
+    some = base.select("rid", "text").mapInArrow(_named(bits), "rid long, text string")
+    some = some.dropDuplicates(["rid"]) if repeated else some
     left = some.select(F.col("rid").alias("a"), F.col("text").alias("text_a"))
     right = some.select(F.col("rid").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_linked(k, percent), "a long, b long")
@@ -247,7 +252,8 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     star = postings.where((F.col("rep") != F.col("pivot")) & alike_in_size(F.col("n"), F.col("pn"), F.col("pn"), percent))
     star = star.groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"), "n", "pn").agg(F.count("*").alias("s")).where(may_link(F.col("s"), F.col("n"), F.col("pn"), percent))
     close = written(star.select("a", "b"), "pairs")
-    links = written(compared(base, close, k, percent), "near")
+    repeated = not sets.groupBy("rid").agg(F.count("*").alias("c")).where("c > 1").isEmpty()
+    links = written(compared(base, close, k, percent, repeated), "near")
     grouped = components(links)
 
     # the matrix: blocks of components, and the documents that meet blocks of others
@@ -272,7 +278,7 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     cross = opened.where("not many").select("a", F.col("one").alias("b")).union(inside)
     seen = close.union(close.select("b", "a"))
     cross = written(cross.join(seen, ["a", "b"], "left_anti"), "pairs")
-    more = compared(base, cross, k, percent)
+    more = compared(base, cross, k, percent, repeated)
     final = components(links.select("a", "b").union(more)).withColumnRenamed("node", "rep")
 
     grouped = written(classes.join(final, "rep", "left").select("k1", "k2", "n", "first", F.coalesce("component", "rep").alias("c")), "of-component")
