@@ -45,7 +45,7 @@ from .components import components
 from .session import remove, tagged, written
 
 #: Edges that a task holds before it settles and sends them; places from which a minimizer is hot; nodes that are judged at once.
-FLUSH_EDGES, HOT, BATCH = 1_500_000, 20_000, 1 << 19
+FLUSH_EDGES, HOT, BATCH = 1_500_000, 2_000, 1 << 19
 _ROWS = "key long, doc long, tag int, start int, n int, nodes array<long>"
 _NAMES = ["key", "doc", "tag", "start", "n", "nodes"]
 _TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
