@@ -76,6 +76,12 @@ def op10_mixing_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents"))
 
 
+def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import fingerprint_text, simhash_duplicates
+
+    return simhash_duplicates(table(spark, sf_dir, "documents")).select("doc_id", fingerprint_text("fp").alias("fingerprint"), "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
