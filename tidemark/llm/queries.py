@@ -82,6 +82,13 @@ def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents")).select("doc_id", fingerprint_text("fp").alias("fingerprint"), "component_id")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .whitening import whitened
+
+    out = whitened(table(spark, sf_dir, "embeddings"), key="vec_id", vector="embedding")
+    return out.select(F.col("id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error", "deviation_text")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 

@@ -76,17 +76,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of BATCH_ROWS and BATCH_BYTES; a session that sets these options itself keeps its own."""
+    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if spark.conf.get(f"spark.sql.execution.arrow.{name}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", value)
+
+
 def id_text(docs: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] = ()) -> DataFrame:
     """(doc_id, text, and columns to keep) of rows that have an id; a null text becomes an empty one.
 
-    Texts that go to Python go in small batches: memory there is bounded by
-    BATCH_ROWS and BATCH_BYTES, and by the longest text.  A session that sets
-    these options itself keeps its own.
+    Texts that go to Python go in small batches (small_batches), bounded beside
+    that by the longest text.
     """
-    conf = docs.sparkSession.conf
-    for name, value in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        if conf.get(f"spark.sql.execution.arrow.{name}", None) is None:
-            conf.set(f"spark.sql.execution.arrow.{name}", value)
+    small_batches(docs.sparkSession)
     return docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), *keep)
 
 
