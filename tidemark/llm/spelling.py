@@ -5,8 +5,8 @@ depend on their order.  Two words that differ by one letter have keys that diffe
 by that letter's value (one added or removed) or by the difference of two values
 (one for another).  Every word is listed under its whole key, and under its key
 less each of its letters; a join of that list with itself finds one-letter
-additions, removals and exchanges alike.  The order of letters is verified by the
-edit distance.
+additions, removals and exchanges alike.  The order of letters is verified from
+their first difference on.
 
 Words of few letters in all orders share a key.  Where more than CROWD rows stand
 under one, rows are told apart by a hash of the letters that are left, in their
@@ -53,6 +53,19 @@ def anagram_key(letters: Column) -> Column:
     return F.aggregate(letters, F.lit(0).cast("long"), lambda s, c: (s + letter_value(c)) % MODULUS)
 
 
+def _letters(word) -> Column:
+    return F.filter(F.split(word, ""), lambda c: c != "")
+
+
+def one_letter_apart(a: str, b: str) -> Column:
+    """Whether two different words are alike but for one letter: from the first difference on, in time that grows with their length."""
+    at = F.array_position(F.zip_with(_letters(a), _letters(b), lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
+    more = F.char_length(a) - F.char_length(b)
+    rest_a = F.substr(a, F.when(more < 0, at).otherwise(at + 1))
+    rest_b = F.substr(b, F.when(more > 0, at).otherwise(at + 1))
+    return (F.abs(more) <= 1) & (rest_a == rest_b)
+
+
 def listed(words: DataFrame) -> DataFrame:
     """(key, way, order, cut, word, n): each word under its key (cut ''), and under its key less each letter.
 
@@ -60,15 +73,14 @@ def listed(words: DataFrame) -> DataFrame:
     additions ('added': by a hash of the letters left, the first of equal letters
     in a run cut) and for exchanges ('exchanged': with the place of the gap).
     """
-    letters = F.filter(F.split("word", ""), lambda c: c != "")
-    word = words.select("word", "n", letters.alias("letters"), anagram_key(letters).alias("whole"))
+    word = words.select("word", "n", _letters("word").alias("letters"), anagram_key(_letters("word")).alias("whole"))
     cuts = F.transform(F.concat(F.array(F.lit("")), F.array_distinct("letters")), lambda c: F.struct(c.alias("cut"), F.when(c == "", F.col("whole")).otherwise((F.col("whole") - letter_value(c) + MODULUS) % MODULUS).alias("key")))
     plain = written(word.select("word", "n", F.inline(cuts)).select("key", "cut", "word", "n"), "keys")
     crowded = written(plain.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key"), "crowded")
     if crowded.isEmpty():
         return plain.select("key", F.lit("").alias("way"), F.lit(0).cast("long").alias("order"), "cut", "word", "n")
     some = plain.join(crowded, "key", "left_semi")
-    place = some.where("cut <> ''").select("key", "cut", "word", "n", F.posexplode(F.filter(F.split("word", ""), lambda c: c != "")).alias("at", "letter")).where("letter = cut")
+    place = some.where("cut <> ''").select("key", "cut", "word", "n", F.posexplode(_letters("word")).alias("at", "letter")).where("letter = cut")
     left = F.concat(F.substr("word", F.lit(1), F.col("at")), F.substr("word", F.col("at") + 2))
     first = (F.col("at") == 0) | (F.substr("word", F.col("at"), F.lit(1)) != F.col("cut"))
     added, exchanged = F.lit("added").alias("way"), F.lit("exchanged").alias("way")
@@ -86,7 +98,7 @@ def near_words(words: DataFrame) -> DataFrame:
     rows = written(listed(words), "listed")
     other = rows.select("key", "way", "order", F.col("cut").alias("other"), F.col("word").alias("near"), F.col("n").alias("near_n"))
     met = rows.join(other, ["key", "way", "order"]).where("cut <> other AND (way <> 'added' OR cut = '' OR other = '')")
-    return met.where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n")
+    return met.where(one_letter_apart("word", "near")).select("word", "n", "near", "near_n")
 
 
 def rooted(forms: DataFrame) -> DataFrame:
