@@ -30,12 +30,17 @@ def best_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
 
 
 def prefer_entry(entries: DataFrame, key: str = "path") -> DataFrame:
-    """Newest lastVerified, then oldest firstSeen, then the row as JSON; firstSeen becomes the key's oldest."""
-    w = Window.partitionBy(key)
+    """Newest lastVerified, then oldest firstSeen, then the row as JSON; firstSeen becomes the key's oldest.
+
+    An aggregate, so a hot key is a row a task.  lastVerified is an ISO day or
+    null: its digits, each taken from nine, put the newest first and null last.
+    """
+    newest = F.coalesce(F.translate("lastVerified", "0123456789", "9876543210"), F.lit("~"))
     text = F.to_json(F.struct(*[F.col(c) for c in entries.columns]))
-    out = entries.withColumn("_first", F.min("firstSeen").over(w)).withColumn("_json", text)
-    out = first_per(out, [key], [F.desc_nulls_last("lastVerified"), F.asc("firstSeen"), F.asc("_json")])
-    return out.withColumn("firstSeen", F.col("_first")).select(entries.columns)
+    rest = [c for c in entries.columns if c != key]
+    chosen = F.min_by(F.struct(*rest), F.struct(newest.alias("a"), F.col("firstSeen").alias("b"), text.alias("c")))
+    out = entries.groupBy(key).agg(chosen.alias("_w"), F.min("firstSeen").alias("_first"))
+    return out.select(*[(F.col("_first") if c == "firstSeen" else F.col(key) if c == key else F.col(f"_w.{c}")).alias(c) for c in entries.columns])
 
 
 def pick_record(rows: DataFrame, key: str, row_url: str | None = None) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import MAX_HOPS
 from ..functions.paths import ancestors, last_segment, parent_path, slug_text
+from ..sources.shared import settled
 from .dedupe import first_per
 
 
@@ -75,49 +78,46 @@ def lookup_changes(links: DataFrame, changes: DataFrame, link: str = "path") ->
     ancestor of kind module covers what lies below it, with low confidence for
     moves.  No row means that no change is recorded, not that the link is good.
 
-    The rounds are unrolled: a recursive query cannot pick the nearest
-    ancestor inside its loop.  A link that has ended looks for a key of its own
-    that no path has, so that such links do not gather under a null.
+    A recursive query cannot pick the nearest ancestor inside its loop, so there
+    is a round a hop; each goes on with the links that are still under way, kept
+    in the shared folder.  The links as a whole are exchanged for the first
+    round alone: by themselves, and once for each depth of modules.
     """
-    index = index_changes(changes)
+    index = settled(index_changes(changes))
     depths = module_depths(index)
+    none = F.lit(None).cast("string")
     now = links.select(F.col(link).alias("link")).where(F.col("link").isNotNull() & (F.col("link") != "/")).distinct()
-    now = now.select("link", F.col("link").alias("cur"), F.array("link").alias("chain"), F.lit(0).alias("hops"), F.lit("high").alias("conf"), F.lit(None).cast("string").alias("match"), F.lit(None).cast("string").alias("entry_path"))
-    now = now.withColumns({c: F.lit(None).cast("string") for c in ("state", "outcome", "final_path", "to", "end")}).withColumn("dest", F.lit(None).cast("string"))
-    columns = now.columns
-    for _ in range(MAX_HOPS + 1):
-        # a link that has ended asks for no path, and is left as it is
-        r = resolve(now.withColumn("cur", F.when(F.col("end").isNull(), F.col("cur")).otherwise(F.concat(F.lit(" "), "link"))), index, "cur", depths)
-        open_, none = F.col("end").isNull(), F.col("r_path").isNull()
-        conf = F.when(F.col("r_outcome").eqNullSafe("unverified") | (F.col("r_match").eqNullSafe("ancestor") & F.col("r_file").eqNullSafe("moved")), "low").otherwise(F.col("conf"))
-        r = r.withColumns({"_conf": F.when(none, F.col("conf")).otherwise(conf), "dest": F.when(~none & (F.col("r_file") == "moved") & F.col("r_to").isNotNull(), F.concat("r_to", "r_rest"))})
-        end = (
-            F.when(none & (F.col("hops") == 0), "no record")
-            .when(none, "moved")
-            .when(F.col("r_file") == "removed", "removed")
-            .when(F.col("r_to").isNull(), "off-site")
-            .when(F.array_contains("chain", F.col("dest")), "cycle")
-            .when(F.col("hops") >= MAX_HOPS, "truncated")
+    now = now.select("link", F.col("link").alias("cur"), F.array("link").alias("chain"), F.lit("high").alias("conf"), none.alias("match"), none.alias("entry_path"), none.alias("outcome"), none.alias("final_path"))
+    ended = []
+    for hops in range(MAX_HOPS + 1):
+        r = resolve(now, index, "cur", depths)
+        unknown, from_here = F.col("r_path").isNull(), F.col("r_file") == "moved"
+        if not hops:
+            r = r.where(~unknown)
+        low = F.col("r_outcome").eqNullSafe("unverified") | (F.col("r_match").eqNullSafe("ancestor") & from_here)
+        dest = F.when(from_here & F.col("r_to").isNotNull(), F.concat("r_to", "r_rest"))
+        r = r.withColumns({"conf": F.when(~unknown & low, "low").otherwise(F.col("conf")), "dest": dest})
+        cycle = F.array_contains("chain", F.col("dest"))
+        end = F.when(unknown, "moved").when(F.col("r_file") == "removed", "removed").when(F.col("r_to").isNull(), "off-site").when(cycle, "cycle").when(F.lit(hops >= MAX_HOPS), "truncated")
+        r = r.withColumns(
+            {
+                "end": end,
+                "match": F.coalesce("match", "r_match"),
+                "entry_path": F.coalesce("entry_path", "r_path"),
+                "outcome": F.coalesce("r_outcome", "outcome"),
+                "final_path": F.coalesce("r_path", "final_path"),
+            }
         )
-        r = r.withColumn("_end", end)
-        last = F.element_at("chain", -1)
-        goes = F.col("_end").isNull()
-        news = {
-            "match": F.coalesce("match", "r_match"),
-            "entry_path": F.coalesce("entry_path", "r_path"),
-            "outcome": F.when(none, F.col("outcome")).otherwise(F.col("r_outcome")),
-            "final_path": F.when(none, F.col("final_path")).otherwise(F.col("r_path")),
-            "state": F.when(F.col("_end") == "removed", "removed").when(~goes & (F.col("_end") != "no record"), "moved"),
-            "to": F.when(F.col("_end") == "removed", F.when(F.col("r_match") == "exact", F.col("r_to"))).when(F.col("_end").isin("moved", "truncated"), last).when(F.col("_end") == "cycle", F.col("dest")),
-            "conf": F.when(F.col("_end").isin("cycle", "truncated"), "low").otherwise(F.col("_conf")),
-            "chain": F.when(goes, F.concat("chain", F.array("dest"))).otherwise(F.col("chain")),
-            "cur": F.when(goes, F.col("dest")),
-            "hops": F.when(goes, F.col("hops") + 1).otherwise(F.col("hops")),
-            "end": F.col("_end"),
-        }
-        now = r.select("link", *[(F.when(open_, news[c]).otherwise(F.col(c)) if c in news else F.col(c)).alias(c) for c in columns if c != "link"])
-    out = now.where("state is not null")
-    return out.select("link", "state", "outcome", F.col("conf").alias("confidence"), "match", "entry_path", "final_path", "to", "chain", F.coalesce(F.col("end") == "cycle", F.lit(False)).alias("cycle"), F.coalesce(F.col("end") == "truncated", F.lit(False)).alias("truncated"))
+        r = settled(r.select("link", "chain", "conf", "match", "entry_path", "outcome", "final_path", "end", "dest", "r_match", "r_to"))
+        ended.append(r.where("end is not null"))
+        now = r.where("end is null").select("link", F.col("dest").alias("cur"), F.concat("chain", F.array("dest")).alias("chain"), "conf", "match", "entry_path", "outcome", "final_path")
+        if now.isEmpty():
+            break
+    out = reduce(DataFrame.unionByName, ended)
+    to = F.when(F.col("end") == "removed", F.when(F.col("r_match") == "exact", F.col("r_to"))).when(F.col("end").isin("moved", "truncated"), F.element_at("chain", -1)).when(F.col("end") == "cycle", F.col("dest"))
+    sure = F.when(F.col("end").isin("cycle", "truncated"), "low").otherwise(F.col("conf"))
+    state = F.when(F.col("end") == "removed", "removed").otherwise("moved")
+    return out.select("link", state.alias("state"), "outcome", sure.alias("confidence"), "match", "entry_path", "final_path", to.alias("to"), "chain", (F.col("end") == "cycle").alias("cycle"), (F.col("end") == "truncated").alias("truncated"))
 
 
 def membership3(paths: DataFrame, sets: list[tuple[DataFrame, bool]], complete: Column, path: str = "path") -> DataFrame:

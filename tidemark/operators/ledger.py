@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError, Scope
+from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, EVIDENCE_PRIORITY, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError, Scope
 from ..functions.paths import canonical_path, entry_path, in_scope
 from ..functions.scalars import family_of_kind, is_iso_date, text_or_null
 from ..sources.shared import settled
@@ -62,74 +63,171 @@ def normal_ledger(raw: DataFrame, host: str | None = None, strict: bool = False)
     return prefer_entry(rows.where("problem is null").select(COLUMNS))
 
 
+def clean_candidates(candidates: DataFrame, family: str, host: str | None = None) -> DataFrame:
+    """The valid candidates of a family, one per path: by kind, then the strongest evidence, then the first by `ordinal`, if there is one.
+
+    Paths and parents are canonical; rows with a path, kind or evidence that
+    cannot be used, or of the other family, are left out; a bad firstSeen is null.
+    """
+    valid = F.col("path").isNotNull() & F.col("kind").isin(*KINDS) & (family_of_kind("kind") == family) & F.col("evidence").isin(*EVIDENCE)
+    rows = candidates.withColumns({"path": entry_path("path", host), "parent": entry_path("parent", host), "title": text_or_null("title"), "firstSeen": F.when(is_iso_date("firstSeen"), F.col("firstSeen"))})
+    rank = F.array_position(F.array(*map(F.lit, EVIDENCE_PRIORITY)), F.col("evidence"))
+    given = [F.asc("ordinal")] if "ordinal" in candidates.columns else []
+    rows = first_per(rows.where(valid), ["path"], [F.asc("kind"), rank.asc(), *given, F.asc_nulls_last("firstSeen"), F.asc_nulls_last("title"), F.asc_nulls_last("parent")])
+    return rows.select("path", "kind", "parent", "title", "evidence", "firstSeen")
+
+
+def last_results(results: DataFrame, host: str | None = None) -> DataFrame:
+    """One result per canonical path: the last by `ordinal`, if there is one, else the first of a fixed order of outcomes."""
+    seen = results.withColumn("path", entry_path("path", host)).where("path is not null")
+    given = [F.desc("ordinal")] if "ordinal" in results.columns else []
+    return first_per(seen, ["path"], [*given, F.asc_nulls_last("outcome"), F.asc_nulls_last("to"), F.asc_nulls_last("status")]).select("path", "outcome", "to", "status")
+
+
+@dataclass
+class Applied:
+    """A ledger after a step, and the paths that left it: valid again, or covered by their module."""
+
+    ledger: DataFrame
+    resurrected: DataFrame
+    covered: DataFrame
+
+
 def apply_changes(ledger: DataFrame, candidates: DataFrame, results: DataFrame, live: DataFrame, family: str, today: str, host: str | None = None) -> DataFrame:
+    """The ledger of apply_detailed."""
+    return apply_detailed(ledger, candidates, results, live, family, today, host).ledger
+
+
+def apply_detailed(ledger: DataFrame, candidates: DataFrame, results: DataFrame, live: DataFrame, family: str, today: str, host: str | None = None) -> Applied:
     """One step of a family's entries: resurrect, upsert, apply probe results, collapse covered units, route to files.
 
     candidates (path, kind, parent, title, evidence, firstSeen), results (path,
-    outcome, to, status), live (path).  A candidate fills the title and the
-    parent of a known entry, and never dates it anew; a result sets outcome,
-    status, and the destination of all that is not gone.  Transient results
-    change nothing, a second run with the same input gives the same ledger, and
-    the order of rows does not matter.  The other family passes through.
+    outcome, to, status), live (path); candidates and results may have an
+    ordinal, see clean_candidates and last_results.  A candidate fills the title
+    and the parent of a known entry, and never dates it anew; a result sets
+    outcome, status, and the destination of all that is not gone; a result
+    'live' takes its path out.  Transient results change nothing, a second run
+    with the same input gives the same ledger, and the order of rows does not
+    matter.  No path of the family stands twice afterwards, whatever the input;
+    bad entries are left out.  The other family passes through.
     """
     if family not in FAMILIES or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", today):
         raise LedgerError(f"a run needs a family ({', '.join(FAMILIES)}) and a day, not {family!r} and {today!r}")
     mine, other = ledger.where(F.col("family") == family), ledger.where(F.col("family") != family)
+    return _applied(normal_ledger(mine, host), other, clean_candidates(candidates, family, host), last_results(results, host), live, family, today, host)
+
+
+def _applied(mine: DataFrame, other: DataFrame, candidates: DataFrame, results: DataFrame, live: DataFrame, family: str, today: str, host: str | None) -> Applied:
+    """apply_detailed for entries, candidates and results in normal form."""
+    vouched = live.select("path").where("path is not null").distinct().withColumn("_live", F.lit(True))
+    new = candidates.select("path", *[F.col(c).alias(f"c_{c}") for c in ("kind", "parent", "title", "evidence", "firstSeen")])
     seen = results.select("path", F.col("outcome").alias("r_outcome"), F.col("to").alias("r_to"), F.col("status").alias("r_status"))
-    seen = first_per(seen, ["path"], [F.asc("r_outcome"), F.asc_nulls_last("r_to"), F.asc_nulls_last("r_status")])
-    mine = mine.join(live.select("path").distinct(), "path", "left_anti")
-    new = candidates.where(family_of_kind("kind") == family).join(live.select("path").distinct(), "path", "left_anti")
-    new = new.select("path", *[F.col(c).alias(f"c_{c}") for c in ("kind", "parent", "title", "evidence", "firstSeen")])
-    rows = mine.join(new, "path", "full")
-    fresh = F.col("kind").isNull()
-    rows = rows.select(
+    rows = mine.join(new, "path", "full").join(seen, "path", "left").join(vouched, "path", "left")
+    back = F.coalesce(F.col("_live"), F.lit(False)) | F.col("r_outcome").eqNullSafe("live")
+    resurrected = rows.where(back & F.col("kind").isNotNull()).select("path")
+    fresh, told = F.col("kind").isNull(), F.coalesce(F.col("r_outcome").isin(*CLASSIFIED), F.lit(False))
+    outcome = F.when(told, F.col("r_outcome")).otherwise(F.coalesce("outcome", F.lit("unverified")))
+    rows = rows.where(~back).select(
+        file_of(outcome).alias("file"),
         "path",
         F.coalesce("kind", "c_kind").alias("kind"),
         F.lit(family).alias("family"),
-        F.coalesce("outcome", F.lit("unverified")).alias("outcome"),
-        F.col("to"),
+        outcome.alias("outcome"),
+        F.when(told, F.when(F.col("r_outcome") != "gone", canonical_path("r_to", host))).otherwise(F.col("to")).alias("to"),
         F.coalesce("title", "c_title").alias("title"),
         F.coalesce("parent", "c_parent").alias("parent"),
         F.when(fresh, F.coalesce("c_firstSeen", F.lit(today))).otherwise(F.col("firstSeen")).alias("firstSeen"),
-        "lastVerified",
+        F.when(told, F.lit(today)).otherwise(F.col("lastVerified")).alias("lastVerified"),
         F.coalesce("evidence", "c_evidence").alias("evidence"),
-        "status",
+        F.when(told, F.col("r_status")).otherwise(F.col("status")).cast("int").alias("status"),
     )
-    rows = rows.join(seen, "path", "left").where("r_outcome is null or r_outcome <> 'live'")
-    told = F.coalesce(F.col("r_outcome").isin(*CLASSIFIED), F.lit(False))
-    rows = rows.withColumns(
-        {
-            "outcome": F.when(told, F.col("r_outcome")).otherwise(F.col("outcome")),
-            "to": F.when(told, F.when(F.col("r_outcome") != "gone", canonical_path("r_to", host))).otherwise(F.col("to")),
-            "status": F.when(told, F.col("r_status")).otherwise(F.col("status")),
-            "lastVerified": F.when(told, F.lit(today)).otherwise(F.col("lastVerified")),
-        }
-    ).drop("r_outcome", "r_to", "r_status")
     covering = rows.where(F.col("kind") == "module").where(F.col("outcome").isin(*COVERING)).select("path")
     covered = has_ancestor_in(rows.where("kind = 'unit'"), covering).select("path")
-    rows = rows.join(covered, "path", "left_anti").withColumn("file", file_of("outcome"))
-    return other.select(COLUMNS).unionByName(rows.select(COLUMNS))
-
-
-def refresh(ledger: DataFrame, candidates: DataFrame, live: DataFrame, family: str, today: str, probe, limit: int, rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Up to `rounds` rounds of queue, probe and apply; probe takes (path, kind) rows and gives (path, outcome, to, status).
-
-    Each round's ledger is written to the shared folder, for probes are not to be asked twice.
+    left = rows.join(covered, "path", "left_anti")
+    return Applied(other.select(COLUMNS).unionByName(left.select(COLUMNS)), resurrected, covered)
+
+
+@dataclass
+class Refreshed:
+    """A ledger after its probes, all results they gave, and what happened."""
+
+    ledger: DataFrame
+    results: DataFrame
+    new_removed: int
+    new_moved: int
+    resurrected: int
+    covered: int
+    unverified: int
+    probed: int
+    transient: int
+    budget_exhausted: bool
+    stopped_early: bool
+
+
+def refresh(ledger: DataFrame, candidates: DataFrame, live: DataFrame, family: str, today: str, probe, limit: int, **more) -> DataFrame:
+    """The ledger of refresh_detailed."""
+    return refresh_detailed(ledger, candidates, live, family, today, probe, limit, **more).ledger
+
+
+def refresh_detailed(
+    ledger: DataFrame, candidates: DataFrame, live: DataFrame, family: str, today: str, probe, limit: int,
+    reverify: int = 100, dead: DataFrame | None = None, rounds: int = MAX_ROUNDS, streak: int = 0, host: str | None = None,
+) -> Refreshed:
+    """Rounds of queue, probe and apply, until nothing is left to ask, the budget is spent, or `rounds` are over.
+
+    probe takes (path, kind, reason, queue_pos) rows and gives (path, outcome,
+    to, status).  Every round applies all results so far to the ledger as it was
+    before the run, so what one round leaves out (units under a module that
+    turns out to be live) is there again in the next.  `limit` holds for the
+    whole run; entries already answered are left out before the queue is ranked;
+    only the first round verifies known entries again, at most `reverify`.  Paths
+    without an answer stay as they are, and end the rounds: the probe has
+    stopped.  With `streak`, so do as many transient answers in a row, and answers
+    behind them do not count.  dead: paths known to be no longer live.
+
+    Ledger, candidates, results and each round's ledger are kept in the shared
+    folder: probes are not asked twice.  The driver gets counts alone.
     """
-    from .queues import verification_queue
+    from .queues import before_trip, plan_verification
 
     spark = ledger.sparkSession
-    none = spark.createDataFrame([], "path string, outcome string, to string, status int")
-    ledger = settled(apply_changes(ledger, candidates, none, live, family, today))
-    done = spark.createDataFrame([], "path string")
-    for _ in range(rounds):
-        queue = settled(verification_queue(ledger, today, limit).join(done, "path", "left_anti").select("path", "kind"))
-        if queue.isEmpty():
+    if family not in FAMILIES or not re.fullmatch(r"\d{4}-\d{2}-\d{2}", today):
+        raise LedgerError(f"a run needs a family ({', '.join(FAMILIES)}) and a day, not {family!r} and {today!r}")
+    other = ledger.where(F.col("family") != family)
+    base = settled(normal_ledger(ledger.where(F.col("family") == family), host))
+    found = settled(clean_candidates(candidates, family, host))
+    live = settled(live.select("path").distinct())
+    results = spark.createDataFrame([], "path string, outcome string, to string, status int")
+    probed = transient = 0
+    exhausted = stopped = False
+
+    def applied() -> Applied:
+        step = _applied(base, other, found, results, live, family, today, host)
+        return Applied(settled(step.ledger), step.resurrected, step.covered)
+
+    now = applied()
+    for turn in range(rounds):
+        queue, wanted = plan_verification(now.ledger, today, limit - probed, reverify if turn == 0 else 0, dead, results.select("path"))
+        exhausted |= wanted > max(0, limit - probed)
+        queue = settled(queue)
+        asked = queue.count()
+        if not asked:
+            break
+        told = last_results(probe(queue), host).join(queue.select("path", "queue_pos"), "path")
+        if streak:
+            told = before_trip(settled(told), "queue_pos", F.col("outcome") == "transient", streak)
+        told = settled(told.select("path", "outcome", "to", F.col("status").cast("int").alias("status")))
+        n = {r[0]: r[1] for r in told.groupBy("outcome").count().collect()}
+        probed, transient = probed + sum(n.values()), transient + n.get("transient", 0)
+        stopped = sum(n.values()) < asked
+        results = results.unionByName(told)
+        now = applied()
+        if stopped:
             break
-        results = settled(probe(queue))
-        ledger = settled(apply_changes(ledger, candidates.limit(0), results, live, family, today))
-        done = done.union(queue.select("path"))
-    return ledger
+    mine = now.ledger.where(F.col("family") == family)
+    new = {r[0]: r[1] for r in mine.join(base.select("path", "file"), ["path", "file"], "left_anti").groupBy("file").count().collect()}
+    waiting = mine.where("outcome = 'unverified'").count()
+    return Refreshed(now.ledger, results, new.get("removed", 0), new.get("moved", 0), now.resurrected.count(), now.covered.count(), waiting, probed, transient, exhausted, stopped)
 
 
 def replace_family(ledger: DataFrame, family: str, entries: DataFrame) -> DataFrame:

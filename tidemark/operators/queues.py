@@ -71,17 +71,34 @@ def tiered(items: DataFrame, tier: str, order: list[Column], cap: int, tier_caps
     return kept.withColumn("queue_pos", F.row_number().over(Window.orderBy(tier, *order)).cast("long"))
 
 
-def verification_queue(changes: DataFrame, today: str | None = None, limit: int = 300, reverify: int = 100, dead: DataFrame | None = None) -> DataFrame:
-    """path, kind, reason, queue_pos: unverified entries first, then moves whose destination changed again, then the longest unverified.
+def verification_queue(changes: DataFrame, today: str | None = None, limit: int = 300, reverify: int = 100, dead: DataFrame | None = None, exclude: DataFrame | None = None) -> DataFrame:
+    """The queue of plan_verification."""
+    return _verification(changes, today, limit, reverify, dead, exclude)[0]
 
-    Units of a module that is itself unverified wait.  dead: paths known to be no longer live.
+
+def plan_verification(changes: DataFrame, today: str | None = None, limit: int = 300, reverify: int = 100, dead: DataFrame | None = None, exclude: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """(queue, wanted): path, kind, reason, queue_pos, and how many rows there would be without the limit.
+
+    Unverified entries come first, then moves whose destination changed again,
+    then, `reverify` of them, those whose last verification is longest ago.
+    Units of a module that is itself unverified wait.  dead: paths known to be no
+    longer live.  exclude: paths that are left out before anything is ranked; an
+    excluded module that is unverified holds its units back all the same.
     """
+    queue, rows = _verification(changes, today, limit, reverify, dead, exclude)
+    n = {r[0]: r[1] for r in rows.groupBy("tier").count().collect()}
+    return queue, n.get(1, 0) + n.get(2, 0) + min(n.get(3, 0), max(0, reverify))
+
+
+def _verification(changes, today, limit, reverify, dead, exclude) -> tuple[DataFrame, DataFrame]:
     from .joins import has_ancestor_in, lookup_changes
 
     learn = changes.where("family = 'learn'")
     pending = learn.where("kind = 'module' and outcome = 'unverified'").select("path")
     waiting = has_ancestor_in(learn.where("kind = 'unit'"), pending).select("path")
     mine = learn.join(waiting, "path", "left_anti")
+    if exclude is not None:
+        mine = mine.join(exclude.select("path").distinct(), "path", "left_anti")
     again = lookup_changes(changes.where("outcome = 'moved' and to is not null"), changes, "to").select(F.col("link").alias("to"))
     again = again.unionByName(dead.select(F.col("path").alias("to"))).distinct() if dead is not None else again
     mine = mine.join(again.withColumn("_again", F.lit(True)), "to", "left")
@@ -89,7 +106,41 @@ def verification_queue(changes: DataFrame, today: str | None = None, limit: int
     mine = mine.withColumn("tier", tier).where("tier is not null")
     mine = mine.withColumn("_o", F.when(F.col("tier") == 1, F.col("firstSeen")).when(F.col("tier") == 3, F.coalesce("lastVerified", F.lit(""))).otherwise(""))
     out = tiered(mine, "tier", [F.asc("_o"), F.asc("path")], limit, {3: reverify})
-    return out.select("path", "kind", F.element_at(F.array(*map(F.lit, ("unverified", "collapse", "reverify"))), F.col("tier")).alias("reason"), "queue_pos")
+    return out.select("path", "kind", F.element_at(F.array(*map(F.lit, ("unverified", "collapse", "reverify"))), F.col("tier")).alias("reason"), "queue_pos"), mine
+
+
+#: Places of a queue that are scanned as one block.
+BLOCK = 4096
+
+
+def before_trip(rows: DataFrame, order: str, bad: Column, streak: int, late: Column | None = None) -> DataFrame:
+    """rows up to the first place where a breaker trips: `streak` bad rows in a row, or a row that came late.
+
+    order: whole numbers, in the order of the attempts; a place without a row
+    breaks no streak and makes none.  The row that completes a streak stays, a
+    late one does not.  A prefix scan by blocks of BLOCK places: the last good
+    place is found within each block, and carried over blocks by one row each.
+    0 for streak: no breaker.
+    """
+    if not streak and late is None:
+        return rows
+    marked = rows.withColumns({"_bad": F.coalesce(bad, F.lit(False)), "_late": F.coalesce(late, F.lit(False)) if late is not None else F.lit(False), "_block": F.floor(F.col(order) / BLOCK)})
+    own = Window.partitionBy("_block").orderBy(order)
+    n = F.sum(F.col("_bad").cast("long")).over(own)
+    base = F.max(F.when(~F.col("_bad"), n)).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    scanned = marked.withColumn("_n", n).withColumn("_base", base)
+    ends = scanned.groupBy("_block").agg(F.max("_n").alias("all"), F.max("_base").alias("good"))
+    over = Window.orderBy("_block")
+    total = F.sum("all").over(over)
+    good = F.max((F.col("total") - F.col("all") + F.col("good"))).over(over.rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.withColumn("total", total).withColumn("before", F.col("total") - F.col("all")).withColumn("last", F.coalesce(good, F.lit(0)))
+    # bad rows so far, less those up to the last good row, are the streak
+    run = F.when(F.col("_base").isNotNull(), F.col("_n") - F.col("_base")).otherwise(F.col("before") + F.col("_n") - F.col("last"))
+    trip = F.when(F.col("_late"), F.col(order) - 1)
+    if streak:
+        trip = F.least(trip, F.when(F.col("_bad") & (run >= streak), F.col(order)))
+    at = scanned.join(ends.select("_block", "before", "last"), "_block").agg(F.min(trip).alias("trip")).first().trip
+    return rows if at is None else rows.where(F.col(order) <= at)
 
 
 def harvest_plan(modules: DataFrame, previous: DataFrame, cap: int, full: bool = False) -> DataFrame:
