@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import posixpath
-from urllib.parse import quote, unquote, urljoin, urlsplit
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -194,30 +190,28 @@ def normal_link(c: Column | str, tracking: str = "") -> Column:
     return F.regexp_replace(out, r"([?&]WT\.mc_id=)[^&#]*", f"$1{tracking}") if tracking else out
 
 
-def _resolve(href: str | None, base: str | None, host: str | None) -> str | None:
-    if not href or href.startswith("#"):
-        return None
-    try:
-        whole = urlsplit(urljoin(f"https://{host or 'base'}{base or '/'}", href.strip()))
-    except ValueError:
-        return None
-    if whole.scheme not in ("http", "https") or (host and whole.hostname != host):
-        return None
-    path = posixpath.normpath(quote(unquote(whole.path), safe="/%:@!$&'()*+,;=~-._")) if whole.path else "/"
-    return path if path.startswith("/") else f"/{path}"
+#: Characters of a path that stay as they are; others are percent-encoded.
+_PLAIN = r"[A-Za-z0-9/%:@!$&'()*+,;=~._-]"
 
 
 def resolved(href: Column | str, base: Column | str, host: str | None = None) -> Column:
     """An href (relative, ./, ../, absolute or URL) resolved against a page path; null off the site.
 
-    Spark has no built-in that resolves '..', so this is an Arrow-batched function.
+    A fold over the path's segments: '..' takes the last one off, '.' and empty
+    ones add none.  Query and fragment go; escapes stay as they are.
     """
-
-    @F.pandas_udf("string")
-    def run(h: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([_resolve(x, y, host) for x, y in zip(h, b)], dtype=object)
-
-    return run(col(href), col(base))
+    h, b = trimmed(href), F.coalesce(col(base), F.lit("/"))
+    url = F.when(h.startswith("//"), F.concat(F.lit("https:"), h)).otherwise(h)
+    outside = url.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
+    bare = F.regexp_extract(h, r"^([^?#]*)", 1)
+    path = F.when(outside, url_path(url)).when(bare.startswith("/"), bare).when(bare == "", b).otherwise(F.concat(F.regexp_extract(b, r"^(.*/)", 1), bare))
+    none = F.array().cast("array<string>")
+    step = lambda held, s: F.when((s == "") | (s == "."), held).when(s == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.concat(held, F.array(s)))
+    walked = F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"))
+    each = F.transform(F.split(walked, ""), lambda c: F.when((c == "") | c.rlike(_PLAIN), c).otherwise(encoded(c)))
+    safe = F.when(walked.rlike(f"^{_PLAIN}*$"), walked).otherwise(F.array_join(each, ""))
+    here = ~outside | (url.rlike(r"(?i)^https?://[^/?#\s]+") & ((url_host(url) == host) if host else F.lit(True)))
+    return F.when((h != "") & ~h.startswith("#") & here, safe)
 
 
 def toc_target(href: Column | str, folder: Column | str, host: str | None = None) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import fnv32
+from ..sources.shared import settled
 
 
 def order_queue(items: DataFrame) -> DataFrame:
@@ -193,3 +194,28 @@ def running_share(events: DataFrame, group: str, order: str, bad: Column) -> Dat
     """events with done and failed so far in their group."""
     w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return events.withColumn("done", F.count("*").over(w)).withColumn("failed", F.sum(bad.cast("long")).over(w))
+
+
+def numbered(rows: DataFrame, *order: str) -> DataFrame:
+    """rows with queue_pos from 1 in the order of some columns, without gathering them in one task.
+
+    Rows are sorted by ranges and kept in the shared folder; each range is
+    numbered by itself, and one row a range carries the count over.
+    """
+    held = settled(rows.orderBy(*order)).withColumn("_range", F.spark_partition_id())
+    sizes = held.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return held.join(before, "_range").withColumn("queue_pos", (own + F.col("_before")).cast("long")).drop("_range", "_before")
+
+
+def before_half_failed(rows: DataFrame, order: str, bad: Column, least: int, chunk: int) -> tuple[DataFrame, bool]:
+    """(rows, tripped): rows up to the end of the first chunk after which more than half of at least `least` rows are bad.
+
+    order: places from 1.  Chunks are counted each for itself, and summed over one row a chunk.
+    """
+    each = rows.groupBy(F.floor((F.col(order) - 1) / chunk).alias("c")).agg(F.count("*").alias("n"), F.count_if(F.coalesce(bad, F.lit(False))).alias("b"))
+    over = Window.orderBy("c")
+    so_far = each.select("c", F.sum("n").over(over).alias("n"), F.sum("b").over(over).alias("b"))
+    at = so_far.where((F.col("n") >= least) & (F.col("b") * 2 > F.col("n"))).agg(F.min("c").alias("c")).first().c
+    return (rows, False) if at is None else (rows.where(F.col(order) <= (at + 1) * chunk), True)

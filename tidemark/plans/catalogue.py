@@ -717,4 +717,4 @@ def windowed_events(spark, sf):
     return out.withColumn("start", F.col("start").cast("timestamp_ntz"))
 
 
-from . import catalogue_more  # noqa: E402, F401  (registers the other queries)
+from . import catalogue_more, catalogue_runs  # noqa: E402, F401  (they register the other queries)

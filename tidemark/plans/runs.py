@@ -128,8 +128,8 @@ def toc_run(groups: DataFrame, previous: DataFrame, today: str) -> DataFrame:
 
 
 def toc_directories(index: DataFrame, least_pages: int = 1) -> DataFrame:
-    """folder, n: folders of at least two segments with enough pages."""
-    return index.groupBy(parent_path("path").alias("folder")).agg(F.count("*").alias("n")).where("size(split(folder, '/')) > 2").where(F.col("n") >= least_pages)
+    """folder, n: folders with enough pages; pages at the root are in none."""
+    return index.groupBy(parent_path("path").alias("folder")).agg(F.count("*").alias("n")).where("folder is not null").where(F.col("n") >= least_pages)
 
 
 def seed_run(snapshots: DataFrame, links: DataFrame, caches: validate.Caches, changes: DataFrame, live: DataFrame, probe: Probe, site: Site = Site(), limits: Limits = Limits(), today: str = "") -> tuple[DataFrame, DataFrame]:
