@@ -114,17 +114,15 @@ def _verification(changes, today, limit, reverify, dead, exclude) -> tuple[DataF
 BLOCK = 4096
 
 
-def before_trip(rows: DataFrame, order: str, bad: Column, streak: int, late: Column | None = None) -> DataFrame:
-    """rows up to the first place where a breaker trips: `streak` bad rows in a row, or a row that came late.
-
-    order: whole numbers, in the order of the attempts; a place without a row
-    breaks no streak and makes none.  The row that completes a streak stays, a
-    late one does not.  A prefix scan by blocks of BLOCK places: the last good
-    place is found within each block, and carried over blocks by one row each.
-    0 for streak: no breaker.
+def trip(rows: DataFrame, order: str, bad: Column, streak: int = 0, late: Column | None = None) -> tuple[int | None, str | None]:
+    """(place, cause) of the last row that is run before a queue stops, or nulls where it runs to its end.
+
+    breaker: `streak` bad rows in a row (0: never), the last of which is run, and
+    rows are left; deadline: the first row that is late is not run.  order: whole
+    numbers in the order of the attempts; a place without a row breaks no streak.
+    A prefix scan by blocks of BLOCK places: each counts its bad rows, and one row
+    a block carries the count at the last good row over.
     """
-    if not streak and late is None:
-        return rows
     marked = rows.withColumns({"_bad": F.coalesce(bad, F.lit(False)), "_late": F.coalesce(late, F.lit(False)) if late is not None else F.lit(False), "_block": F.floor(F.col(order) / BLOCK)})
     own = Window.partitionBy("_block").orderBy(order)
     n = F.sum(F.col("_bad").cast("long")).over(own)
@@ -132,68 +130,21 @@ def before_trip(rows: DataFrame, order: str, bad: Column, streak: int, late: Col
     scanned = marked.withColumn("_n", n).withColumn("_base", base)
     ends = scanned.groupBy("_block").agg(F.max("_n").alias("all"), F.max("_base").alias("good"))
     over = Window.orderBy("_block")
-    total = F.sum("all").over(over)
-    good = F.max((F.col("total") - F.col("all") + F.col("good"))).over(over.rowsBetween(Window.unboundedPreceding, -1))
-    ends = ends.withColumn("total", total).withColumn("before", F.col("total") - F.col("all")).withColumn("last", F.coalesce(good, F.lit(0)))
+    ends = ends.withColumn("before", F.sum("all").over(over) - F.col("all"))
+    ends = ends.select("_block", "before", F.coalesce(F.max(F.col("before") + F.col("good")).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("last"))
     # bad rows so far, less those up to the last good row, are the streak
     run = F.when(F.col("_base").isNotNull(), F.col("_n") - F.col("_base")).otherwise(F.col("before") + F.col("_n") - F.col("last"))
-    trip = F.when(F.col("_late"), F.col(order) - 1)
-    if streak:
-        trip = F.least(trip, F.when(F.col("_bad") & (run >= streak), F.col(order)))
-    at = scanned.join(ends.select("_block", "before", "last"), "_block").agg(F.min(trip).alias("trip")).first().trip
-    return rows if at is None else rows.where(F.col(order) <= at)
-
-
-def harvest_plan(modules: DataFrame, previous: DataFrame, cap: int, full: bool = False) -> DataFrame:
-    """path, reason, queue_pos: modules to read, new before changed before (on a full run) the rest, oldest harvest first."""
-    old = previous.select("path", F.col("unitSig").alias("_sig"), "harvestedAt")
-    reason = F.when(F.col("_sig").isNull(), "new").when(F.col("_sig") != F.col("unitSig"), "changed").when(F.lit(full), "refresh")
-    rows = modules.join(old, "path", "left").withColumn("reason", reason).where("reason is not null")
-    rows = rows.withColumn("tier", F.array_position(F.array(F.lit("new"), F.lit("changed"), F.lit("refresh")), F.col("reason")))
-    return tiered(rows, "tier", [F.asc_nulls_first("harvestedAt"), F.asc("path")], cap).select("path", "reason", "queue_pos")
-
-
-def probe_plan(paths: DataFrame, checked: DataFrame, today: str, recheck_days: int, cap: int) -> DataFrame:
-    """path, action: kept while its last check is recent, probed oldest first up to the cap, else it waits."""
-    last = checked.groupBy("path").agg(F.max("checked").alias("checked"))
-    rows = paths.select("path").distinct().join(last, "path", "left")
-    stale = F.col("checked").isNull() | (F.datediff(F.lit(today).cast("date"), F.col("checked").cast("date")) >= recheck_days)
-    due = top(rows.where(stale), [F.asc_nulls_first("checked"), F.asc("path")], cap).select("path", F.lit("probe").alias("action"))
-    return rows.withColumn("stale", stale).join(due, "path", "left").select("path", F.coalesce("action", F.when(F.col("stale"), "wait").otherwise("keep")).alias("action"))
-
-
-def sitemap_plan(families: DataFrame, memo: DataFrame, signature: str, today: str, recheck_days: int, most: int, full: bool = False) -> DataFrame:
-    """family, reason: which sitemap families to download (relevant, unknown, other scopes, or due for a recheck, oldest first, capped)."""
-    rows = families.select("family").distinct().join(memo, "family", "left")
-    age = F.datediff(F.lit(today).cast("date"), F.col("checked").cast("date"))
-    reason = F.when(F.lit(full), "full").when(F.col("relevant").isNull(), "unknown").when(F.col("scope") != signature, "scope-changed").when(F.col("relevant"), "relevant").when(age >= recheck_days, "recheck")
-    rows = rows.withColumn("reason", reason).where("reason is not null")
-    return rows.where("reason <> 'recheck'").unionByName(top(rows.where("reason = 'recheck'"), [F.asc("checked"), F.asc("family")], most)).select("family", "reason")
+    broken = F.col("_bad") & (run >= streak) & F.lit(streak > 0)
+    at = scanned.join(ends, "_block").agg(F.min(F.when(broken, F.col(order))).alias("breaker"), F.min(F.when(F.col("_late"), F.col(order))).alias("late"), F.max(order).alias("end")).first()
+    if at.breaker is not None and at.breaker < at.end and (at.late is None or at.breaker < at.late):
+        return at.breaker, "breaker"
+    return (None, None) if at.late is None else (at.late - 1, "deadline")
 
 
-def unscoped_segments(rows: DataFrame, in_scope: Column, limit: int = 60) -> DataFrame:
-    """segment, n: first segments of paths in no scope, the most frequent."""
-    n = rows.where(~in_scope).groupBy("segment").agg(F.count("*").alias("n"))
-    return top(n, [F.desc("n"), F.asc("segment")], limit)
-
-
-def sample(rows: DataFrame, n: int, seed: int) -> DataFrame:
-    """n rows drawn at random: the smallest keyed hashes of whole rows."""
-    return top(rows, [F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns])], n)
-
-
-def streaks(events: DataFrame, group: str, order: str, bad: Column) -> DataFrame:
-    """group, longest: the longest run of bad rows in order (gaps and islands)."""
-    w = Window.partitionBy(group).orderBy(order)
-    island = F.row_number().over(w) - F.sum(bad.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    runs = events.withColumn("_i", island).withColumn("_b", bad).where("_b").groupBy(group, "_i").agg(F.count("*").alias("n"))
-    return events.select(group).distinct().join(runs.groupBy(group).agg(F.max("n").alias("n")), group, "left").select(group, F.coalesce("n", F.lit(0)).alias("longest"))
-
-
-def running_share(events: DataFrame, group: str, order: str, bad: Column) -> DataFrame:
-    """events with done and failed so far in their group."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return events.withColumn("done", F.count("*").over(w)).withColumn("failed", F.sum(bad.cast("long")).over(w))
+def before_trip(rows: DataFrame, order: str, bad: Column, streak: int, late: Column | None = None) -> DataFrame:
+    """The rows of a queue that are run, see trip."""
+    last, cause = trip(rows, order, bad, streak, late)
+    return rows if cause is None else rows.where(F.col(order) <= last)
 
 
 def numbered(rows: DataFrame, *order: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ledger, queues
-from . import module_links, sidebars
+from . import docs_pass, module_links, sidebars
 from .catalogue import T, query
 
 _NO_TOC = "coalesce(strftime(max(o_orderdate), '%Y-%m-%d'), '1999-01-01')"
@@ -129,3 +129,34 @@ def refreshed_ledger(spark, sf):
 
     out = ledger.refresh(known, new, spark.createDataFrame([], "path string"), "learn", "2024-06-01", probe, 100_000_000, reverify=0)
     return out.select("path", "outcome", F.col("lastVerified").alias("verified"))
+
+
+_PHASE = "CASE event_type WHEN 'click' THEN 'fetch' WHEN 'purchase' THEN 'missing' WHEN 'signup' THEN 'quarantine' ELSE 'verify' END"
+
+
+@query(f"""WITH e AS (SELECT {_PHASE} AS phase, event_id, value < 60 AS bad, epoch(ts) - min(epoch(ts)) OVER () AS at, row_number() OVER (PARTITION BY {_PHASE} ORDER BY ts, event_id) AS n FROM events),
+ s AS (SELECT *, n - max(CASE WHEN bad THEN 0 ELSE n END) OVER (PARTITION BY phase ORDER BY n) AS run, max(n) OVER (PARTITION BY phase) AS last FROM e),
+ c AS (SELECT phase, min(CASE WHEN bad AND run >= 9 AND n < last THEN n END) AS b, min(CASE WHEN at >= 1296000 THEN n END) - 1 AS d FROM s GROUP BY phase)
+ SELECT phase, CAST(event_id AS VARCHAR) AS key, CASE WHEN bad THEN 'transient' ELSE 'live' END AS outcome FROM s JOIN c USING (phase) WHERE n <= least(coalesce(b, last), coalesce(d, last))""")
+def phase_answers(spark, sf):
+    """Events as answers in four phases, under one clock of 15 days; nine small values in a row stop a phase."""
+    e = T(spark, sf, "events")
+    phase = F.when(F.col("event_type") == "click", "fetch").when(F.col("event_type") == "purchase", "missing").when(F.col("event_type") == "signup", "quarantine").otherwise("verify")
+    at = F.unix_micros(F.col("ts").cast("timestamp")) / 1e6
+    began = e.agg(F.min(at).alias("m")).first().m
+    rows = e.select(phase.alias("phase"), F.col("event_id").cast("string").alias("key"), "ts", "event_id", F.when(F.col("value") < 60, "transient").otherwise("live").alias("outcome"), (at - began).alias("at"))
+    own = queues.Window.partitionBy("phase").orderBy("ts", "event_id")
+    queue = rows.select("phase", "key", F.row_number().over(own).cast("long").alias("queue_pos"))
+    none = F.lit(None).cast("string")
+    answers = rows.select("key", "outcome", F.lit(None).cast("int").alias("status"), none.alias("to"), none.alias("title"), F.lit(False).alias("noindex"), "at", "phase")
+    told = docs_pass.run_phases(queue, lambda q: answers.join(q.select("key"), "key", "left_semi"), 9, 15 * 24 * 60)
+    return told.answers.select("phase", "key", "outcome")
+
+
+@query("""WITH p AS (SELECT url, page_id, regexp_extract(url, '^https?://([^/?#]*)', 1) AS source FROM pages) SELECT page_id, url, source, CASE WHEN starts_with(source, 'm.') THEN 'before' ELSE 'now' END AS title FROM p WHERE starts_with(source, 'm.') OR contains(url, '?')""")
+def other_sources(spark, sf):
+    """Hosts as sources: mobile ones could not be read, of the others the pages with a query were found."""
+    p = T(spark, sf, "pages").select("page_id", "url", F.regexp_extract("url", r"^https?://([^/?#]*)", 1).alias("source"))
+    mobile = F.col("source").startswith("m.")
+    fresh = p.where(~mobile & F.col("url").contains("?")).withColumn("title", F.lit("now"))
+    return docs_pass.other_sources(p.withColumn("title", F.lit("before")), fresh, p.where(mobile).select("source"))
