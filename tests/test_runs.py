@@ -173,8 +173,8 @@ def test_records_in_normal_form(spark):
     assert (one.path, one.title, one.units, one.lastChecked, one.out_of_scope) == ("/m/a", None, None, "2024-01-01T00:00:00", ["/x"])
     a = rows.withColumn("checked", F.lit("2024-01-01"))
     assert records.stable_signature(a) == records.stable_signature(rows.select(*reversed(rows.columns))) != records.stable_signature(rows.withColumn("zeta", F.lit("y")))
-    made = records.envelope(rows.select("url", "alpha"), "url", "now", scope="s").first()
-    assert (made.generatedAt, made.scope, made["count"], [e.url for e in made.entries]) == ("now", "s", 1, ["https://h/a"])
+    made = json.loads("".join(r.value for r in records.envelope(rows.select("url", "alpha"), "url", "now", scope="s").collect()))
+    assert made == {"generatedAt": "now", "scope": "s", "count": 1, "entries": [{"url": "https://h/a", "alpha": "k"}]}
     assert rows.select(records.snippet("url", 5).alias("s")).first().s == "https"
     said = []
     log = probes.RetryLog(said.append, "x", first=2, every=3)

@@ -126,3 +126,8 @@ def status_class(c: Column | str) -> Column:
     """ok, notFound, retry or error."""
     c = col(c)
     return F.when(c.between(200, 299), "ok").when(c.isin(404, 410), "notFound").when(c.isNull() | (c == 429) | (c >= 500), "retry").otherwise("error")
+
+
+def utf16_key(c: Column | str) -> Column:
+    """A text that sorts as the UTF-16 units of c do: beyond the BMP they differ from the order of code points, and of bytes."""
+    return F.hex(F.encode(col(c), "UTF-16BE"))

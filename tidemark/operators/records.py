@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.paths import col, entry_path
 from ..functions.scalars import is_timestamp, text_or_null
+from .queues import numbered
 
 #: Columns of a catalogue record, in their order (fixed values of the format); others follow by name.
 RECORD = ("title", "url", "product", "subproduct", "description", "lastmod", "checked")
@@ -75,7 +78,15 @@ def stable_signature(rows: DataFrame, volatile: tuple[str, ...] = ("generatedAt"
 
 
 def envelope(rows: DataFrame, key: str, generated_at: str, **fields) -> DataFrame:
-    """One row (generatedAt, the given fields by name, count, entries by key): a file's content."""
-    entries = F.sort_array(F.collect_list(F.struct(key, *sorted(c for c in rows.columns if c != key))))
-    made = rows.agg(F.count("*").alias("count"), entries.alias("entries"))
-    return made.select(F.lit(generated_at).alias("generatedAt"), *[F.lit(v).alias(n) for n, v in sorted(fields.items())], "count", "entries")
+    """The lines (value) of a file, in order: a head (generatedAt, the given fields by name, count), an entry a line by key, an end.
+
+    Together they are one JSON object; no task holds more than its own lines.
+    sources.files.write_text makes a file of them.
+    """
+    names = [key, *sorted(c for c in rows.columns if c != key)]
+    entries = numbered(rows.select(F.col(key).cast("string").alias("_key"), F.to_json(F.struct(*names), {"ignoreNullFields": "false"}).alias("_json")), "_key", "_json")
+    head = {"generatedAt": generated_at, **dict(sorted(fields.items())), "count": rows.count()}
+    first = json.dumps(head, ensure_ascii=False)[:-1] + ', "entries": ['
+    ends = rows.sparkSession.createDataFrame([(0, 0, first), (2, 0, "]}")], "part int, queue_pos long, value string")
+    lines = entries.select(F.lit(1).alias("part"), "queue_pos", F.concat(F.when(F.col("queue_pos") == 1, "").otherwise(","), "_json").alias("value"))
+    return ends.unionByName(lines).orderBy("part", "queue_pos").select("value")

@@ -134,9 +134,9 @@ def refreshed_ledger(spark, sf):
 _PHASE = "CASE event_type WHEN 'click' THEN 'fetch' WHEN 'purchase' THEN 'missing' WHEN 'signup' THEN 'quarantine' ELSE 'verify' END"
 
 
-@query(f"""WITH e AS (SELECT {_PHASE} AS phase, event_id, value < 60 AS bad, epoch(ts) - min(epoch(ts)) OVER () AS at, row_number() OVER (PARTITION BY {_PHASE} ORDER BY ts, event_id) AS n FROM events),
+@query(f"""WITH e AS (SELECT {_PHASE} AS phase, event_id, value < 60 AS bad, epoch(ts) - min(epoch(ts)) OVER () AS sec, row_number() OVER (PARTITION BY {_PHASE} ORDER BY ts, event_id) AS n FROM events),
  s AS (SELECT *, n - max(CASE WHEN bad THEN 0 ELSE n END) OVER (PARTITION BY phase ORDER BY n) AS run, max(n) OVER (PARTITION BY phase) AS last FROM e),
- c AS (SELECT phase, min(CASE WHEN bad AND run >= 9 AND n < last THEN n END) AS b, min(CASE WHEN at >= 1296000 THEN n END) - 1 AS d FROM s GROUP BY phase)
+ c AS (SELECT phase, min(CASE WHEN bad AND run >= 9 AND n < last THEN n END) AS b, min(CASE WHEN sec >= 1296000 THEN n END) - 1 AS d FROM s GROUP BY phase)
  SELECT phase, CAST(event_id AS VARCHAR) AS key, CASE WHEN bad THEN 'transient' ELSE 'live' END AS outcome FROM s JOIN c USING (phase) WHERE n <= least(coalesce(b, last), coalesce(d, last))""")
 def phase_answers(spark, sf):
     """Events as answers in four phases, under one clock of 15 days; nine small values in a row stop a phase."""

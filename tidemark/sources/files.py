@@ -18,6 +18,7 @@ from ..config import SCHEMA_VERSION, LedgerError
 from ..functions.paths import canonical_path
 from ..functions.scalars import lastmod_or_null
 from ..operators.ledger import ENTRY, normal_ledger
+from .shared import settled
 
 
 def _fs(spark: SparkSession, path: str):
@@ -82,6 +83,7 @@ def write_ledger(ledger: DataFrame, folder: str, generated_at: str) -> None:
 
     Entries are sorted as rows and written as they come: no task holds a file's content.
     """
+    ledger = settled(ledger)
     for name in ("removed", "moved"):
         rows = ledger.where(F.col("file") == name).drop("file")
         entry = F.to_json(F.struct("path", *[c for c in rows.columns if c != "path"]), {"ignoreNullFields": "false"})
@@ -97,33 +99,90 @@ def write_document(row: DataFrame, path: str) -> None:
     write_text(row.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value")), path)
 
 
+def put_in_place(spark: SparkSession, made: str, path: str) -> None:
+    """Rename a file over another in one step: readers, and a run that is killed, find the old file or the new one."""
+    fs, new = _fs(spark, made)
+    _, goal = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    if fs.getUri().getScheme() == "file":  # a rename of the operating system replaces; the old file's checksum goes first
+        raw = fs.getRawFileSystem()
+        raw.delete(jvm.org.apache.hadoop.fs.Path(goal.getParent(), f".{goal.getName()}.crc"), False)
+        if not raw.rename(new, goal):
+            raise OSError(f"{made} cannot be renamed to {path}")
+        return
+    options = spark.sparkContext._gateway.new_array(jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename"), 1)
+    options[0] = next(x for x in jvm.java.lang.Class.forName("org.apache.hadoop.fs.Options$Rename").getEnumConstants() if str(x) == "OVERWRITE")
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(new, goal, options)
+
+
 def write_text(lines: DataFrame, path: str) -> None:
-    """One column of lines as one file, written beside its place, then renamed.  For exports that fit one task."""
+    """One column of lines, in the order of the table, as one file.
+
+    Tasks write a part each; parts are joined in the order of the partitions,
+    which is that of a sorted table, by a stream that holds a buffer's bytes; the
+    whole is then put in place in one step.  A run that fails or is killed leaves
+    the old file, and a folder <path>.<id>.tmp at most.
+    """
     spark = lines.sparkSession
     folder = f"{path}.{uuid.uuid4().hex}.tmp"
-    lines.coalesce(1).write.text(folder)
+    jvm = spark.sparkContext._jvm
     fs, tmp = _fs(spark, folder)
+    try:
+        lines.write.option("compression", "none").text(folder)
+        whole = jvm.org.apache.hadoop.fs.Path(tmp, "whole")
+        out = fs.create(whole, True)
+        try:
+            for part in sorted(s.getPath().getName() for s in fs.listStatus(tmp)):
+                if not part.startswith("part-"):
+                    continue
+                held = fs.open(jvm.org.apache.hadoop.fs.Path(tmp, part))
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(held, out, 1 << 20, False)
+                finally:
+                    held.close()
+        finally:
+            out.close()
+        put_in_place(spark, whole.toString(), path)
+    finally:
+        fs.delete(tmp, True)
+
+
+def put_table(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a folder in the place of another: the old one stays beside it as <path>.before until the new one is there."""
+    restored(spark, path)
+    fs, new = _fs(spark, staged)
     _, goal = _fs(spark, path)
-    part = next(s.getPath() for s in fs.listStatus(tmp) if s.getPath().getName().startswith("part-"))
-    fs.delete(goal, False)
-    fs.rename(part, goal)
-    fs.delete(tmp, True)
+    _, old = _fs(spark, f"{path}.before")
+    if fs.exists(goal) and not fs.rename(goal, old):
+        raise OSError(f"{path} cannot be set aside")
+    if not fs.rename(new, goal):
+        raise OSError(f"{staged} cannot be renamed to {path}")
+    fs.delete(old, True)
+
+
+def restored(spark: SparkSession, path: str) -> None:
+    """After a run that was killed between both renames of put_table: the old folder takes its place again, or goes if the new one is there."""
+    fs, goal = _fs(spark, path)
+    _, old = _fs(spark, f"{path}.before")
+    if fs.exists(old):
+        if fs.exists(goal):
+            fs.delete(old, True)
+        else:
+            fs.rename(old, goal)
 
 
 def write_if_changed(df: DataFrame, path: str) -> bool:
     """Write a Parquet table unless the one there has the same rows (by count and hash); whether it was written."""
     spark = df.sparkSession
     mark = lambda d: d.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64(*sorted(d.columns))).alias("x"), F.sum(F.pmod(F.xxhash64(F.lit(1), *sorted(d.columns)), F.lit(1 << 31))).alias("s")).first()
+    restored(spark, path)
     if exists(spark, path):
         old = spark.read.parquet(path)
         if sorted(old.columns) == sorted(df.columns) and mark(old) == mark(df):
             return False
     staged = f"{path}.{uuid.uuid4().hex}.tmp"
     df.write.parquet(staged)
-    fs, tmp = _fs(spark, staged)
-    _, goal = _fs(spark, path)
-    fs.delete(goal, True)
-    fs.rename(tmp, goal)
+    put_table(spark, staged, path)
     return True
 
 
