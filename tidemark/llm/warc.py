@@ -1,7 +1,7 @@
 """WARC archives: writing, reading, and resolving revisits by payload digest.
 
 Archives are WARC/1.1, one gzip member a record, in parts that Spark's own writer
-puts into the shared folder, so any store that Spark reaches will do.  Records
+puts into the shared folder.  Records
 are written by classes of size: a part holds PART_BYTES of records or fewer, or
 one record.  Parts are read a member at a time.
 
@@ -12,7 +12,9 @@ one record.  Parts are read a member at a time.
    Headers then join their digest's original; Spark can split a hot one.
 3. The archive is read once more and written anew, with new record ids and
    headers: originals with their payload, revisits with the headers that refer
-   to the original.
+   to the original.  Names of parts are joined with what is to be done in them;
+   tasks open the parts where they lie (a folder that Spark and Arrow reach), so
+   contents are neither shuffled nor sorted.
 
 A page's digest is compared with the payload found at every reading.
 """
@@ -29,8 +31,10 @@ import zlib
 from collections.abc import Iterator
 from datetime import datetime, timezone
 from typing import NamedTuple
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +42,8 @@ from .session import new_path, remove, written
 
 #: Payload bytes of one part at most (or one record), and of the least class of payloads; each class is four times the one before.
 PART_BYTES, LEAST_CLASS = 64 << 20, 16 << 10
+#: Tasks that rewrite parts, at most; beyond that number of parts a task has several.
+MOST_TASKS = 100_000
 #: Bytes of a part that are unpacked at once.
 CHUNK = 1 << 16
 _END = b"\r\n\r\n"
@@ -194,13 +200,21 @@ def read_headers(spark, path: str) -> DataFrame:
     return _files(spark, path).mapInArrow(_read_headers, _HEADERS)
 
 
+def _content(path: str) -> bytes:
+    """A part of an archive, opened where it lies: in the shared folder, through Arrow's file systems (local mounts, HDFS, object stores)."""
+    scheme, rest = path.split(":", 1)
+    fs, at = pa_fs.FileSystem.from_uri(f"{scheme}:{'//' if not rest.startswith('//') else ''}{quote(rest)}")
+    with fs.open_input_stream(at) as part:
+        return part.read()
+
+
 def _rewrite(archive: str, date: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, plans in zip(batch.column("content"), batch.column("plans")):
+            for path, plans in zip(batch.column("file").to_pylist(), batch.column("plans")):
                 plan = {(p["page_id"], p["payload_digest"]): p for p in plans.as_py() or []}
                 out, size = [], 0
-                for _, _, r, data in packed_records(content.as_py()):
+                for _, _, r, data in packed_records(_content(path)):
                     h = r.headers
                     page = int(h["x-page-id"])
                     sha = h["warc-payload-digest"].removeprefix("sha1:")
@@ -219,6 +233,12 @@ def _rewrite(archive: str, date: str):
     return run
 
 
+def _planned(spark, path: str, plans: DataFrame) -> DataFrame:
+    """(file, plans) of the parts in a folder: names alone are joined and dealt, a part to a task; contents stay where they are."""
+    names = _files(spark, path).select(F.col("path").alias("file"))
+    return names.join(plans, "file", "left").select("file", "plans").repartition(max(1, min(names.count(), MOST_TASKS)), "file")
+
+
 def archive_pages(pages: DataFrame, least_bytes: int = 0, date: str | None = None) -> tuple[str, str]:
     """Write (page_id, url, html), resolve revisits, and give the folders of the raw and of the deduplicated archives.
 
@@ -244,8 +264,7 @@ def archive_pages(pages: DataFrame, least_bytes: int = 0, date: str | None = Non
     again = large.select("file", "page_id", "payload_digest").join(first, "payload_digest").where("page_id <> original")
     plans = written(again.groupBy("file").agg(F.collect_list(F.struct("page_id", "payload_digest", "original", "original_url")).alias("plans")), "warc-plans")
     for c in classes:
-        files = _files(spark, f"{raw}/class={c}").withColumnRenamed("path", "file").join(plans, "file", "left")
-        write_archive(files.select("content", "plans").mapInArrow(_rewrite("clean", date), "record binary"), clean, c)
+        write_archive(_planned(spark, f"{raw}/class={c}", plans).mapInArrow(_rewrite("clean", date), "record binary"), clean, c)
     for table in (heads, first, plans):
         remove(table)
     return raw, clean
