@@ -1,5 +1,6 @@
 """Fingerprints and likenesses, computed again from the texts with plain Python."""
 
+import math
 import random
 import re
 import struct
@@ -30,15 +31,17 @@ def of_list(values) -> int:
     return h
 
 
-def inside(h: int, words: list[int]) -> bool:
-    bits = 64 * len(words)
-    first = hashed(struct.pack("<q", h))
-    places = [h % bits] + [signed(hashed(struct.pack("<i", i), first)) % bits for i in range(1, imatch.PLACES)]
-    return all((words[p >> 6] >> (p % 64)) & 1 for p in places)
+def lexicon(texts: list[str]) -> set[int]:
+    """Terms of the band, by counting."""
+    n, counts = max(len(texts), 2), {}
+    for t in texts:
+        for h in {term(x) for x in re.findall(r"[^\W_]+", t.lower())}:
+            counts[h] = counts.get(h, 0) + 1
+    return {h for h, c in counts.items() if imatch.BAND[0] <= math.log(n / c) / math.log(n) <= imatch.BAND[1]}
 
 
-def prints(text: str, words: list[int]):
-    terms = sorted({h for t in re.findall(r"[^\W_]+", text.lower()) if inside(h := term(t), words)})
+def prints(text: str, words: set[int]):
+    terms = sorted({h for t in re.findall(r"[^\W_]+", text.lower()) if (h := term(t)) in words})
     whole = [f"all.{of_list(terms):X}"]
     for i in range(imatch.DROPS):
         left = [t for t in terms if ((t & MASK) >> 2 * i) & 3]
@@ -72,7 +75,7 @@ def test_fingerprints_and_likeness(spark):
     rows = [(i, " ".join(r.choice(vocabulary[: r.choice([30, 400])]) for _ in range(r.choice([0, 1, 3, 20, 90, 400])))) for i in range(60)]
     rows += [(100 + i, rows[i][1] + f" w{i % 7}, W{399 - i}!") for i in range(40)] + [(500, None), (501, rows[5][1])]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    words = imatch.lexicon(df)
+    words = lexicon([t or '' for _, t in rows])
     got = {g.doc_id: g for g in imatch.compared_with_edits(df).collect()}
     order = sorted(((d, t or "") for d, t in rows), reverse=True)
     made = {d: prints(t, words) for d, t in rows for t in [t or ""]}

@@ -3,10 +3,18 @@
 Terms are the runs of letters and digits of the lower-cased text.  Their
 document frequencies are counted over all documents, by the term's 64-bit hash;
 the lexicon is the terms whose inverse document frequency, as a share of the
-largest possible one, lies in a band.  Tasks look terms up in a Bloom filter of
-the lexicon, of PER_TERM bits a term (at least 2**BITS): every term of the band
-passes, and of the others 1.2 % at most on average, whatever the corpus.  A
-session variable holds it, so that plans print no bits.
+largest possible one, lies in a band.  No task gets the lexicon: a document's
+terms are looked up by what is outside the band.
+
+* Terms above it are few: of N documents with D different terms each, at most
+  D * N**0.15 stand in more than N**0.85 documents.  A session variable holds
+  their hashes, in buckets, so that plans print none.
+* Terms below it stand in N**0.03 documents or fewer, which is one or two at any
+  size: the count of a term also keeps the smallest and the largest doc_id it
+  was seen in, and so every document gets a note of its own rare terms.
+* An edited text has terms of both documents it is made of, and a few around
+  its cuts that neither may have.  Those are joined with the lexicon, and the
+  strangers among them are noted as well.
 
 I-Match hashes the sorted distinct terms that a document has in a lexicon.  A
 fingerprint holds that hash for
@@ -31,10 +39,8 @@ from .session import id_text, remove, written
 
 #: Band of ln(N / df) / ln(N); lexicons that leave out a quarter; thin lexicons of a level.
 BAND, DROPS, SLOTS = (0.15, 0.97), 8, 32
-#: Filter of the lexicon: log2 of its least bits, bits a term, places of a term.
-BITS, PER_TERM, PLACES = 20, 10, 4
-#: Longs of a part, when the filter is put together.
-PART = 4096
+#: Characters on each side of a cut whose terms are looked up.
+WINDOW = 40
 TERM_BREAK = r"[^\p{L}\p{N}]+"
 #: Documents of a stretch of ids on average, and stretches at most.
 STRETCH, STRETCHES = 1000, 32_768
@@ -44,50 +50,49 @@ def _hashes(text: str) -> Column:
     return F.expr(f"transform(split(lower({text}), r'{TERM_BREAK}'), t -> if(t = '', null, xxhash64(t)))")
 
 
-def _places(h: Column, bits: Column | int) -> list[Column]:
-    """The bits of a term's hash in a filter of so many bits."""
-    return [F.pmod(h if i == 0 else F.xxhash64(h, F.lit(i)), bits) for i in range(PLACES)]
+def _occurrences(base: DataFrame) -> DataFrame:
+    """(doc_id, h): a text's different terms."""
+    return base.select("doc_id", F.explode(F.array_distinct(F.array_compact(_hashes("text")))).alias("h"))
 
 
-def _band_terms(docs: DataFrame, band: tuple[float, float]) -> DataFrame:
-    """h: hashes of the terms in the band."""
-    base = id_text(docs)
-    n = F.lit(float(max(base.count(), 2)))
-    df = base.select(F.explode(F.array_distinct(F.array_compact(_hashes("text")))).alias("h")).groupBy("h").agg(F.count("*").alias("df"))
-    share = F.log(n / F.col("df")) / F.log(n)
-    return df.where((share >= band[0]) & (share <= band[1])).select("h")
-
-
-def _filter_of(terms: DataFrame) -> DataFrame:
-    """One row: the longs of the Bloom filter of the hashes h."""
-    words = max(1 << max(BITS - 6, 0), -(-terms.count() * PER_TERM // 64))
-    at = terms.select(F.explode(F.array(*_places(F.col("h"), F.lit(64 * words)))).alias("b"))
-    some = at.select(F.shiftright("b", 6).alias("i"), F.expr("shiftleft(1L, cast(b & 63 as int))").alias("w"))
-    every = terms.sparkSession.range(words).select(F.col("id").alias("i"), F.lit(0).cast("long").alias("w"))
-    longs = some.union(every).groupBy("i").agg(F.bit_or("w").alias("w"))
-    parts = longs.groupBy(F.expr(f"i div {PART}").alias("part")).agg(F.sort_array(F.collect_list(F.struct("i", "w"))).alias("x"))
-    whole = F.sort_array(F.collect_list(F.struct("part", F.expr("transform(x, y -> y.w)").alias("w"))))
-    return parts.agg(F.flatten(F.transform(whole, lambda y: y.w)).alias("bits"))
-
+class Lexicon:
+    """The terms of a band: `terms` (h) as a table, those above it as a constant, those below it by document.
 
-def lexicon(docs: DataFrame, band: tuple[float, float] = BAND) -> list[int]:
-    """The filter of the terms in the band, 64 bits in a long."""
-    terms = written(_band_terms(docs, band), "imatch-lexicon")
-    words = _filter_of(terms).first().bits
-    remove(terms)
-    return words
-
-
-def _terms(text: str, bits: Column) -> Column:
-    """Sorted distinct hashes of the lexicon terms of a text."""
-
-    def inside(h: Column) -> Column:
-        found = h.isNotNull()
-        for b in _places(h, F.size(bits).cast("long") * 64):
-            found = found & (F.getbit(F.get(bits, F.shiftright(b, 6).cast("int")), F.pmod(b, F.lit(64)).cast("int")) == 1)
-        return found
+    A query keeps the constant of its own analysis.
+    """
 
-    return F.sort_array(F.filter(F.array_distinct(_hashes(text)), inside))
+    def __init__(self, docs: DataFrame, band: tuple[float, float] = BAND) -> None:
+        base = id_text(docs)
+        n = float(max(base.count(), 2))
+        seen = _occurrences(base).groupBy("h").agg(F.count("*").alias("df"), F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+        self.counts = written(seen, "imatch-terms")
+        share = F.log(F.lit(n) / F.col("df")) / F.log(F.lit(n))
+        self.terms = self.counts.where((share >= band[0]) & (share <= band[1])).select("h")
+        often, rare = self.counts.where(share < band[0]).select("h"), self.counts.where(share > band[1])
+        # the least count in the band tells whether two ids name all documents of a rare term
+        most = (rare.agg(F.max("df").alias("m")).first().m or 0)
+        if most <= 2:
+            self.rare = rare.select(F.explode(F.array_distinct(F.array("a", "b"))).alias("doc_id"), "h")
+        else:
+            self.rare = _occurrences(base).join(rare.select("h"), "h").select("doc_id", "h")
+        spark, buckets = docs.sparkSession, max(1, 2 * often.count())
+        spark.sql("DECLARE OR REPLACE VARIABLE tidemark_often ARRAY<ARRAY<BIGINT>>")
+        some = often.groupBy(F.pmod("h", F.lit(buckets)).alias("i")).agg(F.collect_list("h").alias("x"))
+        every = spark.range(buckets).select(F.col("id").alias("i")).join(some, "i", "left")
+        row = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", F.coalesce("x", F.array().cast("array<bigint>")).alias("x")))), lambda y: y.x).alias("v"))
+        spark.sql("SET VARIABLE tidemark_often = (SELECT v FROM {row})", row=row)
+        self.often = F.expr("session.tidemark_often")
+
+    def notes(self, more: DataFrame | None = None) -> DataFrame:
+        """(doc_id, note): the hashes that no text of a document has in the lexicon, of rare terms and of more (doc_id, h)."""
+        rows = self.rare if more is None else self.rare.unionByName(more)
+        return rows.groupBy("doc_id").agg(F.collect_set("h").alias("note"))
+
+
+def _terms(text: str, often: Column, note: str) -> Column:
+    """Sorted distinct hashes of the terms of a text that are neither above the band nor noted (a null note: none)."""
+    known = F.filter(F.array_distinct(_hashes(text)), lambda h: h.isNotNull() & ~F.array_contains(F.get(often, F.pmod(h, F.size(often).cast("long")).cast("int")), h))
+    return F.sort_array(F.array_except(known, F.expr(f"coalesce({note}, cast(array() as array<bigint>))")))
 
 
 def _level(terms: str) -> str:
@@ -111,9 +116,9 @@ def _larger(terms: str) -> str:
     return f"concat(array(concat('all.', hex(xxhash64({terms})))), transform({left}, (g, i) -> concat_ws('.', i, if(size(g) = 0, '-', hex(xxhash64(g))))))"
 
 
-def fingerprint_of(df: DataFrame, text: str, bits: Column, out: str) -> DataFrame:
+def fingerprint_of(df: DataFrame, text: str, often: Column, note: str, out: str) -> DataFrame:
     """df with columns out, an array of 'level.slot.hash' at two levels, and out_whole: 'all.hash' of all lexicon terms, then 'i.hash' of each lexicon that leaves out a quarter, '-' where none is left."""
-    df = df.withColumn("_t", _terms(text, bits)).withColumn("_l", F.expr(_level("_t")))
+    df = df.withColumn("_t", _terms(text, often, note)).withColumn("_l", F.expr(_level("_t")))
     df = df.withColumns({name: F.expr(f"filter(_t, t -> {_slot(level)} < {SLOTS})") for name, level in (("_high", "_l"), ("_low", "greatest(_l - 1, 0)"))})
     return df.withColumn(out, F.expr(f"if(_l = 0, {_print('_high', '_l')}, concat({_print('_low', '(_l - 1)')}, {_print('_high', '_l')}))")).withColumn(f"{out}_whole", F.expr(_larger("_t"))).drop("_t", "_l", "_high", "_low")
 
@@ -134,17 +139,9 @@ def likeness(a: str, b: str, whole_a: str, whole_b: str) -> Column:
 
 def fingerprints(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """doc_id, text, fingerprint, fingerprint_whole (arrays of strings); equal texts have equal ones, texts without lexicon terms an empty one."""
-    return fingerprint_of(id_text(docs), "text", _bits(docs, band), "fingerprint")
-
-
-def _bits(docs: DataFrame, band: tuple[float, float]) -> Column:
-    """The filter as a constant; a query keeps that of its own analysis."""
-    spark = docs.sparkSession
-    terms = written(_band_terms(docs, band), "imatch-lexicon")
-    spark.sql("DECLARE OR REPLACE VARIABLE tidemark_lexicon ARRAY<BIGINT>")
-    spark.sql("SET VARIABLE tidemark_lexicon = (SELECT bits FROM {row})", row=_filter_of(terms))
-    remove(terms)
-    return F.expr("session.tidemark_lexicon")
+    lexicon = Lexicon(docs, band)
+    noted = id_text(docs).join(lexicon.notes(), "doc_id", "left")
+    return fingerprint_of(noted, "text", lexicon.often, "note", "fingerprint").select("doc_id", "text", "fingerprint", "fingerprint_whole")
 
 
 def _stretches(base: DataFrame) -> tuple[list[int], dict[int, int]]:
@@ -165,27 +162,54 @@ def _stretch(ends: list[int]) -> Column:
     return F.expr(f"aggregate(sequence(1, {len(ends).bit_length()}), named_struct('lo', 0L, 'hi', {len(ends)}L), (a, i) -> if(a.lo < a.hi, {step}, a), a -> cast(a.lo as int))")
 
 
-def with_next(docs: DataFrame) -> tuple[DataFrame, Window]:
-    """doc_id, text, next_text: the text of the next row by descending doc_id; after the last comes the first.
+def with_next(docs: DataFrame, notes: DataFrame | None = None) -> tuple[DataFrame, Window]:
+    """doc_id, text, note, next_text: a row's note, and the text of the next row by descending doc_id; after the last comes the first.
 
     Rows are dealt by stretches of ids.  The largest id of a stretch is the
     follower of the stretch above, and is sent there as well (column ghost);
-    so there is one shuffle and no single sorted partition.  Callers drop
+    so there is one shuffle and no single sorted partition.  Notes (doc_id, note)
+    are dealt along, and stand before the texts of their doc_id.  Callers drop
     ghosts after windows over the second value.
     """
     base = id_text(docs)
     ends, largest = _stretches(base)
     some = sorted(largest)
     above = dict(zip(some, [*some[1:], some[0]])) if some else {}
-    own = base.withColumn("s", _stretch(ends))
+    none = F.lit(None).cast("struct<id: bigint, hashes: array<bigint>>")
+    own = base.withColumn("_note", none)
+    if notes is not None:
+        own = own.unionByName(notes.select("doc_id", F.lit(None).cast("string").alias("text"), F.struct(F.col("doc_id").alias("id"), F.col("note").alias("hashes")).alias("_note")))
+    own = own.withColumn("s", _stretch(ends))
     pairs = ",".join(f'"{m}":{above[s]}' for s, m in largest.items())
     ghost = F.try_element_at(F.from_json(F.lit("{" + pairs + "}"), "map<string,int>"), F.col("doc_id").cast("string"))
     places = F.array_compact(F.array(F.struct(F.col("s"), F.lit(False).alias("ghost")), F.when(ghost.isNotNull(), F.struct(ghost.alias("s"), F.lit(True).alias("ghost")))))
-    placed = own.withColumn("at", F.explode(places)).select("doc_id", "text", "at.s", "at.ghost")
-    order = Window.partitionBy("s").orderBy("ghost", F.desc("doc_id"), "text")
+    placed = own.withColumn("at", F.explode(places)).select("doc_id", "text", "_note", "at.s", "at.ghost")
+    order = Window.partitionBy("s").orderBy("ghost", F.desc("doc_id"), F.col("text").asc_nulls_first())
+    held = F.last("_note", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = placed.withColumn("_held", held).where("text IS NOT NULL")
+    placed = placed.withColumn("note", F.when(F.col("_held.id") == F.col("doc_id"), F.col("_held.hashes"))).drop("_held", "_note")
     return placed.withColumn("next_text", F.lead("text").over(order)), order
 
 
+def _cut(rows: DataFrame) -> DataFrame:
+    """rows (n_chars, text, next_text) with head and piece: what the edited text keeps, and what follows it."""
+    return rows.withColumns({"head": F.expr("substring(text, 1, int(n_chars - n_chars div 3))"), "piece": F.expr("substring(coalesce(next_text, ''), 1, int(n_chars div 3))")})
+
+
+def _strangers(docs: DataFrame, lexicon: Lexicon) -> DataFrame:
+    """(doc_id, h): terms around the cuts of a document's edited text that are not in the lexicon.
+
+    A window of WINDOW characters on either side of a cut has all terms that the
+    cut can change, if it has three; else the text on that side is taken whole.
+    """
+    rows = _cut(with_next(docs)[0].where(~F.col("ghost")).withColumn("n_chars", F.length("text").cast("long")))
+    few = lambda c: f"size(split(lower({c}), r'{TERM_BREAK}')) < 5"
+    right, left = (lambda c: f"if({few(f'right({c}, {WINDOW})')}, {c}, right({c}, {WINDOW}))"), (lambda c: f"if({few(f'left({c}, {WINDOW})')}, {c}, left({c}, {WINDOW}))")
+    rows = rows.select("doc_id", F.expr(f"concat({right('head')}, {left('piece')})").alias("joint"), F.expr(right("piece")).alias("end"))
+    found = rows.select("doc_id", F.explode(F.array_distinct(F.array_compact(F.concat(_hashes("joint"), _hashes("end"))))).alias("h"))
+    return found.join(lexicon.terms, "h", "left_anti").select("doc_id", "h")
+
+
 def compared_with_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> DataFrame:
     """doc_id, n_chars, edited, fingerprint, edited_fingerprint (arrays), both with _whole (arrays), near_edited, near_next.
 
@@ -194,12 +218,14 @@ def compared_with_edits(docs: DataFrame, band: tuple[float, float] = BAND) -> Da
     empty; rows without doc_id are left out; rows of one doc_id follow each
     other by text; other columns are ignored; no rows give no rows.
     """
-    bits = _bits(docs, band)
-    rows, order = with_next(docs)
-    n = F.length("text")
-    rows = rows.withColumn("n_chars", n.cast("long"))
-    rows = rows.withColumn("edited", F.expr("concat(substring(text, 1, int(n_chars - n_chars div 3)), substring(coalesce(next_text, ''), 1, int(n_chars div 3)))")).drop("next_text")
-    rows = fingerprint_of(fingerprint_of(rows, "text", bits, "fingerprint"), "edited", bits, "edited_fingerprint")
+    lexicon = Lexicon(docs, band)
+    notes = written(lexicon.notes(_strangers(docs, lexicon)), "imatch-notes")
+    remove(lexicon.counts)
+    rows, order = with_next(docs, notes)
+    rows = rows.withColumn("n_chars", F.length("text").cast("long")).withColumn("next_note", F.lead("note").over(order))
+    rows = _cut(rows).withColumn("edited", F.concat("head", "piece")).drop("next_text", "head", "piece")
+    rows = rows.withColumn("notes", F.expr("concat(coalesce(note, cast(array() as array<bigint>)), coalesce(next_note, cast(array() as array<bigint>)))")).drop("next_note")
+    rows = fingerprint_of(fingerprint_of(rows, "text", lexicon.often, "note", "fingerprint"), "edited", lexicon.often, "notes", "edited_fingerprint").drop("note", "notes")
     rows = rows.withColumns({"_next": F.lead("fingerprint").over(order), "_next_whole": F.lead("fingerprint_whole").over(order)}).where(~F.col("ghost"))
     edited = likeness("fingerprint", "edited_fingerprint", "fingerprint_whole", "edited_fingerprint_whole")
     following = likeness("fingerprint", "coalesce(_next, fingerprint)", "fingerprint_whole", "coalesce(_next_whole, fingerprint_whole)")
