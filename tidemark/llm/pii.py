@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -203,23 +204,21 @@ def _features(k: int, votes: tuple[int, ...], shape: tuple[int, ...]) -> list[tu
 
 
 def classifier(rows: list[tuple[int, tuple[int, ...], tuple[int, ...], int]], post: list[float], rounds: int = 200) -> dict[tuple[str, int], float]:
-    """Weights of a logistic model over (field, value), fitted to posteriors of (kind, votes, shape, count)."""
-    weights: dict[tuple[str, int], float] = {}
+    """Weights of a logistic model over (field, value), fitted to posteriors of (kind, votes, shape, count).
+
+    Every row has one value in each field, so a round is one lookup and one
+    counting of a matrix of places, whatever the number of rows.
+    """
     if not rows:
-        return weights
-    fields = [_features(k, votes, shape) for k, votes, shape, _ in rows]
-    count = [math.log1p(r[3]) for r in rows]
-    total = sum(count)
+        return {}
+    names: dict[tuple[str, int], int] = {}
+    at = np.array([[names.setdefault(f, len(names)) for f in _features(k, votes, shape)] for k, votes, shape, _ in rows])
+    share = np.log1p([r[3] for r in rows])
+    share, want, weights = share / share.sum(), np.asarray(post), np.zeros(len(names))
     for _ in range(rounds):
-        slope: dict[tuple[str, int], float] = {}
-        for fs, p, c in zip(fields, post, count):
-            score = sum(weights.get(f, 0.0) for f in fs)
-            wrong = (p - 1 / (1 + math.exp(-max(-30.0, min(30.0, score))))) * c / total
-            for f in fs:
-                slope[f] = slope.get(f, 0.0) + wrong
-        for f, g in slope.items():
-            weights[f] = weights.get(f, 0.0) + 2.0 * g - 0.001 * weights.get(f, 0.0)
-    return weights
+        wrong = (want - 1 / (1 + np.exp(-np.clip(weights[at].sum(axis=1), -30, 30)))) * share
+        weights += 2.0 * np.bincount(at.ravel(), np.repeat(wrong, at.shape[1]), len(names)) - 0.001 * weights
+    return {f: float(weights[i]) for f, i in names.items()}
 
 
 def _score(weights: dict[tuple[str, int], float]) -> str:
