@@ -2,6 +2,14 @@
 
 Every stage gets what its predecessor kept, written as Parquet and read again;
 all but the last return the columns of documents.
+
+For all stages: rows without doc_id are left out, from the first stage on.  A null
+or empty text is a document like any other until the near duplicates: it has
+no words, is in no group, and stays.  Repeated rows come out alike, as often as they
+stand; rows of one doc_id with different texts are judged one by one, and where a
+stage chooses by doc_id (quality, near duplicates, mixture) all of them stay if one
+does.  Further columns are dropped, whatever their names; a table without rows
+gives one without rows.
 """
 
 from __future__ import annotations
@@ -15,30 +23,30 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that importance resampling takes; the others go."""
+    """Documents that importance resampling takes; the others go.  A null or empty text has log weight 0, and is taken or not by that."""
     taken = importance.resampled(docs, table(spark, sf_dir, "labels")).where("sampled").select("doc_id").distinct()
     return docs.join(taken, "doc_id", "left_semi").select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group of similar ones; texts without words are in no group."""
+    """The first document of every group of similar ones; texts without words are in no group, and stay."""
     first = ngram_join.similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(first, "doc_id", "left_semi").select(COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind, and n_chars of the new text (null for a null text)."""
     return pii.redact(docs.select(COLUMNS), pii.find_personal_data(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn with chances raked to source, language and topic shares."""
+    """Documents drawn with chances raked to source, language and topic shares; a null source or language is a value of its own."""
     drawn = mixing.mixed(docs).where("sampled").select("doc_id").distinct()
     return docs.join(drawn, "doc_id", "left_semi").select(COLUMNS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their sequence and place."""
+    """Pieces of documents with their sequence and place; a null or empty text is one piece, the end token."""
     import public_tokenizers
 
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
