@@ -145,14 +145,19 @@ def classify_link(href: Column | str, module: Column | str | None, host: str) ->
     return F.when((h == "") | h.startswith("#"), None).when(path.isNotNull(), F.when((path != "/") & ~own, page)).when(h.rlike("(?i)^https?://") & (url_host(h) != host), outside)
 
 
-def decide_offline(verdict: Column, redirects_to: Column, confidence: Column) -> Column:
-    """keep, rewrite or drop by a cached verdict; null where only a probe can tell."""
-    return F.when(verdict == "valid", "keep").when((verdict == "moved") & redirects_to.isNotNull(), "rewrite").when((verdict == "broken") & (confidence == "high"), "drop")
+def decide_offline(path: Column, verdict: Column, redirects_to: Column, confidence: Column) -> Column:
+    """keep, rewrite or drop by a verdict of the caches; null where only a live check can tell, which a broken link needs as well.
+
+    A sure move is rewritten if it leads to another page, and dropped if to a landing page or an archive.
+    """
+    sure = (verdict == "moved") & (confidence == "high") & redirects_to.isNotNull()
+    return F.when(verdict == "valid", "keep").when(sure, F.when(classify_redirect(path, redirects_to) == "moved", "rewrite").otherwise("drop"))
 
 
-def decide_probe(verdict: Column, redirects_to: Column) -> Column:
-    """keep, rewrite, drop or unverified by a live verdict."""
-    return F.when(verdict == "ok", "keep").when((verdict == "moved") & redirects_to.isNotNull(), "rewrite").when(verdict.isin("broken", "moved"), "drop").otherwise("unverified")
+def decide_probe(path: Column, verdict: Column, redirects_to: Column) -> Column:
+    """keep, rewrite, drop or unverified by a live verdict (ok, moved, broken, else)."""
+    real = redirects_to.isNotNull() & (classify_redirect(path, redirects_to) == "moved")
+    return F.when(verdict == "ok", "keep").when((verdict == "moved") & real, "rewrite").when(verdict.isin("moved", "broken"), "drop").otherwise("unverified")
 
 
 def refresh_reason(is_new: Column, has_urls: Column, same_sig: Column, consistent: Column, same_first: Column) -> Column:

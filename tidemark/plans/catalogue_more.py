@@ -229,13 +229,13 @@ def live_verdicts(spark, sf):
     return O(spark, sf).select("o_orderkey", v.verdict.alias("verdict"), v.redirects_to.alias("redirects_to"))
 
 
-@query(f"""SELECT o_orderkey, {sql_cases(5, "'training'", "'docs'", "'learn-other'", "'external'", "NULL")} AS kind, {sql_cases(5, "'/training/modules/' || o_orderkey", "'/cloud/' || o_orderkey", "'/answers/' || o_orderkey", "NULL", "NULL")} AS path, {sql_cases(5, *["NULL"] * 3, "'https://other.example/' || o_orderkey || '?a'", "NULL")} AS url, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "NULL", "NULL")} AS offline, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "'unverified'", "'drop'")} AS probed FROM orders""")
+@query(f"""SELECT o_orderkey, {sql_cases(5, "'training'", "'docs'", "'learn-other'", "'external'", "NULL")} AS kind, {sql_cases(5, "'/training/modules/' || o_orderkey", "'/cloud/' || o_orderkey", "'/answers/' || o_orderkey", "NULL", "NULL")} AS path, {sql_cases(5, *["NULL"] * 3, "'https://other.example/' || o_orderkey || '?a'", "NULL")} AS url, {sql_cases(5, "'keep'", "'rewrite'", "NULL", "NULL", "NULL")} AS offline, {sql_cases(5, "'keep'", "'rewrite'", "'drop'", "'unverified'", "'drop'")} AS probed FROM orders""")
 def link_decisions(spark, sf):
     href = cases(5, "https://site.example/en-us/training/modules/{k}/", "/cloud/{k}?x", "https://site.example/answers/{k}", "https://other.example/{k}?a#b", "mailto:a@{k}")
     link = classify.classify_link(href, F.concat(F.lit("/training/modules/"), F.col("o_orderkey") + 1), HOST)
     cached, sure = cases(5, "valid", "moved", "broken", "broken", "unverifiable"), F.when(K % 5 == 3, "low").otherwise("high")
-    live, to = cases(5, "ok", "moved", "broken", "unknown", "moved"), F.when(K % 5 == 1, "/t")
-    return O(spark, sf).select("o_orderkey", link.kind.alias("kind"), link.path.alias("path"), link.url.alias("url"), classify.decide_offline(cached, to, sure).alias("offline"), classify.decide_probe(live, to).alias("probed"))
+    live, to = cases(5, "ok", "moved", "broken", "unknown", "moved"), F.when(K % 5 == 1, F.concat(F.lit("/cloud/new/"), "o_orderkey"))
+    return O(spark, sf).select("o_orderkey", link.kind.alias("kind"), link.path.alias("path"), link.url.alias("url"), classify.decide_offline(link.path, cached, to, sure).alias("offline"), classify.decide_probe(link.path, live, to).alias("probed"))
 
 
 # ---- winners
@@ -500,7 +500,7 @@ def toc_folders(spark, sf):
 
 
 @query("""SELECT module, CAST(pos AS INT) AS pos, path, was FROM (SELECT *, row_number() OVER (PARTITION BY module, path ORDER BY pos) AS n FROM (SELECT o_custkey AS module, o_orderkey AS pos, CASE WHEN o_orderkey % 6 = 1 THEN '/training/modules/m' || o_orderkey || '/new' ELSE '/en/m' || o_orderkey END AS path, NULL AS was FROM orders WHERE false
- UNION ALL SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 6 = 1 THEN '/en/m' || o_orderkey || '/new' WHEN o_orderkey % 6 = 4 THEN '/en/t' || o_orderkey ELSE '/en/m' || o_orderkey END, CASE WHEN o_orderkey % 6 IN (1, 4) THEN '/en/m' || o_orderkey END FROM orders WHERE o_orderkey % 6 NOT IN (2, 5))) WHERE n = 1""")
+ UNION ALL SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 6 = 1 THEN '/en/m' || o_orderkey || '/new' WHEN o_orderkey % 6 = 4 THEN '/en/t' || o_orderkey ELSE '/en/m' || o_orderkey END, CASE WHEN o_orderkey % 6 IN (1, 4) THEN '/en/m' || o_orderkey END FROM orders WHERE o_orderkey % 6 <> 5)) WHERE n = 1""")
 def cleaned_links(spark, sf):
     o = O(spark, sf).withColumn("path", F.concat(F.lit("/en/m"), "o_orderkey"))
     links = o.select(F.col("o_custkey").alias("module"), K.cast("int").alias("pos"), "path")

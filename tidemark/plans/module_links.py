@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Site
 from ..functions.scalars import days_between, is_iso_date, refresh_due
 from ..operators import quality, queues
-from ..operators.classify import classify_redirect, link_kind
+from ..operators.classify import decide_offline, decide_probe, link_kind
 from ..operators.dedupe import first_per
 from ..sources.shared import settled
 from .validate import Caches, validate
@@ -83,18 +83,6 @@ def carried(modules: DataFrame, scope: DataFrame, records: DataFrame, fetched: D
     return old.select(*names, F.lit(False).alias("fresh")).unionByName(fetched.select(*names, F.lit(True).alias("fresh")))
 
 
-def decide_cached(path: Column, verdict: Column, to: Column, confidence: Column) -> Column:
-    """keep, rewrite or drop by a verdict of the caches; null where only a live check can tell."""
-    sure = (verdict == "moved") & (confidence == "high") & to.isNotNull()
-    return F.when(verdict == "valid", "keep").when(sure, F.when(classify_redirect(path, to) == "moved", "rewrite").otherwise("drop"))
-
-
-def decide_live(path: Column, verdict: Column, to: Column) -> Column:
-    """keep, rewrite, drop or unverified by a live verdict (ok, moved, broken, else)."""
-    real = to.isNotNull() & (classify_redirect(path, to) == "moved")
-    return F.when(verdict == "ok", "keep").when((verdict == "moved") & real, "rewrite").when(verdict.isin("moved", "broken"), "drop").otherwise("unverified")
-
-
 def probe_plan(links: DataFrame, undecided: DataFrame, today: str, recheck_days: int, most: int) -> DataFrame:
     """path, action of targets that the caches cannot settle: fresh (confirmed not long ago), probe (never checked first, then the longest ago) or wait."""
     seen = links.where(is_iso_date("checked") & ~F.coalesce("unverified", F.lit(False))).groupBy("path").agg(F.max("checked").alias("checked"))
@@ -140,11 +128,11 @@ def cleaned(links: DataFrame, caches: Caches, probe: Callable[[DataFrame], DataF
     """
     targets = links.where(F.col("kind").isin(*CHECKED) & F.col("path").isNotNull()).select("path").distinct()
     verdicts = validate(targets.withColumn("url", F.col("path")), caches, site, url="url").select("path", "verdict", "redirects_to", "confidence")
-    known = settled(verdicts.select("path", decide_cached(F.col("path"), F.col("verdict"), F.col("redirects_to"), F.col("confidence")).alias("decision"), F.lit("cache").alias("via"), F.col("redirects_to").alias("to")))
+    known = settled(verdicts.select("path", decide_offline(F.col("path"), F.col("verdict"), F.col("redirects_to"), F.col("confidence")).alias("decision"), F.lit("cache").alias("via"), F.col("redirects_to").alias("to")))
     known, undecided = known.where("decision is not null"), targets.join(known.where("decision is not null"), "path", "left_anti")
     todo = settled(probe_plan(links, undecided, today, limits.recheck_days, limits.probes))
     queue = queues.numbered(todo.where("action = 'probe'").select("path"), "path")
-    told = probe(queue).select("path", decide_live(F.col("path"), F.col("verdict"), F.col("redirects_to")).alias("decision"), F.col("redirects_to").alias("to"))
+    told = probe(queue).select("path", decide_probe(F.col("path"), F.col("verdict"), F.col("redirects_to")).alias("decision"), F.col("redirects_to").alias("to"))
     told = settled(first_per(told, ["path"], [F.asc("decision"), F.asc_nulls_last("to")]).join(queue, "path"))
     told, broke = queues.before_half_failed(told, "queue_pos", F.col("decision") == "unverified", limits.breaker, limits.probe_chunk)
     n = {r[0]: r[1] for r in told.groupBy("decision").count().collect()}

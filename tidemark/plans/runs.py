@@ -111,11 +111,14 @@ def docs_run(
 
 
 def links_run(links: DataFrame, caches: validate.Caches, probes: DataFrame, today: str, site: Site = Site()) -> DataFrame:
-    """Links of modules (module, pos, path) cleaned: decided by the caches, else by probes (path, verdict, redirects_to)."""
+    """Links of modules (module, pos, path) cleaned: decided by the caches, else by probes (path, verdict, redirects_to), else unverified.
+
+    plans.module_links is the whole run.
+    """
     paths = links.select("path").distinct()
-    known = validate.validate(paths, caches, site, url="path").select("path", classify.decide_offline(F.col("verdict"), F.col("redirects_to"), F.col("confidence")).alias("decision"), F.col("redirects_to").alias("to"))
-    live = probes.select("path", classify.decide_probe(F.col("verdict"), F.col("redirects_to")).alias("p_decision"), F.col("redirects_to").alias("p_to"))
-    both = known.join(live, "path", "left").select("path", F.coalesce("decision", "p_decision").alias("decision"), F.when(F.col("decision").isNotNull(), F.col("to")).otherwise(F.col("p_to")).alias("to")).where("decision is not null")
+    known = validate.validate(paths, caches, site, url="path").select("path", classify.decide_offline(F.col("path"), F.col("verdict"), F.col("redirects_to"), F.col("confidence")).alias("decision"), F.col("redirects_to").alias("to"))
+    live = probes.select("path", classify.decide_probe(F.col("path"), F.col("verdict"), F.col("redirects_to")).alias("p_decision"), F.col("redirects_to").alias("p_to"))
+    both = known.join(live, "path", "left").select("path", F.coalesce("decision", "p_decision", F.lit("unverified")).alias("decision"), F.when(F.col("decision").isNotNull(), F.col("to")).otherwise(F.col("p_to")).alias("to"))
     return build.apply_decisions(links, both, today)
 
 
