@@ -79,9 +79,10 @@ def family(seed):
     return [(i, " ".join([w] * n)) for i, (w, n) in enumerate(words.items())]
 
 
-@pytest.mark.parametrize("crowd", [256, 0, 3])
-def test_variants_against_brute_force(spark, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "short"), [(256, 64), (0, 64), (3, 0), (256, 7)])
+def test_variants_against_brute_force(spark, monkeypatch, crowd, short):
     monkeypatch.setattr(spelling, "CROWD", crowd)
+    monkeypatch.setattr(spelling, "SHORT", short)
     docs = family(crowd)
     want = slow(counted(docs))
     assert any(form and root != form for _, form, root, *_ in want)

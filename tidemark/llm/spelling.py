@@ -28,6 +28,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MISSPELT, LENGTH, TIMES, RATIO = 199, 6, 5, 5
 #: A letter's value is its code point to this power; keys are sums of values modulo a prime, so that long words stay in a long.
 POWER, MODULUS = 5, (1 << 61) - 1
+#: Letters of words that are compared by the edit distance.
+SHORT = 64
 #: Rows of one key that are joined without regard to the order of letters.
 CROWD = 256
 
@@ -58,12 +60,17 @@ def _letters(word) -> Column:
 
 
 def one_letter_apart(a: str, b: str) -> Column:
-    """Whether two different words are alike but for one letter: from the first difference on, in time that grows with their length."""
+    """Whether two different words are alike but for one letter.
+
+    Short ones by Spark's edit distance, whose time grows with the product of
+    their lengths; long ones from the first difference on, in time that grows with their length.
+    """
     at = F.array_position(F.zip_with(_letters(a), _letters(b), lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
     more = F.char_length(a) - F.char_length(b)
     rest_a = F.substr(a, F.when(more < 0, at).otherwise(at + 1))
     rest_b = F.substr(b, F.when(more > 0, at).otherwise(at + 1))
-    return (F.abs(more) <= 1) & (rest_a == rest_b)
+    linear = (F.abs(more) <= 1) & (rest_a == rest_b)
+    return F.when(F.greatest(F.char_length(a), F.char_length(b)) <= SHORT, F.levenshtein(a, b, 1) == 1).otherwise(linear)
 
 
 def listed(words: DataFrame) -> DataFrame:
