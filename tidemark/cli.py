@@ -1,6 +1,8 @@
-"""Command line: `python -m tidemark.cli validate|check|since|seed|docs ...`
+"""Command line: `python -m tidemark.cli validate|check|since|seed|docs|sidebars|links|catalogue|content ...`
 
-Exit codes: 0 all good, 1 something broken or moved was found, 2 bad arguments.
+Exit codes: 0 all good, 1 something broken or moved was found, or a run was
+stopped by its gates (nothing is written then), 2 bad arguments.  What a site
+answered comes as tables; no command fetches anything by itself.
 """
 
 from __future__ import annotations
@@ -9,7 +11,7 @@ import argparse
 import json
 import sys
 
-from .config import LedgerError, Site, UsageError
+from .config import GateFailure, LedgerError, Site, UsageError
 
 
 def parser() -> argparse.ArgumentParser:
@@ -46,13 +48,39 @@ def parser() -> argparse.ArgumentParser:
     o.add_argument("--out", help="folder for the new tables; without it only the plan is shown")
     o.add_argument("--today", required=True)
     o.add_argument("--sitemap-failed", action="store_true", help="a sitemap file could not be read: nothing counts as removed, and the index is not written")
-    for s in (d, o):
+    passes = []
+    for name, text in PASSES.items():
+        q = sub.add_parser(name, help=text)
+        q.add_argument("--tables", required=True, help="folder of Parquet tables: inputs, answers, and what the run before left")
+        q.add_argument("--out", help="folder for the new tables; without it only counts are shown")
+        q.add_argument("--today", required=True)
+        if name in ("catalogue", "content"):
+            q.add_argument("--ledger", required=True, help="folder with removed.json and moved.json")
+        if name == "catalogue":
+            q.add_argument("--allowed", required=True, help="product categories in scope, by commas")
+            q.add_argument("--full", action="store_true", help="read the units of all modules again")
+        if name == "links":
+            q.add_argument("--full-at", help="day of the last pass over all modules; without it this is the first run")
+            q.add_argument("--full", action="store_true", help="read all modules again")
+        if name == "sidebars":
+            q.add_argument("--families", help="first path segments in scope, by commas")
+            q.add_argument("--other-scope", action="store_true", help="the run before had another scope: use nothing of it")
+        passes.append(q)
+    for s in (d, o, *passes):
         s.add_argument("--host")
-    for s in (v, c, n, d, o):
+    for s in (v, c, n, d, o, *passes):
         s.add_argument("--output", help="write the JSON report there")
     return p
 
 
+PASSES = {
+    "sidebars": "ask folders for their sidebars, and keep those of folders that were not asked",
+    "links": "keep the links of modules' last units, cleaned",
+    "catalogue": "fold a download of the modules in, with removals, units and ledger",
+    "content": "fold the typed content lists in, with removals and ledger",
+}
+
+
 def whole_number(text: str) -> int:
     if not text.isdigit():
         raise argparse.ArgumentTypeError(f"a whole number, not {text!r}")
@@ -135,6 +163,85 @@ def docs(spark, args) -> str:
     return report.plan_report(out.plan, runs.queue_budget(out.plan, today=args.today)) + "\n" + "\n".join(f"  {r.name}: {r.n}" for r in out.counts.collect())
 
 
+def _given(spark, folder: str, schemas: dict[str, str], needed: tuple[str, ...]) -> dict:
+    """Tables of a folder, empty ones where they are missing; those that are needed must be there."""
+    t = tables_of(spark, folder, schemas)
+    for name in needed:
+        if name not in t:
+            raise UsageError(f"no table {name} in {folder}")
+    return {n: spark.createDataFrame([], schema) for n, schema in schemas.items() if n not in t} | t
+
+
+def _kept(args, tables: dict, counts: dict) -> str:
+    """Writes the tables of a run if it has a folder for them, and tells its counts."""
+    from .sources import files
+
+    written = [name for name, df in tables.items() if args.out and files.write_if_changed(df, f"{args.out}/{name}")]
+    told = [f"{k}: {v}" for k, v in sorted(counts.items())]
+    return "\n".join([*told, f"written: {', '.join(written) or 'nothing'}"])
+
+
+def sidebars(spark, args) -> str:
+    from .plans import sidebars as S
+
+    t = _given(spark, args.tables, {"index": "path string, lastmod string", "tocs": S.TOCS, "none": S.NONE, "answers": "folder string, outcome string, toc string"}, ("index",))
+    ask = lambda queue: t["answers"].join(queue.select("folder"), "folder", "left_semi")
+    out = S.sidebar_run(t["index"], t["tocs"], t["none"], ask, args.today, families=args.families.split(",") if args.families else None, same_scope=not args.other_scope, host=args.host)
+    counts = {"asked": out.asked, "failed": out.failed, "waiting": out.waiting, "without": out.none.count(), **out.tocs.transform(S.totals).first().asDict()}
+    return _kept(args, {} if out.unchanged else {"tocs": out.tocs, "none": out.none}, counts)
+
+
+def links(spark, args) -> str:
+    from .plans import module_links as M
+    from .plans import validate
+
+    link = "array<struct<kind: string, path: string, url: string, text: string, section: string>>"
+    schemas = {"modules": "path string, unitUrls array<string>, unitSig string", "scope": "path string", "records": M.RECORDS, "links": M.LINKS, "pages": f"path string, outcome string, unitTitle string, links {link}", "checks": "path string, verdict string, redirects_to string"}
+    t = _given(spark, args.tables, schemas, ("modules",))
+    scope = t["scope"] if "scope" in tables_of(spark, args.tables, ("scope",)) else t["modules"]
+    caches = validate.Caches(**tables_of(spark, args.tables, validate.Caches.__dataclass_fields__))
+    answered = lambda name: lambda queue: t[name].join(queue.select("path"), "path", "left_semi")
+    out = M.module_link_run(t["modules"], scope, t["records"], t["links"], args.full_at, answered("pages"), caches, answered("checks"), args.today, site=Site(host=args.host or Site().host), first=not args.full_at, full=args.full)
+    return _kept(args, {"records": out.records, "links": out.links}, out.counts | {"full_at": out.full_at})
+
+
+def _answers(spark, t):
+    return lambda queue: t["answers"].join(queue.select("path"), "path", "left_semi")
+
+
+def catalogue(spark, args) -> str:
+    from .plans import runs
+    from .sources import files
+
+    module = "uid string, title string, path string, products array<string>, units array<string>, lastModified string, firstUnitPath string"
+    schemas = {
+        "api": module, "units": "uid string, lastModified string", "taxonomy": "id string, name string, children array<struct<id: string, name: string>>", "previous": f"{module}, unitUrls array<string>, unitSig string, hierarchyNotFound boolean",
+        "previous_removed": "uid string, path string, title string, lastSeen string, removedOn string", "fetched": "uid string, outcome string, urls array<string>", "answers": "path string, outcome string, to string, status int",
+    }
+    t = _given(spark, args.tables, schemas, ("api", "units", "taxonomy"))
+    changes = files.read_ledger(spark, args.ledger, args.host)
+    out = runs.catalogue_run(t["api"], t["units"], t["taxonomy"], t["previous"], t["previous_removed"], t["fetched"], changes, _answers(spark, t), args.allowed.split(","), args.today, full=args.full)
+    counts = {"modules": out.modules.count(), "removed": out.removed.count(), "out_of_scope": out.out_of_scope.count(), "collisions": out.collisions.count(), "changes": out.ledger.count()}
+    text = _kept(args, {"modules": out.modules, "removed": out.removed, "out_of_scope": out.out_of_scope}, counts)
+    if args.out:
+        files.write_ledger(out.ledger, args.ledger, f"{args.today}T00:00:00Z")
+    return text
+
+
+def content(spark, args) -> str:
+    from .plans import runs
+    from .sources import files
+
+    item = "type string, uid string, title string, path string"
+    schemas = {"current": item, "probes": "uid string, path string, outcome string", "previous": f"{item}, studyGuide string", "previous_removed": f"{item}, lastSeen string, removedOn string", "live": "path string", "answers": "path string, outcome string, to string, status int"}
+    t = _given(spark, args.tables, schemas, ("current",))
+    items, removed, ledger = runs.content_run(t["current"], t["probes"], t["previous"], t["previous_removed"], files.read_ledger(spark, args.ledger, args.host), t["live"], _answers(spark, t), args.today)
+    text = _kept(args, {"items": items, "removed": removed}, {"items": items.count(), "removed": removed.count(), "changes": ledger.count()})
+    if args.out:
+        files.write_ledger(ledger, args.ledger, f"{args.today}T00:00:00Z")
+    return text
+
+
 def links_of(args, stdin) -> list[str]:
     if args.links:
         return args.links
@@ -161,8 +268,9 @@ def main(argv: list[str] | None = None, spark=None, stdin=sys.stdin, stdout=sys.
     from .sources import files
 
     try:
-        if args.command in ("seed", "docs"):
-            text = (seed if args.command == "seed" else docs)(spark, args)
+        run = {"seed": seed, "docs": docs, "sidebars": sidebars, "links": links, "catalogue": catalogue, "content": content}.get(args.command)
+        if run:
+            text = run(spark, args)
             if args.output:
                 with open(args.output, "w", encoding="utf-8") as f:
                     f.write(text + "\n")
@@ -172,18 +280,21 @@ def main(argv: list[str] | None = None, spark=None, stdin=sys.stdin, stdout=sys.
         if args.command == "since":
             rows = report.changelog(files.read_ledger(spark, args.ledger), args.day)
         else:
-            links = spark.createDataFrame([(x, i) for i, x in enumerate(links_of(args, stdin))], "url string, ord int")
+            given = spark.createDataFrame([(x, i) for i, x in enumerate(links_of(args, stdin))], "url string, ord int")
             if args.command == "check":
-                rows = report.check_links(links, files.read_ledger(spark, args.ledger, args.host), host=args.host, all_links=args.all)
+                rows = report.check_links(given, files.read_ledger(spark, args.ledger, args.host), host=args.host, all_links=args.all)
             else:
                 tables = tables_of(spark, args.tables, validate.Caches.__dataclass_fields__)
-                rows = validate.validate(links, validate.Caches(**tables), Site(host=args.host or Site().host), host=args.host)
+                rows = validate.validate(given, validate.Caches(**tables), Site(host=args.host or Site().host), host=args.host)
                 if "ledger" in tables:
                     rows = validate.enriched(rows, tables["ledger"])
                 if args.confirm_live:
                     rows = validate.with_live(rows, spark.read.parquet(args.confirm_live), args.probe_unverifiable)
                 rows = rows.orderBy("ord").drop("ord")
         out = [r.asDict(recursive=True) for r in rows.collect()]
+    except GateFailure as e:
+        print(e, file=sys.stderr)
+        return 1
     except (UsageError, LedgerError) as e:
         print(e, file=sys.stderr)
         return 2
