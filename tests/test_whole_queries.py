@@ -62,3 +62,71 @@ def test_page_title_gives_every_page_a_row(spark, tables):
 def test_titles_are_decoded(spark):
     df = spark.createDataFrame([Row(html="<title>A &amp; B &lt;c&gt; &#233;&#xe9;</title>"), Row(html="<p>none</p>")])
     assert [r.t for r in df.select(X.page_title("html").alias("t")).collect()] == ["A & B <c> éé", None]
+
+
+def test_head_meta_against_an_html_parser(spark, tables):
+    import json
+    from html.parser import HTMLParser
+
+    class Metas(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.found, self.inside = {}, True
+
+        def handle_starttag(self, tag, attrs):
+            a = dict(attrs)
+            name = (a.get("name") or a.get("property") or "").lower()
+            if tag == "meta" and self.inside and name:
+                self.found.setdefault(name, a.get("content") or "")
+
+        def handle_endtag(self, tag):
+            self.inside &= tag != "head"
+
+    def metas(html):
+        p = Metas()
+        p.feed(html)
+        return p.found
+
+    got = {p: json.loads(m) for p, m in rows(spark, "head_meta")}
+    assert got == {p: metas(h) for p, h in tables("pages", "page_id", "html")}
+
+
+def test_drawn_sample_against_hashes_of_all_parts(spark, tables):
+    import struct
+
+    import xxhash
+
+    def key(p):
+        first = xxhash.xxh64(struct.pack("<i", 5), seed=42).intdigest()
+        h = xxhash.xxh64(struct.pack("<q", p), seed=first).intdigest()
+        return h - (1 << 64) if h >> 63 else h
+
+    parts = sorted((p for (p,) in tables("part", "p_partkey")), key=key)
+    assert sorted(p for (p,) in rows(spark, "drawn_sample")) == sorted(parts[:100])
+
+
+def test_page_links_against_a_scan_of_each_page(spark, tables):
+    def plain(html):
+        t = re.sub(r"(?s)<[^>]*>", "", html)
+        for name, text in X.ENTITIES:
+            t = t.replace(name, text)
+        return re.sub(r"\s+", " ", t.replace(" ", " ")).strip()
+
+    def links(html):
+        parts, seen, out = re.split(r"(?i)<p\b[^>]*>", html), set(), []
+        for s, part in enumerate(parts):
+            name, body = None, part
+            if s:
+                end = re.search(r"(?is)</p\s*>", part)
+                name, body = (plain(part[: end.start()]), part[end.end() :]) if end else (None, part)
+            for i, m in enumerate(re.finditer(r"""(?is)<a\s[^>]*?href=["']([^"']*)["'][^>]*>(.*?)</a\s*>""", body)):
+                if (name or "", m[1]) not in seen:
+                    seen.add((name or "", m[1]))
+                    out.append((s * 100_000 + i, m[1], plain(m[2])[:200]))
+        return out
+
+    got = {}
+    for page, pos, _, href, text in ((r.page_id, r.pos, r.section, r.href, r.text) for r in QUERIES["page_links"](spark, SF).collect()):
+        got.setdefault(page, []).append((pos, href, text))
+    want = {p: x for p, h in tables("pages", "page_id", "html") if (x := links(h))}
+    assert {p: sorted(x) for p, x in got.items()} == want
