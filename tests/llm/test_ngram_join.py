@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from tidemark.llm import ngram_join
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import similar_documents
@@ -85,6 +87,18 @@ def test_other_thresholds_and_small_blocks(spark, monkeypatch):
     assert got == brute(rows, 3, 60)
 
 
+@pytest.mark.parametrize("most", [1, 3])
+def test_hot_postings_are_dealt_in_slices(spark, monkeypatch, most):
+    monkeypatch.setattr(ngram_join, "HOT", most)
+    rows = fixture()
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    heavy = ngram_join.heavy_shingles(ngram_join.id_text(df), 5)
+    hot = ngram_join.hot_postings(spark, heavy).collect()
+    assert hot and all(r.slices > 1 for r in hot)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.similar_documents(df).collect()}
+    assert got == brute(rows)
+
+
 def test_edges_of_tables(spark):
     assert similar_documents(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     df = spark.createDataFrame([(None, "a b c", 1), (1, "a b c", 2), (1, "a b c", 2), (2, "A B C", None)], "doc_id long, text string, n int")

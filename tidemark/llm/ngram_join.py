@@ -14,7 +14,8 @@ heavy-hitter counts that every task takes over all its documents.  A common
 passage thus stands at the end of every set and makes no candidates.
 
 Groups.  The first round links the members of every posting to one of them
-only, so a large group of near copies costs one row a member: to the one whose
+only (a posting of more than HOT sets is dealt in slices, each with one of its
+own, and those to one of them), so a large group of near copies costs one row a member: to the one whose
 own prefix is the most common, for edits make rare shingles, and what is edited
 least is near to most.  The components of these links partition the documents; big ones are split into
 blocks.  The matrix holds each block's token union.
@@ -25,7 +26,8 @@ union bounds the similarity to every member at once (a count by document and
 block), and only blocks above the bound are opened, their members bounded one
 by one in the same way, and survivors compared in full.  Every pair not already in one component is thus examined.
 
-What is sent to all tasks: at most TOP shingles, and a bitmap of fixed size.
+What is sent to all tasks: at most TOP shingles, those of hot postings among them
+once more, and a bitmap of bounded size.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ from .session import id_text, remove, written
 
 #: Heavy hitters: shingles that a task counts at once, those it names, those that count.
 COUNTED, NAMED, TOP = 1_500_000, 32_768, 262_144
+#: Sets in which a frequent shingle may stand before its posting is dealt in slices of so many.
+HOT = 4_096
 #: Expected members of a block of the matrix.
 BLOCK = 64
 _LOW = np.uint64((1 << 60) - 1)
@@ -80,12 +84,21 @@ def _heavy(k: int):
     return run
 
 
-def heavy_shingles(base: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Frequent shingles and their class 1..7; at most TOP of them."""
+def heavy_shingles(base: DataFrame, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Frequent shingles, their class 1..7, and how often tasks have named them; at most TOP of them."""
     top = base.mapInArrow(_heavy(k), "h long, c long").groupBy("h").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "h").limit(TOP).toArrow()
     value = top["h"].to_numpy().view(np.uint64)
     order = np.argsort(value)
-    return value[order], np.clip(np.log2(np.maximum(top["c"].to_numpy()[order], 1)) / 2, 1, 7).astype(np.uint64)
+    count = top["c"].to_numpy()[order]
+    return value[order], np.clip(np.log2(np.maximum(count, 1)) / 2, 1, 7).astype(np.uint64), count
+
+
+def hot_postings(spark, heavy: tuple[np.ndarray, np.ndarray, np.ndarray]) -> DataFrame:
+    """(h, slices) of the keys that stand in so many sets that their posting is dealt to several tasks; at most TOP rows."""
+    value, rank, count = heavy
+    some = count > HOT
+    h = K.signed((value[some] >> np.uint64(4)) | (rank[some] << np.uint64(60)))
+    return spark.createDataFrame(list(zip(h.tolist(), (-(-count[some] // HOT)).tolist())), "h long, slices long")
 
 
 def _need(n, percent):
@@ -94,7 +107,7 @@ def _need(n, percent):
 
 def _prefixes(heavy, k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common, rank = heavy.value
+        common, rank = heavy.value[:2]
         for batch in batches:
             for part in K.chunks(batch):
                 rows = part.num_rows
@@ -124,23 +137,27 @@ def _prefixes(heavy, k: int, percent: int):
 
 
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (h, rep, n, slack) in order: those of postings with two members or more, with the first member."""
+    """Rows (h, slice, rep, n, slack) in order: those of postings with two members or more, with the first member.
+
+    A slice of a hot posting has a number from 1, and all its rows are kept: there are others elsewhere.
+    """
     last = None  # h, rep, n, slack of the row before, its posting's first member and size, and whether that row waits for a second
     for batch in batches:
         if not batch.num_rows:
             continue
-        h, rep, n, slack = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "rep", "n", "slack"))
-        head = np.r_[last is None or h[0] != last[0], h[1:] != h[:-1]]
+        h, rep, n, slack, part = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "rep", "n", "slack", "slice"))
+        head = np.r_[last is None or (h[0], part[0]) != (last[0], last[7]), (h[1:] != h[:-1]) | (part[1:] != part[:-1])]
         heads = np.flatnonzero(head)
         at = np.cumsum(head)
         pivot = np.r_[last[4] if last else 0, rep[heads]][at]
         size = np.r_[last[5] if last else 0, n[heads]][at]
         shared = ~head
         shared[:-1] |= ~head[1:]
+        shared |= part > 0
         out = [h[shared], rep[shared], n[shared], slack[shared], pivot[shared], size[shared]]
         if last and last[6] and not head[0]:
             out = [np.r_[v, x] for v, x in zip(last, out)]
-        last = (h[-1], rep[-1], n[-1], slack[-1], pivot[-1], size[-1], bool(head[-1]))
+        last = (h[-1], rep[-1], n[-1], slack[-1], pivot[-1], size[-1], bool(head[-1]) and not part[-1], part[-1])
         if len(out[0]):
             yield pa.record_batch([pa.array(x) for x in out], ["h", "rep", "n", "slack", "pivot", "pn"])
 
@@ -239,10 +256,16 @@ def similar_documents(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFra
     classes = written(sets.where("n > 0").groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "rid", "row")).alias("f")).select("k1", "k2", "n", F.col("f.doc_id").alias("first"), F.col("f.rid").alias("rep"), F.col("f.row").alias("row")), "classes")
     reps = sets.join(classes.select("row"), "row", "left_semi").select(F.col("rid").alias("rep"), "n", "core", "prefix")
     rows = reps.select(F.posexplode("prefix").alias("i", "h"), "rep", "n", "core").select("h", "rep", "n", (F.col("n") - F.col("i")).alias("slack"), "core")
-    rows = rows.repartition("h").sortWithinPartitions("h", F.desc("core"), "rep")
+    hot = hot_postings(spark, heavy.value)
+    rows = rows.join(F.broadcast(hot), "h", "left").withColumn("slice", F.coalesce(F.pmod(F.xxhash64("rep"), "slices") + 1, F.lit(0))).drop("slices")
+    rows = rows.repartition("h", "slice").sortWithinPartitions("h", "slice", F.desc("core"), "rep")
     postings = written(rows.mapInArrow(_postings, "h long, rep long, n long, slack long, pivot long, pn long"), "postings")
 
-    star = postings.where((F.col("rep") != F.col("pivot")) & alike_in_size(F.col("n"), F.col("pn"), F.col("pn"), percent))
+    # first members of the slices of a hot posting link to one of them
+    own = postings.where("rep = pivot").join(F.broadcast(hot.select("h")), "h", "left_semi")
+    lead = own.groupBy("h").agg(F.min(F.struct("rep", "n")).alias("l")).select("h", F.col("l.rep").alias("pivot"), F.col("l.n").alias("pn"))
+    bridges = own.select("h", "rep", "n", "slack").join(lead, "h").select(postings.columns)
+    star = postings.unionByName(bridges).where((F.col("rep") != F.col("pivot")) & alike_in_size(F.col("n"), F.col("pn"), F.col("pn"), percent))
     star = star.groupBy(F.col("rep").alias("a"), F.col("pivot").alias("b"), "n", "pn").agg(F.count("*").alias("s")).where(may_link(F.col("s"), F.col("n"), F.col("pn"), percent))
     close = written(star.select("a", "b"), "pairs")
     repeated = not sets.groupBy("rid").agg(F.count("*").alias("c")).where("c > 1").isEmpty()
