@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,17 +45,67 @@ def freshness_warnings(fresh: DataFrame) -> DataFrame:
     return fresh.select(text.alias("warning")).where("warning is not null")
 
 
+# Fixed values of the status file: its version, the sections that come first, the
+# stamps of the learn section's parts, and the order of that section's keys.
+STATUS_VERSION = 1
+SECTIONS = ("learn", "docs")
+PART_STAMPS = {"catalog": "catalogGeneratedAt", "content": "contentGeneratedAt"}
+LEARN_KEYS = (
+    "generatedAt", "runId", "modules", "removed", "outOfScope", "totalApiModules", "unitUrlsRefreshedAt", "unitHierarchyRequests", "unitHierarchyFailures", "unitUrlsNull",
+    "unitHierarchyNotFound", "unitUrlsCarriedForward", "unusedCategories", "emptiedCategories", "content", "catalogChanges", "contentChanges", "catalogGeneratedAt", "contentGeneratedAt",
+)
+
+
 def with_section(status: dict, section: str, data: dict, now: str, run_id: str | None = None) -> dict:
-    """The heartbeat with one section exchanged, sections in order of name."""
-    entry = {"at": now, **({"run": run_id} if run_id else {}), **data}
-    return dict(sorted({**status, section: entry}.items()))
+    """The status with one section exchanged: the version, the known sections, then others as they stood."""
+    held = {**status, "schemaVersion": STATUS_VERSION, section: {"generatedAt": now, "runId": run_id, **data}}
+    first = ["schemaVersion", *(k for k in SECTIONS if held.get(k))]
+    return {k: held[k] for k in dict.fromkeys([*first, *held])}
+
+
+def _stamp(text) -> datetime | None:
+    try:
+        at = datetime.fromisoformat(text)
+    except (TypeError, ValueError):
+        return None
+    return at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+
+
+def learn_section(existing: dict | None, part: str, fields: dict, now: str) -> dict:
+    """The learn section after one of its parts has contributed; the other part's keys stay."""
+    if part not in PART_STAMPS:
+        raise UsageError(f"a part is one of {', '.join(PART_STAMPS)}, not {part!r}")
+    rest = {k: v for k, v in (existing or {}).items() if k not in ("generatedAt", "runId")}
+    made = {**rest, **fields, PART_STAMPS[part]: now}
+    return {k: made[k] for k in [*(k for k in LEARN_KEYS if k in made), *sorted(set(made) - set(LEARN_KEYS))]}
+
+
+def contributed(status: dict, part: str, fields: dict, now: str, run_id: str | None = None) -> dict:
+    """The status after a part of the learn section has reported: the section is as old as its oldest part."""
+    learn = status.get("learn")
+    data = learn_section(learn if isinstance(learn, dict) else None, part, fields, now)
+    stamps = sorted((at, data[k]) for k in PART_STAMPS.values() if (at := _stamp(data.get(k))))
+    return with_section(status, "learn", data, stamps[0][1] if stamps else now, run_id)
+
+
+def read_status(spark: SparkSession, path: str) -> dict:
+    """The status file as it stands; a missing or damaged one is empty."""
+    from ..sources import files
+
+    if not files.exists(spark, path):
+        return {}
+    try:
+        held = json.loads(spark.read.text(path, wholetext=True).first().value)
+    except (AttributeError, ValueError):
+        return {}
+    return held if isinstance(held, dict) else {}
+
 
+def write_status(spark: SparkSession, path: str, status: dict) -> None:
+    """Put a status file in place, in one step."""
+    from ..sources import files
 
-def merged_part(existing: dict | None, part: str, fields: dict, now: str) -> dict:
-    """A section of several parts, each with a stamp of its own; the section's stamp is the oldest of them."""
-    out = {**(existing or {}), part: {"at": now, **fields}}
-    stamps = [v["at"] for v in out.values() if isinstance(v, dict) and v.get("at")]
-    return {**out, "at": min(stamps)} if stamps else out
+    files.write_text(spark.createDataFrame([(json.dumps(status, indent=2, ensure_ascii=False),)], "value string"), path)
 
 
 def one_row(spark: SparkSession, **fields) -> DataFrame:
