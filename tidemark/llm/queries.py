@@ -102,4 +102,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     from . import sql
 
-    return {"op1_ngram_jaccard_join": sql.OP1, "op2_substring_dedup": sql.OP2, "op5_suffix_array_dedup": sql.OP5, "op8_warc_revisits": sql.OP8}
+    return {"op1_ngram_jaccard_join": sql.OP1, "op2_substring_dedup": sql.OP2, "op5_suffix_array_dedup": sql.OP5, "op8_warc_revisits": sql.OP8, "op13_spelling_variants": sql.OP13}

