@@ -141,6 +141,7 @@ def _applied(mine: DataFrame, other: DataFrame, candidates: DataFrame, results:
         F.coalesce("evidence", "c_evidence").alias("evidence"),
         F.when(told, F.col("r_status")).otherwise(F.col("status")).cast("int").alias("status"),
     )
+    rows = settled(rows)  # read three times below
     covering = rows.where(F.col("kind") == "module").where(F.col("outcome").isin(*COVERING)).select("path")
     covered = has_ancestor_in(rows.where("kind = 'unit'"), covering).select("path")
     left = rows.join(covered, "path", "left_anti")
