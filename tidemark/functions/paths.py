@@ -14,6 +14,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def bound(value: Column, of) -> Column:
+    """of(value), with the value computed once a row: an expression that names it n times would compute it n times, one on top of that n * n times."""
+    return F.get(F.transform(F.array(value), lambda v: of(v)), F.lit(0))
+
+
 def trimmed(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(col(c), r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$", "")
@@ -31,7 +36,7 @@ def url_host(c: Column | str) -> Column:
 def clean_path(c: Column) -> Column:
     """A path without locale and final slashes, in lower case; the root is '/'."""
     bare = F.regexp_replace(F.regexp_replace(c, _LOCALE, ""), r"/+$", "")
-    return F.lower(F.coalesce(F.nullif(bare, F.lit("")), F.lit("/")))
+    return F.lower(F.coalesce(F.regexp_replace(bare, r"\A\z", "/"), F.lit("/")))
 
 
 def canonical_path(c: Column | str, host: str | None = None) -> Column:
@@ -200,32 +205,37 @@ def resolved(href: Column | str, base: Column | str, host: str | None = None) ->
     A fold over the path's segments: '..' takes the last one off, '.' and empty
     ones add none.  Query and fragment go; escapes stay as they are.
     """
-    h, b = trimmed(href), F.coalesce(col(base), F.lit("/"))
-    url = F.when(h.startswith("//"), F.concat(F.lit("https:"), h)).otherwise(h)
-    outside = url.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
-    bare = F.regexp_extract(h, r"^([^?#]*)", 1)
-    path = F.when(outside, url_path(url)).when(bare.startswith("/"), bare).when(bare == "", b).otherwise(F.concat(F.regexp_extract(b, r"^(.*/)", 1), bare))
-    none = F.array().cast("array<string>")
+    b, none = F.coalesce(col(base), F.lit("/")), F.array().cast("array<string>")
     step = lambda held, s: F.when((s == "") | (s == "."), held).when(s == "..", F.slice(held, 1, F.greatest(F.size(held) - 1, F.lit(0)))).otherwise(F.concat(held, F.array(s)))
-    walked = F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"))
-    each = F.transform(F.split(walked, ""), lambda c: F.when((c == "") | c.rlike(_PLAIN), c).otherwise(encoded(c)))
-    safe = F.when(walked.rlike(f"^{_PLAIN}*$"), walked).otherwise(F.array_join(each, ""))
-    here = ~outside | (url.rlike(r"(?i)^https?://[^/?#\s]+") & ((url_host(url) == host) if host else F.lit(True)))
-    return F.when((h != "") & ~h.startswith("#") & here, safe)
+    each = lambda walked: F.transform(F.split(walked, ""), lambda c: F.when((c == "") | c.rlike(_PLAIN), c).otherwise(encoded(c)))
+    safe = lambda walked: F.when(walked.rlike(f"^{_PLAIN}*$"), walked).otherwise(F.array_join(each(walked), ""))
+
+    def of(h: Column) -> Column:
+        url = F.when(h.startswith("//"), F.concat(F.lit("https:"), h)).otherwise(h)
+        outside = url.rlike(r"(?i)^[a-z][a-z0-9+.-]*:")
+        bare = F.regexp_extract(h, r"^([^?#]*)", 1)
+        inside = bound(bare, lambda p: F.when(p.startswith("/"), p).when(p == "", b).otherwise(F.concat(F.regexp_extract(b, r"^(.*/)", 1), p)))
+        path = F.when(outside, url_path(url)).otherwise(inside)
+        walked = F.concat(F.lit("/"), F.array_join(F.aggregate(F.split(path, "/"), none, step), "/"))
+        here = ~outside | (url.rlike(r"(?i)^https?://[^/?#\s]+") & ((url_host(url) == host) if host else F.lit(True)))
+        return F.when((h != "") & ~h.startswith("#") & here, bound(walked, safe))
+
+    return bound(trimmed(href), of)
 
 
 def toc_target(href: Column | str, folder: Column | str, host: str | None = None) -> Column:
     """The page a sidebar entry leads to: resolved in its folder, without file ending and /index."""
     path = resolved(href, F.concat(col(folder), F.lit("/")), host)
-    return canonical_path(F.regexp_replace(F.regexp_replace(path, r"\.(md|ya?ml|json)$", ""), r"/index$", ""))
+    return bound(F.regexp_replace(F.regexp_replace(path, r"\.(md|ya?ml|json)$", ""), r"/index$", ""), canonical_path)
 
 
 def toc_folder(page: Column | str, rel: Column | str) -> Column:
     """The folder of a page's sidebar file."""
     at = F.regexp_replace(resolved(rel, page), r"/toc\.json$", "")
-    return F.when(at == "", "/").otherwise(canonical_path(at))
+    return bound(at, lambda p: F.when(p == "", "/").otherwise(canonical_path(p)))
 
 
 def link_target(href: Column | str, page: Column | str, host: str | None = None) -> Column:
     """The page an article's link leads to; null for other hosts, anchors and the page itself."""
-    return F.nullif(canonical_path(resolved(href, page, host)), col(page))
+    to = bound(resolved(href, page, host), canonical_path)
+    return bound(to, lambda t: F.when(~F.coalesce(t == col(page), F.lit(False)), t))
