@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .paths import col, trimmed
+from .paths import bound, col, trimmed
 
 #: Sections that are page furniture: of articles, and of unit pages (fixed values).
 SKIP_ARTICLE = "(?i)feedback|in this article|additional resources"
@@ -17,9 +17,7 @@ XML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"),
 
 
 def decoded(c: Column | str, entities=ENTITIES) -> Column:
-    """Numeric entities, then named ones."""
-    c = col(c)
-    parts = F.split(c, r"(?=&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});)")
+    """Numeric entities, then named ones; all begin with an ampersand, so a text without one stays as it is."""
 
     def numeric(p: Column) -> Column:
         hexa, dec = F.regexp_extract(p, r"^&#x([0-9A-Fa-f]{1,6});", 1), F.regexp_extract(p, r"^&#([0-9]{1,7});", 1)
@@ -28,10 +26,13 @@ def decoded(c: Column | str, entities=ENTITIES) -> Column:
         utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
         return F.when(good, F.concat(F.decode(utf32, "UTF-32"), F.regexp_replace(p, r"^&#[0-9A-Fa-fx]+;", ""))).otherwise(p)
 
-    out = F.array_join(F.transform(parts, numeric), "")
-    for name, text in entities:
-        out = F.replace(out, F.lit(name), F.lit(text))
-    return out
+    def of(text: Column) -> Column:
+        out = F.array_join(F.transform(F.split(text, r"(?=&#(?:x[0-9A-Fa-f]{1,6}|[0-9]{1,7});)"), numeric), "")
+        for name, plain in entities:
+            out = F.replace(out, F.lit(name), F.lit(plain))
+        return F.when(text.contains("&"), out).otherwise(text)
+
+    return bound(col(c), of)
 
 
 def decoded_xml(c: Column | str) -> Column:
@@ -48,11 +49,14 @@ def text_of(html: Column | str) -> Column:
 
 def between(c: Column | str, start: str, end: str) -> Column:
     """What stands between two markers; null where either is missing."""
-    c = col(c)
-    a = F.locate(start, c)
-    rest = F.substring(c, a + len(start), F.length(c))
-    b = F.locate(end, rest)
-    return F.when((a > 0) & (b > 0), F.substring(rest, F.lit(1), b - 1))
+
+    def cut(rest: Column) -> Column:
+        return bound(F.locate(end, rest), lambda b: F.when(b > 0, F.substring(rest, F.lit(1), b - 1)))
+
+    def of(text: Column) -> Column:
+        return bound(F.locate(start, text), lambda a: F.when(a > 0, bound(F.substring(text, a + len(start), F.length(text)), cut)))
+
+    return bound(col(c), of)
 
 
 def without_scripts(c: Column | str) -> Column:
@@ -171,10 +175,11 @@ def article_links(pages: DataFrame, html: str, path: str, host: str, end_marker:
     from ..operators.dedupe import first_per
     from .paths import link_target
 
-    articles = pages.select(F.col(path).alias("path"), article_html(html, end_marker).alias("_article")).where("_article is not null")
+    present = lambda c: F.explode(F.filter(F.array(c), lambda v: v.isNotNull()))  # noqa: E731  a filter would compute the column a second time
+    articles = pages.select(F.col(path).alias("path"), present(article_html(html, end_marker)).alias("_article"))
     rows = page_links(articles, "_article", "path", with_type=True).where("coalesce(linktype, '') not in ('external', 'self-bookmark') and text <> ''")
-    rows = rows.withColumn("target", link_target("href", "path", host)).where("target is not null").withColumn("section", F.coalesce(F.nullif("section", F.lit("")), F.lit("lead")))
-    return first_per(rows.select("path", "pos", "section", "target", "text"), ["path", "section", "target"], [F.asc("pos")])
+    rows = rows.select("path", "pos", F.coalesce(F.nullif("section", F.lit("")), F.lit("lead")).alias("section"), present(link_target("href", "path", host)).alias("target"), "text")
+    return first_per(rows, ["path", "section", "target"], [F.asc("pos")])
 
 
 def xml_blocks(xml: Column | str, tag: str) -> Column:
