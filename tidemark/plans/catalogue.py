@@ -297,8 +297,9 @@ def path_collisions(spark, sf):
 
 @query("""SELECT 'u' || user_id AS path, min(strftime(ts, '%Y-%m-%d')) AS "firstDetected", max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS "lastChecked", max_by(CAST(event_id % 600 AS INT), (strftime(ts, '%Y-%m-%d %H:%M:%S'), event_id % 600)) AS status FROM events GROUP BY user_id""")
 def fold_quarantine(spark, sf):
+    """Events as checks of users; of a user's checks in the same last second, the greatest status comes first."""
     e = T(spark, sf, "events").select(F.concat(F.lit("u"), "user_id").alias("path"), F.date_format("ts", "yyyy-MM-dd").alias("firstDetected"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("lastChecked"), (F.col("event_id") % 600).cast("int").alias("status"))
-    return dedupe.fold_quarantine(e)
+    return dedupe.fold_quarantine(e.withColumn("ordinal", -F.col("status")), ordinal="ordinal")
 
 
 # ---- classes of redirects and probes
