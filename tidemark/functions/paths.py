@@ -19,6 +19,11 @@ def bound(value: Column, of) -> Column:
     return F.get(F.transform(F.array(value), lambda v: of(v)), F.lit(0))
 
 
+def present(c: Column) -> Column:
+    """The value, as a generator that leaves out rows where it is null: a filter would compute it a second time."""
+    return F.explode(F.filter(F.array(c), lambda v: v.isNotNull()))
+
+
 def trimmed(c: Column | str) -> Column:
     """Without white space of any kind at either end."""
     return F.regexp_replace(col(c), r"^[\s\u00a0\ufeff]+|[\s\u00a0\ufeff]+$", "")
@@ -51,7 +56,7 @@ def canonical_path(c: Column | str, host: str | None = None) -> Column:
 
 def entry_path(c: Column | str, host: str | None = None) -> Column:
     """canonical_path, but the root is no entry."""
-    return F.nullif(canonical_path(c, host), F.lit("/"))
+    return bound(canonical_path(c, host), lambda p: F.when(p != "/", p))
 
 
 def parent_path(c: Column | str) -> Column:

@@ -173,9 +173,8 @@ def article_links(pages: DataFrame, html: str, path: str, host: str, end_marker:
     A page of another layout (no heading, or no end of the article) has no rows.
     """
     from ..operators.dedupe import first_per
-    from .paths import link_target
+    from .paths import link_target, present
 
-    present = lambda c: F.explode(F.filter(F.array(c), lambda v: v.isNotNull()))  # noqa: E731  a filter would compute the column a second time
     articles = pages.select(F.col(path).alias("path"), present(article_html(html, end_marker)).alias("_article"))
     rows = page_links(articles, "_article", "path", with_type=True).where("coalesce(linktype, '') not in ('external', 'self-bookmark') and text <> ''")
     rows = rows.select("path", "pos", F.coalesce(F.nullif("section", F.lit("")), F.lit("lead")).alias("section"), present(link_target("href", "path", host)).alias("target"), "text")

@@ -35,6 +35,19 @@ def has_ancestor_in(paths: DataFrame, holders: DataFrame, path: str = "path", ho
     return paths.join(found.select(path).distinct(), path, "left_semi")
 
 
+def paths_below(paths: DataFrame, holders: DataFrame) -> DataFrame:
+    """path: the different paths below some path of holders.
+
+    Only prefixes as deep as holders are joined, which are a few numbers: those
+    next to the root begin all paths, and would meet in one task.
+    """
+    h = holders.select(F.col("path").alias("_h")).distinct()
+    depths = sorted(r.d for r in h.select(F.size(F.split("_h", "/")).alias("d")).distinct().collect())
+    parts = F.split("path", "/")
+    above = F.filter(F.array(*[F.when(F.size(parts) > d, F.array_join(F.slice(parts, 1, d), "/")) for d in depths or [2]]), lambda a: a.isNotNull())
+    return paths.select("path", F.explode(above).alias("_a")).join(h, F.col("_a") == F.col("_h"), "left_semi").select("path").distinct()
+
+
 def index_changes(changes: DataFrame) -> DataFrame:
     """One entry per path: the most recently verified; of equals the one in 'removed'."""
     return first_per(changes, ["path"], [F.desc(F.coalesce("lastVerified", F.lit(""))), F.when(F.col("file") == "removed", 0).otherwise(1)])

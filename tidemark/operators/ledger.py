@@ -11,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import CHANGE_FILES, CLASSIFIED, COVERING, EVIDENCE, EVIDENCE_PRIORITY, FAMILIES, KINDS, MAX_ROUNDS, MOVED_OUTCOMES, REMOVED_OUTCOMES, LedgerError, Scope
-from ..functions.paths import canonical_path, entry_path, in_scope
+from ..functions.paths import canonical_path, entry_path, in_scope, present
 from ..functions.scalars import family_of_kind, is_iso_date, text_or_null
 from ..sources.shared import settled
 from .dedupe import first_per, prefer_entry
-from .joins import has_ancestor_in
+from .joins import paths_below
 
 ENTRY = "file string, path string, kind string, family string, outcome string, to string, title string, parent string, firstSeen string, lastVerified string, evidence string, status int"
 COLUMNS = [c.split()[0] for c in ENTRY.split(", ")]
@@ -69,17 +69,17 @@ def clean_candidates(candidates: DataFrame, family: str, host: str | None = None
     Paths and parents are canonical; rows with a path, kind or evidence that
     cannot be used, or of the other family, are left out; a bad firstSeen is null.
     """
-    valid = F.col("path").isNotNull() & F.col("kind").isin(*KINDS) & (family_of_kind("kind") == family) & F.col("evidence").isin(*EVIDENCE)
-    rows = candidates.withColumns({"path": entry_path("path", host), "parent": entry_path("parent", host), "title": text_or_null("title"), "firstSeen": F.when(is_iso_date("firstSeen"), F.col("firstSeen"))})
+    valid = F.col("kind").isin(*KINDS) & (family_of_kind("kind") == family) & F.col("evidence").isin(*EVIDENCE)
+    rows = candidates.where(valid).withColumn("path", present(entry_path("path", host))).withColumns({"parent": entry_path("parent", host), "title": text_or_null("title"), "firstSeen": F.when(is_iso_date("firstSeen"), F.col("firstSeen"))})
     rank = F.array_position(F.array(*map(F.lit, EVIDENCE_PRIORITY)), F.col("evidence"))
     given = [F.asc("ordinal")] if "ordinal" in candidates.columns else []
-    rows = first_per(rows.where(valid), ["path"], [F.asc("kind"), rank.asc(), *given, F.asc_nulls_last("firstSeen"), F.asc_nulls_last("title"), F.asc_nulls_last("parent")])
+    rows = first_per(rows, ["path"], [F.asc("kind"), rank.asc(), *given, F.asc_nulls_last("firstSeen"), F.asc_nulls_last("title"), F.asc_nulls_last("parent")])
     return rows.select("path", "kind", "parent", "title", "evidence", "firstSeen")
 
 
 def last_results(results: DataFrame, host: str | None = None) -> DataFrame:
     """One result per canonical path: the last by `ordinal`, if there is one, else the first of a fixed order of outcomes."""
-    seen = results.withColumn("path", entry_path("path", host)).where("path is not null")
+    seen = results.withColumn("path", present(entry_path("path", host)))
     given = [F.desc("ordinal")] if "ordinal" in results.columns else []
     return first_per(seen, ["path"], [*given, F.asc_nulls_last("outcome"), F.asc_nulls_last("to"), F.asc_nulls_last("status")]).select("path", "outcome", "to", "status")
 
@@ -143,7 +143,7 @@ def _applied(mine: DataFrame, other: DataFrame, candidates: DataFrame, results:
     )
     rows = settled(rows)  # read three times below
     covering = rows.where(F.col("kind") == "module").where(F.col("outcome").isin(*COVERING)).select("path")
-    covered = has_ancestor_in(rows.where("kind = 'unit'"), covering).select("path")
+    covered = paths_below(rows.where("kind = 'unit'"), covering)
     left = rows.join(covered, "path", "left_anti")
     return Applied(other.select(COLUMNS).unionByName(left.select(COLUMNS)), resurrected, covered)
 

@@ -60,18 +60,29 @@ def missing_batch(candidates: DataFrame, cap: int, today: str) -> DataFrame:
     return a.unionByName(b)
 
 
+#: Up to this many rows the first of a table are gathered in one task; more are numbered by ranges.
+GATHERED = 100_000
+
+
 def tiered(items: DataFrame, tier: str, order: list[Column], cap: int, tier_caps: dict[int, int] | None = None) -> DataFrame:
     """tier 1 before 2 before 3, each in its order, some tiers capped, all of it capped: rows with queue_pos from 1."""
     parts = []
     for t, most in sorted((tier_caps or {}).items()):
-        parts.append(top(items.where(F.col(tier) == t), order, most))
+        parts.append(first_rows(items.where(F.col(tier) == t), order, most))
     rest = items.where(~F.col(tier).isin(*(tier_caps or {}))) if tier_caps else items
     for p in parts:
         rest = rest.unionByName(p)
+    if cap > GATHERED:
+        return numbered(rest, tier, *order).where(F.col("queue_pos") <= cap)
     kept = top(rest, [F.col(tier), *order], cap)
     return kept.withColumn("queue_pos", F.row_number().over(Window.orderBy(tier, *order)).cast("long"))
 
 
+def first_rows(items: DataFrame, order: list[Column], k: int) -> DataFrame:
+    """The first k rows, whatever k is: see GATHERED."""
+    return top(items, order, k) if k <= GATHERED else numbered(items, *order).where(F.col("queue_pos") <= k).drop("queue_pos")
+
+
 def verification_queue(changes: DataFrame, today: str | None = None, limit: int = 300, reverify: int = 100, dead: DataFrame | None = None, exclude: DataFrame | None = None) -> DataFrame:
     """The queue of plan_verification."""
     return _verification(changes, today, limit, reverify, dead, exclude)[0]
@@ -92,18 +103,21 @@ def plan_verification(changes: DataFrame, today: str | None = None, limit: int =
 
 
 def _verification(changes, today, limit, reverify, dead, exclude) -> tuple[DataFrame, DataFrame]:
-    from .joins import has_ancestor_in, lookup_changes
+    from .joins import lookup_changes, paths_below
 
     learn = changes.where("family = 'learn'")
     pending = learn.where("kind = 'module' and outcome = 'unverified'").select("path")
-    waiting = has_ancestor_in(learn.where("kind = 'unit'"), pending).select("path")
-    mine = learn.join(waiting, "path", "left_anti")
+    old = F.lit(today).isNull() | ~F.col("lastVerified").eqNullSafe(today)
+    mine = learn.where(F.col("outcome").isin("unverified", "moved") | (old & F.lit(reverify > 0)))  # no other row can have a place
+    mine = mine.join(paths_below(mine.where("kind = 'unit'"), pending), "path", "left_anti")
     if exclude is not None:
         mine = mine.join(exclude.select("path").distinct(), "path", "left_anti")
-    again = lookup_changes(changes.where("outcome = 'moved' and to is not null"), changes, "to").select(F.col("link").alias("to"))
+    mine = settled(mine)  # read for its moves, its order and its size
+    moved = mine.where("outcome = 'moved' and to is not null")
+    again = moved.select("to").limit(0) if moved.isEmpty() else lookup_changes(moved, changes, "to").select(F.col("link").alias("to"))
     again = again.unionByName(dead.select(F.col("path").alias("to"))).distinct() if dead is not None else again
     mine = mine.join(again.withColumn("_again", F.lit(True)), "to", "left")
-    tier = F.when(F.col("outcome") == "unverified", 1).when((F.col("outcome") == "moved") & F.col("_again"), 2).when(F.lit(today).isNull() | ~F.col("lastVerified").eqNullSafe(today), 3)
+    tier = F.when(F.col("outcome") == "unverified", 1).when((F.col("outcome") == "moved") & F.col("_again"), 2).when(old, 3)
     mine = mine.withColumn("tier", tier).where("tier is not null")
     mine = mine.withColumn("_o", F.when(F.col("tier") == 1, F.col("firstSeen")).when(F.col("tier") == 3, F.coalesce("lastVerified", F.lit(""))).otherwise(""))
     out = tiered(mine, "tier", [F.asc("_o"), F.asc("path")], limit, {3: reverify})
@@ -199,7 +213,7 @@ def running_share(events: DataFrame, group: str, order: str, bad: Column) -> Dat
     return events.withColumn("done", F.count("*").over(w)).withColumn("failed", F.sum(bad.cast("long")).over(w))
 
 
-def numbered(rows: DataFrame, *order: str) -> DataFrame:
+def numbered(rows: DataFrame, *order: Column | str) -> DataFrame:
     """rows with queue_pos from 1 in the order of some columns, without gathering them in one task.
 
     Rows are sorted by ranges and kept in the shared folder; each range is
