@@ -12,6 +12,7 @@ from ..config import Site
 from ..functions.paths import absolute, canonical_path, first_segment, last_segment, parent_path, scope_for
 from ..operators.classify import classify_known
 from ..operators.joins import lookup_changes, suggest_slug
+from ..sources.shared import dealt, tasks_for
 
 #: Content kinds and the type of their rows in the content table.
 CONTENT = {"path": "learningPath", "course": "course", "certification": "certification", "exam": "exam", "applied-skill": "appliedSkill", "study-guide": "studyGuide"}
@@ -53,11 +54,8 @@ FACTS = (
 )
 
 
-def known_paths(caches: Caches) -> DataFrame | None:
-    """One row for every path in any table, with its flags: all tables meet in one aggregate by path.
-
-    Of a path that a table has twice, the greatest values count (content: all types).
-    """
+def _listed(caches: Caches) -> DataFrame | None:
+    """Every path of every table, with the table's flag."""
     flags, more = [f for _, _, f, _ in FACTS], {n: t for *_, m in FACTS for n, (_, t) in m.items()}
     parts = []
     for table, key, flag, columns in FACTS:
@@ -67,7 +65,18 @@ def known_paths(caches: Caches) -> DataFrame | None:
             parts.append(df.select(F.col(key).alias("_k"), *filled, *[(F.col(columns[n][0]).cast(t) if n in columns else F.lit(None).cast(t)).alias(n) for n, t in more.items()]))
     if not parts:
         return None
-    rows = reduce(DataFrame.unionByName, parts).where("_k is not null")
+    return reduce(DataFrame.unionByName, parts).where("_k is not null")
+
+
+def known_paths(caches: Caches, tasks: int = 0) -> DataFrame | None:
+    """One row for every path in any table, with its flags: all tables meet in one aggregate by path, in so many tasks at least.
+
+    Of a path that a table has twice, the greatest values count (content: all types).
+    """
+    rows = _listed(caches)
+    if rows is None:
+        return None
+    rows, flags, more = dealt(rows, tasks, "_k"), [f for _, _, f, _ in FACTS], [n for *_, m in FACTS for n in m]
     return rows.groupBy("_k").agg(*[F.max(f).alias(f) for f in flags], *[(F.collect_set(n) if n == "_types" else F.max(n)).alias(n) for n in more])
 
 
@@ -80,14 +89,21 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
     """
     taken = [c for c in ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion") if c in links.columns and c != "path"]
     rows = links.drop(*taken).withColumn("path", canonical_path(url, host)).withColumn("_parent", parent_path("path"))
-    facts = known_paths(caches)
+    listed = _listed(caches)
+    tasks = tasks_for(links, *([] if listed is None else [listed]))
+    facts = known_paths(caches, tasks)
     own = [f for _, _, f, _ in FACTS] + ["_served", "_units", "_types", "_to"]
     if facts is None:
         rows = rows.withColumns({c: F.lit(None).cast("array<string>" if c in ("_units", "_types") else "string" if c == "_to" else "boolean") for c in own})
         rows = rows.withColumns({"_p_module": F.lit(None).cast("boolean"), "_p_tomb": F.lit(None).cast("boolean"), "_p_outside": F.lit(None).cast("boolean"), "_lost": F.lit(None).cast("boolean"), "_p_units": F.lit(None).cast("array<string>")})
     else:
         above = facts.where("_module or _tomb or _outside").select(F.col("_k").alias("_pk"), F.col("_module").alias("_p_module"), F.col("_tomb").alias("_p_tomb"), F.col("_outside").alias("_p_outside"), F.col("_served").alias("_lost"), F.col("_units").alias("_p_units"))
-        rows = rows.join(facts, F.col("path") == F.col("_k"), "left").drop("_k").join(above, F.col("_parent") == F.col("_pk"), "left").drop("_pk")
+        rows = dealt(rows, tasks, "path").join(facts, F.col("path") == F.col("_k"), "left").drop("_k")
+        # a parent that is no deeper or higher than modules has no entry: links below it, such as all modules, keep apart
+        depth = F.size(F.split("_k", "/"))
+        depths = [r.d for r in listed.where("_module or _tomb or _outside").select(depth.alias("d")).distinct().collect()]
+        rows = rows.withColumn("_at", F.when(F.size(F.split("_parent", "/")).isin(depths), F.col("_parent")).otherwise(F.concat(F.lit(" "), "path")))
+        rows = dealt(rows, tasks, "_at").join(dealt(above, tasks, "_pk"), F.col("_at") == F.col("_pk"), "left").drop("_pk", "_at")
     is_module, is_unit = F.coalesce("_module", F.lit(False)), F.coalesce("_p_module", F.lit(False))
     rows = rows.withColumn("kind", F.coalesce(F.when(F.col("path").isNotNull(), classify_known("path", is_module, is_unit)), F.lit("other")))
     below = F.col("kind") == "unit"
@@ -120,8 +136,9 @@ def validate(links: DataFrame, caches: Caches, site: Site = Site(), url: str = "
     if caches.modules is not None:
         dead = rows.where((kind == "unit") & (F.col("verdict") == "broken") & is_unit & ~no_list & ~lost).select(F.col("_parent").alias("module"), last_segment("path").alias("dead"))
         lists = caches.modules.select(F.col("path").alias("module"), F.posexplode("unitUrls").alias("pos", "path"))
-        near = suggest_slug(dead, lists, "module").select(F.col("module").alias("_m"), F.col("dead").alias("_d"), F.col("suggestion").alias("_s"))
-        rows = rows.join(near, (kind == "unit") & (F.col("verdict") == "broken") & ~lost & (F.col("_parent") == F.col("_m")) & (last_segment("path") == F.col("_d")), "left")
+        near = suggest_slug(dealt(dead, tasks, "module"), dealt(lists, tasks, "module"), "module").select(F.col("module").alias("_m"), F.col("dead").alias("_d"), F.col("suggestion").alias("_s"))
+        rows = rows.withColumn("_slug", last_segment("path"))
+        rows = dealt(rows, tasks, "_parent", "_slug").join(dealt(near, tasks, "_m", "_d"), (kind == "unit") & (F.col("verdict") == "broken") & ~lost & (F.col("_parent") == F.col("_m")) & (F.col("_slug") == F.col("_d")), "left")
         rows = rows.withColumn("suggestion", F.coalesce("suggestion", absolute("_s", site.host)))
     made = ("path", "kind", "verdict", "evidence", "confidence", "redirects_to", "suggestion")
     return rows.select(*[c for c in links.columns if c not in made], *made)
