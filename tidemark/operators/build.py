@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import exam_code_of_uid
 from ..functions.scalars import sha1_lines
+from ..sources.shared import dealt, tasks_for
 
 
 def flatten_taxonomy(entries: DataFrame) -> DataFrame:
@@ -93,7 +94,8 @@ def apply_decisions(links: DataFrame, decisions: DataFrame, today: str) -> DataF
     """
     from .dedupe import first_per
 
-    rows = links.join(decisions.select("path", "decision", F.col("to").alias("_to")), "path", "left").where("decision is null or decision <> 'drop'")
+    tasks = tasks_for(links)
+    rows = dealt(links, tasks, "path").join(dealt(decisions.select("path", "decision", F.col("to").alias("_to")), tasks, "path"), "path", "left").where("decision is null or decision <> 'drop'")
     rewritten = F.col("decision").eqNullSafe("rewrite") & F.col("_to").isNotNull()
     rows = rows.select("module", "pos", F.when(rewritten, F.col("_to")).otherwise(F.col("path")).alias("path"), F.when(rewritten, F.col("path")).alias("was"), F.when(F.col("decision").isin("keep", "rewrite"), F.lit(today)).alias("checked"), (F.col("decision").eqNullSafe("unverified")).alias("unverified"))
-    return first_per(rows, ["module", "path"], [F.asc("pos")])
+    return first_per(dealt(rows, tasks, "module", "path"), ["module", "path"], [F.asc("pos")])

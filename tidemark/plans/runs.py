@@ -18,7 +18,7 @@ from ..config import Limits, Site
 from ..functions.paths import in_scope, parent_path
 from ..functions.scalars import json_signature
 from ..operators import build, classify, dedupe, diff, docs, history, ledger, quality, queues
-from ..sources.shared import settled
+from ..sources.shared import dealt, settled, tasks_for
 from . import validate
 
 Probe = Callable[[DataFrame], DataFrame]
@@ -115,10 +115,11 @@ def links_run(links: DataFrame, caches: validate.Caches, probes: DataFrame, toda
 
     plans.module_links is the whole run.
     """
-    paths = links.select("path").distinct()
+    tasks = tasks_for(links)
+    paths = dealt(links.select("path"), tasks, "path").distinct()
     known = validate.validate(paths, caches, site, url="path").select("path", classify.decide_offline(F.col("path"), F.col("verdict"), F.col("redirects_to"), F.col("confidence")).alias("decision"), F.col("redirects_to").alias("to"))
     live = probes.select("path", classify.decide_probe(F.col("path"), F.col("verdict"), F.col("redirects_to")).alias("p_decision"), F.col("redirects_to").alias("p_to"))
-    both = known.join(live, "path", "left").select("path", F.coalesce("decision", "p_decision", F.lit("unverified")).alias("decision"), F.when(F.col("decision").isNotNull(), F.col("to")).otherwise(F.col("p_to")).alias("to"))
+    both = dealt(known, tasks, "path").join(dealt(live, tasks, "path"), "path", "left").select("path", F.coalesce("decision", "p_decision", F.lit("unverified")).alias("decision"), F.when(F.col("decision").isNotNull(), F.col("to")).otherwise(F.col("p_to")).alias("to"))
     return build.apply_decisions(links, both, today)
 
 
