@@ -12,7 +12,7 @@ from tidemark.sources import shared
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["validate_modules", "validate_units", "cleaned_links"])
+@pytest.mark.parametrize("name", ["validate_modules", "validate_units", "cleaned_links", "module_links_cleaned"])
 def test_many_rows_take_more_tasks(spark, monkeypatch, name):
     rows = lambda: sorted((tuple(map(str, r)) for r in QUERIES[name](spark, SF).collect()))
     want = rows()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import ledger, queues
+from ..sources.shared import dealt, tasks_for
 from . import docs_pass, module_links, sidebars
 from .catalogue import T, query
 
@@ -82,7 +83,8 @@ def module_links_carried(spark, sf):
 def module_links_cleaned(spark, sf):
     """Lines as links to parts, by live checks that go by the part's size."""
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    lines = T(spark, sf, "lineitem").withColumn("pos", F.row_number().over(queues.Window.partitionBy("l_orderkey").orderBy(*order)))
+    lines = T(spark, sf, "lineitem")
+    lines = dealt(lines, tasks_for(lines), "l_orderkey").withColumn("pos", F.row_number().over(queues.Window.partitionBy("l_orderkey").orderBy(*order)))
     none, outside = F.lit(None).cast("string"), F.col("l_returnflag") == "A"
     links = lines.select(
         F.col("l_orderkey").alias("module"), "pos", F.when(outside, "external").otherwise("docs").alias("kind"), F.when(~outside, F.concat(F.lit("/docs/p"), "l_partkey")).alias("path"),

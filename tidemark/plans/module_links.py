@@ -13,7 +13,7 @@ from ..functions.scalars import days_between, is_iso_date, refresh_due
 from ..operators import quality, queues
 from ..operators.classify import decide_offline, decide_probe, link_kind
 from ..operators.dedupe import first_per
-from ..sources.shared import settled
+from ..sources.shared import dealt, settled, tasks_for
 from .validate import Caches, validate
 
 RECORDS = "path string, unitSig string, unit string, unitTitle string, harvestedAt string"
@@ -100,7 +100,8 @@ def applied(links: DataFrame, decisions: DataFrame, today: str) -> DataFrame:
     Only a live check, or an earlier one that is still fresh, dates a link.
     """
     told = decisions.select("path", "decision", "via", F.col("to").alias("_to"))
-    rows = links.drop("unverified").join(told, "path", "left")
+    tasks = tasks_for(links)
+    rows = dealt(links.drop("unverified"), tasks, "path").join(told, "path", "left")
     checked = F.col("kind").isin(*CHECKED)
     decision = F.when(checked, F.coalesce("decision", F.lit("keep"))).otherwise("external")
     rewritten = decision == "rewrite"
@@ -116,7 +117,7 @@ def applied(links: DataFrame, decisions: DataFrame, today: str) -> DataFrame:
     )
     gone = rows.where("decision = 'drop'")
     key = F.when(F.col("kind").isin(*CHECKED), F.concat(F.lit("p"), F.coalesce("path", F.lit("")))).otherwise(F.concat(F.lit("u"), F.coalesce("url", "path", F.lit(""))))
-    left = first_per(rows.where("decision <> 'drop'").withColumn("_key", key), ["module", "_key"], [F.asc("pos")]).drop("_key")
+    left = first_per(dealt(rows.where("decision <> 'drop'").withColumn("_key", key), tasks, "module", "_key"), ["module", "_key"], [F.asc("pos")]).drop("_key")
     return left.unionByName(gone)
 
 
